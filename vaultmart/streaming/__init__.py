@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference has no stream source, watermark, event-time window, state,
+trigger or user-defined function: every load is a yearly batch (SURVEY 2.10).
+The yearly runs in ``vaultmart.plans.yearly`` are the whole execution model;
+nothing is planned for Structured Streaming.
+"""
