@@ -6,12 +6,15 @@ with AQE splitting skewed partitions).  The limit is a session setting,
 ``vaultmart.broadcast.maxRows`` (default 1,000,000 rows of a few narrow
 columns, i.e. tens of MB per executor).
 
-``anti_join_existing`` is the vault's "insert if the key is new" step.  A
-batch is usually far smaller than the hub/link it is checked against, which
-holds every key ever loaded.  When the batch's keys pass the size check, the
-big table is only *scanned* against a broadcast of the batch keys (no shuffle
-of the big table), and the few matches are broadcast back into the anti-join.
-Otherwise both sides shuffle on the key.
+``anti_join_existing`` is the vault's "insert if the key is new" step, with
+three plans chosen by measured sizes:
+
+1. the target (hub/link keys) passes the check: broadcast it into the
+   anti-join; the batch is neither shuffled nor computed twice;
+2. else the batch's keys pass: the big target is only *scanned* against a
+   broadcast of the batch keys (no shuffle of the target), and the few matches
+   are broadcast back into the anti-join;
+3. else both sides shuffle on the key (sort-merge anti-join; AQE splits skew).
 """
 
 from __future__ import annotations
@@ -45,6 +48,8 @@ def anti_join_existing(batch: DataFrame, target: DataFrame, keys: list[str],
     """Rows of ``batch`` whose ``keys`` are not in ``target`` (NULL keys never
     match, so they are kept, like LEFT JOIN ... WHERE t.key IS NULL)."""
     target_keys = target.select(*keys)
+    if fits_broadcast(target_keys):
+        return batch.join(F.broadcast(target_keys), keys, "left_anti")
     if batch_is_small is None:
         batch_is_small = fits_broadcast(batch.select(*keys))
     if batch_is_small:

@@ -29,18 +29,23 @@ def norm(c) -> Column:
     return F.nullif(F.upper(F.trim(_col(c).cast("string"))), F.lit(""))
 
 
-def _joined(cols) -> Column:
-    return F.concat_ws(KEY_SEPARATOR, *[F.coalesce(norm(c), F.lit(MISSING_PART)) for c in cols])
+def _joined(cols, normalized: bool) -> Column:
+    parts = [_col(c) if normalized else norm(c) for c in cols]
+    return F.concat_ws(KEY_SEPARATOR, *[F.coalesce(p, F.lit(MISSING_PART)) for p in parts])
 
 
-def hash_key(*cols) -> Column:
-    """md5 of one normalised key, or of several joined; NULL when all are blank."""
+def hash_key(*cols, normalized: bool = False) -> Column:
+    """md5 of one normalised key, or of several joined; NULL when all are blank.
+
+    ``normalized=True``: the columns already hold ``norm(...)`` values (a stage
+    that hashes one key into several hash keys normalises it once).
+    """
     if len(cols) == 1:
-        return F.md5(norm(cols[0]))
+        return F.md5(_col(cols[0]) if normalized else norm(cols[0]))
     all_missing = KEY_SEPARATOR.join([MISSING_PART] * len(cols))
-    return F.md5(F.nullif(_joined(cols), F.lit(all_missing)))
+    return F.md5(F.nullif(_joined(cols, normalized), F.lit(all_missing)))
 
 
-def hashdiff(*cols) -> Column:
+def hashdiff(*cols, normalized: bool = False) -> Column:
     """md5 of the joined normalised payload; never NULL."""
-    return F.md5(_joined(cols))
+    return F.md5(_joined(cols, normalized))

@@ -6,7 +6,7 @@ checkpoint directory (a shared folder on a cluster, read from
 ``spark.checkpoint.dir``), so a lost executor costs a re-read, not a
 recomputation of the whole history:
 
-* ``cut(df)``: ``DataFrame.checkpoint`` for small intermediate results;
+* ``cut(df)``: write an intermediate result once, read it back;
 * ``ScratchTable``: a Parquet table that a fold appends to year after year,
   like the warehouse tables of the reference; reads get column pruning,
   filter pushdown and partition pruning.
@@ -22,10 +22,10 @@ from pyspark.sql import types as T
 from vaultmart.session import checkpoint_dir
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and return a DataFrame reading it back."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` reliably (one job: a Parquet write into the
+    checkpoint folder) and return a DataFrame reading it back."""
+    return ScratchTable.of(df, name).read()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -33,7 +33,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 class ScratchTable:
-    """An append-only Parquet table under the checkpoint directory."""
+    """An append-only Parquet table under the checkpoint directory.
+
+    Nothing is written until the first append; until then ``read()`` is an
+    empty DataFrame of the declared schema.
+    """
 
     def __init__(self, spark: SparkSession, name: str, schema: T.StructType,
                  partition_by: list[str] | None = None, path: str | None = None):
@@ -41,10 +45,7 @@ class ScratchTable:
         self.schema = schema
         self.partition_by = partition_by or []
         self.path = path or scratch_path(spark, name)
-        writer = spark.createDataFrame([], schema).write.mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path)
+        self.written = False
 
     @classmethod
     def of(cls, df: DataFrame, name: str, partition_by: list[str] | None = None) -> "ScratchTable":
@@ -57,6 +58,9 @@ class ScratchTable:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path)
+        self.written = True
 
     def read(self) -> DataFrame:
+        if not self.written:
+            return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)

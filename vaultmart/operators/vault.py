@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultmart.functions import dates as D
-from vaultmart.functions.joins import anti_join_existing, fits_broadcast
-from vaultmart.functions.keys import RECORD_SOURCE, hash_key, hashdiff
+from vaultmart.functions.joins import anti_join_existing, broadcast_limit, fits_broadcast
+from vaultmart.functions.keys import RECORD_SOURCE, hash_key, hashdiff, norm
 
 STAGE_SOURCE = ["user_id", "pay_doc_type", "pay_doc_num", "account", "phone",
                 "billing_period", "pay_date", "sum"]
 AUDIT = ["load_date", "record_source"]
+_HASHED = ["user_id", "account", "billing_period", "pay_doc_type", "pay_doc_num", "phone",
+           "pay_date", "sum"]
 
 
 # ---------------------------------------------------------------- staging (Q08, Q09)
@@ -56,7 +58,10 @@ def payment_stage(ods: DataFrame, year: int | None = None,
     else:
         src = src.where(F.col("pay_date").isNotNull())
         ld = D.ts_literal(load_date) if load_date is not None else D.year_start_ts("pay_date")
-    return src.select(
+    # normalise each business key once; several hash keys reuse it
+    normed = src.select("*", *[norm(c).alias(f"_n_{c}") for c in _HASHED])
+    n = {c: f"_n_{c}" for c in _HASHED}
+    return normed.select(
         *STAGE_SOURCE,
         F.col("user_id").cast("string").alias("user_key"),
         F.col("account").cast("string").alias("account_key"),
@@ -64,14 +69,14 @@ def payment_stage(ods: DataFrame, year: int | None = None,
         F.col("pay_doc_type").cast("string").alias("pay_doc_type_key"),
         F.col("pay_doc_num").cast("string").alias("pay_doc_num_key"),
         F.lit(RECORD_SOURCE).alias("record_source"),
-        hash_key("user_id").alias("user_pk"),
-        hash_key("account").alias("account_pk"),
-        hash_key("billing_period").alias("billing_period_pk"),
-        hash_key("pay_doc_type", "pay_doc_num").alias("pay_doc_pk"),
-        hash_key("user_id", "account", "billing_period", "pay_doc_type",
-                 "pay_doc_num").alias("user_account_billing_pay_pk"),
-        hashdiff("phone").alias("user_hashdiff"),
-        hashdiff("pay_date", "sum").alias("pay_doc_hashdiff"),
+        hash_key(n["user_id"], normalized=True).alias("user_pk"),
+        hash_key(n["account"], normalized=True).alias("account_pk"),
+        hash_key(n["billing_period"], normalized=True).alias("billing_period_pk"),
+        hash_key(n["pay_doc_type"], n["pay_doc_num"], normalized=True).alias("pay_doc_pk"),
+        hash_key(n["user_id"], n["account"], n["billing_period"], n["pay_doc_type"],
+                 n["pay_doc_num"], normalized=True).alias("user_account_billing_pay_pk"),
+        hashdiff(n["phone"], normalized=True).alias("user_hashdiff"),
+        hashdiff(n["pay_date"], n["sum"], normalized=True).alias("pay_doc_hashdiff"),
         ld.alias("load_date"),
         F.col("pay_date").alias("effective_from"),
     )
@@ -178,7 +183,8 @@ def link_user_account_billing_pay(stage: DataFrame, link: DataFrame) -> DataFram
 
 # ---------------------------------------------------------------- satellites (Q17, Q18, Q20)
 
-def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str) -> DataFrame:
+def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
+                    sat_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
     """(pk, hashdiff) of each key's newest versions at or before its cut-off.
 
     ``cut_off`` holds one row per key (``pk``, ``_cut``).  A version qualifies
@@ -186,10 +192,22 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str) -> Dat
     every batch row and keeps a.load_date <= b.load_date; "some b" is the same
     as "the latest b").  Latest = qualifying versions at the key's maximum
     qualifying load date, ties all kept.
+
+    ``sat_rows`` / ``batch_rows`` are proven upper bounds on the two inputs'
+    sizes when the caller knows them (a fold does); otherwise they are
+    measured.  They pick the join: broadcast the satellite while it is young,
+    else broadcast the batch's cut-offs and only scan the history, else
+    shuffle both on the key.
     """
-    side = F.broadcast(cut_off) if fits_broadcast(cut_off) else cut_off
-    qual = (sat.select(pk, hd, "load_date").join(side, pk)
-            .where(F.col("load_date") <= F.col("_cut")))
+    limit = broadcast_limit(sat)
+    versions = sat.select(pk, hd, "load_date")
+    sat_small = sat_rows <= limit if sat_rows is not None else fits_broadcast(versions)
+    if sat_small:
+        qual = cut_off.join(F.broadcast(versions), pk)
+    else:
+        cut_small = batch_rows <= limit if batch_rows is not None else fits_broadcast(cut_off)
+        qual = versions.join(F.broadcast(cut_off) if cut_small else cut_off, pk)
+    qual = qual.where(F.col("load_date") <= F.col("_cut"))
     newest = qual.groupBy(pk).agg(F.max("load_date").alias("_newest"))
     per_hd = qual.groupBy(pk, hd).agg(F.max("load_date").alias("_hd_newest"))
     return (per_hd.join(newest, pk)
@@ -197,15 +215,17 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str) -> Dat
             .select(pk, hd))
 
 
-def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str]) -> DataFrame:
+def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str],
+             sat_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
     """Rows to insert into a satellite from one batch.
 
-    ``cols`` is the insert column list (pk, hashdiff, payload, audit columns).
+    ``cols`` is the insert column list (pk, hashdiff, payload, audit columns);
+    ``sat_rows`` / ``batch_rows``: optional size bounds, see ``latest_versions``.
     """
     source = stage.select(*cols)
     cut_off = (source.where(F.col(pk).isNotNull())
                .groupBy(pk).agg(F.max("load_date").alias("_cut")))
-    latest = latest_versions(sat, cut_off, pk, hd)
+    latest = latest_versions(sat, cut_off, pk, hd, sat_rows, batch_rows)
     return source.distinct().join(latest, [pk, hd], "left_anti").select(*cols)
 
 

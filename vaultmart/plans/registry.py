@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultmart.functions.lineage import ScratchTable, cut
+from vaultmart.functions.lineage import cut
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -111,7 +111,8 @@ def q15(spark, sf_dir):
 def _sat(name):
     def run(spark, sf_dir):
         pk, hd, cols = V.SATS[name]
-        return B.sat_backfill(_stage_all(spark, sf_dir), _empty(spark, name), pk, hd, cols, name)
+        staged = B.StagedBatches(_stage_all(spark, sf_dir))
+        return B.sat_backfill(staged, _empty(spark, name), pk, hd, cols, name)
     run.__name__ = name
     return run
 
@@ -120,14 +121,14 @@ def _sat(name):
 
 def _vault_all(spark, sf_dir) -> dict[str, DataFrame]:
     """The first vault after loading every year, built set-based where exact."""
-    staged = ScratchTable.of(_stage_all(spark, sf_dir), "stage")
-    stage = staged.read()
+    staged = B.StagedBatches(_stage_all(spark, sf_dir))
+    stage = staged.all()
     out = {name: V.hub_backfill(stage, _empty(spark, name), pk, keys)
            for name, (pk, keys) in V.HUBS.items() if name in ("hub_user", "hub_billing_period")}
     out["link"] = V.link_backfill(stage, _empty(spark, "link_user_account_billing_pay"),
                                   V.LINK_PK, V.LINK_COLS)
     pk, hd, cols = V.SATS["sat_pay_details"]
-    out["sat_pay_details"] = B.sat_backfill(stage, _empty(spark, "sat_pay_details"), pk, hd,
+    out["sat_pay_details"] = B.sat_backfill(staged, _empty(spark, "sat_pay_details"), pk, hd,
                                             cols, "sat_pay_details")
     return out
 

@@ -15,6 +15,21 @@ from pyspark.sql import functions as F
 from vaultmart.sources.schemas import schema_of
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a small file that is one Parquet row group is one task, and every
+    narrow step after it - casts, hashing - would run on one core).
+
+    A lake table at scale is thousands of files and splits, so this is a no-op
+    there; it never reduces parallelism and never runs on already-wide input.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def scan(spark: SparkSession, table: str, path: str) -> DataFrame:
     """S1/S2: external Parquet table (a directory, or a glob such as
     ``.../payment/*/``) read with its declared schema."""
