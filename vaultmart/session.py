@@ -4,6 +4,10 @@
   fixture mapping are defined in UTC (SURVEY t18).
 * AQE on, with skew-join splitting and partition coalescing: NULL and
   default keys gather on one reducer, and AQE splits such partitions.
+* No broadcast on a guess: Spark's static auto-broadcast sizes a side from
+  compressed file sizes, which do not bound its in-memory size.  Broadcasts
+  come from our explicit row-count checks (``functions.joins``) or from AQE,
+  which decides on the *measured* size of a finished shuffle stage.
 * A reliable checkpoint directory for lineage cuts in year-by-year folds.
   On a cluster it comes from ``spark.checkpoint.dir`` (a shared folder);
   only when that is unset, as in local tests, do we create one ourselves.
@@ -22,6 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
