@@ -351,8 +351,12 @@ DIMS = {
 }
 
 
-def _dim_chain(w: With, name: str, report: str) -> str:
-    column, key, ktype = DIMS[name]
+DIMS_B = {**DIMS, "dim_registration_year": ("registration_year", "registration_year_key", "INTEGER")}
+
+
+def _dim_chain(w: With, name: str, report: str, spec=None, prefix: str = "") -> str:
+    column, key, ktype = (spec or DIMS)[name]
+    name = prefix + name
     prev = f"{name}_0"
     w.add(prev, _empty([("id", "BIGINT"), (key, ktype)]))
     for y in YEARS:
@@ -458,6 +462,44 @@ def q20() -> str:
     return w.sql(f"SELECT * FROM {_sat_client(w)}")
 
 
+def _report_v2(w: With) -> str:
+    tl = _t_link(w)
+    s = _stage_v2(w)
+    hbp = _first_row_hub(w, "v2_hub_bp", "billing_period_pk", ["billing_period_key"], s)
+    hu = _first_row_hub(w, "v2_hub_user", "user_pk", ["user_key"], s)
+    sc = _sat_client(w)
+    w.add("report_v2", f"""
+SELECT billing_year, legal_type, district, registration_year, is_vip,
+  CAST(sum(billing_sum) AS DECIMAL(20,2)) AS sum
+FROM (
+  SELECT legal_type, district, CAST(year(registered_at) AS INTEGER) AS registration_year, is_vip,
+    CAST(year(strptime(substr(billing_period_key, 1, 7), '%Y-%m')) AS INTEGER) AS billing_year,
+    tlp.sum AS billing_sum
+  FROM {tl} tlp
+  JOIN {hbp} hbp ON tlp.billing_period_pk = hbp.billing_period_pk
+  JOIN {hu} hu ON hu.user_pk = tlp.user_pk
+  LEFT JOIN {sc} suac ON suac.user_pk = hu.user_pk) raw_data
+WHERE billing_year IS NOT NULL
+GROUP BY billing_year, legal_type, district, registration_year, is_vip""")
+    return "report_v2"
+
+
+def q29() -> str:
+    """Combined run: the second vault's report per year, then variant-B dimensions
+    (registration year kept as a number) and the fact."""
+    w = With()
+    r = _report_v2(w)
+    d = {n: _dim_chain(w, n, r, spec=DIMS_B, prefix="b_") for n in DIMS_B}
+    return w.sql(f"""
+SELECT dby.id AS billing_year_id, dlt.id AS legal_type_id, dd.id AS district_id,
+  dry.id AS registration_year_id, raw.is_vip, raw.sum
+FROM {r} raw
+JOIN {d['dim_billing_year']} dby ON dby.billing_year_key = raw.billing_year
+JOIN {d['dim_district']} dd ON dd.district_key = raw.district
+JOIN {d['dim_legal_type']} dlt ON dlt.legal_type_key = raw.legal_type
+JOIN {d['dim_registration_year']} dry ON dry.registration_year_key = raw.registration_year""")
+
+
 def q22() -> str:
     w = With()
     tl = _t_link(w)
@@ -510,4 +552,5 @@ def all_sql() -> dict[str, str]:
         "Q26_dim_registration_year": dim_query("dim_registration_year"),
         "Q27_report_fact": q27(),
         "Q28_backfill": q27(),
+        "Q29_combined_run_second_vault": q29(),
     }

@@ -89,6 +89,8 @@ DIMS = {
     "dim_district": ("district", "district_key", "string"),
     "dim_registration_year": ("registration_year", "registration_year_key", "string"),
 }
+# Variant B (the combined run) keeps the registration year as a number (t21).
+DIMS_B = {**DIMS, "dim_registration_year": ("registration_year", "registration_year_key", "int")}
 
 
 def _empty_dim(report: DataFrame, key: str, key_type: str) -> DataFrame:
@@ -120,12 +122,14 @@ def dim_backfill(report_all: DataFrame, dim: DataFrame | None, column: str, key:
     return append_sequence_ids(new, order, dim).select("id", key)
 
 
-def report_fact(report: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def report_fact(report: DataFrame, dims: dict[str, DataFrame],
+                spec: dict[str, tuple[str, str, str]] = DIMS) -> DataFrame:
     """Q27: the report with dimension ids; inner joins, so rows with a NULL
-    dimension value drop out (t11).  Dimensions are broadcast after a size check."""
+    dimension value drop out (t11).  Dimensions are broadcast after a size check.
+    ``spec`` is ``DIMS`` (variant A) or ``DIMS_B``."""
     out = report
     ids = []
-    for name, (column, key, key_type) in DIMS.items():
+    for name, (column, key, key_type) in spec.items():
         d = checked_broadcast(dims[name].select(F.col("id").alias(f"{column}_id"), key))
         out = out.join(d, F.col(column).cast(key_type) == F.col(key)).drop(key)
         ids.append(f"{column}_id")

@@ -169,6 +169,18 @@ def q28(spark, sf_dir):
     return report.fact.read()
 
 
+def q29(spark, sf_dir):
+    """The combined DAG (E4) folded over every year: reload, second vault,
+    report variant B, star; the fact table."""
+    configure(spark)
+    stg = _raw(spark, sf_dir, "stg_payment")
+    mdm = _raw(spark, sf_dir, "mdm_user")
+    years = B.batch_years(V.payment_stage(_ods(spark, sf_dir)))
+    v2 = B.backfill(years, lambda st, y: Y.run_second_vault_year(stg, mdm, st, y),
+                    Y.SecondVault.empty(spark))
+    return v2.report.fact.read()
+
+
 # ---------------------------------------------------------------- second vault
 
 def _stage_v2(spark, sf_dir):
@@ -238,4 +250,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "Q26_dim_registration_year": _dim("dim_registration_year"),
     "Q27_report_fact": q27,
     "Q28_backfill": q28,
+    "Q29_combined_run_second_vault": q29,
 }

@@ -1,9 +1,11 @@
 """Yearly runs as in the reference's schedule.
 
-E1 ``run_lake_year``    raw -> ODS partitions of the year -> traffic mart
-E2 ``run_vault_year``   ODS -> stage (materialised once) -> 4 hubs -> link -> 2 satellites
-E3 ``run_report_year``  vault -> report (materialised once) -> 4 dimensions -> fact
-E4 ``run_combined_year``  E2 then E3 for the same year
+E1 ``run_lake_year``      raw -> ODS partitions of the year -> traffic mart
+E2 ``run_vault_year``     ODS -> stage (materialised once) -> 4 hubs -> link -> 2 satellites
+E3 ``run_report_year``    vault -> report (materialised once) -> 4 dimensions -> fact
+   ``run_combined_year``  E2 then E3 for the same year (the fold Q28 registers)
+E4 ``run_second_vault_year``  ODS slice reload -> second vault (4 hubs, transactional
+                              link, 3 satellites) -> report variant B -> dimensions -> fact
 
 Vault and report tables are append-only ``ScratchTable``s (or any object with
 ``read()`` / ``append(df)``), so each step reads what the previous years
@@ -19,9 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from vaultmart.functions.lineage import ScratchTable, cut
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
+from vaultmart.operators import second_vault as V2
 from vaultmart.operators import vault as V
 from vaultmart.sources import schemas as S
 from vaultmart.sources import sinks
+from vaultmart.sources.lake import scan, scan_year
 
 
 # ---------------------------------------------------------------- E1
@@ -35,7 +39,6 @@ def run_lake_year(stg: dict[str, DataFrame], lake_root: str, year: int) -> None:
         raw = stg[table.replace("ods_", "stg_")]
         sinks.overwrite_partition(load(raw, year), f"{root}/{table}", year, table)
     spark = stg["stg_traffic"].sparkSession
-    from vaultmart.sources.lake import scan_year
     traffic = scan_year(spark, "ods_traffic", f"{root}/ods_traffic", year)
     sinks.overwrite_partition(M.dm_bytes_received(traffic, year), f"{root}/dm_bytes_received",
                               year, "dm_bytes_received")
@@ -48,7 +51,6 @@ def run_lake_backfill(stg: dict[str, DataFrame], lake_root: str) -> None:
                         "ods_payment": O.ods_payment, "ods_traffic": O.ods_traffic}.items():
         sinks.overwrite_partitions(load(stg[table.replace("ods_", "stg_")]), f"{root}/{table}", table)
     spark = stg["stg_traffic"].sparkSession
-    from vaultmart.sources.lake import scan
     traffic = scan(spark, "ods_traffic", f"{root}/ods_traffic")
     sinks.overwrite_partitions(M.dm_bytes_received(traffic), f"{root}/dm_bytes_received",
                                "dm_bytes_received")
@@ -91,33 +93,89 @@ def run_vault_year(ods: DataFrame, vault: Vault, year: int) -> Vault:
 class Report:
     dims: dict[str, ScratchTable] = field(default_factory=dict)
     fact: ScratchTable | None = None
+    spec: dict = field(default_factory=lambda: M.DIMS)
 
     @classmethod
-    def empty(cls, spark: SparkSession) -> "Report":
+    def empty(cls, spark: SparkSession, spec: dict | None = None) -> "Report":
+        spec = spec or M.DIMS
         dims = {name: ScratchTable(spark, name, S.dim_schema(key, _spark_type(ktype)))
-                for name, (_, key, ktype) in M.DIMS.items()}
-        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT))
+                for name, (_, key, ktype) in spec.items()}
+        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT), spec=spec)
 
 
 def _spark_type(name: str):
     return {"int": S.INT, "string": S.STRING}[name]
 
 
+def load_star(rep: DataFrame, report: Report) -> Report:
+    """Dimensions, then the fact, from one year's (materialised) report."""
+    for name, (column, key, ktype) in report.spec.items():
+        table = report.dims[name]
+        table.append(M.dim_load(rep, table.read(), column, key, ktype))
+    report.fact.append(M.report_fact(rep, {n: t.read() for n, t in report.dims.items()},
+                                     report.spec))
+    return report
+
+
 def run_report_year(vault: Vault, mdm: DataFrame, report: Report, year: int) -> Report:
     rep = cut(M.payment_report(vault.link_user_account_billing_pay.read(),
                                vault.hub_billing_period.read(), vault.sat_pay_details.read(),
                                vault.hub_user.read(), mdm, year))
-    for name, (column, key, ktype) in M.DIMS.items():
-        table = report.dims[name]
-        table.append(M.dim_load(rep, table.read(), column, key, ktype))
-    report.fact.append(M.report_fact(rep, {n: t.read() for n, t in report.dims.items()}))
-    return report
+    return load_star(rep, report)
 
 
-# ---------------------------------------------------------------- E4
+# ---------------------------------------------------------------- E2 + E3
 
 def run_combined_year(ods: DataFrame, mdm: DataFrame, state: tuple[Vault, Report],
                       year: int) -> tuple[Vault, Report]:
     vault, report = state
     vault = run_vault_year(ods, vault, year)
     return vault, run_report_year(vault, mdm, report, year)
+
+
+# ---------------------------------------------------------------- E4
+
+@dataclass
+class SecondVault:
+    ods_payment: ScratchTable
+    hub_user: ScratchTable
+    hub_account: ScratchTable
+    hub_payment: ScratchTable
+    hub_billing_period: ScratchTable
+    t_link_payment: ScratchTable
+    sat_user_details: ScratchTable
+    sat_payment_doc_type: ScratchTable
+    sat_user_as_client: ScratchTable
+    report: Report
+
+    @classmethod
+    def empty(cls, spark: SparkSession) -> "SecondVault":
+        tables = {name: ScratchTable(spark, name, S.REGISTRY[name])
+                  for name in cls.__dataclass_fields__ if name != "report"}
+        return cls(**tables, report=Report.empty(spark, M.DIMS_B))
+
+
+def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year: int) -> SecondVault:
+    """One run of the combined DAG.  Its load views take no year: every run
+    loads the whole (reloaded) ODS with the run's LOAD_DATE."""
+    load_date = f"{year:04d}-01-01 00:00:00"
+    # slice reload in one step: a new ODS version replaces the one being read
+    v.ods_payment = ScratchTable.of(O.ods_payment_reload(v.ods_payment.read(), stg, year),
+                                    "ods_payment")
+    stage = cut(V2.payment_stage_v2(v.ods_payment.read(), load_date), "stage_v2")
+    for name, pk, keys in [("hub_user", *V.HUBS["hub_user"]),
+                           ("hub_account", *V.HUBS["hub_account"]),
+                           ("hub_payment", "pay_pk", ["pay_doc_type_id", "pay_doc_num"]),
+                           ("hub_billing_period", *V.HUBS["hub_billing_period"])]:
+        table = getattr(v, name)
+        table.append(V.hub_load(stage, table.read(), pk, keys))
+    v.t_link_payment.append(V2.t_link_payment(stage, v.t_link_payment.read()))
+    v.sat_user_details.append(V.sat_load(stage, v.sat_user_details.read(),
+                                         *V.SATS["sat_user_details"]))
+    v.sat_payment_doc_type.append(V2.sat_payment_doc_type(stage, v.sat_payment_doc_type.read()))
+    v.sat_user_as_client.append(V2.sat_user_as_client(mdm, v.hub_user.read(),
+                                                      v.sat_user_as_client.read(), load_date))
+    rep = cut(M.payment_report_client(v.t_link_payment.read(), v.hub_billing_period.read(),
+                                      v.hub_user.read(), v.sat_user_as_client.read(), year))
+    load_star(rep, v.report)
+    return v
