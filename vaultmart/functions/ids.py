@@ -32,13 +32,16 @@ def _base(new_rows: DataFrame, existing: DataFrame | None, id_col: str) -> DataF
 
 
 def append_sequence_ids(new_rows: DataFrame, order: list[Column], existing: DataFrame | None,
-                        id_col: str = "id") -> DataFrame:
+                        id_col: str = "id", max_rows: int | None = None) -> DataFrame:
     """Give ``new_rows`` ids max(existing.id)+1, +2, ... in ``order``.
 
-    ``order`` holds sort Columns (e.g. ``F.col("k").asc_nulls_last()``).
+    ``order`` holds sort Columns (e.g. ``F.col("k").asc_nulls_last()``);
+    ``max_rows``: an optional proven bound on ``new_rows`` (saves the count).
     """
     cols = new_rows.columns
-    if new_rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+    small = (max_rows <= SMALL_ROWS if max_rows is not None
+             else new_rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS)
+    if small:
         # proven small: one ordered window; the base is a scalar subquery
         base = _base(new_rows, existing, id_col).scalar()
         ranked = new_rows.withColumn("_r", F.row_number().over(Window.orderBy(*order)))

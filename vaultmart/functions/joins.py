@@ -38,21 +38,31 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def is_small(df: DataFrame, known_rows: int | None = None) -> bool:
+    """Size check: against a proven upper bound on the rows when the caller
+    has one (no job), else by measuring."""
+    if known_rows is not None:
+        return known_rows <= broadcast_limit(df)
+    return fits_broadcast(df)
+
+
+def checked_broadcast(df: DataFrame, known_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` if it passes the size check, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if is_small(df, known_rows) else df
 
 
 def anti_join_existing(batch: DataFrame, target: DataFrame, keys: list[str],
-                       batch_is_small: bool | None = None) -> DataFrame:
+                       target_rows: int | None = None,
+                       batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` whose ``keys`` are not in ``target`` (NULL keys never
-    match, so they are kept, like LEFT JOIN ... WHERE t.key IS NULL)."""
+    match, so they are kept, like LEFT JOIN ... WHERE t.key IS NULL).
+
+    ``target_rows`` / ``batch_rows``: optional proven upper bounds on the sizes.
+    """
     target_keys = target.select(*keys)
-    if fits_broadcast(target_keys):
+    if is_small(target_keys, target_rows):
         return batch.join(F.broadcast(target_keys), keys, "left_anti")
-    if batch_is_small is None:
-        batch_is_small = fits_broadcast(batch.select(*keys))
-    if batch_is_small:
+    if is_small(batch.select(*keys), batch_rows):
         not_null = F.col(keys[0]).isNotNull()
         for k in keys[1:]:
             not_null = not_null & F.col(k).isNotNull()

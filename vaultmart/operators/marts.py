@@ -49,14 +49,15 @@ def _rollup(per_user: DataFrame, hub_user: DataFrame, attrs: DataFrame, how: str
 
 
 def payment_report(link: DataFrame, hub_bp: DataFrame, sat_pay: DataFrame,
-                   hub_user: DataFrame, mdm: DataFrame, year: int | None = None) -> DataFrame:
+                   hub_user: DataFrame, mdm: DataFrame, year: int | None = None,
+                   hub_bp_rows: int | None = None) -> DataFrame:
     """Q21: revenue by billing year, legal type, district, registration year, VIP.
 
     Variant A: payments from the link and its satellite (all versions, t12),
     client attributes from master data by ``user_key = id::text`` (left join).
     ``year=None`` gives every billing year (the union of the yearly reports).
     """
-    bp = checked_broadcast(_billing_years(hub_bp, year))
+    bp = checked_broadcast(_billing_years(hub_bp, year), hub_bp_rows)
     lk = link.select(LINK_PK, "user_pk", "billing_period_pk").join(bp, "billing_period_pk")
     pays = lk.join(sat_pay.select(LINK_PK, "sum"), LINK_PK)
     per_user = pays.groupBy("user_pk", "billing_year").agg(F.sum("sum").alias("_s"))
@@ -66,10 +67,11 @@ def payment_report(link: DataFrame, hub_bp: DataFrame, sat_pay: DataFrame,
 
 
 def payment_report_client(tlink: DataFrame, hub_bp: DataFrame, hub_user: DataFrame,
-                          sat_client: DataFrame, year: int | None = None) -> DataFrame:
+                          sat_client: DataFrame, year: int | None = None,
+                          hub_bp_rows: int | None = None) -> DataFrame:
     """Q22: the same measures from the second vault (transactional link, client
     satellite joined without a latest filter, as the reference does)."""
-    bp = checked_broadcast(_billing_years(hub_bp, year))
+    bp = checked_broadcast(_billing_years(hub_bp, year), hub_bp_rows)
     pays = tlink.select("user_pk", "billing_period_pk", "sum").join(bp, "billing_period_pk")
     per_user = pays.groupBy("user_pk", "billing_year").agg(F.sum("sum").alias("_s"))
     users = per_user.join(hub_user.select("user_pk"), "user_pk")
@@ -98,14 +100,16 @@ def _empty_dim(report: DataFrame, key: str, key_type: str) -> DataFrame:
 
 
 def dim_load(report: DataFrame, dim: DataFrame | None, column: str, key: str,
-             key_type: str) -> DataFrame:
+             key_type: str, report_rows: int | None = None) -> DataFrame:
     """Rows to insert into a dimension from one report: new distinct values,
     ids continuing from the dimension's maximum, in key order (NULLs last).
-    A NULL value never matches, so it is inserted by every batch (t11)."""
+    A NULL value never matches, so it is inserted by every batch (t11).
+    ``report_rows``: optional bound on the report's rows (bounds the new values)."""
     dim = dim if dim is not None else _empty_dim(report, key, key_type)
     vals = report.select(F.col(column).cast(key_type).alias(key)).distinct()
     new = vals.join(dim.select(key), key, "left_anti")
-    return append_sequence_ids(new, [F.col(key).asc_nulls_last()], dim).select("id", key)
+    return append_sequence_ids(new, [F.col(key).asc_nulls_last()], dim,
+                               max_rows=report_rows).select("id", key)
 
 
 def dim_backfill(report_all: DataFrame, dim: DataFrame | None, column: str, key: str,
@@ -123,14 +127,17 @@ def dim_backfill(report_all: DataFrame, dim: DataFrame | None, column: str, key:
 
 
 def report_fact(report: DataFrame, dims: dict[str, DataFrame],
-                spec: dict[str, tuple[str, str, str]] = DIMS) -> DataFrame:
+                spec: dict[str, tuple[str, str, str]] = DIMS,
+                dim_rows: dict[str, int] | None = None) -> DataFrame:
     """Q27: the report with dimension ids; inner joins, so rows with a NULL
-    dimension value drop out (t11).  Dimensions are broadcast after a size check.
+    dimension value drop out (t11).  Dimensions are broadcast after a size check
+    (``dim_rows``: optional proven bounds per dimension).
     ``spec`` is ``DIMS`` (variant A) or ``DIMS_B``."""
     out = report
     ids = []
     for name, (column, key, key_type) in spec.items():
-        d = checked_broadcast(dims[name].select(F.col("id").alias(f"{column}_id"), key))
+        d = checked_broadcast(dims[name].select(F.col("id").alias(f"{column}_id"), key),
+                              (dim_rows or {}).get(name))
         out = out.join(d, F.col(column).cast(key_type) == F.col(key)).drop(key)
         ids.append(f"{column}_id")
     return out.select(*ids, "is_vip", "sum")

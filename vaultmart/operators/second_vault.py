@@ -47,25 +47,27 @@ def payment_stage_v2(ods: DataFrame, load_date: _dt.datetime | str) -> DataFrame
             .withColumn("pay_doc_type_id", hash_key("pay_doc_type")))
 
 
-def hub_payment(stage: DataFrame, hub: DataFrame) -> DataFrame:
+def hub_payment(stage: DataFrame, hub: DataFrame, **bounds) -> DataFrame:
     """Q14."""
-    return V.hub_load(stage, hub, "pay_pk", ["pay_doc_type_id", "pay_doc_num"])
+    return V.hub_load(stage, hub, "pay_pk", ["pay_doc_type_id", "pay_doc_num"], **bounds)
 
 
-def t_link_payment(stage: DataFrame, tlink: DataFrame) -> DataFrame:
+def t_link_payment(stage: DataFrame, tlink: DataFrame, **bounds) -> DataFrame:
     """Q16."""
-    return V.link_load(stage, tlink, "pay_pk", T_LINK_COLS)
+    return V.link_load(stage, tlink, "pay_pk", T_LINK_COLS, **bounds)
 
 
-def sat_payment_doc_type(stage: DataFrame, sat: DataFrame) -> DataFrame:
+def sat_payment_doc_type(stage: DataFrame, sat: DataFrame, sat_rows: int | None = None,
+                         batch_rows: int | None = None) -> DataFrame:
     """Q19."""
     rows = stage.select(hash_key("pay_doc_type").alias("pk_id"), "pay_doc_type").distinct()
-    return anti_join_existing(rows, sat, ["pk_id"]).select("pk_id", "pay_doc_type")
+    return anti_join_existing(rows, sat, ["pk_id"], sat_rows, batch_rows).select(
+        "pk_id", "pay_doc_type")
 
 
 def sat_user_as_client(mdm: DataFrame, hub_user: DataFrame, sat: DataFrame,
                        load_date: _dt.datetime | str,
-                       record_source: str = MDM_RECORD_SOURCE) -> DataFrame:
+                       record_source: str = MDM_RECORD_SOURCE, **bounds) -> DataFrame:
     """Q20: new client-attribute versions for users present in hub_user."""
     src = (mdm.select(hash_key("id").alias("user_pk"), *CLIENT_ATTRS)
            .join(hub_user.select("user_pk"), "user_pk", "left_semi")
@@ -73,5 +75,5 @@ def sat_user_as_client(mdm: DataFrame, hub_user: DataFrame, sat: DataFrame,
            .withColumn("record_source", F.lit(record_source))
            .withColumn("_hd", hashdiff(*CLIENT_ATTRS)))
     existing = sat.withColumn("_hd", hashdiff(*CLIENT_ATTRS))
-    return V.sat_load(src, existing, "user_pk", "_hd", SAT_CLIENT_COLS + ["_hd"]).select(
-        *SAT_CLIENT_COLS)
+    return V.sat_load(src, existing, "user_pk", "_hd", SAT_CLIENT_COLS + ["_hd"],
+                      **bounds).select(*SAT_CLIENT_COLS)

@@ -116,10 +116,12 @@ def _first_per_key(stage: DataFrame, pk: str, keys: list[str], per_batch_null: b
                         "_f.record_source")
 
 
-def hub_load(stage: DataFrame, hub: DataFrame, pk: str, keys: list[str]) -> DataFrame:
-    """Rows to insert into a hub from one batch (row_number()=1, then anti-join)."""
+def hub_load(stage: DataFrame, hub: DataFrame, pk: str, keys: list[str],
+             hub_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
+    """Rows to insert into a hub from one batch (row_number()=1, then anti-join).
+    ``hub_rows`` / ``batch_rows``: optional size bounds (see functions.joins)."""
     first = _first_per_key(stage, pk, keys, per_batch_null=False)
-    return anti_join_existing(first, hub, [pk]).select(pk, *keys, *AUDIT)
+    return anti_join_existing(first, hub, [pk], hub_rows, batch_rows).select(pk, *keys, *AUDIT)
 
 
 def hub_backfill(stage_all: DataFrame, hub: DataFrame, pk: str, keys: list[str]) -> DataFrame:
@@ -158,10 +160,11 @@ LINK_PK = "user_account_billing_pay_pk"
 LINK_COLS = [LINK_PK, "user_pk", "account_pk", "billing_period_pk", "pay_doc_pk", *AUDIT]
 
 
-def link_load(stage: DataFrame, link: DataFrame, pk: str, cols: list[str]) -> DataFrame:
+def link_load(stage: DataFrame, link: DataFrame, pk: str, cols: list[str],
+              link_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
     """Distinct batch rows (``cols``, including the audit columns) with a new key."""
     rows = stage.select(*cols).distinct()
-    return anti_join_existing(rows, link, [pk]).select(*cols)
+    return anti_join_existing(rows, link, [pk], link_rows, batch_rows).select(*cols)
 
 
 def link_backfill(stage_all: DataFrame, link: DataFrame, pk: str, cols: list[str]) -> DataFrame:

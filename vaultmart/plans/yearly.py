@@ -57,6 +57,10 @@ def run_lake_backfill(stg: dict[str, DataFrame], lake_root: str) -> None:
 
 
 # ---------------------------------------------------------------- E2
+#
+# Size bounds: every loader inserts at most as many rows as its batch has, so
+# a fold knows an upper bound on each table without counting it.  ``bounds``
+# carries them; each year counts only its materialised batch (a metadata read).
 
 @dataclass
 class Vault:
@@ -67,23 +71,31 @@ class Vault:
     link_user_account_billing_pay: ScratchTable
     sat_user_details: ScratchTable
     sat_pay_details: ScratchTable
+    bounds: dict = field(default_factory=dict)
 
     @classmethod
     def empty(cls, spark: SparkSession) -> "Vault":
-        return cls(**{name: ScratchTable(spark, name, S.REGISTRY[name])
-                      for name in cls.__dataclass_fields__})
+        names = [n for n in cls.__dataclass_fields__ if n != "bounds"]
+        return cls(**{name: ScratchTable(spark, name, S.REGISTRY[name]) for name in names},
+                   bounds={name: 0 for name in names})
 
 
 def run_vault_year(ods: DataFrame, vault: Vault, year: int) -> Vault:
-    stage = cut(V.payment_stage(ods, year))        # read by 7 loaders
+    stage = cut(V.payment_stage(ods, year), "stage")        # read by 7 loaders
+    n = stage.count()
+    b = vault.bounds
     for name, (pk, keys) in V.HUBS.items():
         table = getattr(vault, name)
-        table.append(V.hub_load(stage, table.read(), pk, keys))
+        table.append(V.hub_load(stage, table.read(), pk, keys, b[name], n))
+    name = "link_user_account_billing_pay"
     vault.link_user_account_billing_pay.append(
-        V.link_load(stage, vault.link_user_account_billing_pay.read(), V.LINK_PK, V.LINK_COLS))
+        V.link_load(stage, vault.link_user_account_billing_pay.read(), V.LINK_PK, V.LINK_COLS,
+                    b[name], n))
     for name, (pk, hd, cols) in V.SATS.items():
         table = getattr(vault, name)
-        table.append(V.sat_load(stage, table.read(), pk, hd, cols))
+        table.append(V.sat_load(stage, table.read(), pk, hd, cols, b[name], n))
+    for name in b:
+        b[name] += n
     return vault
 
 
@@ -94,13 +106,15 @@ class Report:
     dims: dict[str, ScratchTable] = field(default_factory=dict)
     fact: ScratchTable | None = None
     spec: dict = field(default_factory=lambda: M.DIMS)
+    bounds: dict = field(default_factory=dict)
 
     @classmethod
     def empty(cls, spark: SparkSession, spec: dict | None = None) -> "Report":
         spec = spec or M.DIMS
         dims = {name: ScratchTable(spark, name, S.dim_schema(key, _spark_type(ktype)))
                 for name, (_, key, ktype) in spec.items()}
-        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT), spec=spec)
+        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT), spec=spec,
+                   bounds={name: 0 for name in spec})
 
 
 def _spark_type(name: str):
@@ -109,18 +123,21 @@ def _spark_type(name: str):
 
 def load_star(rep: DataFrame, report: Report) -> Report:
     """Dimensions, then the fact, from one year's (materialised) report."""
+    n = rep.count()
     for name, (column, key, ktype) in report.spec.items():
         table = report.dims[name]
-        table.append(M.dim_load(rep, table.read(), column, key, ktype))
-    report.fact.append(M.report_fact(rep, {n: t.read() for n, t in report.dims.items()},
-                                     report.spec))
+        table.append(M.dim_load(rep, table.read(), column, key, ktype, report_rows=n))
+        report.bounds[name] += n
+    report.fact.append(M.report_fact(rep, {k: t.read() for k, t in report.dims.items()},
+                                     report.spec, dim_rows=report.bounds))
     return report
 
 
 def run_report_year(vault: Vault, mdm: DataFrame, report: Report, year: int) -> Report:
     rep = cut(M.payment_report(vault.link_user_account_billing_pay.read(),
                                vault.hub_billing_period.read(), vault.sat_pay_details.read(),
-                               vault.hub_user.read(), mdm, year))
+                               vault.hub_user.read(), mdm, year,
+                               hub_bp_rows=vault.bounds["hub_billing_period"]), "report")
     return load_star(rep, report)
 
 
@@ -147,12 +164,14 @@ class SecondVault:
     sat_payment_doc_type: ScratchTable
     sat_user_as_client: ScratchTable
     report: Report
+    bounds: dict = field(default_factory=dict)
 
     @classmethod
     def empty(cls, spark: SparkSession) -> "SecondVault":
-        tables = {name: ScratchTable(spark, name, S.REGISTRY[name])
-                  for name in cls.__dataclass_fields__ if name != "report"}
-        return cls(**tables, report=Report.empty(spark, M.DIMS_B))
+        names = [n for n in cls.__dataclass_fields__ if n not in ("report", "bounds")]
+        tables = {name: ScratchTable(spark, name, S.REGISTRY[name]) for name in names}
+        return cls(**tables, report=Report.empty(spark, M.DIMS_B),
+                   bounds={name: 0 for name in names})
 
 
 def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year: int) -> SecondVault:
@@ -163,19 +182,31 @@ def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year:
     v.ods_payment = ScratchTable.of(O.ods_payment_reload(v.ods_payment.read(), stg, year),
                                     "ods_payment")
     stage = cut(V2.payment_stage_v2(v.ods_payment.read(), load_date), "stage_v2")
+    n = stage.count()
+    b = v.bounds
+    if "_mdm" not in b:
+        b["_mdm"] = mdm.count()
     for name, pk, keys in [("hub_user", *V.HUBS["hub_user"]),
                            ("hub_account", *V.HUBS["hub_account"]),
                            ("hub_payment", "pay_pk", ["pay_doc_type_id", "pay_doc_num"]),
                            ("hub_billing_period", *V.HUBS["hub_billing_period"])]:
         table = getattr(v, name)
-        table.append(V.hub_load(stage, table.read(), pk, keys))
-    v.t_link_payment.append(V2.t_link_payment(stage, v.t_link_payment.read()))
+        table.append(V.hub_load(stage, table.read(), pk, keys, b[name], n))
+    v.t_link_payment.append(V2.t_link_payment(stage, v.t_link_payment.read(),
+                                              link_rows=b["t_link_payment"], batch_rows=n))
     v.sat_user_details.append(V.sat_load(stage, v.sat_user_details.read(),
-                                         *V.SATS["sat_user_details"]))
-    v.sat_payment_doc_type.append(V2.sat_payment_doc_type(stage, v.sat_payment_doc_type.read()))
-    v.sat_user_as_client.append(V2.sat_user_as_client(mdm, v.hub_user.read(),
-                                                      v.sat_user_as_client.read(), load_date))
+                                         *V.SATS["sat_user_details"], b["sat_user_details"], n))
+    v.sat_payment_doc_type.append(V2.sat_payment_doc_type(
+        stage, v.sat_payment_doc_type.read(), b["sat_payment_doc_type"], n))
+    v.sat_user_as_client.append(V2.sat_user_as_client(
+        mdm, v.hub_user.read(), v.sat_user_as_client.read(), load_date,
+        sat_rows=b["sat_user_as_client"], batch_rows=b["_mdm"]))
+    for name in b:
+        if name not in ("_mdm", "sat_user_as_client"):
+            b[name] += n
+    b["sat_user_as_client"] += b["_mdm"]
     rep = cut(M.payment_report_client(v.t_link_payment.read(), v.hub_billing_period.read(),
-                                      v.hub_user.read(), v.sat_user_as_client.read(), year))
+                                      v.hub_user.read(), v.sat_user_as_client.read(), year,
+                                      hub_bp_rows=b["hub_billing_period"]), "report_v2")
     load_star(rep, v.report)
     return v
