@@ -113,17 +113,19 @@ def dim_load(report: DataFrame, dim: DataFrame | None, column: str, key: str,
 
 
 def dim_backfill(report_all: DataFrame, dim: DataFrame | None, column: str, key: str,
-                 key_type: str, batch_col: str = "billing_year") -> DataFrame:
+                 key_type: str, batch_col: str = "billing_year",
+                 report_rows: int | None = None) -> DataFrame:
     """Rows the yearly dimension loads insert over every billing year, in one
     pass: a value enters in the first year it appears, NULL once per year;
-    ids run in (year, key) order, continuing from the dimension's maximum."""
+    ids run in (year, key) order, continuing from the dimension's maximum.
+    ``report_rows``: optional bound on the report's rows (bounds the new values)."""
     dim = dim if dim is not None else _empty_dim(report_all, key, key_type)
     vals = report_all.select(F.col(column).cast(key_type).alias(key), batch_col)
     first = (vals.groupBy(F.col(key), F.when(F.col(key).isNull(), F.col(batch_col)).alias("_nb"))
              .agg(F.min(batch_col).alias("_batch")))
     new = first.join(dim.select(key), key, "left_anti").select(key, "_batch")
     order = [F.col("_batch").asc(), F.col(key).asc_nulls_last()]
-    return append_sequence_ids(new, order, dim).select("id", key)
+    return append_sequence_ids(new, order, dim, max_rows=report_rows).select("id", key)
 
 
 def report_fact(report: DataFrame, dims: dict[str, DataFrame],

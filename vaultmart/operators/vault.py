@@ -124,10 +124,11 @@ def hub_load(stage: DataFrame, hub: DataFrame, pk: str, keys: list[str],
     return anti_join_existing(first, hub, [pk], hub_rows, batch_rows).select(pk, *keys, *AUDIT)
 
 
-def hub_backfill(stage_all: DataFrame, hub: DataFrame, pk: str, keys: list[str]) -> DataFrame:
+def hub_backfill(stage_all: DataFrame, hub: DataFrame, pk: str, keys: list[str],
+                 hub_rows: int | None = None) -> DataFrame:
     """Rows that loading every batch of ``stage_all`` in load-date order inserts."""
     first = _first_per_key(stage_all, pk, keys, per_batch_null=True)
-    return anti_join_existing(first, hub, [pk]).select(pk, *keys, *AUDIT)
+    return anti_join_existing(first, hub, [pk], hub_rows).select(pk, *keys, *AUDIT)
 
 
 HUBS = {
@@ -167,7 +168,8 @@ def link_load(stage: DataFrame, link: DataFrame, pk: str, cols: list[str],
     return anti_join_existing(rows, link, [pk], link_rows, batch_rows).select(*cols)
 
 
-def link_backfill(stage_all: DataFrame, link: DataFrame, pk: str, cols: list[str]) -> DataFrame:
+def link_backfill(stage_all: DataFrame, link: DataFrame, pk: str, cols: list[str],
+                  link_rows: int | None = None) -> DataFrame:
     """All batches at once: a key's rows of its first batch; NULL keys every batch.
 
     After the distinct, a key holds at most one row per batch, so the window
@@ -178,7 +180,7 @@ def link_backfill(stage_all: DataFrame, link: DataFrame, pk: str, cols: list[str
     rows = (rows.withColumn("_first", first)
             .where(F.col(pk).isNull() | (F.col("load_date") == F.col("_first")))
             .drop("_first"))
-    return anti_join_existing(rows, link, [pk]).select(*cols)
+    return anti_join_existing(rows, link, [pk], link_rows).select(*cols)
 
 
 def link_user_account_billing_pay(stage: DataFrame, link: DataFrame) -> DataFrame:

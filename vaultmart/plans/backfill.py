@@ -66,9 +66,10 @@ class StagedBatches:
         return self.table.read().where(F.col("_batch") == F.lit(year)).drop("_batch")
 
 
-def sat_backfill(staged: StagedBatches, sat: DataFrame, pk: str, hd: str, cols: list[str],
-                 name: str = "sat") -> DataFrame:
-    """The satellite after loading every year of ``staged`` in order.
+def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
+                 cols: list[str], name: str = "sat") -> DataFrame:
+    """The satellite after loading every year of ``staged`` in order
+    (``sat=None``: starting from an empty satellite).
 
     Exact split by key:
     * a key seen in only one batch (and every NULL key, which never matches)
@@ -79,8 +80,12 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame, pk: str, hd: str, cols:
       batch (a load inserts at most its batch's rows), so the join choice
       needs no measuring inside the loop.
     """
-    table = ScratchTable.of(sat.select(*cols), name)
-    start_rows = table.read().count()
+    if sat is None:    # a new satellite: nothing to write or count
+        schema = staged.all().select(*cols).schema
+        table, start_rows = ScratchTable(staged.table.spark, name, schema), 0
+    else:
+        table = ScratchTable.of(sat.select(*cols), name)
+        start_rows = table.read().count()
     stage = staged.all()
     spans = (stage.where(F.col(pk).isNotNull()).groupBy(pk)
              .agg(F.min("load_date").alias("_first"), F.max("load_date").alias("_last")))

@@ -98,21 +98,23 @@ def q09(spark, sf_dir):
 def _hub(name):
     def run(spark, sf_dir):
         pk, keys = V.HUBS[name]
-        return V.hub_backfill(_stage_all(spark, sf_dir), _empty(spark, name), pk, keys)
+        return V.hub_backfill(_stage_all(spark, sf_dir), _empty(spark, name), pk, keys,
+                              hub_rows=0)
     run.__name__ = name
     return run
 
 
 def q15(spark, sf_dir):
     return V.link_backfill(_stage_all(spark, sf_dir),
-                           _empty(spark, "link_user_account_billing_pay"), V.LINK_PK, V.LINK_COLS)
+                           _empty(spark, "link_user_account_billing_pay"), V.LINK_PK, V.LINK_COLS,
+                           link_rows=0)
 
 
 def _sat(name):
     def run(spark, sf_dir):
         pk, hd, cols = V.SATS[name]
         staged = B.StagedBatches(_stage_all(spark, sf_dir))
-        return B.sat_backfill(staged, _empty(spark, name), pk, hd, cols, name)
+        return B.sat_backfill(staged, None, pk, hd, cols, name)
     run.__name__ = name
     return run
 
@@ -123,13 +125,12 @@ def _vault_all(spark, sf_dir) -> dict[str, DataFrame]:
     """The first vault after loading every year, built set-based where exact."""
     staged = B.StagedBatches(_stage_all(spark, sf_dir))
     stage = staged.all()
-    out = {name: V.hub_backfill(stage, _empty(spark, name), pk, keys)
+    out = {name: V.hub_backfill(stage, _empty(spark, name), pk, keys, hub_rows=0)
            for name, (pk, keys) in V.HUBS.items() if name in ("hub_user", "hub_billing_period")}
     out["link"] = V.link_backfill(stage, _empty(spark, "link_user_account_billing_pay"),
-                                  V.LINK_PK, V.LINK_COLS)
+                                  V.LINK_PK, V.LINK_COLS, link_rows=0)
     pk, hd, cols = V.SATS["sat_pay_details"]
-    out["sat_pay_details"] = B.sat_backfill(staged, _empty(spark, "sat_pay_details"), pk, hd,
-                                            cols, "sat_pay_details")
+    out["sat_pay_details"] = B.sat_backfill(staged, None, pk, hd, cols, "sat_pay_details")
     return out
 
 
@@ -139,23 +140,27 @@ def q21(spark, sf_dir):
                             v["hub_user"], _raw(spark, sf_dir, "mdm_user"))
 
 
-def _report_all(spark, sf_dir) -> DataFrame:
-    return cut(q21(spark, sf_dir))
+def _report_all(spark, sf_dir) -> tuple[DataFrame, int]:
+    """The report over every billing year, materialised, with its row count
+    (a bound on every dimension built from it)."""
+    report = cut(q21(spark, sf_dir), "report")
+    return report, report.count()
 
 
 def _dim(name):
     def run(spark, sf_dir):
         column, key, ktype = M.DIMS[name]
-        return M.dim_backfill(_report_all(spark, sf_dir), None, column, key, ktype)
+        report, n = _report_all(spark, sf_dir)
+        return M.dim_backfill(report, None, column, key, ktype, report_rows=n)
     run.__name__ = name
     return run
 
 
 def q27(spark, sf_dir):
-    report = _report_all(spark, sf_dir)
-    dims = {name: M.dim_backfill(report, None, column, key, ktype)
+    report, n = _report_all(spark, sf_dir)
+    dims = {name: M.dim_backfill(report, None, column, key, ktype, report_rows=n)
             for name, (column, key, ktype) in M.DIMS.items()}
-    return M.report_fact(report, dims)
+    return M.report_fact(report, dims, dim_rows={name: n for name in dims})
 
 
 def q28(spark, sf_dir):
@@ -188,20 +193,23 @@ def _stage_v2(spark, sf_dir):
 
 
 def q14(spark, sf_dir):
-    return V2.hub_payment(_stage_v2(spark, sf_dir), _empty(spark, "hub_payment"))
+    return V2.hub_payment(_stage_v2(spark, sf_dir), _empty(spark, "hub_payment"), hub_rows=0)
 
 
 def q16(spark, sf_dir):
-    return V2.t_link_payment(_stage_v2(spark, sf_dir), _empty(spark, "t_link_payment"))
+    return V2.t_link_payment(_stage_v2(spark, sf_dir), _empty(spark, "t_link_payment"),
+                             link_rows=0)
 
 
 def q19(spark, sf_dir):
-    return V2.sat_payment_doc_type(_stage_v2(spark, sf_dir), _empty(spark, "sat_payment_doc_type"))
+    return V2.sat_payment_doc_type(_stage_v2(spark, sf_dir), _empty(spark, "sat_payment_doc_type"),
+                                   sat_rows=0)
 
 
 def _v2_hubs(spark, stage):
-    hu = V.hub_load(stage, _empty(spark, "hub_user"), *V.HUBS["hub_user"])
-    hbp = V.hub_load(stage, _empty(spark, "hub_billing_period"), *V.HUBS["hub_billing_period"])
+    hu = V.hub_load(stage, _empty(spark, "hub_user"), *V.HUBS["hub_user"], hub_rows=0)
+    hbp = V.hub_load(stage, _empty(spark, "hub_billing_period"), *V.HUBS["hub_billing_period"],
+                     hub_rows=0)
     return hu, hbp
 
 
@@ -209,15 +217,15 @@ def q20(spark, sf_dir):
     stage = _stage_v2(spark, sf_dir)
     hu, _ = _v2_hubs(spark, stage)
     return V2.sat_user_as_client(_raw(spark, sf_dir, "mdm_user"), hu,
-                                 _empty(spark, "sat_user_as_client"), V2_LOAD_DATE)
+                                 _empty(spark, "sat_user_as_client"), V2_LOAD_DATE, sat_rows=0)
 
 
 def q22(spark, sf_dir):
     stage = cut(_stage_v2(spark, sf_dir))
     hu, hbp = _v2_hubs(spark, stage)
-    tlink = V2.t_link_payment(stage, _empty(spark, "t_link_payment"))
+    tlink = V2.t_link_payment(stage, _empty(spark, "t_link_payment"), link_rows=0)
     client = V2.sat_user_as_client(_raw(spark, sf_dir, "mdm_user"), hu,
-                                   _empty(spark, "sat_user_as_client"), V2_LOAD_DATE)
+                                   _empty(spark, "sat_user_as_client"), V2_LOAD_DATE, sat_rows=0)
     return M.payment_report_client(tlink, hbp, hu, client)
 
 
