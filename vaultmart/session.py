@@ -42,9 +42,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
+        # a single machine: a local folder is shared by all its executors
         base = os.environ.get("VAULTMART_LOCAL_CHECKPOINT_BASE", tempfile.gettempdir())
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="vaultmart-ckpt-", dir=base))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(a machine-local folder does not survive a lost executor)")
     return sc.getCheckpointDir()
 
 
