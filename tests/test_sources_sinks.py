@@ -74,3 +74,26 @@ def test_fixture_raw_counts(spark):
     assert pay.where(F.col("phone") == "").count() == 137
     mdm = fixtures.raw(spark, SF_SMALL, "mdm_user")
     assert mdm.count() == 145 and mdm.where(F.col("legal_type").isNull()).count() == 5
+
+
+def test_lake_backfill_equals_yearly_runs(spark, tmp_dir):
+    stg = {n: fixtures.raw(spark, SF_SMALL, n)
+           for n in ("stg_billing", "stg_issue", "stg_payment", "stg_traffic")}
+    Y.run_lake_backfill(stg, tmp_dir + "/all")
+    for year in (2024, 2025, 2026):
+        Y.run_lake_year(stg, tmp_dir + "/yearly", year)
+    for table in ("ods_traffic", "dm_bytes_received"):
+        once = scan(spark, table, f"{tmp_dir}/all/{table}")
+        yearly = scan(spark, table, f"{tmp_dir}/yearly/{table}")
+        assert rows(once) == rows(yearly), table
+    counts = {r["year"]: r["count"] for r in
+              scan(spark, "ods_traffic", tmp_dir + "/all/ods_traffic").groupBy("year").count().collect()}
+    assert counts == {"2024": 345, "2025": 333, "2026": 322}   # FIXTURES.md
+
+
+def test_glob_scan_of_several_directories(spark, tmp_dir):
+    stg = fixtures.raw(spark, SF_SMALL, "stg_payment")
+    stg.where("pay_date < '1998'").write.parquet(tmp_dir + "/payment/a")
+    stg.where("pay_date >= '1998'").write.parquet(tmp_dir + "/payment/b")
+    df = scan(spark, "stg_payment", tmp_dir + "/payment/*/")
+    assert df.count() == 1500 and df.schema == fixtures.S.STG_PAYMENT
