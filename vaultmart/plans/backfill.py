@@ -17,8 +17,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultmart.functions.joins import broadcast_limit
 from vaultmart.functions.lineage import ScratchTable, cut
@@ -52,8 +53,18 @@ class StagedBatches:
     def __init__(self, stage_all: DataFrame, name: str = "stage"):
         self.table = ScratchTable.of(stage_all.withColumn("_batch", F.year("load_date")),
                                      name, partition_by=["_batch"])
-        counts = self.table.read().groupBy("_batch").count().collect()
-        self.sizes = {r["_batch"]: r["count"] for r in counts if r["_batch"] is not None}
+        stats = (self.table.read().groupBy("_batch")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("load_date").alias("lo"),
+                      F.max("load_date").alias("hi")).collect())
+        stats = [r for r in stats if r["_batch"] is not None]
+        self.sizes = {r["_batch"]: r["n"] for r in stats}
+        self.load_dates = {r["_batch"]: (r["lo"], r["hi"]) for r in stats}
+
+    def increasing_load_dates(self) -> bool:
+        """One load date per batch, rising from batch to batch."""
+        spans = [self.load_dates[y] for y in self.years]
+        return (all(lo == hi for lo, hi in spans)
+                and all(a[1] < b[0] for a, b in zip(spans, spans[1:])))
 
     @property
     def years(self) -> list[int]:
@@ -66,6 +77,15 @@ class StagedBatches:
         return self.table.read().where(F.col("_batch") == F.lit(year)).drop("_batch")
 
 
+def _newest_versions(sat: DataFrame, pk: str, hd: str) -> DataFrame:
+    """(pk, hashdiff, load_date) of each key's versions at its newest load date."""
+    per_hd = (sat.where(F.col(pk).isNotNull()).groupBy(pk, hd)
+              .agg(F.max("load_date").alias("load_date")))
+    newest = F.max("load_date").over(Window.partitionBy(pk))
+    return (per_hd.withColumn("_newest", newest)
+            .where(F.col("load_date") == F.col("_newest")).select(pk, hd, "load_date"))
+
+
 def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
                  cols: list[str], name: str = "sat") -> DataFrame:
     """The satellite after loading every year of ``staged`` in order
@@ -75,17 +95,24 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
     * a key seen in only one batch (and every NULL key, which never matches)
       cannot depend on the other years' loads: its latest versions come from
       the existing satellite alone.  All such keys load in one set-based pass.
-    * keys seen in several batches are folded year by year, one job per year.
-      The satellite's size is bounded by its initial size plus every earlier
-      batch (a load inserts at most its batch's rows), so the join choice
-      needs no measuring inside the loop.
+    * keys seen in several batches are folded year by year.
+
+    The fold carries a compact state - each key's versions at its newest load
+    date - instead of rescanning the whole history every year, when that is
+    exact: every batch has one load date, later than every earlier batch's and
+    than anything already in the satellite, so the load-date guard never
+    excludes a version and "latest" is simply the newest versions.  Otherwise
+    it runs the general ``sat_load`` per year.  Size bounds (a load inserts at
+    most its batch's rows) pick the joins without counting inside the loop.
     """
+    spark = staged.table.spark
     if sat is None:    # a new satellite: nothing to write or count
         schema = staged.all().select(*cols).schema
-        table, start_rows = ScratchTable(staged.table.spark, name, schema), 0
+        table, start_rows, sat_max = ScratchTable(spark, name, schema), 0, None
     else:
         table = ScratchTable.of(sat.select(*cols), name)
-        start_rows = table.read().count()
+        agg = table.read().agg(F.count(F.lit(1)).alias("n"), F.max("load_date").alias("m")).first()
+        start_rows, sat_max = agg["n"], agg["m"]
     stage = staged.all()
     spans = (stage.where(F.col(pk).isNotNull()).groupBy(pk)
              .agg(F.min("load_date").alias("_first"), F.max("load_date").alias("_last")))
@@ -100,13 +127,35 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
     if n_multi == 0:
         return table.read()
 
-    def step(state: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
+    def batch_of(year: int) -> DataFrame:
+        return staged.batch(year).join(multi_side, pk, "left_semi").select(*cols)
+
+    first_ld = staged.load_dates[staged.years[0]][0]
+    if staged.increasing_load_dates() and (sat_max is None or sat_max < first_ld):
+        state = ScratchTable(spark, f"{name}-latest",
+                             T.StructType([table.schema[pk], table.schema[hd],
+                                           table.schema["load_date"]]))
+        if sat is not None:
+            state.append(_newest_versions(table.read().join(multi_side, pk, "left_semi"), pk, hd))
+
+        def step(st: ScratchTable, year: int) -> ScratchTable:
+            ins = cut(batch_of(year).distinct()
+                      .join(st.read().select(pk, hd), [pk, hd], "left_anti"), f"{name}-ins")
+            table.append(ins)
+            # keys with new versions take them as their newest; others keep theirs
+            kept = st.read().join(ins.select(pk).distinct(), pk, "left_anti")
+            return ScratchTable.of(kept.unionByName(ins.select(pk, hd, "load_date").distinct()),
+                                   f"{name}-latest")
+
+        backfill(staged.years, step, state)
+        return table.read()
+
+    def general_step(state: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
         tbl, bound = state
         batch_rows = staged.sizes[year]
-        batch = staged.batch(year).join(multi_side, pk, "left_semi")
-        tbl.append(V.sat_load(batch, tbl.read(), pk, hd, cols,
+        tbl.append(V.sat_load(batch_of(year), tbl.read(), pk, hd, cols,
                               sat_rows=bound, batch_rows=batch_rows))
         return tbl, bound + batch_rows
 
-    table, _ = backfill(staged.years, step, (table, start_rows + total))
+    backfill(staged.years, general_step, (table, start_rows + total))
     return table.read()
