@@ -138,17 +138,22 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
         if sat is not None:
             state.append(_newest_versions(table.read().join(multi_side, pk, "left_semi"), pk, hd))
 
+        pieces = [table.read()]
+
         def step(st: ScratchTable, year: int) -> ScratchTable:
             ins = cut(batch_of(year).distinct()
                       .join(st.read().select(pk, hd), [pk, hd], "left_anti"), f"{name}-ins")
-            table.append(ins)
+            pieces.append(ins)     # each year's inserts are already written once
             # keys with new versions take them as their newest; others keep theirs
             kept = st.read().join(ins.select(pk).distinct(), pk, "left_anti")
             return ScratchTable.of(kept.unionByName(ins.select(pk, hd, "load_date").distinct()),
                                    f"{name}-latest")
 
         backfill(staged.years, step, state)
-        return table.read()
+        out = pieces[0]
+        for piece in pieces[1:]:
+            out = out.unionByName(piece)
+        return out
 
     def general_step(state: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
         tbl, bound = state
