@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultmart.functions.lineage import ScratchTable, cut
+from vaultmart.functions.lineage import ScratchTable, cut, scratch_path
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -80,8 +80,11 @@ class Vault:
                    bounds={name: 0 for name in names})
 
 
-def run_vault_year(ods: DataFrame, vault: Vault, year: int) -> Vault:
-    stage = cut(V.payment_stage(ods, year), "stage")        # read by 7 loaders
+def run_vault_year(ods, vault: Vault, year: int) -> Vault:
+    """``ods``: the ODS DataFrame, or a function year -> DataFrame that reads only
+    that year's partition of a year-partitioned ODS (partition pruning)."""
+    ods_year = ods(year) if callable(ods) else ods
+    stage = cut(V.payment_stage(ods_year, year), "stage")   # read by 7 loaders
     n = stage.count()
     b = vault.bounds
     for name, (pk, keys) in V.HUBS.items():
@@ -143,7 +146,7 @@ def run_report_year(vault: Vault, mdm: DataFrame, report: Report, year: int) ->
 
 # ---------------------------------------------------------------- E2 + E3
 
-def run_combined_year(ods: DataFrame, mdm: DataFrame, state: tuple[Vault, Report],
+def run_combined_year(ods, mdm: DataFrame, state: tuple[Vault, Report],
                       year: int) -> tuple[Vault, Report]:
     vault, report = state
     vault = run_vault_year(ods, vault, year)
@@ -154,7 +157,7 @@ def run_combined_year(ods: DataFrame, mdm: DataFrame, state: tuple[Vault, Report
 
 @dataclass
 class SecondVault:
-    ods_payment: ScratchTable
+    ods_root: str
     hub_user: ScratchTable
     hub_account: ScratchTable
     hub_payment: ScratchTable
@@ -168,20 +171,21 @@ class SecondVault:
 
     @classmethod
     def empty(cls, spark: SparkSession) -> "SecondVault":
-        names = [n for n in cls.__dataclass_fields__ if n not in ("report", "bounds")]
+        names = [n for n in cls.__dataclass_fields__ if n not in ("ods_root", "report", "bounds")]
         tables = {name: ScratchTable(spark, name, S.REGISTRY[name]) for name in names}
-        return cls(**tables, report=Report.empty(spark, M.DIMS_B),
-                   bounds={name: 0 for name in names})
+        return cls(ods_root=scratch_path(spark, "ods_payment"), **tables,
+                   report=Report.empty(spark, M.DIMS_B), bounds={name: 0 for name in names})
 
 
 def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year: int) -> SecondVault:
     """One run of the combined DAG.  Its load views take no year: every run
     loads the whole (reloaded) ODS with the run's LOAD_DATE."""
     load_date = f"{year:04d}-01-01 00:00:00"
-    # slice reload in one step: a new ODS version replaces the one being read
-    v.ods_payment = ScratchTable.of(O.ods_payment_reload(v.ods_payment.read(), stg, year),
-                                    "ods_payment")
-    stage = cut(V2.payment_stage_v2(v.ods_payment.read(), load_date), "stage_v2")
+    # slice reload (DELETE the year, INSERT the year) as one partition overwrite:
+    # O(one year) written, other years and NULL-dated rows untouched
+    sinks.overwrite_partition(O.ods_payment(stg, year), v.ods_root, year, "ods_payment")
+    ods = scan(stg.sparkSession, "ods_payment", v.ods_root).drop("year")
+    stage = cut(V2.payment_stage_v2(ods, load_date), "stage_v2")
     n = stage.count()
     b = v.bounds
     if "_mdm" not in b:
