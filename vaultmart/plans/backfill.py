@@ -50,7 +50,11 @@ class StagedBatches:
     give every later size decision a proven bound without further jobs.
     """
 
-    def __init__(self, stage_all: DataFrame, name: str = "stage"):
+    def __init__(self, stage_all: DataFrame, name: str = "stage", cols: list[str] | None = None):
+        """``cols``: write only the columns the later loads read (column pruning
+        before materialising; ``load_date`` is always kept)."""
+        if cols is not None:
+            stage_all = stage_all.select(*dict.fromkeys([*cols, "load_date"]))
         self.table = ScratchTable.of(stage_all.withColumn("_batch", F.year("load_date")),
                                      name, partition_by=["_batch"])
         stats = (self.table.read().groupBy("_batch")

@@ -115,7 +115,7 @@ def q15(spark, sf_dir):
 def _sat(name):
     def run(spark, sf_dir):
         pk, hd, cols = V.SATS[name]
-        staged = B.StagedBatches(_stage_all(spark, sf_dir))
+        staged = B.StagedBatches(_stage_all(spark, sf_dir), cols=cols)
         return B.sat_backfill(staged, None, pk, hd, cols, name)
     run.__name__ = name
     return run
@@ -125,14 +125,15 @@ def _sat(name):
 
 def _vault_all(spark, sf_dir) -> dict[str, DataFrame]:
     """The first vault after loading every year, built set-based where exact."""
-    staged = B.StagedBatches(_stage_all(spark, sf_dir))
+    pk, hd, sat_cols = V.SATS["sat_pay_details"]
+    needed = [*V.LINK_COLS, *sat_cols, "user_key", "billing_period_key"]
+    staged = B.StagedBatches(_stage_all(spark, sf_dir), cols=needed)
     stage = staged.all()
     out = {name: V.hub_backfill(stage, _empty(spark, name), pk, keys, hub_rows=0)
            for name, (pk, keys) in V.HUBS.items() if name in ("hub_user", "hub_billing_period")}
     out["link"] = V.link_backfill(stage, _empty(spark, "link_user_account_billing_pay"),
                                   V.LINK_PK, V.LINK_COLS, link_rows=0)
-    pk, hd, cols = V.SATS["sat_pay_details"]
-    out["sat_pay_details"] = B.sat_backfill(staged, None, pk, hd, cols, "sat_pay_details")
+    out["sat_pay_details"] = B.sat_backfill(staged, None, pk, hd, sat_cols, "sat_pay_details")
     return out
 
 
