@@ -59,6 +59,8 @@ def anti_join_existing(batch: DataFrame, target: DataFrame, keys: list[str],
 
     ``target_rows`` / ``batch_rows``: optional proven upper bounds on the sizes.
     """
+    if target_rows == 0:          # proven empty: nothing to exclude
+        return batch
     target_keys = target.select(*keys)
     if is_small(target_keys, target_rows):
         return batch.join(F.broadcast(target_keys), keys, "left_anti")

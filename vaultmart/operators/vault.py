@@ -232,6 +232,8 @@ def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str]
     ``sat_rows`` / ``batch_rows``: optional size bounds, see ``latest_versions``.
     """
     source = stage.select(*cols)
+    if sat_rows == 0:             # proven empty satellite: every distinct row is new
+        return source.distinct()
     cut_off = (source.where(F.col(pk).isNotNull())
                .groupBy(pk).agg(F.max("load_date").alias("_cut")))
     latest = latest_versions(sat, cut_off, pk, hd, sat_rows, batch_rows)
