@@ -64,3 +64,31 @@ class ScratchTable:
         if not self.written:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
+
+
+class BucketedTable(ScratchTable):
+    """An append-only table bucketed (and sorted) by its hash key.
+
+    A vault table that grows for ever (hub, link, satellite) is joined by its
+    key on every load.  Stored bucketed, a sort-merge join against it shuffles
+    only the other side: the history itself never moves.  The table is
+    external, at a path under the checkpoint folder, and registered in the
+    session catalog (bucketing needs table metadata).
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: T.StructType, key: str,
+                 buckets: int, path: str | None = None):
+        super().__init__(spark, name, schema, None, path)
+        self.key, self.buckets = key, buckets
+        self.table_name = f"vaultmart_{name}_{uuid.uuid4().hex[:12]}"
+
+    def append(self, df: DataFrame) -> None:
+        (df.select(*self.schema.fieldNames()).write.mode("append").format("parquet")
+           .bucketBy(self.buckets, self.key).sortBy(self.key)
+           .option("path", self.path).saveAsTable(self.table_name))
+        self.written = True
+
+    def read(self) -> DataFrame:
+        if not self.written:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.table(self.table_name)

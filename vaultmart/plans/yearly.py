@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultmart.functions.lineage import ScratchTable, cut, scratch_path
+from vaultmart.functions.lineage import BucketedTable, ScratchTable, cut, scratch_path
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -74,10 +74,22 @@ class Vault:
     bounds: dict = field(default_factory=dict)
 
     @classmethod
-    def empty(cls, spark: SparkSession) -> "Vault":
+    def empty(cls, spark: SparkSession, buckets: int | None = None) -> "Vault":
+        """``buckets``: store every table bucketed by its hash key (for loads
+        where both the batch and the history are too big to broadcast)."""
         names = [n for n in cls.__dataclass_fields__ if n != "bounds"]
-        return cls(**{name: ScratchTable(spark, name, S.REGISTRY[name]) for name in names},
-                   bounds={name: 0 for name in names})
+
+        def table(name):
+            if buckets:
+                return BucketedTable(spark, name, S.REGISTRY[name], VAULT_KEYS[name], buckets)
+            return ScratchTable(spark, name, S.REGISTRY[name])
+
+        return cls(**{name: table(name) for name in names}, bounds={name: 0 for name in names})
+
+
+VAULT_KEYS = {**{name: pk for name, (pk, _) in V.HUBS.items()},
+              "link_user_account_billing_pay": V.LINK_PK,
+              **{name: pk for name, (pk, _, _) in V.SATS.items()}}
 
 
 def run_vault_year(ods, vault: Vault, year: int) -> Vault:
