@@ -143,17 +143,27 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
             state.append(_newest_versions(table.read().join(multi_side, pk, "left_semi"), pk, hd))
 
         pieces = [table.read()]
-
-        def step(st: ScratchTable, year: int) -> ScratchTable:
-            ins = cut(batch_of(year).distinct()
-                      .join(st.read().select(pk, hd), [pk, hd], "left_anti"), f"{name}-ins")
+        limit = broadcast_limit(multi)
+
+        def step(carry: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
+            st, state_rows = carry            # state_rows: bound on the state's rows
+            batch_rows = staged.sizes[year]   # bound on this year's inserts
+            latest = st.read().select(pk, hd)
+            if state_rows <= limit:
+                latest = F.broadcast(latest)
+            ins = cut(batch_of(year).distinct().join(latest, [pk, hd], "left_anti"),
+                      f"{name}-ins")
             pieces.append(ins)     # each year's inserts are already written once
             # keys with new versions take them as their newest; others keep theirs
-            kept = st.read().join(ins.select(pk).distinct(), pk, "left_anti")
-            return ScratchTable.of(kept.unionByName(ins.select(pk, hd, "load_date").distinct()),
-                                   f"{name}-latest")
-
-        backfill(staged.years, step, state)
+            new_keys = ins.select(pk).distinct()
+            if batch_rows <= limit:
+                new_keys = F.broadcast(new_keys)
+            kept = st.read().join(new_keys, pk, "left_anti")
+            nxt = ScratchTable.of(kept.unionByName(ins.select(pk, hd, "load_date").distinct()),
+                                  f"{name}-latest")
+            return nxt, state_rows + batch_rows
+
+        backfill(staged.years, step, (state, start_rows))
         out = pieces[0]
         for piece in pieces[1:]:
             out = out.unionByName(piece)
