@@ -11,8 +11,7 @@ Building blocks (SURVEY 2.8), each returning the rows to *insert*:
                versions; "latest" = versions with the newest load date at or
                before the batch's load date (ties all kept).  The fan-out join
                of the reference is replaced by one cut-off per key, and the
-               rank window over raw versions by a map-side-combined
-               aggregation per (key, hashdiff) plus a window over its output.
+               rank window by map-side-combined aggregations and a join.
 
 A NULL key never matches in an anti-join, so NULL-key rows are inserted once
 per batch, as in the reference (SURVEY t5).
@@ -214,14 +213,20 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
         cut_small = batch_rows <= limit if batch_rows is not None else fits_broadcast(cut_off)
         qual = versions.join(F.broadcast(cut_off) if cut_small else cut_off, pk)
     qual = qual.where(F.col("load_date") <= F.col("_cut"))
-    # newest qualifying load per (key, hashdiff): map-side combined, so a hot
-    # key's raw versions never meet in one task; the window below then sees
-    # one row per distinct hashdiff of a key, already partitioned by the key
-    per_hd = qual.groupBy(pk, hd).agg(F.max("load_date").alias("_hd_newest"))
-    newest = F.max("_hd_newest").over(Window.partitionBy(pk))
-    return (per_hd.withColumn("_newest", newest)
-            .where(F.col("_hd_newest") == F.col("_newest"))
-            .select(pk, hd))
+    return newest_per_key(qual, pk, hd).select(pk, hd)
+
+
+def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:
+    """(pk, hashdiff, load_date) of each key's versions at its newest load date.
+
+    Two map-side-combined aggregations and an equi-join, no window: a hot key
+    with many distinct versions never has to fit in one task (AQE splits the
+    skewed side of the join)."""
+    per_hd = versions.groupBy(pk, hd).agg(F.max("load_date").alias("load_date"))
+    newest = per_hd.groupBy(pk).agg(F.max("load_date").alias("_newest"))
+    return (per_hd.join(newest, pk)
+            .where(F.col("load_date") == F.col("_newest"))
+            .select(pk, hd, "load_date"))
 
 
 def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str],

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,15 +81,6 @@ class StagedBatches:
         return self.table.read().where(F.col("_batch") == F.lit(year)).drop("_batch")
 
 
-def _newest_versions(sat: DataFrame, pk: str, hd: str) -> DataFrame:
-    """(pk, hashdiff, load_date) of each key's versions at its newest load date."""
-    per_hd = (sat.where(F.col(pk).isNotNull()).groupBy(pk, hd)
-              .agg(F.max("load_date").alias("load_date")))
-    newest = F.max("load_date").over(Window.partitionBy(pk))
-    return (per_hd.withColumn("_newest", newest)
-            .where(F.col("load_date") == F.col("_newest")).select(pk, hd, "load_date"))
-
-
 def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
                  cols: list[str], name: str = "sat") -> DataFrame:
     """The satellite after loading every year of ``staged`` in order
@@ -140,7 +131,9 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
                              T.StructType([table.schema[pk], table.schema[hd],
                                            table.schema["load_date"]]))
         if sat is not None:
-            state.append(_newest_versions(table.read().join(multi_side, pk, "left_semi"), pk, hd))
+            state.append(V.newest_per_key(
+                table.read().where(F.col(pk).isNotNull()).join(multi_side, pk, "left_semi"),
+                pk, hd))
 
         pieces = [table.read()]
         limit = broadcast_limit(multi)
