@@ -180,7 +180,7 @@ def q28(spark, sf_dir):
     def ods_of(year: int) -> DataFrame:
         return scan_year(spark, "ods_payment", root, year).drop("year")
 
-    mdm = _raw(spark, sf_dir, "mdm_user")
+    mdm = cut(_raw(spark, sf_dir, "mdm_user"), "mdm_user")   # read by every yearly report
     state = (Y.Vault.empty(spark), Y.Report.empty(spark))
     _, report = B.backfill(years, lambda st, y: Y.run_combined_year(ods_of, mdm, st, y), state)
     return report.fact.read()
@@ -190,9 +190,9 @@ def q29(spark, sf_dir):
     """The combined DAG (E4) folded over every year: reload, second vault,
     report variant B, star; the fact table."""
     configure(spark)
-    stg = _raw(spark, sf_dir, "stg_payment")
-    mdm = _raw(spark, sf_dir, "mdm_user")
-    years = B.batch_years(V.payment_stage(_ods(spark, sf_dir)))
+    stg = cut(_raw(spark, sf_dir, "stg_payment"), "stg_payment")   # read by every reload
+    mdm = cut(_raw(spark, sf_dir, "mdm_user"), "mdm_user")
+    years = B.batch_years(V.payment_stage(O.ods_payment_copy(stg)))
     v2 = B.backfill(years, lambda st, y: Y.run_second_vault_year(stg, mdm, st, y),
                     Y.SecondVault.empty(spark))
     return v2.report.fact.read()
