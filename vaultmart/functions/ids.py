@@ -43,7 +43,7 @@ def append_sequence_ids(new_rows: DataFrame, order: list[Column], existing: Data
              else new_rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS)
     if small:
         # proven small: one ordered window; the base is a scalar subquery
-        base = _base(new_rows, existing, id_col).scalar()
+        base = F.lit(0) if existing is None else _base(new_rows, existing, id_col).scalar()
         ranked = new_rows.withColumn("_r", F.row_number().over(Window.orderBy(*order)))
         return ranked.select((base + F.col("_r")).cast("long").alias(id_col), *cols)
     return _distributed_ids(new_rows, order, existing, id_col)

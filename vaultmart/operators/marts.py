@@ -95,19 +95,15 @@ DIMS = {
 DIMS_B = {**DIMS, "dim_registration_year": ("registration_year", "registration_year_key", "int")}
 
 
-def _empty_dim(report: DataFrame, key: str, key_type: str) -> DataFrame:
-    return report.sparkSession.createDataFrame([], f"id bigint, {key} {key_type}")
-
-
 def dim_load(report: DataFrame, dim: DataFrame | None, column: str, key: str,
              key_type: str, report_rows: int | None = None) -> DataFrame:
     """Rows to insert into a dimension from one report: new distinct values,
-    ids continuing from the dimension's maximum, in key order (NULLs last).
-    A NULL value never matches, so it is inserted by every batch (t11).
+    ids continuing from the dimension's maximum, in key order (NULLs last;
+    ``dim=None``: a new dimension).  A NULL value never matches, so it is
+    inserted by every batch (t11).
     ``report_rows``: optional bound on the report's rows (bounds the new values)."""
-    dim = dim if dim is not None else _empty_dim(report, key, key_type)
     vals = report.select(F.col(column).cast(key_type).alias(key)).distinct()
-    new = vals.join(dim.select(key), key, "left_anti")
+    new = vals.join(dim.select(key), key, "left_anti") if dim is not None else vals
     return append_sequence_ids(new, [F.col(key).asc_nulls_last()], dim,
                                max_rows=report_rows).select("id", key)
 
@@ -119,11 +115,12 @@ def dim_backfill(report_all: DataFrame, dim: DataFrame | None, column: str, key:
     pass: a value enters in the first year it appears, NULL once per year;
     ids run in (year, key) order, continuing from the dimension's maximum.
     ``report_rows``: optional bound on the report's rows (bounds the new values)."""
-    dim = dim if dim is not None else _empty_dim(report_all, key, key_type)
     vals = report_all.select(F.col(column).cast(key_type).alias(key), batch_col)
     first = (vals.groupBy(F.col(key), F.when(F.col(key).isNull(), F.col(batch_col)).alias("_nb"))
              .agg(F.min(batch_col).alias("_batch")))
-    new = first.join(dim.select(key), key, "left_anti").select(key, "_batch")
+    if dim is not None:
+        first = first.join(dim.select(key), key, "left_anti")
+    new = first.select(key, "_batch")
     order = [F.col("_batch").asc(), F.col(key).asc_nulls_last()]
     return append_sequence_ids(new, order, dim, max_rows=report_rows).select("id", key)
 

@@ -141,7 +141,8 @@ def load_star(rep: DataFrame, report: Report) -> Report:
     n = rep.count()
     for name, (column, key, ktype) in report.spec.items():
         table = report.dims[name]
-        table.append(M.dim_load(rep, table.read(), column, key, ktype, report_rows=n))
+        existing = table.read() if report.bounds[name] > 0 else None   # proven empty: skip it
+        table.append(M.dim_load(rep, existing, column, key, ktype, report_rows=n))
         report.bounds[name] += n
     report.fact.append(M.report_fact(rep, {k: t.read() for k, t in report.dims.items()},
                                      report.spec, dim_rows=report.bounds))
