@@ -123,7 +123,7 @@ def _with_quota(docs: DataFrame, sources: DataFrame) -> DataFrame:
     if sources.count() <= BROADCAST_SOURCES:
         return docs.join(F.broadcast(sources), "source")
     salted = docs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    copies = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    copies = sources.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(copies, ["source", "salt"]).drop("salt")
 
 

@@ -39,18 +39,27 @@ QUERY_BLOCK = 512
 LEAF = 128
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances between columns of a and of b; the squares are added one
+    component after the other, so the last bits do not depend on the shapes."""
+    total = np.zeros((a.shape[1], b.shape[1]))
+    for x, y in zip(a, b):
+        total += (x[:, None] - y[None, :]) ** 2
+    return np.sqrt(total)
+
+
 class Tree:
     """A vantage-point tree over rows of ``vectors``."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
-        self.vectors, self.ids = vectors, ids
+        self.columns, self.ids = np.ascontiguousarray(vectors.T), ids
         self.root = self._node(np.argsort(ids, kind="stable"))
 
     def _node(self, rows: np.ndarray):
         if len(rows) <= LEAF:
             return rows
         vantage, rest = rows[0], rows[1:]
-        far = np.sqrt(((self.vectors[rest] - self.vectors[vantage]) ** 2).sum(1))
+        far = distances(self.columns[:, [vantage]], self.columns[:, rest])[0]
         middle = float(np.median(far))
         near = far <= middle
         if near.all():                        # equal distances: nothing to divide by
@@ -62,15 +71,16 @@ class Tree:
         best = np.full((len(queries), k), np.inf)
         found = np.full((len(queries), k), np.iinfo(np.int64).max)
 
+        asked = np.ascontiguousarray(queries.T)
+
         def offer(q, rows):
-            d = np.sqrt(((queries[q][:, None, :] - self.vectors[rows][None, :, :]) ** 2).sum(2))
+            d = distances(asked[:, q], self.columns[:, rows])
             d[own[q][:, None] == self.ids[rows][None, :]] = np.inf
             ids = np.broadcast_to(self.ids[rows], d.shape)
             all_d, all_i = np.hstack([best[q], d]), np.hstack([found[q], ids])
             all_i = np.where(np.isinf(all_d), np.iinfo(np.int64).max, all_i)
             order = np.lexsort([all_i, all_d])[:, :k]
             best[q], found[q] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_i, order, 1)
-            return d
 
         def walk(node, q):
             if not len(q):
@@ -82,7 +92,7 @@ class Tree:
                 return
             vantage, middle, near, far = node
             offer(q, np.array([vantage]))
-            d = np.sqrt(((queries[q] - self.vectors[vantage]) ** 2).sum(1))
+            d = distances(asked[:, q], self.columns[:, [vantage]])[:, 0]
             inner = d <= middle
             walk(near, q[inner])
             walk(far, q[~inner])

@@ -18,9 +18,8 @@ sent to all tasks.  Scoring is one pass over all rows without a shuffle.
 
 Defined results.  NULL text is empty and is scored by its (zero) features.
 doc_ids labelled more than once count with their highest label; NULL labels and
-labels without a document are ignored.  With no labelled training text, or none
-of one class, every score is 0 (no or only clean examples) or 1 (only toxic).  A
-NULL doc_id is scored and never trains.  Extra columns are ignored; an empty
+labels without a document are ignored.  Without labelled training texts of both
+classes nothing is learnt and every score is 0.  A NULL doc_id is scored and never trains.  Extra columns are ignored; an empty
 table gives an empty result.
 """
 
@@ -48,7 +47,7 @@ TREES, DEPTH, BINS, RATE = 60, 3, 32, 0.2
 SECOND_PERSON = ["you", "your", "yours", "yourself", "du", "dich", "dir", "dein", "deine", "ihr", "euch",
                  "sie", "tu", "te", "toi", "ton", "ta", "vous", "votre", "tú", "ti", "tus", "usted", "vosotros"]
 # Characters written for letters.
-SUBSTITUTES = (b"013457@$!", b"oieastasi")
+SUBSTITUTES = (b"013457@$", b"oieastas")
 
 FEATURES = ["word_density", "stem_density", "undone_density", "word_hits", "stem_hits", "second_person",
             "near_hits", "closeness", "capitals", "capital_words", "exclaims", "punctuation",
@@ -263,7 +262,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     texts, labels = [texts[i] for i in keep], labels[keep]
     toxic = labels == 1
     if not len(texts) or toxic.all() or not toxic.any():
-        return {"constant": float(len(texts) > 0 and toxic.all())}
+        return {"constant": 0.0}
     x = np.zeros((len(texts), len(FEATURES)))
     for part in (np.arange(len(texts)) % FOLDS == n for n in range(FOLDS)):
         lexicon = learn_lexicon([texts[i] for i in np.flatnonzero(~part)], toxic[~part])
