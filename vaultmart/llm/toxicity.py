@@ -18,8 +18,8 @@ sent to all tasks.  Scoring is one pass over all rows without a shuffle.
 
 Defined results.  NULL text is empty and is scored by its (zero) features.
 doc_ids labelled more than once count with their highest label; NULL labels and
-labels without a document are ignored.  Without labelled training texts of both
-classes nothing is learnt and every score is 0.  A NULL doc_id is scored and never trains.  Extra columns are ignored; an empty
+labels without a document are ignored.  With fewer than ``LEAST`` labelled
+training texts of either class nothing is learnt and every score is 0.  A NULL doc_id is scored and never trains.  Extra columns are ignored; an empty
 table gives an empty result.
 """
 
@@ -37,6 +37,7 @@ from vaultmart.llm.common import held_out, id_and_text, named
 from vaultmart.llm.textbytes import SpanHash, chunks, hash_of, member, runs
 
 SAMPLE = 6_000           # most labelled documents that are learnt from
+LEAST = 5                # fewest labelled documents of a class to learn from
 LEXICON = 2_000          # most lexicon entries
 STEMS = (4, 5, 6)        # bytes of the word beginnings tried for the lexicon
 WINDOW = 6               # words within which a second-person word counts as near
@@ -261,7 +262,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     keep = varied(texts)
     texts, labels = [texts[i] for i in keep], labels[keep]
     toxic = labels == 1
-    if not len(texts) or toxic.all() or not toxic.any():
+    if min(toxic.sum(), (~toxic).sum()) < LEAST:
         return {"constant": 0.0}
     x = np.zeros((len(texts), len(FEATURES)))
     for part in (np.arange(len(texts)) % FOLDS == n for n in range(FOLDS)):
