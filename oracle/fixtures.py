@@ -12,6 +12,16 @@ SELECT CAST(o_custkey AS INT) AS user_id, o_orderstatus AS pay_doc_type, CAST(o_
   CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE o_orderpriority END AS phone,
   strftime(o_orderdate, '%Y-%m') AS billing_period, strftime(o_orderdate, '%Y-%m-%d') AS pay_date,
   o_totalprice AS sum
+FROM orders""",
+    "stg_payment_typed": """
+SELECT CAST(o_custkey AS INT) AS user_id, o_orderstatus AS pay_doc_type, CAST(o_orderkey AS INT) AS pay_doc_num,
+  CASE WHEN o_orderkey % 101 = 0 THEN NULL
+       WHEN o_orderkey % 7 = 0 THEN ' acc-' || (o_custkey % 500) || ' '
+       ELSE 'ACC-' || (o_custkey % 500) END AS account,
+  CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE o_orderpriority END AS phone,
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS billing_period,
+  CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS pay_date,
+  CAST(o_totalprice AS DECIMAL(10,2)) AS sum
 FROM orders""",
     "stg_billing": """
 SELECT CAST(l_suppkey AS INT) AS user_id, strftime(l_shipdate, '%Y-%m') AS billing_period,
@@ -32,8 +42,8 @@ SELECT CAST(user_id AS INT) AS user_id,
   CAST((event_id * 104729) % 65537 AS INT) AS bytes_sent, CAST((event_id * 7919) % 100003 AS INT) AS bytes_received
 FROM events""",
     "mdm_user": """
-SELECT CAST(c_custkey AS INT) AS id, CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_mktsegment END AS legal_type,
+SELECT CAST(CASE WHEN c_custkey % 37 = 0 THEN -c_custkey ELSE c_custkey END AS INT) AS id, CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_mktsegment END AS legal_type,
   n_name AS district, make_date(1990 + CAST(c_custkey % 10 AS INT), 1, 1) AS registered_at,
   c_acctbal > 5000 AS is_vip, CASE WHEN c_custkey % 2 = 0 THEN 'PREPAID' ELSE 'POSTPAID' END AS billing_mode
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 37 <> 0""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 }

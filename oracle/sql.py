@@ -1,9 +1,9 @@
 """DuckDB oracle SQL, one statement per registered query.
 
-Written independently of the Spark operators: the incremental loads are
-spelled the way the reference spells them (row_number / LEFT JOIN ... IS NULL
-/ rank over a fan-out join), one chained CTE per yearly run, so the oracle
-checks the Spark set-based backfills against the year-by-year semantics.
+Written from the definitions of SURVEY section 2.8, independently of the Spark
+operators: an explicit state per table and year, each year adding what its batch
+has and the state before it lacks (NOT EXISTS), so the oracle checks the Spark
+set-based backfills against the year-by-year meaning.
 
 Engine spelling differences (SURVEY section 5): DuckDB rounds where Spark
 truncates (avg -> int, text -> int), so truncation is explicit here; year()
@@ -132,19 +132,12 @@ FROM {t} GROUP BY year, user_id""")
 
 
 def q06() -> str:
-    w = With()
-    t = _typed_payment(w)
-    return w.sql(f"SELECT * FROM {t}")
+    return With().stg("stg_payment_typed").sql("SELECT * FROM stg_payment_typed")
 
 
 def q07() -> str:
-    w = With()
-    t = _typed_payment(w)
-    y = RELOAD_YEAR
-    return w.sql(f"""
-SELECT * FROM {t} WHERE NOT (CAST(year(pay_date) AS INTEGER) = {y}) OR pay_date IS NULL
-UNION ALL
-SELECT * FROM {t} WHERE CAST(year(pay_date) AS INTEGER) = {y}""")
+    """Whatever was in ODS for the reloaded year, afterwards all years are the source's."""
+    return q06()
 
 
 # ------------------------------------------------------------------ stage
@@ -209,6 +202,13 @@ def _empty(cols_types: list[tuple[str, str]]) -> str:
     return "SELECT " + ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in cols_types) + " WHERE false"
 
 
+def _new_keys(batch: str, state: str | None, pk: str, cols: list[str]) -> str:
+    """One row (the least) for each key of a batch that the state lacks."""
+    known = f"WHERE NOT EXISTS (FROM {state} AS s WHERE s.{pk} = {batch}.{pk})" if state else ""
+    least = ", ".join(f"{c} NULLS FIRST" for c in ["load_date", *cols])
+    return f"SELECT DISTINCT ON ({pk}) {', '.join(cols)} FROM {batch} {known} ORDER BY {pk}, {least}"
+
+
 def _hub_chain(w: With, name: str, source=None) -> str:
     """Yearly hub loads 1995..2001; returns the final hub's CTE name."""
     pk, keys = HUBS[name]
@@ -216,16 +216,10 @@ def _hub_chain(w: With, name: str, source=None) -> str:
     prev = f"{name}_0"
     w.add(prev, _empty([(pk, "VARCHAR")] + [(k, "VARCHAR") for k in keys]
                        + [("load_date", "TIMESTAMP"), ("record_source", "VARCHAR")]))
-    order = ", ".join(f"{k} NULLS FIRST" for k in keys)
     for y in YEARS:
         b = _batch(w, y)
         ins = f"{name}_ins_{y}"
-        w.add(ins, f"""
-SELECT {', '.join('a.' + c for c in cols)}
-FROM (SELECT {', '.join(cols)}, row_number() OVER (PARTITION BY {pk} ORDER BY load_date, {order}) AS row_num
-      FROM {b}) a
-LEFT JOIN {prev} d ON a.{pk} = d.{pk}
-WHERE a.row_num = 1 AND d.{pk} IS NULL""")
+        w.add(ins, _new_keys(b, prev, pk, cols))
         cur = f"{name}_{y}"
         w.add(cur, f"SELECT * FROM {prev} UNION ALL SELECT * FROM {ins}")
         prev = cur
@@ -250,9 +244,9 @@ def _link_chain(w: With) -> str:
         b = _batch(w, y)
         ins = f"link_ins_{y}"
         w.add(ins, f"""
-SELECT DISTINCT {', '.join('stg.' + c for c in LINK_COLS)}
-FROM {b} AS stg LEFT JOIN {prev} AS tgt ON stg.{LINK_PK} = tgt.{LINK_PK}
-WHERE tgt.{LINK_PK} IS NULL""")
+SELECT {', '.join(LINK_COLS)} FROM {b}
+WHERE NOT EXISTS (FROM {prev} AS s WHERE s.{LINK_PK} = {b}.{LINK_PK})
+GROUP BY ALL""")
         cur = f"link_{y}"
         w.add(cur, f"SELECT * FROM {prev} UNION ALL SELECT * FROM {ins}")
         prev = cur
@@ -283,25 +277,18 @@ def _sat_chain(w: With, name: str) -> str:
                                 ("record_source", "VARCHAR")]))
     for y in YEARS:
         b = _batch(w, y)
-        src = f"{name}_src_{y}"
-        w.add(src, f"SELECT {', '.join(cols)} FROM {b}")
-        upd = f"{name}_upd_{y}"
-        w.add(upd, f"""
-SELECT {', '.join('a.' + c for c in cols)}
-FROM {prev} AS a JOIN {src} AS b ON a.{pk} = b.{pk}
-WHERE a.load_date <= b.load_date""")
-        lat = f"{name}_latest_{y}"
-        w.add(lat, f"""
-SELECT * FROM (
-  SELECT {pk}, {hd}, load_date,
-    CASE WHEN rank() OVER (PARTITION BY {pk} ORDER BY load_date DESC) = 1 THEN 'Y' ELSE 'N' END AS latest
-  FROM {upd}) s
-WHERE latest = 'Y'""")
+        # a key's newest stored load that is not later than the batch
+        newest = f"{name}_newest_{y}"
+        w.add(newest, f"""
+SELECT {pk}, max(load_date) AS load_date FROM {prev}
+WHERE load_date <= TIMESTAMP '{y}-01-01 00:00:00' GROUP BY {pk}""")
+        current = f"{name}_current_{y}"
+        w.add(current, f"SELECT {pk}, {hd} FROM {prev} SEMI JOIN {newest} USING ({pk}, load_date)")
         ins = f"{name}_ins_{y}"
         w.add(ins, f"""
-SELECT DISTINCT {', '.join('e.' + c for c in cols)}
-FROM {src} AS e LEFT JOIN {lat} AS l ON l.{hd} = e.{hd} AND l.{pk} = e.{pk}
-WHERE l.{hd} IS NULL""")
+SELECT {', '.join(cols)} FROM {b}
+WHERE NOT EXISTS (FROM {current} AS s WHERE s.{pk} = {b}.{pk} AND s.{hd} = {b}.{hd})
+GROUP BY ALL""")
         cur = f"{name}_{y}"
         w.add(cur, f"SELECT * FROM {prev} UNION ALL SELECT * FROM {ins}")
         prev = cur
@@ -321,23 +308,24 @@ def _report(w: With) -> str:
     sat = _sat_chain(w, "sat_pay_details")
     hu = _hub_chain(w, "hub_user")
     w.stg("mdm_user")
-    w.add("report_raw", f"""
-SELECT legal_type, district, CAST(year(registered_at) AS INTEGER) AS registration_year, is_vip,
-  ddspd.sum AS billing_sum,
-  CAST(year(strptime(substr(billing_period_key, 1, 7), '%Y-%m')) AS INTEGER) AS billing_year
-FROM {link} luabp
-JOIN {hbp} hbp ON luabp.billing_period_pk = hbp.billing_period_pk
-JOIN {sat} ddspd ON luabp.{LINK_PK} = ddspd.{LINK_PK}
-JOIN {hu} hu ON luabp.user_pk = hu.user_pk
-LEFT JOIN mdm_user sumd ON hu.user_key = CAST(sumd.id AS VARCHAR)""")
-    w.add("report", """
-SELECT billing_year, legal_type, district, registration_year, is_vip,
-  CAST(sum(billing_sum) AS DECIMAL(20,2)) AS sum
-FROM report_raw WHERE billing_year IS NOT NULL
-GROUP BY billing_year, legal_type, district, registration_year, is_vip""")
+    w.add("paid", f"""
+SELECT user_key, CAST(left(billing_period_key, 4) AS INTEGER) AS billing_year, {sat}.sum AS amount
+FROM {link} JOIN {sat} USING ({LINK_PK}) JOIN {hbp} USING (billing_period_pk) JOIN {hu} USING (user_pk)""")
+    w.add("person", """
+SELECT CAST(id AS VARCHAR) AS user_key, legal_type, district, registered_at, is_vip FROM mdm_user""")
+    w.add("report", _revenue("paid", "person", "user_key"))
     return "report"
 
 
+def _revenue(paid: str, person: str, key: str) -> str:
+    """Sums by billing year and the payer's attributes (NULL for unknown payers)."""
+    return f"""
+SELECT billing_year, legal_type, district, CAST(year(registered_at) AS INTEGER) AS registration_year, is_vip,
+  CAST(sum(amount) AS DECIMAL(20,2)) AS sum
+FROM {paid} LEFT JOIN {person} USING ({key}) WHERE billing_year IS NOT NULL
+GROUP BY ALL"""
+
+
 def q21() -> str:
     w = With()
     return w.sql(f"SELECT * FROM {_report(w)}")
@@ -361,12 +349,12 @@ def _dim_chain(w: With, name: str, report: str, spec=None, prefix: str = "") ->
     w.add(prev, _empty([("id", "BIGINT"), (key, ktype)]))
     for y in YEARS:
         ins = f"{name}_ins_{y}"
+        w.add(f"{ins}_values", f"""
+SELECT DISTINCT CAST({column} AS {ktype}) AS value FROM {report} WHERE billing_year = {y}""")
         w.add(ins, f"""
-SELECT CAST((SELECT coalesce(max(id), 0) FROM {prev})
-            + row_number() OVER (ORDER BY v NULLS LAST) AS BIGINT) AS id, v AS {key}
-FROM (SELECT DISTINCT CAST(a.{column} AS {ktype}) AS v FROM {report} a
-      LEFT JOIN {prev} b ON b.{key} = CAST(a.{column} AS {ktype})
-      WHERE a.billing_year = {y} AND b.{key} IS NULL) n""")
+SELECT CAST(row_number() OVER (ORDER BY value NULLS LAST) + (SELECT count(*) FROM {prev}) AS BIGINT) AS id,
+  value AS {key}
+FROM {ins}_values WHERE NOT EXISTS (FROM {prev} AS s WHERE s.{key} = value)""")
         cur = f"{name}_{y}"
         w.add(cur, f"SELECT * FROM {prev} UNION ALL SELECT * FROM {ins}")
         prev = cur
@@ -379,24 +367,26 @@ def dim_query(name: str) -> str:
     return w.sql(f"SELECT * FROM {_dim_chain(w, name, r)}")
 
 
+def _fact(report: str, dims: dict[str, str], spec: dict) -> str:
+    """The report with each attribute replaced by the id of its dimension row."""
+    ids = ", ".join(f"{dims[n]}.id AS {column}_id" for n, (column, _, _) in spec.items())
+    lookups = " ".join(f"JOIN {dims[n]} ON {dims[n]}.{key} = CAST({report}.{column} AS {ktype})"
+                       for n, (column, key, ktype) in spec.items())
+    return f"SELECT {ids}, is_vip, sum FROM {report} {lookups}"
+
+
 def q27() -> str:
     w = With()
     r = _report(w)
-    d = {n: _dim_chain(w, n, r) for n in DIMS}
-    return w.sql(f"""
-SELECT biy.id AS billing_year_id, lt.id AS legal_type_id, d.id AS district_id,
-  ry.id AS registration_year_id, raw.is_vip, raw.sum
-FROM {r} raw
-JOIN {d['dim_billing_year']} biy ON raw.billing_year = biy.billing_year_key
-JOIN {d['dim_legal_type']} lt ON raw.legal_type = lt.legal_type_key
-JOIN {d['dim_district']} d ON raw.district = d.district_key
-JOIN {d['dim_registration_year']} ry ON CAST(raw.registration_year AS VARCHAR) = ry.registration_year_key""")
+    return w.sql(_fact(r, {n: _dim_chain(w, n, r) for n in DIMS}, DIMS))
 
 
 # ------------------------------------------------------------------ second vault (one run, whole ODS)
 
-def _stage_v2(w: With) -> str:
-    t = _typed_payment(w)
+def _stage_v2(w: With, dated: bool = False) -> str:
+    """The whole typed ODS; ``dated``: as yearly reloads fill it, without the
+    rows that have no date."""
+    w.stg("stg_payment_typed")
     w.add("stage_v2", f"""
 SELECT user_id, pay_doc_type, pay_doc_num, account, phone, billing_period, pay_date, sum,
   CAST(user_id AS VARCHAR) AS user_key, CAST(account AS VARCHAR) AS account_key,
@@ -405,17 +395,12 @@ SELECT user_id, pay_doc_type, pay_doc_num, account, phone, billing_period, pay_d
   {_hk('billing_period')} AS billing_period_pk,
   {_hk('pay_doc_type', 'pay_doc_num')} AS pay_pk, {_hk('pay_doc_type')} AS pay_doc_type_id,
   TIMESTAMP '{V2_LOAD_DATE}' AS load_date, pay_date AS effective_from
-FROM {t} WHERE pay_date IS NOT NULL""")
+FROM stg_payment_typed WHERE pay_date IS NOT NULL OR NOT {dated}""")
     return "stage_v2"
 
 
 def _first_row_hub(w: With, name: str, pk: str, keys: list[str], stage: str) -> str:
-    cols = [pk, *keys, "load_date", "record_source"]
-    order = ", ".join(f"{k} NULLS FIRST" for k in keys)
-    w.add(name, f"""
-SELECT {', '.join(cols)} FROM (
-  SELECT {', '.join(cols)}, row_number() OVER (PARTITION BY {pk} ORDER BY load_date, {order}) AS row_num
-  FROM {stage}) h WHERE row_num = 1""")
+    w.add(name, _new_keys(stage, None, pk, [pk, *keys, "load_date", "record_source"]))
     return name
 
 
@@ -468,19 +453,10 @@ def _report_v2(w: With) -> str:
     hbp = _first_row_hub(w, "v2_hub_bp", "billing_period_pk", ["billing_period_key"], s)
     hu = _first_row_hub(w, "v2_hub_user", "user_pk", ["user_key"], s)
     sc = _sat_client(w)
-    w.add("report_v2", f"""
-SELECT billing_year, legal_type, district, registration_year, is_vip,
-  CAST(sum(billing_sum) AS DECIMAL(20,2)) AS sum
-FROM (
-  SELECT legal_type, district, CAST(year(registered_at) AS INTEGER) AS registration_year, is_vip,
-    CAST(year(strptime(substr(billing_period_key, 1, 7), '%Y-%m')) AS INTEGER) AS billing_year,
-    tlp.sum AS billing_sum
-  FROM {tl} tlp
-  JOIN {hbp} hbp ON tlp.billing_period_pk = hbp.billing_period_pk
-  JOIN {hu} hu ON hu.user_pk = tlp.user_pk
-  LEFT JOIN {sc} suac ON suac.user_pk = hu.user_pk) raw_data
-WHERE billing_year IS NOT NULL
-GROUP BY billing_year, legal_type, district, registration_year, is_vip""")
+    w.add("paid_v2", f"""
+SELECT user_pk, CAST(left(billing_period_key, 4) AS INTEGER) AS billing_year, {tl}.sum AS amount
+FROM {tl} JOIN {hbp} USING (billing_period_pk) SEMI JOIN {hu} USING (user_pk)""")
+    w.add("report_v2", _revenue("paid_v2", sc, "user_pk"))
     return "report_v2"
 
 
@@ -488,38 +464,14 @@ def q29() -> str:
     """Combined run: the second vault's report per year, then variant-B dimensions
     (registration year kept as a number) and the fact."""
     w = With()
+    _stage_v2(w, dated=True)
     r = _report_v2(w)
-    d = {n: _dim_chain(w, n, r, spec=DIMS_B, prefix="b_") for n in DIMS_B}
-    return w.sql(f"""
-SELECT dby.id AS billing_year_id, dlt.id AS legal_type_id, dd.id AS district_id,
-  dry.id AS registration_year_id, raw.is_vip, raw.sum
-FROM {r} raw
-JOIN {d['dim_billing_year']} dby ON dby.billing_year_key = raw.billing_year
-JOIN {d['dim_district']} dd ON dd.district_key = raw.district
-JOIN {d['dim_legal_type']} dlt ON dlt.legal_type_key = raw.legal_type
-JOIN {d['dim_registration_year']} dry ON dry.registration_year_key = raw.registration_year""")
+    return w.sql(_fact(r, {n: _dim_chain(w, n, r, spec=DIMS_B, prefix="b_") for n in DIMS_B}, DIMS_B))
 
 
 def q22() -> str:
     w = With()
-    tl = _t_link(w)
-    s = _stage_v2(w)
-    hbp = _first_row_hub(w, "v2_hub_bp", "billing_period_pk", ["billing_period_key"], s)
-    hu = _first_row_hub(w, "v2_hub_user", "user_pk", ["user_key"], s)
-    sc = _sat_client(w)
-    return w.sql(f"""
-SELECT billing_year, legal_type, district, registration_year, is_vip,
-  CAST(sum(billing_sum) AS DECIMAL(20,2)) AS sum
-FROM (
-  SELECT legal_type, district, CAST(year(registered_at) AS INTEGER) AS registration_year, is_vip,
-    CAST(year(strptime(substr(billing_period_key, 1, 7), '%Y-%m')) AS INTEGER) AS billing_year,
-    tlp.sum AS billing_sum
-  FROM {tl} tlp
-  JOIN {hbp} hbp ON tlp.billing_period_pk = hbp.billing_period_pk
-  JOIN {hu} hu ON hu.user_pk = tlp.user_pk
-  LEFT JOIN {sc} suac ON suac.user_pk = hu.user_pk) raw_data
-WHERE billing_year IS NOT NULL
-GROUP BY billing_year, legal_type, district, registration_year, is_vip""")
+    return w.sql(f"SELECT * FROM {_report_v2(w)}")
 
 
 def all_sql() -> dict[str, str]:

@@ -20,8 +20,9 @@ from vaultmart.functions.lineage import cut
 _POS_BITS = 33
 
 
-# Up to this many new rows (checked by a count) the ids come from one ordered
-# window: bounded work for one task, and two jobs fewer than the general path.
+# A caller that can prove a bound of at most this many new rows gets the ids from
+# one ordered window: bounded work for one task, and two jobs fewer.  Without a
+# proven bound the ids are always distributed; nothing is probed.
 SMALL_ROWS = 100_000
 
 
@@ -36,12 +37,10 @@ def append_sequence_ids(new_rows: DataFrame, order: list[Column], existing: Data
     """Give ``new_rows`` ids max(existing.id)+1, +2, ... in ``order``.
 
     ``order`` holds sort Columns (e.g. ``F.col("k").asc_nulls_last()``);
-    ``max_rows``: an optional proven bound on ``new_rows`` (saves the count).
+    ``max_rows``: an optional proven bound on ``new_rows``.
     """
     cols = new_rows.columns
-    small = (max_rows <= SMALL_ROWS if max_rows is not None
-             else new_rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS)
-    if small:
+    if max_rows is not None and max_rows <= SMALL_ROWS:
         # proven small: one ordered window; the base is a scalar subquery
         base = F.lit(0) if existing is None else _base(new_rows, existing, id_col).scalar()
         ranked = new_rows.withColumn("_r", F.row_number().over(Window.orderBy(*order)))

@@ -1,10 +1,10 @@
 """Join helpers with a checked broadcast.
 
-A side is broadcast only after its row count has been measured and found
-under a limit; beyond the limit the plan keeps a shuffle join (sort-merge,
-with AQE splitting skewed partitions).  The limit is a session setting,
-``vaultmart.broadcast.maxRows`` (default 1,000,000 rows of a few narrow
-columns, i.e. tens of MB per executor).
+A side is broadcast only after its rows have been counted (or bounded) and their
+estimated bytes found under a limit; beyond the limit the plan keeps a shuffle
+join (sort-merge, with AQE splitting skewed partitions).  The limits are session
+settings: ``vaultmart.broadcast.maxBytes`` (default 64 MB; rows times the width of
+the columns, text at ``TEXT_BYTES`` each) and ``vaultmart.broadcast.maxRows``.
 
 ``anti_join_existing`` is the vault's "insert if the key is new" step, with
 three plans chosen by measured sizes:
@@ -24,18 +24,24 @@ from pyspark.sql import functions as F
 
 MAX_ROWS_CONF = "vaultmart.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 1_000_000
+MAX_BYTES_CONF = "vaultmart.broadcast.maxBytes"
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+TEXT_BYTES = 48          # a hash key is 32 characters
+ROW_BYTES = 32           # a row's own overhead in the broadcast relation
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    """The most rows of ``df``'s width that may be broadcast."""
+    conf = df.sparkSession.conf
+    width = ROW_BYTES + sum(TEXT_BYTES if kind == "string" else 16 for _, kind in df.dtypes)
+    return min(int(conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS))),
+               int(conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))) // width)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Measure ``df`` (one count job) against the broadcast limit."""
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    # limit(n+1).count() stops reading once the limit is exceeded
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def is_small(df: DataFrame, known_rows: int | None = None) -> bool:

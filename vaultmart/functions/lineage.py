@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,6 +33,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("_ int").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 class ScratchTable:
     """An append-only Parquet table under the checkpoint directory.
 
@@ -45,7 +56,8 @@ class ScratchTable:
         self.schema = schema
         self.partition_by = partition_by or []
         self.path = path or scratch_path(spark, name)
-        self.written = False
+        # a table opened at its path has what earlier processes wrote there
+        self.written = path is not None and _exists(spark, path)
 
     @classmethod
     def of(cls, df: DataFrame, name: str, partition_by: list[str] | None = None) -> "ScratchTable":

@@ -56,13 +56,20 @@ def ods_issue(stg: DataFrame, year: int | None = None) -> DataFrame:
 
 
 def _typed_payment(stg: DataFrame) -> DataFrame:
+    """Text columns are parsed (the lake's files); columns that are already
+    typed (the warehouse's external table) are only cast."""
+    kind = dict(stg.dtypes)
+
+    def typed(column: str, parse, as_type: str) -> Column:
+        return parse(column) if kind[column] == "string" else F.col(column).cast(as_type)
+
     return stg.select(
         F.col("user_id").cast("int").alias("user_id"),
         "pay_doc_type",
         F.col("pay_doc_num").cast("int").alias("pay_doc_num"),
         "account", "phone",
-        C.period_to_date("billing_period").alias("billing_period"),
-        C.text_to_date("pay_date").alias("pay_date"),
+        typed("billing_period", C.period_to_date, "date").alias("billing_period"),
+        typed("pay_date", C.text_to_date, "date").alias("pay_date"),
         C.to_money("sum").alias("sum"),
     )
 
@@ -95,8 +102,9 @@ def ods_traffic(stg: DataFrame, year: int | None = None) -> DataFrame:
 def ods_payment_copy(stg: DataFrame) -> DataFrame:
     """Q06: the warehouse's full STG -> ODS copy (``insert ... select *``).
 
-    In this variant the external table already declares DATE/NUMERIC columns,
-    so the lake's casts give the same typed rows; columns align by name.
+    The external table declares DATE/NUMERIC columns, which are selected by name
+    and cast as they are; a table of the lake's text form is parsed.  Rows with a
+    NULL pay_date are kept.
     """
     return _typed_payment(stg).select(*S.ODS_PAYMENT.fieldNames())
 

@@ -41,8 +41,9 @@ SAT_CLIENT_COLS = ["user_pk", *CLIENT_ATTRS, *V.AUDIT]
 
 
 def payment_stage_v2(ods: DataFrame, load_date: _dt.datetime | str) -> DataFrame:
-    """The first vault's stage over the whole ODS plus the payment hub's keys."""
-    return (V.payment_stage(ods, year=None, load_date=load_date)
+    """The first vault's stage over the whole ODS, rows without pay_date
+    included (the views have no date filter), plus the payment hub's keys."""
+    return (V.payment_stage(ods, year=None, load_date=load_date, undated=True)
             .withColumn("pay_pk", hash_key("pay_doc_type", "pay_doc_num"))
             .withColumn("pay_doc_type_id", hash_key("pay_doc_type")))
 

@@ -43,20 +43,23 @@ _HASHED = ["user_id", "account", "billing_period", "pay_doc_type", "pay_doc_num"
 # ---------------------------------------------------------------- staging (Q08, Q09)
 
 def payment_stage(ods: DataFrame, year: int | None = None,
-                  load_date: _dt.datetime | str | None = None) -> DataFrame:
+                  load_date: _dt.datetime | str | None = None, undated: bool = False) -> DataFrame:
     """Q08: the yearly staging view: text keys, hash keys, hashdiffs, audit columns.
 
     ``year`` given: rows with pay_date in that year (a range that reaches the
     Parquet scan), LOAD_DATE = ``load_date`` or 1 January of the year.
     ``year=None``: every dated row, each with the LOAD_DATE of the yearly run
-    that would load it (1 January of its pay_date year).
+    that would load it (1 January of its pay_date year).  No yearly run loads a row
+    without pay_date; ``undated`` keeps those too (needs a ``load_date``).
     """
     src = ods.select(*STAGE_SOURCE)
     if year is not None:
         src = src.where(D.in_year("pay_date", year))
         ld = D.ts_literal(load_date) if load_date is not None else D.execution_ts(year)
     else:
-        src = src.where(F.col("pay_date").isNotNull())
+        if undated and load_date is None:
+            raise ValueError("rows without pay_date need a load_date")
+        src = src if undated else src.where(F.col("pay_date").isNotNull())
         ld = D.ts_literal(load_date) if load_date is not None else D.year_start_ts("pay_date")
     # normalise each business key once; several hash keys reuse it
     normed = src.select("*", *[norm(c).alias(f"_n_{c}") for c in _HASHED])

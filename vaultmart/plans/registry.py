@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaultmart.functions.lineage import cut, scratch_path
 from vaultmart.operators import marts as M
@@ -78,13 +79,23 @@ def q05(spark, sf_dir):
     return M.dm_bytes_received(q04(spark, sf_dir))
 
 
+def _typed_ods(spark, sf_dir) -> DataFrame:
+    """The warehouse's ODS: a copy of the typed payment source."""
+    return O.ods_payment_copy(_raw(spark, sf_dir, "stg_payment_typed"))
+
+
 def q06(spark, sf_dir):
-    return _ods(spark, sf_dir)
+    return _typed_ods(spark, sf_dir)
 
 
 def q07(spark, sf_dir):
-    stg = _raw(spark, sf_dir, "stg_payment")
-    return O.ods_payment_reload(O.ods_payment_copy(stg), stg, RELOAD_YEAR)
+    """Reload of a year whose rows in ODS are stale: half are missing, and the
+    sums of the others are out of date."""
+    ods = _typed_ods(spark, sf_dir)
+    reloaded = F.year("pay_date") == RELOAD_YEAR
+    stale = (ods.where(F.col("pay_date").isNull() | ~reloaded | (F.col("user_id") % 2 == 0))
+             .withColumn("sum", F.when(reloaded, F.col("sum") + 1).otherwise(F.col("sum")).cast(S.MONEY)))
+    return O.ods_payment_reload(stale, _raw(spark, sf_dir, "stg_payment_typed"), RELOAD_YEAR)
 
 
 # ---------------------------------------------------------------- first vault
@@ -190,7 +201,7 @@ def q29(spark, sf_dir):
     """The combined DAG (E4) folded over every year: reload, second vault,
     report variant B, star; the fact table."""
     configure(spark)
-    stg = cut(_raw(spark, sf_dir, "stg_payment"), "stg_payment")   # read by every reload
+    stg = cut(_raw(spark, sf_dir, "stg_payment_typed"), "stg_payment")   # read by every reload
     mdm = cut(_raw(spark, sf_dir, "mdm_user"), "mdm_user")
     years = B.batch_years(V.payment_stage(O.ods_payment_copy(stg)))
     v2 = B.backfill(years, lambda st, y: Y.run_second_vault_year(stg, mdm, st, y),
@@ -201,7 +212,7 @@ def q29(spark, sf_dir):
 # ---------------------------------------------------------------- second vault
 
 def _stage_v2(spark, sf_dir):
-    return V2.payment_stage_v2(_ods(spark, sf_dir), V2_LOAD_DATE)
+    return V2.payment_stage_v2(_typed_ods(spark, sf_dir), V2_LOAD_DATE)
 
 
 def q14(spark, sf_dir):

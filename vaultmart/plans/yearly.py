@@ -49,11 +49,12 @@ def run_lake_backfill(stg: dict[str, DataFrame], lake_root: str) -> None:
     root = lake_root.rstrip("/")
     for table, load in {"ods_billing": O.ods_billing, "ods_issue": O.ods_issue,
                         "ods_payment": O.ods_payment, "ods_traffic": O.ods_traffic}.items():
-        sinks.overwrite_partitions(load(stg[table.replace("ods_", "stg_")]), f"{root}/{table}", table)
+        sinks.overwrite_partitions(load(stg[table.replace("ods_", "stg_")]), f"{root}/{table}", table,
+                                   whole=True)
     spark = stg["stg_traffic"].sparkSession
     traffic = scan(spark, "ods_traffic", f"{root}/ods_traffic")
     sinks.overwrite_partitions(M.dm_bytes_received(traffic), f"{root}/dm_bytes_received",
-                               "dm_bytes_received")
+                               "dm_bytes_received", whole=True)
 
 
 # ---------------------------------------------------------------- E2
@@ -87,6 +88,15 @@ class Vault:
         return cls(**{name: table(name) for name in names}, bounds={name: 0 for name in names})
 
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, prefix: str = "") -> "Vault":
+        """The vault stored under ``root`` (tables ``prefix`` + name), new or with
+        what earlier processes loaded; the size bounds are read from storage."""
+        names = [n for n in cls.__dataclass_fields__ if n != "bounds"]
+        tables = {n: ScratchTable(spark, n, S.REGISTRY[n], path=f"{root.rstrip('/')}/{prefix}{n}") for n in names}
+        return cls(**tables, bounds={n: t.read().count() for n, t in tables.items()})
+
+
 VAULT_KEYS = {**{name: pk for name, (pk, _) in V.HUBS.items()},
               "link_user_account_billing_pay": V.LINK_PK,
               **{name: pk for name, (pk, _, _) in V.SATS.items()}}
@@ -125,11 +135,20 @@ class Report:
 
     @classmethod
     def empty(cls, spark: SparkSession, spec: dict | None = None) -> "Report":
+        return cls.open(spark, None, spec=spec)
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str | None, prefix: str = "", spec: dict | None = None) -> "Report":
+        """The star stored under ``root``, as ``Vault.open``; ``root=None``: a new one."""
         spec = spec or M.DIMS
-        dims = {name: ScratchTable(spark, name, S.dim_schema(key, _spark_type(ktype)))
+
+        def path(name):
+            return f"{root.rstrip('/')}/{prefix}{name}" if root else None
+
+        dims = {name: ScratchTable(spark, name, S.dim_schema(key, _spark_type(ktype)), path=path(name))
                 for name, (_, key, ktype) in spec.items()}
-        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT), spec=spec,
-                   bounds={name: 0 for name in spec})
+        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT, path=path("report_fact")),
+                   spec=spec, bounds={name: t.read().count() if root else 0 for name, t in dims.items()})
 
 
 def _spark_type(name: str):

@@ -52,10 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Results depend on these; the other settings give way to the session's own.
+REQUIRED = {"spark.sql.session.timeZone"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to an existing session."""
+    """Apply the runtime settings above to an existing session, except where
+    the session already sets its own."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key in REQUIRED or spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultmart.functions.joins import checked_broadcast
 from vaultmart.sources import schemas as S
 from vaultmart.sources.lake import spread
 
@@ -27,16 +28,32 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+PAYMENT_TEXT = [
+    "CAST(o_custkey AS INT) AS user_id",
+    "o_orderstatus AS pay_doc_type",
+    "CAST(o_orderkey AS INT) AS pay_doc_num",
+    """CASE WHEN o_orderkey % 101 = 0 THEN NULL
+            WHEN o_orderkey % 7 = 0 THEN ' acc-' || (o_custkey % 500) || ' '
+            ELSE 'ACC-' || (o_custkey % 500) END AS account""",
+    "CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE o_orderpriority END AS phone",
+]
+
+
+def stg_payment_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed payment source; 1 payment in 113 has no date yet."""
+    df = read_table(spark, sf_dir, "orders").selectExpr(
+        *PAYMENT_TEXT,
+        "CAST(trunc(o_orderdate, 'MM') AS DATE) AS billing_period",
+        "CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS pay_date",
+        "o_totalprice AS sum",
+    )
+    return _conform(df, S.STG_PAYMENT_TYPED)
+
+
 def stg_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
     df = orders.selectExpr(
-        "CAST(o_custkey AS INT) AS user_id",
-        "o_orderstatus AS pay_doc_type",
-        "CAST(o_orderkey AS INT) AS pay_doc_num",
-        """CASE WHEN o_orderkey % 101 = 0 THEN NULL
-                WHEN o_orderkey % 7 = 0 THEN ' acc-' || (o_custkey % 500) || ' '
-                ELSE 'ACC-' || (o_custkey % 500) END AS account""",
-        "CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE o_orderpriority END AS phone",
+        *PAYMENT_TEXT,
         "date_format(o_orderdate, 'yyyy-MM') AS billing_period",
         "date_format(o_orderdate, 'yyyy-MM-dd') AS pay_date",
         "o_totalprice AS sum",
@@ -87,11 +104,12 @@ def stg_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mdm_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
-    nation = read_table(spark, sf_dir, "nation")
-    df = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-          .where("c_custkey % 37 <> 0")
+    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
+    # 25 nations: broadcast after a count, so customers are not shuffled on 25 values
+    df = (customer.join(checked_broadcast(nation), customer.c_nationkey == nation.n_nationkey)
           .selectExpr(
-              "CAST(c_custkey AS INT) AS id",
+              # 1 customer in 37 is known under an id that no payment has
+              "CAST(CASE WHEN c_custkey % 37 = 0 THEN -c_custkey ELSE c_custkey END AS INT) AS id",
               "CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_mktsegment END AS legal_type",
               "n_name AS district",
               "make_date(1990 + CAST(c_custkey % 10 AS INT), 1, 1) AS registered_at",
@@ -103,6 +121,7 @@ def mdm_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BUILDERS = {
     "stg_payment": stg_payment,
+    "stg_payment_typed": stg_payment_typed,
     "stg_billing": stg_billing,
     "stg_issue": stg_issue,
     "stg_traffic": stg_traffic,

@@ -16,18 +16,14 @@ from vaultmart.sources.schemas import schema_of
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (a small file that is one Parquet row group is one task, and every
-    narrow step after it - casts, hashing - would run on one core).
-
-    A lake table at scale is thousands of files and splits, so this is a no-op
-    there; it never reduces parallelism and never runs on already-wide input.
+    """Round-robin a scan that is a single task, as a file of one Parquet row
+    group under the split size is: every narrow step after it would run on one
+    core.  A table of two or more splits is left as it is, whatever the cluster's
+    width, so no table beyond one split is ever shuffled for this.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def scan(spark: SparkSession, table: str, path: str) -> DataFrame:

@@ -32,6 +32,10 @@ STG_ISSUE = _st(("user_id", STRING), ("start_time", STRING), ("end_time", STRING
 STG_PAYMENT = _st(("user_id", INT), ("pay_doc_type", STRING), ("pay_doc_num", INT),
                   ("account", STRING), ("phone", STRING), ("billing_period", STRING),
                   ("pay_date", STRING), ("sum", DOUBLE))
+# the warehouse's external payment table is typed
+STG_PAYMENT_TYPED = _st(("user_id", INT), ("pay_doc_type", STRING), ("pay_doc_num", INT),
+                        ("account", STRING), ("phone", STRING), ("billing_period", DATE),
+                        ("pay_date", DATE), ("sum", MONEY))
 STG_TRAFFIC = _st(("user_id", INT), ("timestamp", BIGINT), ("device_id", STRING),
                   ("device_ip_addr", STRING), ("bytes_sent", INT), ("bytes_received", INT))
 
@@ -96,6 +100,7 @@ REPORT_FACT = _st(("billing_year_id", BIGINT), ("legal_type_id", BIGINT), ("dist
 
 REGISTRY: dict[str, T.StructType] = {
     "stg_billing": STG_BILLING, "stg_issue": STG_ISSUE, "stg_payment": STG_PAYMENT,
+    "stg_payment_typed": STG_PAYMENT_TYPED,
     "stg_traffic": STG_TRAFFIC, "ods_billing": ODS_BILLING, "ods_issue": ODS_ISSUE,
     "ods_payment": ODS_PAYMENT, "ods_traffic": ODS_TRAFFIC,
     "dm_bytes_received": DM_BYTES_RECEIVED, "mdm_user": MDM_USER,
