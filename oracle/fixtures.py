@@ -42,7 +42,7 @@ SELECT CAST(user_id AS INT) AS user_id,
   CAST((event_id * 104729) % 65537 AS INT) AS bytes_sent, CAST((event_id * 7919) % 100003 AS INT) AS bytes_received
 FROM events""",
     "mdm_user": """
-SELECT CAST(CASE WHEN c_custkey % 37 = 0 THEN -c_custkey ELSE c_custkey END AS INT) AS id, CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_mktsegment END AS legal_type,
+SELECT CAST(CASE WHEN c_custkey % 37 = 0 THEN -1 - c_custkey ELSE c_custkey END AS INT) AS id, CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_mktsegment END AS legal_type,
   n_name AS district, make_date(1990 + CAST(c_custkey % 10 AS INT), 1, 1) AS registered_at,
   c_acctbal > 5000 AS is_vip, CASE WHEN c_custkey % 2 = 0 THEN 'PREPAID' ELSE 'POSTPAID' END AS billing_mode
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",

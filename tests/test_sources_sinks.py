@@ -73,7 +73,7 @@ def test_fixture_raw_counts(spark):
     assert pay.where(F.col("account").isNull()).count() == 15
     assert pay.where(F.col("phone") == "").count() == 137
     mdm = fixtures.raw(spark, SF_SMALL, "mdm_user")
-    assert mdm.count() == 145 and mdm.where(F.col("legal_type").isNull()).count() == 5
+    assert mdm.count() == 150 and mdm.where(F.col("legal_type").isNull()).count() == 6
 
 
 def test_lake_backfill_equals_yearly_runs(spark, tmp_dir):

@@ -109,7 +109,7 @@ def mdm_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (customer.join(checked_broadcast(nation), customer.c_nationkey == nation.n_nationkey)
           .selectExpr(
               # 1 customer in 37 is known under an id that no payment has
-              "CAST(CASE WHEN c_custkey % 37 = 0 THEN -c_custkey ELSE c_custkey END AS INT) AS id",
+              "CAST(CASE WHEN c_custkey % 37 = 0 THEN -1 - c_custkey ELSE c_custkey END AS INT) AS id",
               "CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE c_mktsegment END AS legal_type",
               "n_name AS district",
               "make_date(1990 + CAST(c_custkey % 10 AS INT), 1, 1) AS registered_at",
