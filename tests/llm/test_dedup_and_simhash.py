@@ -83,6 +83,16 @@ def test_simhash_on_edge_cases(edge_docs, no_docs):
     assert simhash.representatives(no_docs).count() == 0
 
 
+def test_representatives_keep_one_row_a_class(spark, edge_docs):
+    rows_in = [(1, "a b c"), (1, "x y z"), (0, "a  B c"), (None, "x y z"), (None, "n u l l"), (None, "n u l l"), (7, "q")]
+    df = spark.createDataFrame(rows_in, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.representatives(df).collect()), key=str)
+    assert got == sorted([(0, "a  B c"), (1, "x y z"), (None, "n u l l"), (7, "q")], key=str)
+    kept = simhash.representatives(edge_docs)
+    assert kept.columns == edge_docs.columns
+    assert kept.count() == len({f for _, f, _ in slow_components([r[:2] for r in EDGE])})
+
+
 def test_simhash_on_near_copies(spark, real_docs):
     rnd = random.Random(3)
     texts = [r["text"] for r in real_docs.limit(40).collect()]

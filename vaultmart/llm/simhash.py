@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultmart.functions.lineage import cut
-from vaultmart.llm.common import id_and_text, unpacked, whole_row
+from vaultmart.llm.common import id_and_text, named, unpacked, whole_row
 
 GROUP_LIMIT = 16_384     # most codes one task joins at once
 LEAF, FAN = 16, 8        # codes in a leaf, children of a node
@@ -74,18 +74,24 @@ def fingerprint(text: str, width: int = 3) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """(doc_id, code): the fingerprint as a signed long."""
+def _printed(width: int):
+    """The last column, text, becomes code; the others pass through."""
 
     def run(batches):
         for batch in batches:
-            codes = [fingerprint(t, width) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(codes, np.uint64).view(np.int64))],
-                names=["doc_id", "code"])
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            codes = np.array([fingerprint(t, width) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(codes.view(np.int64))],
+                                             names=[*batch.schema.names[:-1], "code"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, code long")
+    return run
+
+
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """(doc_id, code): the fingerprint as a signed long."""
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(_printed(width), "doc_id long, code long")
 
 
 # -- the index ----------------------------------------------------------------
@@ -291,28 +297,37 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.union(pairs.select(F.col("root").alias("code"), "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id."""
-    prints = cut(fingerprints(docs, width, id_col, text_col), "simhash-prints")
+def classes(prints: DataFrame, max_bits: int = 2) -> DataFrame:
+    """Adds to rows with (doc_id, code): root (one code of the row's class, the
+    same for all of it) and component_id."""
     codes = cut(prints.groupBy("code").agg(F.min("doc_id").alias("least")), "simhash-codes")
     roots = components(links(codes, max_bits))
     linked = codes.join(roots, "code")
     smallest = linked.groupBy("root").agg(F.min("least").alias("linked_least"))
-    named_codes = (codes.join(linked.join(smallest, "root").select("code", "linked_least"), "code", "left")
-                        .select("code", F.coalesce("linked_least", "least").alias("component_id")))
-    return prints.join(named_codes, "code").select(
-        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+    named_codes = codes.join(linked.join(smallest, "root").select("code", "root", "linked_least"), "code", "left")
+    return prints.join(named_codes.select(
+        "code", F.coalesce("root", "code").alias("root"),
+        F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("linked_least")).alias("component_id")), "code")
 
 
-def representatives(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
+def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose class has a smaller doc_id.  Rows with a
-    NULL doc_id stay only if their class has no other row with an id."""
-    found = near_duplicates(docs, width, max_bits, id_col, text_col)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    packed = docs.select(whole_row(docs).alias("row"))
-    return unpacked(packed.join(gone, F.col(f"row.{id_col}").eqNullSafe(F.col("doc_id")), "left_anti"),
-                    docs.columns)
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id."""
+    prints = cut(fingerprints(docs, width, id_col, text_col), "simhash-prints")
+    return classes(prints, max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def representatives(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One whole row of ``docs`` per class: the one with the smallest doc_id (a
+    NULL id loses to any other; among rows of one id, the first stored).  The rows
+    are written once with a number, and only numbers are grouped and joined."""
+    rows = docs.select(whole_row(docs).alias("row"), named(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
+    printed = rows.mapInArrow(_printed(width), rows.drop("text").schema.add("code", "long"))
+    stored = cut(printed.withColumn("number", F.monotonically_increasing_id()), "simhash-rows")
+    found = classes(stored.select("number", "doc_id", "code"), max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "number")).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first.number").alias("number"))
+    return unpacked(stored.join(kept, "number", "left_semi"), docs.columns)
