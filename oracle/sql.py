@@ -22,6 +22,10 @@ V2_LOAD_DATE = "2002-01-01 00:00:00"
 RECORD_SOURCE = "PAYMENT - DATA LAKE"
 MDM_RECORD_SOURCE = "MDM - USERS"
 RELOAD_YEAR = 1998
+LAKE_YEAR, EVENT_YEAR = 1998, 2024
+# The year that both of two batches hold, and their LOAD_DATEs.
+OVERLAP = 1997
+LOADS = [("early", f"{OVERLAP + 1}-01-01 00:00:00", f"<= {OVERLAP}"), ("late", V2_LOAD_DATE, f">= {OVERLAP}")]
 
 
 class With:
@@ -474,6 +478,84 @@ def q22() -> str:
     return w.sql(f"SELECT * FROM {_report_v2(w)}")
 
 
+# ------------------------------------------------------------------ yearly form, two batches
+
+def of_year(sql: str, year: int) -> str:
+    return f"SELECT * FROM ({sql}) WHERE year = '{year}'"
+
+
+def _loads(w: With, second: bool) -> list[str]:
+    """The two batches as CTEs; a row without a date is in both of the second vault's."""
+    stage = _stage_v2(w) if second else _stage(w)
+    return [w.add(label, f"SELECT * REPLACE (TIMESTAMP '{at}' AS load_date) FROM {stage} "
+                         f"WHERE pay_date IS NULL OR year(pay_date) {span}") and label
+            for label, at, span in LOADS]
+
+
+def two_hub(pk: str, keys: list[str], second: bool = False) -> str:
+    w = With()
+    early, late = _loads(w, second)
+    cols = [pk, *keys, "load_date", "record_source"]
+    w.add("known", _new_keys(early, None, pk, cols)).add("more", _new_keys(late, "known", pk, cols))
+    return w.sql("SELECT * FROM known UNION ALL SELECT * FROM more")
+
+
+def two_distinct(pk: str, cols: str, second: bool = False, pk_expr: str | None = None) -> str:
+    """Distinct rows of the first batch, and those of the second with new keys."""
+    w = With()
+    early, late = _loads(w, second)
+    given = f"{pk_expr} AS {pk}, {cols}" if pk_expr else f"{pk}, {cols}"
+    w.add("known", f"SELECT DISTINCT {given} FROM {early}")
+    w.add("later", f"SELECT DISTINCT {given} FROM {late}")
+    return w.sql(f"SELECT * FROM known UNION ALL FROM later WHERE NOT EXISTS (FROM known AS k WHERE k.{pk} = later.{pk})")
+
+
+def two_sat(name: str) -> str:
+    """All versions stored first have one load date, so all of them are the newest."""
+    pk, hd, payload, _ = SATS[name]
+    w = With()
+    early, late = _loads(w, False)
+    cols = ", ".join([pk, hd, *payload, "effective_from", "load_date", "record_source"])
+    w.add("known", f"SELECT DISTINCT {cols} FROM {early}").add("later", f"SELECT DISTINCT {cols} FROM {late}")
+    return w.sql(f"""
+SELECT * FROM known UNION ALL
+FROM later WHERE NOT EXISTS (FROM known AS k WHERE k.{pk} = later.{pk} AND k.{hd} = later.{hd})""")
+
+
+def two_client() -> str:
+    """Clients of the users known after each batch; the second time those are stored
+    that were not, or whose id is a multiple of five (their billing mode changed)."""
+    w = With().stg("mdm_user")
+    early, late = _loads(w, True)
+    attributes = "legal_type, district, registered_at"
+
+    def clients(mode, at, batches):
+        users = " UNION ALL ".join(f"SELECT user_pk FROM {b}" for b in batches)
+        return (f"SELECT {_hk('id')} AS user_pk, {attributes}, {mode} AS billing_mode, is_vip, TIMESTAMP '{at}' AS load_date, "
+                f"'{MDM_RECORD_SOURCE}' AS record_source FROM mdm_user WHERE {_hk('id')} IN ({users})")
+
+    w.add("known", clients("billing_mode", LOADS[0][1], [early]))
+    w.add("later", clients("CASE WHEN id % 5 = 0 THEN 'TRIAL' ELSE billing_mode END", LOADS[1][1], [early, late]))
+    return w.sql("""
+SELECT * FROM known UNION ALL
+FROM later WHERE billing_mode = 'TRIAL' OR user_pk NOT IN (SELECT user_pk FROM known)""")
+
+
+def two_dim(name: str) -> str:
+    """Values of the years to the overlap, numbered in order, then the new ones."""
+    column, key, ktype = DIMS[name]
+    w = With()
+    r = _report(w)
+    for label, _, span in LOADS:
+        w.add(f"{label}_values", f"SELECT DISTINCT CAST({column} AS {ktype}) AS value FROM {r} WHERE billing_year {span}")
+    number = "row_number() OVER (ORDER BY value NULLS LAST)"
+    w.add("known", f"SELECT {number} AS id, value AS {key} FROM early_values")
+    return w.sql(f"""
+SELECT * FROM known UNION ALL
+SELECT {number} + (SELECT count(*) FROM known), value FROM late_values
+WHERE NOT EXISTS (FROM known WHERE {key} = value)""")
+
+
 def all_sql() -> dict[str, str]:
     return {
         "Q01_ods_billing": q01(),
@@ -505,4 +587,19 @@ def all_sql() -> dict[str, str]:
         "Q27_report_fact": q27(),
         "Q28_backfill": q27(),
         "Q29_combined_run_second_vault": q29(),
+        "Q01_ods_billing_year": of_year(q01(), LAKE_YEAR),
+        "Q02_ods_issue_year": of_year(q02(), EVENT_YEAR),
+        "Q03_ods_payment_year": of_year(q03(), LAKE_YEAR),
+        "Q04_ods_traffic_year": of_year(q04(), EVENT_YEAR),
+        "Q05_dm_bytes_received_year": of_year(q05(), EVENT_YEAR),
+        **{f"Q{10 + i}_{name}_two_batches": two_hub(pk, keys) for i, (name, (pk, keys)) in enumerate(HUBS.items())},
+        "Q14_hub_payment_two_batches": two_hub("pay_pk", ["pay_doc_type_id", "pay_doc_num"], second=True),
+        "Q15_link_two_batches": two_distinct(LINK_PK, ", ".join(LINK_COLS[1:])),
+        "Q16_t_link_payment_two_batches": two_distinct("pay_pk", ", ".join(T_LINK_COLS[1:]), second=True),
+        "Q17_sat_user_details_two_batches": two_sat("sat_user_details"),
+        "Q18_sat_pay_details_two_batches": two_sat("sat_pay_details"),
+        "Q19_sat_payment_doc_type_two_batches": two_distinct("pk_id", "pay_doc_type", second=True,
+                                                             pk_expr=_hk("pay_doc_type")),
+        "Q20_sat_user_as_client_two_batches": two_client(),
+        **{f"Q{23 + i}_{name}_two_batches": two_dim(name) for i, name in enumerate(DIMS)},
     }

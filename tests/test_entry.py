@@ -6,7 +6,7 @@ import __spark_entry__ as E
 def test_every_query_has_an_oracle():
     core = {q for q in E.queries() if q.startswith("Q")}
     assert core == {q for q in E.oracle_sql() if q.startswith("Q")}
-    assert len(core) == 29
+    assert len(core) == 49
 
 
 def test_entry_runs_on_the_smoke_scale(spark):

@@ -18,6 +18,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultmart.session import checkpoint_dir
@@ -72,10 +73,28 @@ class ScratchTable:
         writer.parquet(self.path)
         self.written = True
 
+    def replace(self, df: DataFrame, gone: list | None = None) -> None:
+        """Replace the partitions that ``df`` has rows of (staged, swapped when the
+        job commits); those of ``gone`` that it has none of are emptied."""
+        (column,) = self.partition_by
+        (df.select(*self.schema.fieldNames()).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path))
+        if gone:
+            kept = {r[0] for r in df.where(F.col(column).isin(gone)).select(column).distinct().collect()}
+            for value in set(gone) - kept:
+                df.drop(column).limit(0).write.mode("overwrite").parquet(f"{self.path}/{column}={value}")
+        self.written = True
+
+    def drop(self) -> None:
+        """Delete the table's files; for intermediate results that nothing reads again."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.written = False
+
     def read(self) -> DataFrame:
         if not self.written:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.fieldNames())
 
 
 class BucketedTable(ScratchTable):

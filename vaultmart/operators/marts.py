@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from vaultmart.functions import dates as D
 from vaultmart.functions.ids import append_sequence_ids
 from vaultmart.functions.joins import checked_broadcast
-from vaultmart.operators.vault import LINK_PK
+from vaultmart.operators.vault import LINK_PK, newest_per_key
 
 REPORT_KEYS = ["billing_year", "legal_type", "district", "registration_year", "is_vip"]
 
@@ -50,13 +50,17 @@ def _rollup(per_user: DataFrame, hub_user: DataFrame, attrs: DataFrame, how: str
 
 def payment_report(link: DataFrame, hub_bp: DataFrame, sat_pay: DataFrame,
                    hub_user: DataFrame, mdm: DataFrame, year: int | None = None,
-                   hub_bp_rows: int | None = None) -> DataFrame:
+                   hub_bp_rows: int | None = None, latest_only: bool = False) -> DataFrame:
     """Q21: revenue by billing year, legal type, district, registration year, VIP.
 
     Variant A: payments from the link and its satellite (all versions, t12),
     client attributes from master data by ``user_key = id::text`` (left join).
     ``year=None`` gives every billing year (the union of the yearly reports).
+    ``latest_only``: only each payment's newest versions count.
     """
+    if latest_only:
+        hd = "pay_doc_hashdiff"
+        sat_pay = sat_pay.join(newest_per_key(sat_pay, LINK_PK, hd), [LINK_PK, hd, "load_date"], "left_semi")
     bp = checked_broadcast(_billing_years(hub_bp, year), hub_bp_rows)
     lk = link.select(LINK_PK, "user_pk", "billing_period_pk").join(bp, "billing_period_pk")
     pays = lk.join(sat_pay.select(LINK_PK, "sum"), LINK_PK)

@@ -118,11 +118,17 @@ def _first_per_key(stage: DataFrame, pk: str, keys: list[str], per_batch_null: b
                         "_f.record_source")
 
 
+def _keyed(rows: DataFrame, pk: str, skip_null_keys: bool) -> DataFrame:
+    return rows.where(F.col(pk).isNotNull()) if skip_null_keys else rows
+
+
 def hub_load(stage: DataFrame, hub: DataFrame, pk: str, keys: list[str],
-             hub_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
+             hub_rows: int | None = None, batch_rows: int | None = None,
+             skip_null_keys: bool = False) -> DataFrame:
     """Rows to insert into a hub from one batch (row_number()=1, then anti-join).
-    ``hub_rows`` / ``batch_rows``: optional size bounds (see functions.joins)."""
-    first = _first_per_key(stage, pk, keys, per_batch_null=False)
+    ``hub_rows`` / ``batch_rows``: optional size bounds (see functions.joins).
+    ``skip_null_keys``: load no NULL keys, which every batch repeats (t5)."""
+    first = _first_per_key(_keyed(stage, pk, skip_null_keys), pk, keys, per_batch_null=False)
     return anti_join_existing(first, hub, [pk], hub_rows, batch_rows).select(pk, *keys, *AUDIT)
 
 
@@ -164,9 +170,10 @@ LINK_COLS = [LINK_PK, "user_pk", "account_pk", "billing_period_pk", "pay_doc_pk"
 
 
 def link_load(stage: DataFrame, link: DataFrame, pk: str, cols: list[str],
-              link_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
+              link_rows: int | None = None, batch_rows: int | None = None,
+              skip_null_keys: bool = False) -> DataFrame:
     """Distinct batch rows (``cols``, including the audit columns) with a new key."""
-    rows = stage.select(*cols).distinct()
+    rows = _keyed(stage.select(*cols), pk, skip_null_keys).distinct()
     return anti_join_existing(rows, link, [pk], link_rows, batch_rows).select(*cols)
 
 
@@ -209,13 +216,19 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
     """
     limit = broadcast_limit(sat)
     versions = sat.select(pk, hd, "load_date")
+    shuffled = False
     sat_small = sat_rows <= limit if sat_rows is not None else fits_broadcast(versions)
     if sat_small:
         qual = cut_off.join(F.broadcast(versions), pk)
     else:
         cut_small = batch_rows <= limit if batch_rows is not None else fits_broadcast(cut_off)
-        qual = versions.join(F.broadcast(cut_off) if cut_small else cut_off, pk)
+        shuffled = not cut_small
+        qual = versions.join(cut_off if shuffled else F.broadcast(cut_off), pk)
     qual = qual.where(F.col("load_date") <= F.col("_cut"))
+    if shuffled:
+        # an exchange of its own for the grouping, so that it does not hold on to
+        # the join's partitioning and AQE can split a hot key's history there
+        qual = qual.repartition(pk, hd)
     return newest_per_key(qual, pk, hd).select(pk, hd)
 
 
@@ -233,19 +246,22 @@ def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:
 
 
 def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str],
-             sat_rows: int | None = None, batch_rows: int | None = None) -> DataFrame:
+             sat_rows: int | None = None, batch_rows: int | None = None,
+             skip_null_keys: bool = False, unique: bool = False) -> DataFrame:
     """Rows to insert into a satellite from one batch.
 
     ``cols`` is the insert column list (pk, hashdiff, payload, audit columns);
-    ``sat_rows`` / ``batch_rows``: optional size bounds, see ``latest_versions``.
+    ``sat_rows`` / ``batch_rows``: optional size bounds, see ``latest_versions``;
+    ``unique``: the batch has no row twice, so none is looked for.
     """
-    source = stage.select(*cols)
+    source = _keyed(stage.select(*cols), pk, skip_null_keys)
+    rows = source if unique else source.distinct()
     if sat_rows == 0:             # proven empty satellite: every distinct row is new
-        return source.distinct()
+        return rows
     cut_off = (source.where(F.col(pk).isNotNull())
                .groupBy(pk).agg(F.max("load_date").alias("_cut")))
     latest = latest_versions(sat, cut_off, pk, hd, sat_rows, batch_rows)
-    return source.distinct().join(latest, [pk, hd], "left_anti").select(*cols)
+    return rows.join(latest, [pk, hd], "left_anti").select(*cols)
 
 
 SAT_USER_COLS = ["user_pk", "user_hashdiff", "phone", "effective_from", *AUDIT]

@@ -115,15 +115,20 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
     n_multi = multi.count()
     multi_side = F.broadcast(multi) if n_multi <= broadcast_limit(multi) else multi
 
-    single = stage.join(multi_side, pk, "left_anti")
+    # distinct before the join and NULL keys past it: neither a hot user nor the
+    # NULL keys then meet in one task of the join
+    rows = stage.select(*cols)
+    single = (rows.where(F.col(pk).isNotNull()).distinct().join(multi_side, pk, "left_anti").select(*cols)
+              .unionByName(rows.where(F.col(pk).isNull()).distinct()))
     total = sum(staged.sizes.values())
     table.append(V.sat_load(single, table.read(), pk, hd, cols,
-                            sat_rows=start_rows, batch_rows=total))
+                            sat_rows=start_rows, batch_rows=total, unique=True))
     if n_multi == 0:
         return table.read()
 
     def batch_of(year: int) -> DataFrame:
-        return staged.batch(year).join(multi_side, pk, "left_semi").select(*cols)
+        rows = staged.batch(year).select(*cols).where(F.col(pk).isNotNull()).distinct()
+        return rows.join(multi_side, pk, "left_semi").select(*cols)
 
     first_ld = staged.load_dates[staged.years[0]][0]
     if staged.increasing_load_dates() and (sat_max is None or sat_max < first_ld):
@@ -144,7 +149,7 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
             latest = st.read().select(pk, hd)
             if state_rows <= limit:
                 latest = F.broadcast(latest)
-            ins = cut(batch_of(year).distinct().join(latest, [pk, hd], "left_anti"),
+            ins = cut(batch_of(year).join(latest, [pk, hd], "left_anti"),
                       f"{name}-ins")
             pieces.append(ins)     # each year's inserts are already written once
             # keys with new versions take them as their newest; others keep theirs
@@ -166,7 +171,7 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
         tbl, bound = state
         batch_rows = staged.sizes[year]
         tbl.append(V.sat_load(batch_of(year), tbl.read(), pk, hd, cols,
-                              sat_rows=bound, batch_rows=batch_rows))
+                              sat_rows=bound, batch_rows=batch_rows, unique=True))
         return tbl, bound + batch_rows
 
     backfill(staged.years, general_step, (table, start_rows + total))

@@ -10,6 +10,9 @@ with Spark (``sources.fixtures``) and runs over all of them:
 * report and star (Q21-Q27) cover every billing year;
 * the second vault (Q14, Q16, Q19, Q20, Q22) is one run over the whole ODS,
   as its views take no year;
+* the ``_year`` entries are the lake loads' yearly form;
+* the ``_two_batches`` entries load a target with one batch and then with a second
+  that overlaps it (the year OVERLAP) and repeats its NULL keys;
 * Q28 is the reference's schedule itself: the combined vault + report run
   folded over every year, returning the fact table (same rows as Q27).
 """
@@ -38,6 +41,8 @@ from vaultmart.sources.lake import scan, scan_year
 RELOAD_YEAR = 1998
 V2_LOAD_DATE = "2002-01-01 00:00:00"
 V1_VIEW_LOAD_DATE = "2002-01-01"
+LAKE_YEAR, EVENT_YEAR = 1998, 2024      # of the yearly lake loads
+OVERLAP = 1997                          # the year that both of two batches hold
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +103,14 @@ def q07(spark, sf_dir):
     return O.ods_payment_reload(stale, _raw(spark, sf_dir, "stg_payment_typed"), RELOAD_YEAR)
 
 
+def _year(load, stg, year):
+    return lambda spark, sf_dir: load(_raw(spark, sf_dir, stg), year)
+
+
+def q05_year(spark, sf_dir):
+    return M.dm_bytes_received(O.ods_traffic(_raw(spark, sf_dir, "stg_traffic"), EVENT_YEAR), EVENT_YEAR)
+
+
 # ---------------------------------------------------------------- first vault
 
 def q08(spark, sf_dir):
@@ -252,6 +265,64 @@ def q22(spark, sf_dir):
     return M.payment_report_client(tlink, hbp, hu, client)
 
 
+# ---------------------------------------------------------------- two batches into one target
+
+def _after(target: DataFrame, inserted: DataFrame) -> DataFrame:
+    return target.unionByName(inserted)
+
+
+def _two(stage_of, load, name):
+    """A target after a batch of all years to OVERLAP and one of all from it."""
+    def run(spark, sf_dir):
+        early, late = stage_of(spark, sf_dir)
+        target = cut(load(early, _empty(spark, name)), name)
+        return _after(target, load(late, target))
+    return run
+
+
+def _two_stages(ods_of, stage):
+    def stages(spark, sf_dir):
+        ods = ods_of(spark, sf_dir)
+        year = F.year("pay_date")
+        return (stage(ods.where(year.isNull() | (year <= OVERLAP)), f"{OVERLAP + 1}-01-01 00:00:00"),
+                stage(ods.where(year.isNull() | (year >= OVERLAP)), V2_LOAD_DATE))
+    return stages
+
+
+_first = _two_stages(_ods, lambda ods, at: V.payment_stage(ods, load_date=at))
+_second = _two_stages(_typed_ods, V2.payment_stage_v2)
+
+
+def _two_hub(name):
+    return _two(_first, lambda stage, hub: V.hub_load(stage, hub, *V.HUBS[name]), name)
+
+
+def _two_sat(name):
+    return _two(_first, lambda stage, sat: V.sat_load(stage, sat, *V.SATS[name]), name)
+
+
+def q20_two(spark, sf_dir):
+    """The second batch's master data has another billing mode for every fifth client."""
+    mdm = cut(_raw(spark, sf_dir, "mdm_user"), "mdm_user")
+    changed = mdm.withColumn("billing_mode", F.when(F.col("id") % 5 == 0, "TRIAL").otherwise(F.col("billing_mode")))
+    early, late = _second(spark, sf_dir)
+    pk_keys = V.HUBS["hub_user"]
+    hub = cut(V.hub_load(early, _empty(spark, "hub_user"), *pk_keys), "hub_user")
+    sat = cut(V2.sat_user_as_client(mdm, hub, _empty(spark, "sat_user_as_client"), f"{OVERLAP + 1}-01-01 00:00:00"),
+              "sat_user_as_client")
+    hub = _after(hub, V.hub_load(late, hub, *pk_keys))
+    return _after(sat, V2.sat_user_as_client(changed, hub, sat, V2_LOAD_DATE))
+
+
+def _two_dim(name):
+    def run(spark, sf_dir):
+        column, key, ktype = M.DIMS[name]
+        report, _ = _report_all(spark, sf_dir)
+        dim = cut(M.dim_load(report.where(F.col("billing_year") <= OVERLAP), None, column, key, ktype), name)
+        return _after(dim, M.dim_load(report.where(F.col("billing_year") >= OVERLAP), dim, column, key, ktype))
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "Q01_ods_billing": q01,
     "Q02_ods_issue": q02,
@@ -282,4 +353,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "Q27_report_fact": q27,
     "Q28_backfill": q28,
     "Q29_combined_run_second_vault": q29,
+    "Q01_ods_billing_year": _year(O.ods_billing, "stg_billing", LAKE_YEAR),
+    "Q02_ods_issue_year": _year(O.ods_issue, "stg_issue", EVENT_YEAR),
+    "Q03_ods_payment_year": _year(O.ods_payment, "stg_payment", LAKE_YEAR),
+    "Q04_ods_traffic_year": _year(O.ods_traffic, "stg_traffic", EVENT_YEAR),
+    "Q05_dm_bytes_received_year": q05_year,
+    "Q10_hub_user_two_batches": _two_hub("hub_user"),
+    "Q11_hub_account_two_batches": _two_hub("hub_account"),
+    "Q12_hub_billing_period_two_batches": _two_hub("hub_billing_period"),
+    "Q13_hub_pay_doc_two_batches": _two_hub("hub_pay_doc"),
+    "Q14_hub_payment_two_batches": _two(_second, V2.hub_payment, "hub_payment"),
+    "Q15_link_two_batches": _two(_first, lambda stage, link: V.link_load(stage, link, V.LINK_PK, V.LINK_COLS),
+                                 "link_user_account_billing_pay"),
+    "Q16_t_link_payment_two_batches": _two(_second, V2.t_link_payment, "t_link_payment"),
+    "Q17_sat_user_details_two_batches": _two_sat("sat_user_details"),
+    "Q18_sat_pay_details_two_batches": _two_sat("sat_pay_details"),
+    "Q19_sat_payment_doc_type_two_batches": _two(_second, V2.sat_payment_doc_type, "sat_payment_doc_type"),
+    "Q20_sat_user_as_client_two_batches": q20_two,
+    "Q23_dim_billing_year_two_batches": _two_dim("dim_billing_year"),
+    "Q24_dim_legal_type_two_batches": _two_dim("dim_legal_type"),
+    "Q25_dim_district_two_batches": _two_dim("dim_district"),
+    "Q26_dim_registration_year_two_batches": _two_dim("dim_registration_year"),
 }

@@ -17,8 +17,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vaultmart.functions.lineage import BucketedTable, ScratchTable, cut, scratch_path
+from vaultmart.functions.lineage import BucketedTable, ScratchTable, scratch_path
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -106,7 +107,8 @@ def run_vault_year(ods, vault: Vault, year: int) -> Vault:
     """``ods``: the ODS DataFrame, or a function year -> DataFrame that reads only
     that year's partition of a year-partitioned ODS (partition pruning)."""
     ods_year = ods(year) if callable(ods) else ods
-    stage = cut(V.payment_stage(ods_year, year), "stage")   # read by 7 loaders
+    staged = ScratchTable.of(V.payment_stage(ods_year, year), "stage")   # read by 7 loaders
+    stage = staged.read()
     n = stage.count()
     b = vault.bounds
     for name, (pk, keys) in V.HUBS.items():
@@ -121,6 +123,7 @@ def run_vault_year(ods, vault: Vault, year: int) -> Vault:
         table.append(V.sat_load(stage, table.read(), pk, hd, cols, b[name], n))
     for name in b:
         b[name] += n
+    staged.drop()
     return vault
 
 
@@ -132,14 +135,20 @@ class Report:
     fact: ScratchTable | None = None
     spec: dict = field(default_factory=lambda: M.DIMS)
     bounds: dict = field(default_factory=dict)
+    replace_years: bool = False
 
     @classmethod
-    def empty(cls, spark: SparkSession, spec: dict | None = None) -> "Report":
-        return cls.open(spark, None, spec=spec)
+    def empty(cls, spark: SparkSession, spec: dict | None = None, replace_years: bool = False) -> "Report":
+        return cls.open(spark, None, spec=spec, replace_years=replace_years)
 
     @classmethod
-    def open(cls, spark: SparkSession, root: str | None, prefix: str = "", spec: dict | None = None) -> "Report":
-        """The star stored under ``root``, as ``Vault.open``; ``root=None``: a new one."""
+    def open(cls, spark: SparkSession, root: str | None, prefix: str = "", spec: dict | None = None,
+             replace_years: bool = False) -> "Report":
+        """The star stored under ``root``, as ``Vault.open``; ``root=None``: a new one.
+
+        Facts are appended, as in the reference, so a rerun of a year doubles it
+        (t10).  ``replace_years``: the fact is partitioned by billing year, and a
+        run replaces its year."""
         spec = spec or M.DIMS
 
         def path(name):
@@ -147,15 +156,16 @@ class Report:
 
         dims = {name: ScratchTable(spark, name, S.dim_schema(key, _spark_type(ktype)), path=path(name))
                 for name, (_, key, ktype) in spec.items()}
-        return cls(dims=dims, fact=ScratchTable(spark, "report_fact", S.REPORT_FACT, path=path("report_fact")),
-                   spec=spec, bounds={name: t.read().count() if root else 0 for name, t in dims.items()})
+        fact = ScratchTable(spark, "report_fact", S.REPORT_FACT, ["billing_year_id"] if replace_years else None,
+                            path=path("report_fact"))
+        return cls(dims=dims, fact=fact, spec=spec, replace_years=replace_years, bounds={name: t.read().count() if root else 0 for name, t in dims.items()})
 
 
 def _spark_type(name: str):
     return {"int": S.INT, "string": S.STRING}[name]
 
 
-def load_star(rep: DataFrame, report: Report) -> Report:
+def load_star(rep: DataFrame, report: Report, year: int) -> Report:
     """Dimensions, then the fact, from one year's (materialised) report."""
     n = rep.count()
     for name, (column, key, ktype) in report.spec.items():
@@ -163,17 +173,24 @@ def load_star(rep: DataFrame, report: Report) -> Report:
         existing = table.read() if report.bounds[name] > 0 else None   # proven empty: skip it
         table.append(M.dim_load(rep, existing, column, key, ktype, report_rows=n))
         report.bounds[name] += n
-    report.fact.append(M.report_fact(rep, {k: t.read() for k, t in report.dims.items()},
-                                     report.spec, dim_rows=report.bounds))
+    fact = M.report_fact(rep, {k: t.read() for k, t in report.dims.items()}, report.spec, dim_rows=report.bounds)
+    if report.replace_years:
+        _, key, _ = report.spec["dim_billing_year"]
+        ids = report.dims["dim_billing_year"].read().where(F.col(key) == year).select("id").collect()  # one row
+        report.fact.replace(fact, [r["id"] for r in ids])
+    else:
+        report.fact.append(fact)
     return report
 
 
 def run_report_year(vault: Vault, mdm: DataFrame, report: Report, year: int) -> Report:
-    rep = cut(M.payment_report(vault.link_user_account_billing_pay.read(),
-                               vault.hub_billing_period.read(), vault.sat_pay_details.read(),
-                               vault.hub_user.read(), mdm, year,
-                               hub_bp_rows=vault.bounds["hub_billing_period"]), "report")
-    return load_star(rep, report)
+    rep = ScratchTable.of(M.payment_report(vault.link_user_account_billing_pay.read(),
+                                           vault.hub_billing_period.read(), vault.sat_pay_details.read(),
+                                           vault.hub_user.read(), mdm, year,
+                                           hub_bp_rows=vault.bounds["hub_billing_period"]), "report")
+    load_star(rep.read(), report, year)
+    rep.drop()
+    return report
 
 
 # ---------------------------------------------------------------- E2 + E3
@@ -217,7 +234,8 @@ def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year:
     # O(one year) written, other years and NULL-dated rows untouched
     sinks.overwrite_partition(O.ods_payment(stg, year), v.ods_root, year, "ods_payment")
     ods = scan(stg.sparkSession, "ods_payment", v.ods_root).drop("year")
-    stage = cut(V2.payment_stage_v2(ods, load_date), "stage_v2")
+    staged = ScratchTable.of(V2.payment_stage_v2(ods, load_date), "stage_v2")
+    stage = staged.read()
     n = stage.count()
     b = v.bounds
     if "_mdm" not in b:
@@ -241,8 +259,10 @@ def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year:
         if name not in ("_mdm", "sat_user_as_client"):
             b[name] += n
     b["sat_user_as_client"] += b["_mdm"]
-    rep = cut(M.payment_report_client(v.t_link_payment.read(), v.hub_billing_period.read(),
-                                      v.hub_user.read(), v.sat_user_as_client.read(), year,
-                                      hub_bp_rows=b["hub_billing_period"]), "report_v2")
-    load_star(rep, v.report)
+    staged.drop()
+    rep = ScratchTable.of(M.payment_report_client(v.t_link_payment.read(), v.hub_billing_period.read(),
+                                                  v.hub_user.read(), v.sat_user_as_client.read(), year,
+                                                  hub_bp_rows=b["hub_billing_period"]), "report_v2")
+    load_star(rep.read(), v.report, year)
+    rep.drop()
     return v
