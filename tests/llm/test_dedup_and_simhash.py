@@ -138,3 +138,16 @@ def test_gray_index_finds_each_near_pair_once():
     got = sorted((int(i), int(j)) for a, b in index.pairs(2) for i, j in zip(a, b))
     near = np.bitwise_count(index.codes[:, None] ^ index.codes[None, :]) <= 2
     assert got == sorted((int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(near, 1))))
+
+
+def test_simhash_classes_of_hot_and_rare_codes(spark, monkeypatch):
+    """A third of the rows share a code, others have few rows; whatever counts as
+    hot, every row keeps its class."""
+    docs = spark.createDataFrame([(i, "the hot text of many copies" if i % 3 == 0 else f"rare text number {i % 400}")
+                                  for i in range(1200)], "doc_id long, text string")
+    found = []
+    for most in (1, 10, 1000):
+        monkeypatch.setattr(simhash, "HOT_CODES", most)
+        found.append(sorted(tuple(r) for r in simhash.near_duplicates(docs).collect()))
+    assert len(found[0]) == 1200 and found[0] == found[1] == found[2]
+    assert {r[2] for r in found[0] if r[0] % 3 == 0} == {0}

@@ -23,7 +23,9 @@ How the links are found without comparing all pairs:
 * a task hands on only (code, smallest code it reaches in this group), not pairs.
 
 Components are then merged over the whole table by rounds of large-star and
-small-star steps, each round a written table.
+small-star steps, each round a written table.  Rows get their class by their
+code; codes with at least a HOT_CODES-th of all rows (so at most HOT_CODES) are
+broadcast, so that a big group of copies never meets in one task.
 
 Defined results.  NULL text counts as empty.  Rows with equal doc_id are
 separate rows with their own fingerprint.  NULL doc_ids get a class like any
@@ -45,6 +47,7 @@ from pyspark.sql import functions as F
 from vaultmart.functions.lineage import cut
 from vaultmart.llm.common import id_and_text, named, unpacked, whole_row
 
+HOT_CODES = 1_000        # most codes that are broadcast to their rows
 GROUP_LIMIT = 16_384     # most codes one task joins at once
 LEAF, FAN = 16, 8        # codes in a leaf, children of a node
 FRONTIER = 1 << 18       # most node pairs expanded at once
@@ -300,14 +303,22 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Adds to rows with (doc_id, code): root (one code of the row's class, the
     same for all of it) and component_id."""
-    codes = cut(prints.groupBy("code").agg(F.min("doc_id").alias("least")), "simhash-codes")
+    codes = cut(prints.groupBy("code").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")),
+                "simhash-codes")
+    rows = codes.agg(F.sum("n")).first()[0] or 0
     roots = components(links(codes, max_bits))
     linked = codes.join(roots, "code")
     smallest = linked.groupBy("root").agg(F.min("least").alias("linked_least"))
-    named_codes = codes.join(linked.join(smallest, "root").select("code", "root", "linked_least"), "code", "left")
-    return prints.join(named_codes.select(
-        "code", F.coalesce("root", "code").alias("root"),
-        F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("linked_least")).alias("component_id")), "code")
+    named_codes = cut(
+        codes.join(linked.join(smallest, "root").select("code", "root", "linked_least"), "code", "left").select(
+            "code", "n", F.coalesce("root", "code").alias("root"),
+            F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("linked_least")).alias("component_id")),
+        "simhash-classes")
+    is_hot = F.col("n") * HOT_CODES >= rows
+    hot = F.broadcast(named_codes.where(is_hot).drop("n"))         # at most HOT_CODES codes
+    return prints.join(hot, "code").unionByName(
+        prints.join(hot.select("code"), "code", "left_anti")
+              .join(named_codes.where(~is_hot).drop("n"), "code"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
