@@ -387,9 +387,8 @@ def q27() -> str:
 
 # ------------------------------------------------------------------ second vault (one run, whole ODS)
 
-def _stage_v2(w: With, dated: bool = False) -> str:
-    """The whole typed ODS; ``dated``: as yearly reloads fill it, without the
-    rows that have no date."""
+def _stage_v2(w: With) -> str:
+    """The whole typed ODS, rows without a date included."""
     w.stg("stg_payment_typed")
     w.add("stage_v2", f"""
 SELECT user_id, pay_doc_type, pay_doc_num, account, phone, billing_period, pay_date, sum,
@@ -399,7 +398,7 @@ SELECT user_id, pay_doc_type, pay_doc_num, account, phone, billing_period, pay_d
   {_hk('billing_period')} AS billing_period_pk,
   {_hk('pay_doc_type', 'pay_doc_num')} AS pay_pk, {_hk('pay_doc_type')} AS pay_doc_type_id,
   TIMESTAMP '{V2_LOAD_DATE}' AS load_date, pay_date AS effective_from
-FROM stg_payment_typed WHERE pay_date IS NOT NULL OR NOT {dated}""")
+FROM stg_payment_typed""")
     return "stage_v2"
 
 
@@ -464,12 +463,50 @@ FROM {tl} JOIN {hbp} USING (billing_period_pk) SEMI JOIN {hu} USING (user_pk)"""
     return "report_v2"
 
 
+CLIENT = ["legal_type", "district", "registered_at", "billing_mode", "is_vip"]
+
+
+def _reports_v2(w: With) -> str:
+    """The reports of the combined runs: each run reloads its year, loads all
+    reloaded years with its own LOAD_DATE into the tables the runs before it left,
+    and reports the payments of its billing year that are stored by then."""
+    stage = _stage_v2(w)
+    w.stg("mdm_user")
+    links, clients, reports = "run_links_0", "run_clients_0", []
+    w.add(links, f"SELECT {', '.join(T_LINK_COLS)} FROM {stage} WHERE false")
+    w.add(clients, f"SELECT {_hk('id')} AS user_pk, {', '.join(CLIENT)} FROM mdm_user WHERE false")
+    for y in YEARS:
+        batch, periods = f"reloaded_{y}", f"run_periods_{y}"
+        w.add(batch, f"""
+SELECT * REPLACE (TIMESTAMP '{y}-01-01 00:00:00' AS load_date) FROM {stage} WHERE year(pay_date) <= {y}""")
+        w.add(f"run_links_{y}", f"""
+SELECT * FROM {links} UNION ALL
+SELECT DISTINCT {', '.join(T_LINK_COLS)} FROM {batch}
+WHERE NOT EXISTS (FROM {links} AS s WHERE s.pay_pk = {batch}.pay_pk)""")
+        # a version is stored if the client has none with the same attributes
+        same = " AND ".join(f"s.{c} IS NOT DISTINCT FROM m.{c}" for c in CLIENT)
+        w.add(f"run_clients_{y}", f"""
+SELECT * FROM {clients} UNION ALL
+SELECT DISTINCT {_hk('id')}, {', '.join(CLIENT)} FROM mdm_user AS m
+WHERE {_hk('id')} IN (SELECT user_pk FROM {batch} WHERE user_pk IS NOT NULL)
+  AND NOT EXISTS (FROM {clients} AS s WHERE s.user_pk = {_hk('m.id')} AND {same})""")
+        links, clients = f"run_links_{y}", f"run_clients_{y}"
+        w.add(periods, _new_keys(batch, None, "billing_period_pk",
+                                 ["billing_period_pk", "billing_period_key", "load_date", "record_source"]))
+        w.add(f"run_paid_{y}", f"""
+SELECT user_pk, {y} AS billing_year, {links}.sum AS amount FROM {links} JOIN {periods} USING (billing_period_pk)
+WHERE user_pk IS NOT NULL AND CAST(left(billing_period_key, 4) AS INTEGER) = {y}""")
+        w.add(f"run_report_{y}", _revenue(f"run_paid_{y}", clients, "user_pk"))
+        reports.append(f"SELECT * FROM run_report_{y}")
+    w.add("run_reports", " UNION ALL ".join(reports))
+    return "run_reports"
+
+
 def q29() -> str:
-    """Combined run: the second vault's report per year, then variant-B dimensions
+    """Combined run: the report of each yearly run, then variant-B dimensions
     (registration year kept as a number) and the fact."""
     w = With()
-    _stage_v2(w, dated=True)
-    r = _report_v2(w)
+    r = _reports_v2(w)
     return w.sql(_fact(r, {n: _dim_chain(w, n, r, spec=DIMS_B, prefix="b_") for n in DIMS_B}, DIMS_B))
 
 

@@ -15,6 +15,8 @@ recomputation of the whole history:
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,15 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return ScratchTable.of(df, name).read()
 
 
+def together(*loads: Callable[[], None]) -> None:
+    """Run independent loads at the same time, so that the jobs of one fill the
+    cores that another leaves idle; the first error is raised once all ended."""
+    with ThreadPoolExecutor(len(loads)) as pool:
+        started = [pool.submit(load) for load in loads]
+    for load in started:
+        load.result()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 

@@ -3,9 +3,9 @@
 Building blocks (SURVEY 2.8), each returning the rows to *insert*:
 
 ``hub_load``   first row per hash key (by load date, then key text) whose key
-               the hub does not hold.  Implemented as an aggregation
-               (``min`` of a struct) rather than a window, so rows of a hot
-               key collapse map-side before the shuffle.
+               the hub does not hold.  Implemented as two aggregations
+               rather than a window, so rows of a hot key collapse map-side
+               before the shuffle.
 ``link_load``  distinct rows whose key the link does not hold.
 ``sat_load``   rows whose (key, hashdiff) is not among the key's latest
                versions; "latest" = versions with the newest load date at or
@@ -112,7 +112,11 @@ def _first_per_key(stage: DataFrame, pk: str, keys: list[str], per_batch_null: b
     group = [F.col(pk)]
     if per_batch_null:
         group.append(F.when(F.col(pk).isNull(), F.col("load_date")).alias("_null_batch"))
-    first = (stage.groupBy(*group)
+    # the earliest date per spelling first: a hash aggregate over the raw rows,
+    # as its buffer is a number; min(struct) with text sorts, but only what is left
+    spelled = (stage.groupBy(*group, *keys, "record_source")
+               .agg(F.min("load_date").alias("load_date")))
+    first = (spelled.groupBy(pk, *(["_null_batch"] if per_batch_null else []))
              .agg(F.min(F.struct("load_date", *keys, "record_source")).alias("_f")))
     return first.select(pk, *[F.col(f"_f.{c}").alias(c) for c in keys], "_f.load_date",
                         "_f.record_source")

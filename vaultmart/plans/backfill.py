@@ -159,9 +159,10 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
             kept = st.read().join(new_keys, pk, "left_anti")
             nxt = ScratchTable.of(kept.unionByName(ins.select(pk, hd, "load_date").distinct()),
                                   f"{name}-latest")
+            st.drop()              # the years before are in the new state
             return nxt, state_rows + batch_rows
 
-        backfill(staged.years, step, (state, start_rows))
+        backfill(staged.years, step, (state, start_rows))[0].drop()
         out = pieces[0]
         for piece in pieces[1:]:
             out = out.unionByName(piece)

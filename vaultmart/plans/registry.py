@@ -219,6 +219,7 @@ def q29(spark, sf_dir):
     years = B.batch_years(V.payment_stage(O.ods_payment_copy(stg)))
     v2 = B.backfill(years, lambda st, y: Y.run_second_vault_year(stg, mdm, st, y),
                     Y.SecondVault.empty(spark))
+    v2.drop_stage()
     return v2.report.fact.read()
 
 

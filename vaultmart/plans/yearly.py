@@ -15,11 +15,13 @@ wrote, exactly like the reference's INSERT INTO ... SELECT loads.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.functions.lineage import BucketedTable, ScratchTable, scratch_path
+from vaultmart.functions import dates as D
+from vaultmart.functions.lineage import BucketedTable, ScratchTable, scratch_path, together
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -111,16 +113,22 @@ def run_vault_year(ods, vault: Vault, year: int) -> Vault:
     stage = staged.read()
     n = stage.count()
     b = vault.bounds
-    for name, (pk, keys) in V.HUBS.items():
+
+    def hub(name, pk, keys):
         table = getattr(vault, name)
         table.append(V.hub_load(stage, table.read(), pk, keys, b[name], n))
-    name = "link_user_account_billing_pay"
-    vault.link_user_account_billing_pay.append(
-        V.link_load(stage, vault.link_user_account_billing_pay.read(), V.LINK_PK, V.LINK_COLS,
-                    b[name], n))
-    for name, (pk, hd, cols) in V.SATS.items():
+
+    def link(name):
+        table = getattr(vault, name)
+        table.append(V.link_load(stage, table.read(), V.LINK_PK, V.LINK_COLS, b[name], n))
+
+    def sat(name, pk, hd, cols):
         table = getattr(vault, name)
         table.append(V.sat_load(stage, table.read(), pk, hd, cols, b[name], n))
+
+    together(*[partial(hub, name, *spec) for name, spec in V.HUBS.items()],
+             partial(link, "link_user_account_billing_pay"),
+             *[partial(sat, name, *spec) for name, spec in V.SATS.items()])
     for name in b:
         b[name] += n
     staged.drop()
@@ -168,11 +176,14 @@ def _spark_type(name: str):
 def load_star(rep: DataFrame, report: Report, year: int) -> Report:
     """Dimensions, then the fact, from one year's (materialised) report."""
     n = rep.count()
-    for name, (column, key, ktype) in report.spec.items():
+
+    def dim(name, column, key, ktype):
         table = report.dims[name]
         existing = table.read() if report.bounds[name] > 0 else None   # proven empty: skip it
         table.append(M.dim_load(rep, existing, column, key, ktype, report_rows=n))
         report.bounds[name] += n
+
+    together(*[partial(dim, name, *spec) for name, spec in report.spec.items()])
     fact = M.report_fact(rep, {k: t.read() for k, t in report.dims.items()}, report.spec, dim_rows=report.bounds)
     if report.replace_years:
         _, key, _ = report.spec["dim_billing_year"]
@@ -204,6 +215,8 @@ def run_combined_year(ods, mdm: DataFrame, state: tuple[Vault, Report],
 
 # ---------------------------------------------------------------- E4
 
+UNDATED = "undated"     # the stage's partition of rows without pay_date
+
 @dataclass
 class SecondVault:
     ods_root: str
@@ -217,14 +230,27 @@ class SecondVault:
     sat_user_as_client: ScratchTable
     report: Report
     bounds: dict = field(default_factory=dict)
+    stage: ScratchTable | None = None      # hash keys of the ODS, partitioned as it is
 
     @classmethod
     def empty(cls, spark: SparkSession) -> "SecondVault":
-        names = [n for n in cls.__dataclass_fields__ if n not in ("ods_root", "report", "bounds")]
+        names = [n for n in cls.__dataclass_fields__ if n not in ("ods_root", "report", "bounds", "stage")]
         tables = {name: ScratchTable(spark, name, S.REGISTRY[name]) for name in names}
         return cls(ods_root=scratch_path(spark, "ods_payment"), **tables,
                    report=Report.empty(spark, M.DIMS_B), bounds={name: 0 for name in names})
 
+    def drop_stage(self) -> None:
+        """Delete the staged hash keys; the next run stages the whole ODS again."""
+        if self.stage is not None:
+            self.stage.drop()
+            self.stage = None
+
+
+def _staged_v2(ods: DataFrame, load_date: str) -> DataFrame:
+    """The stage of some ODS partitions, by their year."""
+    stage = V2.payment_stage_v2(ods, load_date)
+    return stage.withColumn("ods_year", F.coalesce(F.year("pay_date").cast("string"), F.lit(UNDATED)))
+
 
 def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year: int) -> SecondVault:
     """One run of the combined DAG.  Its load views take no year: every run
@@ -233,33 +259,44 @@ def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year:
     # slice reload (DELETE the year, INSERT the year) as one partition overwrite:
     # O(one year) written, other years and NULL-dated rows untouched
     sinks.overwrite_partition(O.ods_payment(stg, year), v.ods_root, year, "ods_payment")
-    ods = scan(stg.sparkSession, "ods_payment", v.ods_root).drop("year")
-    staged = ScratchTable.of(V2.payment_stage_v2(ods, load_date), "stage_v2")
-    stage = staged.read()
+    # hashed once per reload: the rows of other years keep their keys, so a run
+    # stages only what it reloaded and gives all rows its own LOAD_DATE
+    if v.stage is None:
+        ods = scan(stg.sparkSession, "ods_payment", v.ods_root)
+        v.stage = ScratchTable.of(_staged_v2(ods, load_date), "stage_v2", partition_by=["ods_year"])
+    else:
+        v.stage.replace(_staged_v2(scan_year(stg.sparkSession, "ods_payment", v.ods_root, year), load_date),
+                        [str(year)])
+    stage = v.stage.read().withColumn("load_date", D.ts_literal(load_date))
     n = stage.count()
     b = v.bounds
     if "_mdm" not in b:
         b["_mdm"] = mdm.count()
-    for name, pk, keys in [("hub_user", *V.HUBS["hub_user"]),
-                           ("hub_account", *V.HUBS["hub_account"]),
-                           ("hub_payment", "pay_pk", ["pay_doc_type_id", "pay_doc_num"]),
-                           ("hub_billing_period", *V.HUBS["hub_billing_period"])]:
+
+    def hub(name, pk, keys):
         table = getattr(v, name)
         table.append(V.hub_load(stage, table.read(), pk, keys, b[name], n))
-    v.t_link_payment.append(V2.t_link_payment(stage, v.t_link_payment.read(),
-                                              link_rows=b["t_link_payment"], batch_rows=n))
-    v.sat_user_details.append(V.sat_load(stage, v.sat_user_details.read(),
-                                         *V.SATS["sat_user_details"], b["sat_user_details"], n))
-    v.sat_payment_doc_type.append(V2.sat_payment_doc_type(
-        stage, v.sat_payment_doc_type.read(), b["sat_payment_doc_type"], n))
-    v.sat_user_as_client.append(V2.sat_user_as_client(
-        mdm, v.hub_user.read(), v.sat_user_as_client.read(), load_date,
-        sat_rows=b["sat_user_as_client"], batch_rows=b["_mdm"]))
+
+    def clients():
+        hub("hub_user", *V.HUBS["hub_user"])       # a client is stored once the hub knows the user
+        v.sat_user_as_client.append(V2.sat_user_as_client(
+            mdm, v.hub_user.read(), v.sat_user_as_client.read(), load_date,
+            sat_rows=b["sat_user_as_client"], batch_rows=b["_mdm"]))
+
+    together(clients,
+             partial(hub, "hub_account", *V.HUBS["hub_account"]),
+             partial(hub, "hub_payment", "pay_pk", ["pay_doc_type_id", "pay_doc_num"]),
+             partial(hub, "hub_billing_period", *V.HUBS["hub_billing_period"]),
+             lambda: v.t_link_payment.append(V2.t_link_payment(
+                 stage, v.t_link_payment.read(), link_rows=b["t_link_payment"], batch_rows=n)),
+             lambda: v.sat_user_details.append(V.sat_load(
+                 stage, v.sat_user_details.read(), *V.SATS["sat_user_details"], b["sat_user_details"], n)),
+             lambda: v.sat_payment_doc_type.append(V2.sat_payment_doc_type(
+                 stage, v.sat_payment_doc_type.read(), b["sat_payment_doc_type"], n)))
     for name in b:
         if name not in ("_mdm", "sat_user_as_client"):
             b[name] += n
     b["sat_user_as_client"] += b["_mdm"]
-    staged.drop()
     rep = ScratchTable.of(M.payment_report_client(v.t_link_payment.read(), v.hub_billing_period.read(),
                                                   v.hub_user.read(), v.sat_user_as_client.read(), year,
                                                   hub_bp_rows=b["hub_billing_period"]), "report_v2")
