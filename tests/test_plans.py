@@ -64,6 +64,53 @@ def test_first_row_per_key_combines_map_side(spark):
     assert plan.index("partial_min") > plan.index("Exchange hashpartitioning")
 
 
+def test_first_row_per_key_reads_the_raw_rows_into_a_hash_table(spark):
+    stage = _hub(spark, 20).unionByName(_hub(spark, 20))
+    plan = _plan(V.hub_load(stage, spark.createDataFrame([], HUB_SCHEMA), "pk", ["k"], hub_rows=0))
+    raw = [line for line in plan.splitlines() if "partial_min(load_date" in line]
+    assert raw and all("HashAggregate" in line for line in raw)
+
+
+@pytest.fixture()
+def split_early(spark):
+    """Shuffle joins only, and partitions of some kilobytes count as skewed."""
+    changed = {J.MAX_ROWS_CONF: "1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_the_history_of_a_hot_key_is_split(spark, split_early):
+    """A third of the satellite's versions and of the batch belong to one key."""
+    from pyspark.sql import functions as F
+
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 20_000))
+
+    def rows(first, last, year):
+        return (spark.range(first, last, 1, 16)     # enough map outputs to split one reducer's input
+                .select(key.alias("pk"), F.md5(F.col("id").cast("string")).alias("hd"),
+                        F.lit(ts(year)).cast("timestamp_ntz").alias("load_date")))
+
+    # the second half of the history comes again in the batch
+    out = V.sat_load(rows(30_000, 90_000, 1996), rows(0, 60_000, 1995), "pk", "hd", ["pk", "hd", "load_date"],
+                     sat_rows=60_000, batch_rows=60_000)
+    assert out.count() == 30_000
+    # of the cut-offs, and of the newest dates: both joins on the key are split
+    assert _final(out).count("SortMergeJoin(skew=true)") == 2
+
+
+def _final(df):
+    """The plan that has run (adaptive plans change while they run)."""
+    df.collect()
+    return _plan(df).split("== Initial Plan ==")[0]
+
+
 def test_no_static_broadcast_guesses(spark):
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
     assert int(spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")) > 0

@@ -227,7 +227,14 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
     else:
         cut_small = batch_rows <= limit if batch_rows is not None else fits_broadcast(cut_off)
         shuffled = not cut_small
-        qual = versions.join(cut_off if shuffled else F.broadcast(cut_off), pk)
+        if shuffled:
+            # joined on the key and its hash, which the grouping of the cut-offs is not
+            # partitioned by: both sides get exchanges of their own, and only then
+            # may AQE split a hot key's history
+            own = F.xxhash64(pk).alias("_own")
+            qual = versions.select("*", own).join(cut_off.select("*", own), [pk, "_own"]).drop("_own")
+        else:
+            qual = versions.join(F.broadcast(cut_off), pk)
     qual = qual.where(F.col("load_date") <= F.col("_cut"))
     if shuffled:
         # an exchange of its own for the grouping, so that it does not hold on to
