@@ -36,13 +36,14 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in mixed order; sources short of their weight are read again,
-    up to 1.5 times in all.  Nothing is left out."""
+    up to 1.5 times in all.  Nothing is left out.  The written files hold the order."""
     return mixing.mixed_rows(docs, entropy=0.95, repeat=1.5)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ranges of all documents, placed in sequences of 512 to 4,096 tokens."""
-    return packing.pack(docs)
+    """Token ranges of all documents, placed in sequences of 512 to 4,096 tokens;
+    shards are runs of the mixed order."""
+    return packing.pack(docs, in_order=True)
 
 
 STAGES = [("toxicity", without_toxic), ("exact dedup", without_copies), ("simhash near-dedup", without_near_copies),

@@ -5,7 +5,7 @@ import pytest
 import corpus_pipeline as P
 from tests.llm.conftest import EDGE
 from tests.llm.test_dedup_and_simhash import expected_groups, slow_components
-from vaultmart.llm import toxicity
+from vaultmart.llm import mixing, packing, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +60,24 @@ def test_no_documents(spark, folder):
     none = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     assert all(stage(spark, none, folder).count() == 0 for _, stage in P.STAGES)
     assert len(EDGE) == 9
+
+
+def test_pipeline_keeps_the_mixed_order(spark, tmp_path, monkeypatch):
+    """Stage 4 writes whole rows in the order of ``mix``, and packing deals runs of
+    that order; files of unlike sizes are not read in the order they were written."""
+    docs = spark.createDataFrame([(i, "w " * (i % 9), "hot" if i % 3 else f"s{i % 7}") for i in range(2000)],
+                                 "doc_id long, text string, source string").repartition(7)
+    want = [r["doc_id"] for r in mixing.mix(docs, block_tokens=500).orderBy("block", "position").collect()]
+    mixed = mixing.mixed_rows(docs, block_tokens=500)
+    assert [r["doc_id"] for r in mixed.collect()] == want
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    for rows in (spark.read.parquet(f"{tmp_path}/mixed"), mixed):
+        got = packing.pack(rows, shard_rows=300, in_order=True).toPandas()
+        for n in range(-(-len(want) // 300)):
+            shard = got[got["shard"] == n]
+            assert sorted(shard.doc_id) == sorted(want[300 * n:300 * n + 300])
+            first = {d: i for i, d in reversed(list(enumerate(want[300 * n:300 * n + 300])))}
+            ahead = shard.groupby("bin").doc_id.apply(lambda ids: min(first[d] for d in ids))
+            assert ahead.is_monotonic_increasing
+    monkeypatch.setattr(P.packing, "pack", lambda docs, **options: options)
+    assert P.packed(spark, docs, "") == {"in_order": True}

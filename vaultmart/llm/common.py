@@ -19,11 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id long, text string), NULL text read as empty.  Every other column
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """(doc_id long, text string, more), NULL text read as empty.  Every other column
     is left behind, so extra columns cannot clash with an operator's own."""
     return docs.select(named(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"), *more)
 
 
 def whole_row(docs: DataFrame) -> Column:

@@ -44,6 +44,7 @@ RANGE_ROWS = 4_096
 BROADCAST_SOURCES = 10_000
 SALTS = 32
 HASH_BITS = 60
+ORDER = ["block", "turn", "doc_id", "epoch", "tokens", "start"]      # the mixed reading order
 
 
 def token_count(text: Column) -> Column:
@@ -159,7 +160,7 @@ def _drawn(docs: DataFrame, entropy: float, repeat: float, budget: int | None, b
 
 def _positions(drawn: DataFrame) -> DataFrame:
     """A block has about ``block_tokens`` tokens, whatever the sources' sizes."""
-    order = Window.partitionBy("block").orderBy("turn", "doc_id", "epoch", "tokens", "start")
+    order = Window.partitionBy("block").orderBy(*ORDER[1:])
     return drawn.withColumn("position", F.row_number().over(order))
 
 
@@ -178,9 +179,10 @@ def mix(docs: DataFrame, entropy: float = 0.95, repeat: float = 1.5, budget: int
 def mixed_rows(docs: DataFrame, entropy: float = 0.95, repeat: float = 1.5, budget: int | None = None,
                block_tokens: int = 100_000, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
-    """The whole rows of ``docs`` in mixed order, block after block inside each
-    partition, repeated as the weights ask."""
+    """The whole rows of ``docs`` in mixed order, repeated as the weights ask: the
+    partitions are ranges of (block, turn) in rising order, and each is sorted, so
+    the files of a write hold the order of ``mix`` one after another."""
     base = docs.select(named(id_col).cast("long").alias("doc_id"), _key(named(source_col)).alias("source"),
                        token_count(named(text_col)).alias("tokens"), whole_row(docs).alias("row"))
-    placed = _positions(_drawn(base, entropy, repeat, budget, block_tokens, seed))
-    return unpacked(placed, docs.columns)
+    placed = _drawn(base, entropy, repeat, budget, block_tokens, seed)
+    return unpacked(placed.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER), docs.columns)

@@ -2,9 +2,10 @@
 
 Documents are measured in words ``[^\\x20\\x09-\\x0D]+`` plus one end.  What is
 longer than the largest capacity is cut into segments of that capacity and a
-rest, so no token is lost.  Segments are dealt by hash into shards of about
-``shard_rows`` (a number proportional to the rows, so no shard grows), and each
-shard is packed on its own in one group of (id, length) rows:
+rest, so no token is lost.  Segments are dealt into shards of about ``shard_rows``
+(a number proportional to the rows, so no shard grows): by hash, or, if the
+documents come ``in_order``, by runs of their reading order.  Each shard is packed
+on its own in one group of (id, length) rows:
 
 * segments by falling length; each goes to the open bin that it leaves with the
   least room (best fit; of equal bins the one opened last);
@@ -19,6 +20,12 @@ best fit in one step, so a segment costs constant time.
 Defined results.  NULL text is empty: one token, its end.  Repeated rows and rows
 with NULL or equal ids are separate documents.  An empty table gives an empty
 result; extra columns are ignored.  A bin's id is (shard, number).
+
+Reading order (``in_order``).  Documents read from files come in the order of the
+files' part numbers and of the rows inside them, as a sorted write left them; other
+rows in the order of their partitions.  Shard n is the nth run of ``shard_rows``
+segments, and its bins are numbered by their first segment in the order, so
+reading bins by (shard, bin) keeps the order up to the packing inside a shard.
 """
 
 from __future__ import annotations
@@ -26,19 +33,23 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultmart.functions.ids import append_sequence_ids
 from vaultmart.functions.lineage import cut
 from vaultmart.llm.common import id_and_text
 
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 32            # cost of a sequence besides its length, in tokens
 SHARD_ROWS = 20_000
+COLUMNS = ["shard", "bin", "capacity", "place_in_bin", "doc_id", "segment", "start", "length"]
 
 
 def _segments(largest: int):
-    """(doc_id, segment, start, length): a document's token ranges."""
+    """(doc_id, segment, start, length): a document's token ranges.  Columns after
+    doc_id and text are kept behind them."""
 
     def run(batches):
         for batch in batches:
@@ -48,9 +59,11 @@ def _segments(largest: int):
             segment = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             start = segment * largest
             length = np.minimum(words[doc] - start, largest)
+            kept = batch.schema.names[2:]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(doc)), pa.array(segment), pa.array(start), pa.array(length)],
-                names=["doc_id", "segment", "start", "length"])
+                [batch.column("doc_id").take(pa.array(doc)), pa.array(segment), pa.array(start), pa.array(length),
+                 *[batch.column(c).take(pa.array(doc)) for c in kept]],
+                names=["doc_id", "segment", "start", "length", *kept])
 
     return run
 
@@ -86,22 +99,52 @@ def best_fit(lengths: np.ndarray, capacities=CAPACITIES, overhead: int = OVERHEA
     return bins, offsets, np.array(final, np.int64)
 
 
+def _in_order(docs: DataFrame, largest: int, id_col: str, text_col: str) -> DataFrame:
+    """(at, doc_id, segment, start, length): ``at`` counts the segments from 1 in
+    the reading order."""
+    row = F.monotonically_increasing_id().alias("row")
+    try:
+        # a scan deals files to partitions by size: their names have the order
+        placed = id_and_text(docs, id_col, text_col, F.input_file_name().alias("file"), row)
+    except AnalysisException as e:
+        if e.getCondition() != "MULTI_SOURCES_UNSUPPORTED_FOR_EXPRESSION":
+            raise
+        placed = id_and_text(docs, id_col, text_col, F.lit("").alias("file"), row)     # partitions have it
+    segments = cut(placed.mapInArrow(
+        _segments(largest), "doc_id long, segment long, start long, length long, file string, row long"), "pack-segments")
+    # numbers of more than five digits would sort wrongly as text
+    part = F.nullif(F.regexp_extract("file", r"part-(\d+)[^/]*$", 1), F.lit("")).cast("long")
+    order = [F.col("part").asc_nulls_last(), *map(F.col, ("file", "row", "segment"))]
+    return append_sequence_ids(segments.withColumn("part", part), order, None, "at").drop("part", "file", "row")
+
+
 def pack(docs: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, shard_rows: int = SHARD_ROWS,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
     """One row per segment: shard, bin, capacity, place_in_bin (its first token's
     place), doc_id, segment, start (its first token in the document), length."""
     largest = max(capacities)
-    segments = cut(id_and_text(docs, id_col, text_col).mapInArrow(
-        _segments(largest), "doc_id long, segment long, start long, length long"), "pack-segments")
-    shards = max(1, -(-segments.count() // shard_rows))
+    if in_order:
+        dealt = _in_order(docs, largest, id_col, text_col)
+        dealt = dealt.withColumn("shard", F.floor((F.col("at") - 1) / F.lit(shard_rows)))
+        ties = ["at"]
+    else:
+        segments = cut(id_and_text(docs, id_col, text_col).mapInArrow(
+            _segments(largest), "doc_id long, segment long, start long, length long"), "pack-segments")
+        shards = max(1, -(-segments.count() // shard_rows))
+        # repeated rows of one id are spread too: the row's place in its partition is hashed as well
+        dealt = segments.withColumn("shard", F.pmod(F.xxhash64(
+            "doc_id", "segment", F.monotonically_increasing_id()), F.lit(shards)))
+        ties = ["doc_id", "segment"]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "segment"], ascending=[False, True, True], kind="stable")
+        rows = rows.sort_values(["length", *ties], ascending=[False, *[True] * len(ties)], kind="stable")
         bins, offsets, final = best_fit(rows["length"].to_numpy(), capacities, overhead)
-        return rows.assign(bin=bins, capacity=final[bins], place_in_bin=offsets)
+        capacity = final[bins]
+        if in_order:
+            first = np.full(len(final), np.iinfo(np.int64).max)
+            np.minimum.at(first, bins, rows["at"].to_numpy())
+            bins = np.argsort(np.argsort(first))[bins]
+        return rows.assign(bin=bins, capacity=capacity, place_in_bin=offsets)[COLUMNS]
 
-    # repeated rows of one id are spread too: the row's place in its partition is hashed as well
-    dealt = segments.withColumn("shard", F.pmod(F.xxhash64(
-        "doc_id", "segment", F.monotonically_increasing_id()), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(
         run, "shard long, bin long, capacity long, place_in_bin long, doc_id long, segment long, start long, length long")
