@@ -51,6 +51,15 @@ def test_mix_with_a_budget_draws_no_more_than_it(spark):
     assert 72 <= got.tokens.sum() <= 88 and got.block.max() == 1
 
 
+def test_a_tiny_source_beside_a_huge_one_is_read_once(spark):
+    """Weights far below the nine decimals of the reported column."""
+    for most in (10 ** 13, 3 * 10 ** 9):
+        docs = spark.createDataFrame([("huge", most), ("large", most // 3), ("tiny", 2)], "source string, tokens long")
+        sources, _ = mixing.quotas(docs, 0.0, 1.5, None, 100_000)
+        read = {r["source"]: r["quota"] / r["total"] for r in sources.collect()}
+        assert min(read.values()) >= 1 and max(read.values()) <= 1.5 + 1e-5, read
+
+
 def check_packing(got, docs, capacities):
     for (_, _), b in got.groupby(["shard", "bin"]):
         b = b.sort_values("place_in_bin")

@@ -9,7 +9,8 @@
    parts, each one small aggregation over the table of sources; the exponent is
    resolved to six decimals, on the side that keeps the repetition limit.
 3. Budget: ``budget`` tokens, or just enough that every source is read at least
-   once.  A source's quota is its weight's part of the budget.
+   once.  A source's quota is its weight's part of the budget.  Weights below 0.001
+   are not rounded here, only where they are reported.
 4. Permutation: in each epoch a source's documents are read in the order of a
    hash of (seed, epoch, doc_id), as often as the quota lasts; a document is drawn
    if it starts before the quota ends.  A document whose start is at the part x of
@@ -110,13 +111,23 @@ def quotas(docs: DataFrame, entropy: float, repeat: float, budget: int | None,
         return totals.select("*", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("quota")), 1
     raw = totals.withColumn("raw", F.pow(F.col("total") / F.lit(float(most)), F.lit(a)))
     # sums in a fixed scale, so that their order cannot change the result
-    raw = raw.withColumn("raw", F.round("raw", 12).cast("decimal(20,12)"))
+    raw = raw.withColumn("raw", _rounded("raw", 12).cast("decimal(38,30)"))
     z = raw.agg(F.sum("raw")).first()[0]
-    weighted = raw.withColumn("weight", F.round(F.col("raw").cast("double") / F.lit(float(z)), 9))
-    if budget is None:
+    weighted = raw.withColumn("weight", F.col("raw").cast("double") / F.lit(float(z)))
+    weighted = weighted.withColumn("weight", _rounded("weight", 9))
+    whole = budget is None
+    if whole:
         budget = weighted.agg(F.max(F.ceil(F.col("total") / F.col("weight")))).first()[0]
     blocks = max(1, -(-budget // block_tokens))
-    return weighted.drop("raw").withColumn("quota", F.round(F.col("weight") * budget).cast("long")), blocks
+    quota = F.round(F.col("weight") * budget).cast("long")
+    # without a budget every document is read, whatever the division lost
+    quota = F.greatest("total", quota) if whole else quota
+    return weighted.drop("raw").withColumn("quota", quota), blocks
+
+
+def _rounded(name: str, digits: int) -> Column:
+    """Rounded to ``digits`` decimals, but only where six significant ones stay."""
+    return F.when(F.col(name) >= 10.0 ** (6 - digits), F.round(name, digits)).otherwise(F.col(name))
 
 
 def _with_quota(docs: DataFrame, sources: DataFrame) -> DataFrame:
@@ -173,7 +184,8 @@ def mix(docs: DataFrame, entropy: float = 0.95, repeat: float = 1.5, budget: int
                        token_count(named(text_col)).alias("tokens"))
     base = cut(base, "mix-tokens")            # the texts are counted once
     return _positions(_drawn(base, entropy, repeat, budget, block_tokens, seed)).select(
-        "block", "position", "doc_id", _source(F.col("source")).alias("source"), "epoch", "tokens", "weight")
+        "block", "position", "doc_id", _source(F.col("source")).alias("source"), "epoch", "tokens",
+        F.round("weight", 9).alias("weight"))
 
 
 def mixed_rows(docs: DataFrame, entropy: float = 0.95, repeat: float = 1.5, budget: int | None = None,
