@@ -1,5 +1,6 @@
 import hashlib
 import math
+import textwrap
 
 import duckdb
 import numpy as np
@@ -186,6 +187,23 @@ def test_licenses_by_whole_text_and_by_line(spark, edge_docs, no_docs):
     assert licenses.scan(spark.createDataFrame([(1, "the known -- TEXT")], "doc_id long, text string"), own).first()["license"] == "X"
 
 
+def test_licenses_in_every_wrapping(spark):
+    """No line of a licence is taken for a copyright statement, wherever it begins."""
+    paragraphs = [" ".join(p.split()) for p in licenses._MIT.split("\n\n")]
+    assert "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM" in paragraphs[2]
+    texts = ["\n\n".join(textwrap.fill(p, n) for p in paragraphs) for n in (*range(30, 130), 5000)]
+    # the usual wrapping, and lines that begin with one word or both of "copyright holders"
+    texts += ["\n\n".join(paragraphs).replace(a, b) for a, b in (
+        ("AUTHORS OR", "\nAUTHORS OR"), ("OR COPYRIGHT", "OR\nCOPYRIGHT"), ("COPYRIGHT HOLDERS", "COPYRIGHT\n * HOLDERS"))]
+    heads = ["", "Copyright (c) 2001 A. Person\n", "(c) 2001 A. Person. All rights reserved.\n", "Copyright 2001-2003 A\n",
+             "Copyright © The Authors\nAll rights reserved.\n", "© A. Person\n", "MIT License\n\nCopyright <year> <holder>\n\n",
+             "Copyright The Authors\n\n", "MIT License\r\n\r\nCopyright The Authors\r\n\r\n"]
+    docs = [(n, h + t) for n, (h, t) in enumerate([("", t) for t in texts] + [(h, texts[-1]) for h in heads])]
+    docs += [(-1, texts[0] + "\nCopyright owners may ask for more"), (-2, "(c) the third condition\n" + texts[0])]
+    found = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in found} == {d: "MIT" if d >= 0 else None for d, _ in docs}
+
+
 @pytest.mark.parametrize("name", sorted(sql.ORACLE_SQL))
 def test_queries_match_their_sql(spark, name):
     from vaultmart.llm.queries import QUERIES

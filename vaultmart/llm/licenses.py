@@ -1,9 +1,10 @@
 """Licence scans by canonical digests, with DataFrame functions only.
 
 A text's canonical form: lower case; lines that only state a copyright or that
-all rights are reserved removed; every run of characters that are neither letters
+all rights are reserved removed (``_COPYRIGHT``; a line of a licence that merely
+begins with "copyright" stays); every run of characters that are neither letters
 nor digits taken as one word gap; equivalent spellings (``SPELLINGS``) replaced by
-one of them, word by word.  Its SHA-256 is joined to the digests of the known
+one of them, word by word, in whole texts also across line ends.  Its SHA-256 is joined to the digests of the known
 licences, which get the same form from the same expressions.  Whole texts are
 compared: a document is a licence if its whole canonical text is one, and every
 line of it is a text of its own, so notices ("Licensed under ...") are found in
@@ -46,35 +47,35 @@ SPELLINGS = [
     ("copyright holders", "copyright owners"), ("percent", "per cent"), ("owner s", "owners"),
 ]
 
-# Public licence texts and notices.
-_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
-rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
-persons to whom the Software is furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
-Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
-WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
-COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
-OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
-_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-granted, provided that the above copyright notice and this permission notice appear in all copies.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
-IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
-INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
-ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
-THIS SOFTWARE."""
-_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
-with the License. You may obtain a copy of the License at
-
-    http://www.apache.org/licenses/LICENSE-2.0
-
-Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
-"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
-language governing permissions and limitations under the License."""
+# Public licence texts and notices, one paragraph a line.
+_MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+    'documentation files (the "Software"), to deal in the Software without restriction, including without '
+    'limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of '
+    'the Software, and to permit persons to whom the Software is furnished to do so, subject to the following '
+    'conditions:\n\n'
+    'The above copyright notice and this permission notice shall be included in all copies or substantial '
+    'portions of the Software.\n\n'
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+    'LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO '
+    'EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN '
+    'AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE '
+    'OR OTHER DEALINGS IN THE SOFTWARE.')
+_ISC = (
+    'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is '
+    'hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\n'
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+    'INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR '
+    'ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF '
+    'USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF '
+    'OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.')
+_APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+    'compliance with the License. You may obtain a copy of the License at\n\n'
+    'http://www.apache.org/licenses/LICENSE-2.0\n\n'
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is '
+    'distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
+    'See the License for the specific language governing permissions and limitations under the License.')
 KNOWN = [
     ("MIT", _MIT), ("MIT", "The MIT License\n" + _MIT), ("MIT", "MIT License\n" + _MIT), ("MIT", "The MIT License (MIT)\n" + _MIT),
     ("ISC", _ISC), ("ISC", "ISC License\n" + _ISC), ("Apache-2.0", _APACHE),
@@ -89,7 +90,13 @@ KNOWN = [
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
 ]
 
-_COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# Lines that only state a copyright: the word or a sign with a year (or its
+# placeholder), the word with a sign or "by", or a © alone; a paragraph of one short
+# line that begins with the word; "all rights reserved" and nothing else.
+_GAP = r"[^\p{L}\p{N}\n]*"
+_COPYRIGHT = (rf"(?m)^{_GAP}(?:(?:copyright|\(c\)){_GAP}(?:[0-9]{{4}}|[<\[{{](?:year|yyyy))[^\n]*"
+              rf"|copyright{_GAP}(?:\(c\)|©|by\b)[^\n]*|©[^\n]*|all{_GAP}rights{_GAP}reserved{_GAP})$"
+              rf"|(?<=\A|\n[ \t\r]{{0,8}}\n){_GAP}copyright[^\n]{{0,100}}(?=\n[ \t\r]{{0,8}}\n|\s{{0,8}}\z)")
 
 
 def canonical_lines(text: Column) -> Column:
@@ -105,7 +112,13 @@ def canonical_lines(text: Column) -> Column:
 
 
 def _tidy(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"[ \n]+", " "))
+    """The whole text with single spaces; spellings of several words are replaced
+    once more, for a line end may have been inside them."""
+    out = F.concat(F.lit(" "), F.regexp_replace(text, r"[ \n]+", " "), F.lit(" "))
+    for written, one in SPELLINGS:
+        if " " in written:
+            out = F.regexp_replace(out, f" {written}(?= )", f" {one}")
+    return F.trim(F.regexp_replace(out, " +", " "))
 
 
 def digest(canonical: Column) -> Column:
