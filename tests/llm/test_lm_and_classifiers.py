@@ -106,3 +106,17 @@ def test_features_do_not_depend_on_chunks(monkeypatch):
     from vaultmart.llm import textbytes
     monkeypatch.setattr(textbytes, "CHUNK", 700)
     assert np.allclose(toxicity.features(texts, lexicon), whole)
+
+
+def test_only_near_copies_of_one_label_are_left_out():
+    """Texts that share their three smallest word hashes, and little else."""
+    words = [f"w{n}" for n in range(4000)]
+    by_hash = [words[i] for i in np.argsort(toxicity.hash_of([w.encode() for w in words]))]
+    shared, other = by_hash[:3], by_hash[3:]
+    far = [" ".join(shared + other[100 * n:100 * n + 100]) for n in range(10)]
+    near = [far[0] + " one", far[0] + " two more", far[1], far[1].upper()]
+    texts = far + near + ["", " "]
+    labels = np.array([0, 1] * 5 + [0, 1, 1, 0] + [0, 0])
+    # far[0] is 0 and far[1] is 1, so near[1] and near[3] stay
+    kept = toxicity.varied(texts, labels).tolist()
+    assert kept == [*range(10), 11, 13, 14]

@@ -6,7 +6,8 @@ how near lexicon words stand to second-person words; rates of capitals, of
 punctuation and of obfuscation.
 
 The lexicon is learnt: words and word beginnings of ``STEMS`` bytes that occur
-far more often in toxic than in other training texts, near copies left out.  The
+far more often in toxic than in other training texts.  Near copies of a training
+text with the same label are left out (``varied``).  The
 training features of each fold of the sample use the lexicon of the other folds,
 so the trees see the lexicon as it will behave on new texts.  Trees are fitted on logistic loss by
 Newton steps over histograms; an isotonic fit on a quarter of the sample that
@@ -41,6 +42,7 @@ LEAST = 5                # fewest labelled documents of a class to learn from
 LEXICON = 2_000          # most lexicon entries
 STEMS = (4, 5, 6)        # bytes of the word beginnings tried for the lexicon
 WINDOW = 6               # words within which a second-person word counts as near
+NEAR = 0.8               # Jaccard similarity of the word sets of near copies
 FOLDS = 5                # of the sample, for the lexicon
 TREES, DEPTH, BINS, RATE = 60, 3, 32, 0.2
 
@@ -238,18 +240,47 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ends[:, :2].ravel(), np.repeat(ends[:, 2], 2)
 
 
-def varied(texts: list[str]) -> np.ndarray:
-    """Places of the first text of each set of texts whose three smallest word
-    hashes agree: near copies would make each other's rare words look telling."""
+def varied(texts: list[str], labels: np.ndarray) -> np.ndarray:
+    """Places of the texts that are no near copy of an earlier one: near copies
+    would make each other's rare words look telling.  Texts whose three smallest
+    word hashes agree are compared; a near copy has the same label and at least
+    ``NEAR`` of the words of both in common."""
     sketch = np.full((len(texts), 3), ~np.uint64(0))
+    for hashes, text in _distinct_words(texts):
+        for t, h in zip(*_least(hashes, text, 3)):
+            sketch[t] = np.sort(np.concatenate([sketch[t], h]))[:3]
+    _, place, size = np.unique(np.column_stack([sketch, labels.astype(np.uint64)]), axis=0, return_inverse=True,
+                               return_counts=True)
+    place = place.ravel()
+    keep = size[place] == 1
+    alike = np.argsort(place, kind="stable")
+    for group in np.split(alike, np.cumsum(size)[:-1]):
+        kept: list[np.ndarray] = []
+        for n in group if len(group) > 1 else ():
+            found = [h for h, _ in _distinct_words([texts[n]])]
+            words = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+            if not any(_near(words, other) for other in kept):
+                kept.append(words)
+                keep[n] = True
+    return np.flatnonzero(keep)
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two sets is at least NEAR."""
+    few, many = sorted((len(a), len(b)))
+    if few < NEAR * many:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= NEAR * (few + many - both)
+
+
+def _distinct_words(texts):
+    """Per chunk (word hashes, text numbers), each word of a text once, by text and hash."""
     for data, offsets, number in chunks(texts):
         words = Words(data, _lower)
         hashes, text = _once_a_text(words.hash, number[np.searchsorted(offsets, words.start, "right") - 1])
         order = np.lexsort([hashes, text])
-        hashes, text = hashes[order], text[order]
-        for t, h in zip(*_least(hashes, text, 3)):
-            sketch[t] = np.sort(np.concatenate([sketch[t], h]))[:3]
-    return np.sort(np.unique(sketch, axis=0, return_index=True)[1])
+        yield hashes[order], text[order]
 
 
 def _least(hashes, text, n):
@@ -259,7 +290,7 @@ def _least(hashes, text, n):
 
 
 def fit(texts: list[str], labels: np.ndarray) -> dict:
-    keep = varied(texts)
+    keep = varied(texts, labels)
     texts, labels = [texts[i] for i in keep], labels[keep]
     toxic = labels == 1
     if min(toxic.sum(), (~toxic).sum()) < LEAST:
