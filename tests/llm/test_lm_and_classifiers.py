@@ -120,3 +120,31 @@ def test_only_near_copies_of_one_label_are_left_out():
     # far[0] is 0 and far[1] is 1, so near[1] and near[3] stay
     kept = toxicity.varied(texts, labels).tolist()
     assert kept == [*range(10), 11, 13, 14]
+
+
+def test_registered_scores_use_trigrams_and_fitted_masses(spark, real_docs, monkeypatch):
+    """Left-out training tokens fail as often as the fitted masses expect, and
+    held-out texts are told better than by the old bigram mass."""
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 1 << 18)
+    monkeypatch.setattr(lm_score, "SHARD_BYTES", 1 << 18)
+    used = []
+    fitted = lm_score.fitted_masses
+    monkeypatch.setattr(lm_score, "fitted_masses", lambda *a: used.append(fitted(*a)) or used[-1])
+    got = {r["doc_id"]: r for r in lm_score.score(real_docs).collect()}
+    counts = [Counter() for _ in range(4)]
+    for r in real_docs.collect():
+        seq = ["<s>"] + r["text"].encode().lower().split() + ["</s>"]
+        if crc(r["doc_id"]) % 7 != 2:
+            for n in (1, 2, 3):
+                counts[n].update(tuple(seq[k - n + 1:k + 1]) for k in range(n - 1, len(seq)))
+    want = []
+    for n in (2, 3):
+        once = sum(c == 1 for c in counts[n].values())
+        history = [c for h, c in counts[n - 1].items() if h[-1] != "</s>"]
+        want.append(max([m for m in lm_score.MASSES if sum(c * m / (c - 1 + m) for c in history) <= once],
+                        default=lm_score.MASSES[0]))
+    assert used == [want]
+    old = {r["doc_id"]: r for r in lm_score.score(real_docs, order=2, mass=2000.0).collect()}
+    held = [d for d, r in got.items() if r["held_out"]]
+    mean = [sum(x[d]["score"] for d in held) / sum(x[d]["n_tokens"] for d in held) for x in (got, old)]
+    assert mean[0] > mean[1] + 0.05, mean

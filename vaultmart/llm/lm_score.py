@@ -7,11 +7,18 @@ per text.  The unigram state gives token w the weight
 
     p(w | h) = (c(hw) + mass * p(w | h')) / (c(h) + mass),   h' = h without its first token
 
-which sums to one over all tokens and the unknown one.  As an automaton: every
+which sums to one over all tokens and the unknown one.  The registered query has
+order 3.  Each level has a mass of its own, fitted on the training counts: with
+each training token left out in turn, the tokens expected to fail from their
+histories, sum of mass / (c(h) - 1 + mass), are as many as do fail, which are the
+n-grams counted once.  As an automaton: every
 history seen in training is a state; a seen continuation hw is an arc with the
 weight log10 p(w | h); any other token takes the failure arc to h' with the
 weight log10(mass / (c(h) + mass)) and is tried again there.  A text starts in
 the state of the history <start>, and one left-to-right walk adds up weights.
+No state is carried in the code: the state of each token is given by the tokens
+before it, so all weights of a block are computed level by level over arrays, which
+is the same walk (the weights of the arcs and failures passed are p(w | h)).
 
 Plan.  Texts are cut into blocks of about ``BLOCK_BYTES``.
 
@@ -22,8 +29,8 @@ Plan.  Texts are cut into blocks of about ``BLOCK_BYTES``.
 2. A shard adds up the counts of its n-grams over all blocks, and answers each
    block with the totals of the n-grams it listed, in the order listed.  It also
    reports how many tokens and distinct tokens it counted (N and V).
-3. Each block gets its answers, which are all states and arcs its own texts can
-   touch, builds that part of the automaton, and walks its texts.
+3. Each block gets its answers, which are the counts of all states and arcs its own
+   texts can touch, and scores its texts by them.
 
 Blocks are made twice from the table rather than stored, and are named by their
 content: a table that changed in between raises an error.
@@ -56,6 +63,8 @@ from vaultmart.llm.common import WHITE_SPACE, id_and_text
 
 BLOCK_BYTES = 4 << 20     # text in a block
 SHARD_BYTES = 8 << 20     # corpus text for which one shard is planned
+MASSES = [float(2.0 ** (n / 8)) for n in range(-16, 129)]     # tried when masses are fitted
+ENDS = 1 << 31            # beside a block's count of an n-gram, which is far below
 START, END = b"\x01 ", b"\x02 "      # no word holds white space
 ROWS = pa.schema([("kind", pa.string()), ("shard", pa.int64()), ("block", pa.string()),
                   ("level", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -150,17 +159,20 @@ class Walk:
         self.training = np.repeat(self.meta[:, 2] == 0, length)
         # the <start> of a text: as a history it needs a count of its own
         self.start = (lead == 0) & (np.repeat(skip, length) == 1) & (hashes[ids] == _START_HASH)
+        self.end = hashes[ids] == _END_HASH
         self.grams = _grams(ids, lead, order, hashes)
 
     def listed(self, level: int):
         """(sorted distinct n-grams of a level, place of each token's n-gram in
-        it, how often each is counted in training)."""
+        it, how often each is counted in training, with the bit ENDS if it ends
+        a text and so is no history)."""
         grams, exists = self.grams[level - 1]
         distinct, place = np.unique(np.where(exists, grams, np.uint64(0)), return_inverse=True)
         counted = self.training & exists & (self.scored | self.start)
-        return distinct, place, np.bincount(place[counted], minlength=len(distinct))
+        ends = np.bincount(place[self.end & exists], minlength=len(distinct)) > 0
+        return distinct, place, np.bincount(place[counted], minlength=len(distinct)) | np.where(ends, ENDS, 0)
 
-    def score(self, totals: list[np.ndarray], tokens: int, distinct: int, mass: float):
+    def score(self, totals: list[np.ndarray], tokens: int, distinct: int, masses: list[float]):
         """Walk the block: (log10 weight, base weight, known) of each token.
 
         ``totals[n]``: the corpus count of each token's (n+1)-gram.  Taken
@@ -172,12 +184,14 @@ class Walk:
             history = np.concatenate([[0], totals[level - 2][:-1]])  # count of the n-gram before
             exists = self.grams[level - 1][1]
             state = exists & (history > 0)        # no state: the walk is already below
+            mass = masses[level - 2]
             arc = (totals[level - 1] + mass * p) / (history + mass)
             p = np.where(state, arc, p)
         return np.log10(p), base, totals[0] > 0
 
 
 _START_HASH = np.uint64(xxhash.xxh3_64_intdigest(START))
+_END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END))
 
 
 def _blocks(order: int, modulus: int, remainder: int, shards: int, lists: bool):
@@ -235,20 +249,43 @@ def _count(lists: pd.DataFrame) -> pd.DataFrame:
                              for c, n in zip(lists["counts"], sizes)]).astype(np.int64)
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.zeros(len(distinct), np.int64)
-    np.add.at(totals, place, counts)
+    np.add.at(totals, place, counts & ~ENDS)
+    history = np.ones(len(distinct), bool)
+    history[place[counts >= ENDS]] = False
     real = totals[(distinct != _START_HASH)]
     answers = np.split(totals[place], np.cumsum(sizes)[:-1])
     head = lists.iloc[0]
     out = pd.DataFrame({
         "kind": "answer", "shard": head["shard"], "block": lists["block"], "level": head["level"],
         "keys": None, "counts": [pa.compress(a.tobytes(), codec="zstd", asbytes=True) for a in answers],
-        "tokens": 0, "distinct": 0})
+        "tokens": 0, "distinct": 0, "fit": None})
+    out.at[out.index[0], "fit"] = [float((totals == 1).sum()), *_failing(totals[history])]
     if head["level"] == 1:
         out.loc[out.index[0], ["tokens", "distinct"]] = [real.sum(), (real > 0).sum()]
     return out
 
 
-def _walks(order: int, shards: int, tokens: int, distinct: int, mass: float):
+def _failing(history: np.ndarray) -> np.ndarray:
+    """For each of MASSES: how many training tokens are expected to fail from
+    histories with these counts, each token left out of the counts."""
+    c, n = np.unique(history[history > 0], return_counts=True)
+    return np.array([(n * c * (m / (c - 1 + m))).sum() for m in MASSES])
+
+
+def fitted_masses(answers: DataFrame, order: int) -> list[float]:
+    """The mass of each level from 2: the largest of MASSES at which no more tokens
+    are expected to fail than do, which are the n-grams counted once."""
+    found = (answers.where("fit is not null").select("level", F.posexplode("fit"))
+             .groupBy("level", "pos").agg(F.sum("col").alias("sum")).collect())
+    sums = {(r["level"], r["pos"]): r["sum"] for r in found}
+    masses = []
+    for level in range(2, order + 1):
+        fits = [m for n, m in enumerate(MASSES, 1) if sums.get((level - 1, n), 0) <= sums.get((level, 0), 0)]
+        masses.append(max(fits, default=MASSES[0]))
+    return masses
+
+
+def _walks(order: int, shards: int, tokens: int, distinct: int, masses: list[float]):
     """One block and its answers -> (row, doc_id, sums) per text piece.  Blocks
     of equal content share their answers."""
 
@@ -266,7 +303,7 @@ def _walks(order: int, shards: int, tokens: int, distinct: int, mass: float):
                 got = answers.loc[(level, shard), "counts"]
                 total[part] = np.frombuffer(pa.decompress(got, len(part) * 8, codec="zstd", asbytes=True), np.int64)
             totals.append(total[place])
-        score, base, known = walks[0].score(totals, tokens, distinct, mass)
+        score, base, known = walks[0].score(totals, tokens, distinct, masses)
         n = len(walks[0].meta)
 
         def summed(x):
@@ -280,24 +317,25 @@ def _walks(order: int, shards: int, tokens: int, distinct: int, mass: float):
     return run
 
 
-def score(docs: DataFrame, order: int = 2, mass: float = 2000.0, modulus: int = 7, remainder: int = 2,
+def score(docs: DataFrame, order: int = 3, mass: float | None = None, modulus: int = 7, remainder: int = 2,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Texts whose crc32(doc_id) mod ``modulus`` is ``remainder`` are held out of
     training.  ``mass``: the pseudo-count with which a history trusts the next
-    shorter one."""
+    shorter one, at every level; None fits one per level on the training counts."""
     base = id_and_text(docs, id_col, text_col)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     lists = base.mapInArrow(_blocks(order, modulus, remainder, shards, True), ROWS_DDL)
     answers = cut(lists.groupBy("shard", "level").applyInPandas(
-        _count, ROWS_DDL + ", tokens long, distinct long"), "lm-answers")
+        _count, ROWS_DDL + ", tokens long, distinct long, fit array<double>"), "lm-answers")
     tokens, distinct = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)),
                                    F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    masses = fitted_masses(answers, order) if mass is None else [float(mass)] * (order - 1)
     blocks = base.mapInArrow(_blocks(order, modulus, remainder, shards, False), ROWS_DDL)
-    walked = blocks.unionByName(answers.drop("tokens", "distinct")).groupBy("block").applyInPandas(
-        _walks(order, shards, tokens, distinct, mass),
+    walked = blocks.unionByName(answers.drop("tokens", "distinct", "fit")).groupBy("block").applyInPandas(
+        _walks(order, shards, tokens, distinct, masses),
         "row long, doc_id long, no_id boolean, held_out boolean, n_tokens long, n_known long, "
         "base_score double, score double")
     return (walked.groupBy("row", "doc_id", "no_id", "held_out")
