@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import (chat, exact_dedup, licenses, lm_score, mixing, nearest, packing, quality, simhash, sql,
-                           toxicity)
+from vaultmart.llm import (chat, compression, exact_dedup, licenses, lm_score, mixing, nearest, packing, quality,
+                           resampling, simhash, sql, toxicity, whitening)
 from vaultmart.llm.common import table
 
 # A control string inside a text must come back as text.
@@ -65,6 +65,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.rules(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -72,6 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing, "op2_chat": op2_chat, "op3_simhash": op3_simhash, "op4_nearest": op4_nearest,
     "op5_lm_score": op5_lm_score, "op6_exact_dedup": op6_exact_dedup, "op7_licenses": op7_licenses,
-    "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_toxicity": op10_toxicity, "pipeline": pipeline,
+    "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_toxicity": op10_toxicity, "op11_quality_rules": op11_quality_rules,
+    "op12_importance_resampling": op12_importance_resampling, "op13_whitening": op13_whitening, "pipeline": pipeline,
 }
 ORACLE_SQL = sql.ORACLE_SQL
