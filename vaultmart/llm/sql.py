@@ -1,8 +1,9 @@
 """DuckDB statements for the queries that SQL can express.
 
 None for: SimHash (no seeded XXH64), LM scores (sums of logarithms differ in the
-last bits with the order of adding), quality and toxicity (trained models) and
-packing and the pipeline (a greedy placement row by row).  Those are tested
+last bits with the order of adding), quality and toxicity (trained models), quality
+rules (no zstandard), whitening (no eigenvectors) and packing and the pipeline (a
+greedy placement row by row).  Those are tested
 against brute-force versions in tests/llm.
 """
 
@@ -160,6 +161,58 @@ LEFT JOIN known ON c.canonical = known.canonical
 LEFT JOIN n ON c.doc_id IS NOT DISTINCT FROM n.doc_id AND c.canonical = n.canonical
 """
 
+# crc32 bit by bit over the hex digits of the UTF-8 bytes, once per distinct word
+_CRC_BIT = "xor(c >> 1, 3988292384 * (c & 1))"
+
+
+def _crc_byte(at: str) -> str:
+    out = f"xor(c, CAST('0x' || substr(h, 2 * {at} - 1, 2) AS BIGINT))"
+    for _ in range(8):
+        out = f"list_transform([{out}], lambda c: {_CRC_BIT})[1]"
+    return out
+
+
+RESAMPLING = f"""
+WITH d AS (
+  SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words, row_number() OVER () AS r
+  FROM documents),
+f AS (SELECT r, w FROM (SELECT r, unnest(words) AS w FROM d) WHERE w <> ''),
+g AS (
+  SELECT w FROM (
+    SELECT unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark)
+  WHERE w <> ''),
+h AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM f UNION SELECT w FROM g)),
+b AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST(range(1, length(h) // 2 + 1) AS BIGINT[])),
+                            lambda c, i: {_crc_byte('i')}), 4294967295) % 10000 AS bucket FROM h),
+counts AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM (
+    SELECT bucket, count(*) AS s, 0 AS t FROM f JOIN b USING (w) GROUP BY bucket
+    UNION ALL SELECT bucket, 0, count(*) FROM g JOIN b USING (w) GROUP BY bucket) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+           (CAST(t AS DOUBLE) + 1) * (CAST((SELECT count(*) FROM f) AS DOUBLE) + 10000)
+           / ((CAST(s AS DOUBLE) + 1) * (CAST((SELECT count(*) FROM g) AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM counts),
+weights AS (
+  SELECT r, count(*) AS n_features, sum(gain) AS weight FROM f JOIN b USING (w) JOIN gains USING (bucket) GROUP BY r),
+noisy AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN weights USING (r)),
+scores AS (
+  SELECT doc_id, n_features, weight,
+         weight + CAST(floor(-1000 * ln(-ln((CAST(h AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score FROM noisy),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS r,
+         count(*) FILTER (n_features >= 20) OVER () AS n FROM scores)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND r <= 10 * n // 100 THEN r END AS rank FROM ranked
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": MIXING, "op2_chat": CHAT, "op4_nearest": NEAREST, "op6_exact_dedup": EXACT, "op7_licenses": LICENSES,
+    "op12_importance_resampling": RESAMPLING,
 }
