@@ -25,6 +25,10 @@ def year_start(year: int) -> _dt.date:
     return _dt.date(year, 1, 1)
 
 
+def year_start_datetime(year: int) -> _dt.datetime:
+    return _dt.datetime(year, 1, 1)
+
+
 def execution_ts(year: int) -> Column:
     """LOAD_DATE of a yearly run: its execution date, 1 January 00:00 (t20)."""
     return F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")

@@ -1,20 +1,25 @@
 """Join helpers with a checked broadcast.
 
-A side is broadcast only after its rows have been counted (or bounded) and their
-estimated bytes found under a limit; beyond the limit the plan keeps a shuffle
-join (sort-merge, with AQE splitting skewed partitions).  The limits are session
-settings: ``vaultmart.broadcast.maxBytes`` (default 64 MB; rows times the width of
-the columns, text at ``TEXT_BYTES`` each) and ``vaultmart.broadcast.maxRows``.
+A side is broadcast only if its rows are known (from the write that made it, or a
+proven bound) and their estimated bytes are under a limit; beyond the limit, or
+without a known size, the plan keeps a shuffle join (sort-merge, with AQE splitting
+skewed partitions, or broadcasting a side that its finished shuffle shows to be small).
+Nothing is counted here: a plan is never run to learn how to run it.  The limits are
+session settings: ``vaultmart.broadcast.maxBytes`` (default 64 MB; rows times the width
+of the columns, text at ``TEXT_BYTES`` each) and ``vaultmart.broadcast.maxRows``.
 
 ``anti_join_existing`` is the vault's "insert if the key is new" step, with
-three plans chosen by measured sizes:
+three plans chosen by the sizes:
 
 1. the target (hub/link keys) passes the check: broadcast it into the
    anti-join; the batch is neither shuffled nor computed twice;
 2. else the batch's keys pass: the big target is only *scanned* against a
    broadcast of the batch keys (no shuffle of the target), and the few matches
    are broadcast back into the anti-join;
-3. else both sides shuffle on the key (sort-merge anti-join; AQE splits skew).
+3. else the target's keys are first reduced to those the batch has (a semi-join, for
+   which Spark builds a Bloom filter of the batch's keys and applies it to the
+   target's scan, below its shuffle, where the target is big enough to gain),
+   and the batch is anti-joined with these hits.
 """
 
 from __future__ import annotations
@@ -38,21 +43,21 @@ def broadcast_limit(df: DataFrame) -> int:
                int(conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))) // width)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Measure ``df`` (one count job) against the broadcast limit."""
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    return df.count() <= limit
+def is_small(df: DataFrame, known_rows: int | None) -> bool:
+    """Size check against a known number (or proven upper bound) of rows."""
+    return known_rows is not None and known_rows <= broadcast_limit(df)
 
 
-def is_small(df: DataFrame, known_rows: int | None = None) -> bool:
-    """Size check: against a proven upper bound on the rows when the caller
-    has one (no job), else by measuring."""
-    if known_rows is not None:
-        return known_rows <= broadcast_limit(df)
-    return fits_broadcast(df)
+def some_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys of a batch that can match at all.  "Not NULL" is written as a
+    comparison, as Spark builds a runtime Bloom filter only from a side that it sees
+    filtered."""
+    for k in keys:
+        batch = batch.where(F.col(k).cast("string") >= F.lit(""))
+    return batch.select(*keys).distinct()
 
 
-def checked_broadcast(df: DataFrame, known_rows: int | None = None) -> DataFrame:
+def checked_broadcast(df: DataFrame, known_rows: int | None) -> DataFrame:
     """``F.broadcast(df)`` if it passes the size check, else ``df`` unchanged."""
     return F.broadcast(df) if is_small(df, known_rows) else df
 
@@ -63,19 +68,17 @@ def anti_join_existing(batch: DataFrame, target: DataFrame, keys: list[str],
     """Rows of ``batch`` whose ``keys`` are not in ``target`` (NULL keys never
     match, so they are kept, like LEFT JOIN ... WHERE t.key IS NULL).
 
-    ``target_rows`` / ``batch_rows``: optional proven upper bounds on the sizes.
+    ``target_rows`` / ``batch_rows``: the sizes, or proven upper bounds, where known.
     """
     if target_rows == 0:          # proven empty: nothing to exclude
         return batch
     target_keys = target.select(*keys)
     if is_small(target_keys, target_rows):
         return batch.join(F.broadcast(target_keys), keys, "left_anti")
+    batch_keys = some_keys(batch, keys)
     if is_small(batch.select(*keys), batch_rows):
-        not_null = F.col(keys[0]).isNotNull()
-        for k in keys[1:]:
-            not_null = not_null & F.col(k).isNotNull()
-        batch_keys = batch.select(*keys).where(not_null).distinct()
         # the matches are a subset of the (checked) batch keys: bounded too
         hits = target_keys.join(F.broadcast(batch_keys), keys, "left_semi").distinct()
         return batch.join(F.broadcast(hits), keys, "left_anti")
-    return batch.join(target_keys, keys, "left_anti")
+    hits = target_keys.join(batch_keys, keys, "left_semi")
+    return batch.join(hits, keys, "left_anti")

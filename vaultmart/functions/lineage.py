@@ -14,12 +14,14 @@ recomputation of the whole history:
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,41 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return ScratchTable.of(df, name).read()
 
 
+@dataclass(frozen=True)
+class Written:
+    """What a write saw of its own rows: no job of its own counted them."""
+    rows: int
+    bytes: int                                  # of the values, in memory
+    oldest: dt.datetime | None = None           # load dates, where the rows have one
+    newest: dt.datetime | None = None
+
+
+def _value_bytes(df: DataFrame) -> Column:
+    total = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        size = F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary") else F.lit(8)
+        total = total + size
+    return F.coalesce(F.sum(total), F.lit(0))
+
+
+def measured(df: DataFrame, write: Callable[[DataFrame], None], **more: Column) -> tuple[Written, dict]:
+    """``write(df)`` with its rows and bytes observed on the way (and the aggregates of
+    ``more``); nothing is computed a second time."""
+    seen = Observation()
+    dates = {"oldest": F.min("load_date"), "newest": F.max("load_date")} if "load_date" in df.columns else {}
+    values = {"rows": F.count(F.lit(1)), "bytes": _value_bytes(df), **dates, **more}
+    write(df.observe(seen, *[c.alias(name) for name, c in values.items()]))
+    got = seen.get
+    return (Written(got["rows"], got["bytes"], got.get("oldest"), got.get("newest")),
+            {name: got[name] for name in more})
+
+
+def cut_measured(df: DataFrame, name: str = "cut") -> tuple[DataFrame, Written]:
+    """``cut`` and what its write saw."""
+    table = ScratchTable.of(df, name, sized=True)
+    return table.read(), table.size
+
+
 def together(*loads: Callable[[], None]) -> None:
     """Run independent loads at the same time, so that the jobs of one fill the
     cores that another leaves idle; the first error is raised once all ended."""
@@ -55,6 +92,41 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def file_system(spark: SparkSession, path: str):
+    """(the file system that holds ``path``, the path as it knows it)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+def children(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name and size of what a folder holds (none: no such folder)."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return {}
+    return {s.getPath().getName(): s.getLen() for s in fs.listStatus(at)}
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, emptied: list) -> Written:
+    """Replace the partitions of ``column`` that ``df`` has rows of: Spark stages the
+    new files and swaps them in when the job commits, so a job that fails leaves the
+    old ones.  Partitions in ``emptied`` that get no rows are emptied after it.  ``df``
+    is computed once: its write counts the rows of those partitions."""
+    def write(rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(column).parquet(path))
+
+    size, rows = measured(df, write, **{f"in_{v}": F.count_if(F.col(column) == F.lit(v)) for v in emptied})
+    for value in emptied:
+        if not rows[f"in_{value}"]:
+            df.drop(column).limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+    return size
+
+
 class ScratchTable:
     """An append-only Parquet table under the checkpoint directory.
 
@@ -70,11 +142,16 @@ class ScratchTable:
         self.path = path or scratch_path(spark, name)
         # a table opened at its path has what earlier processes wrote there
         self.written = path is not None and _exists(spark, path)
+        self.size: Written | None = None        # of a table written once, if asked for
 
     @classmethod
-    def of(cls, df: DataFrame, name: str, partition_by: list[str] | None = None) -> "ScratchTable":
+    def of(cls, df: DataFrame, name: str, partition_by: list[str] | None = None,
+           sized: bool = False) -> "ScratchTable":
         table = cls(df.sparkSession, name, df.schema, partition_by)
-        table.append(df)
+        if sized:
+            table.size, _ = measured(df.select(*table.schema.fieldNames()), table.append)
+        else:
+            table.append(df)
         return table
 
     def append(self, df: DataFrame) -> None:
@@ -84,22 +161,16 @@ class ScratchTable:
         writer.parquet(self.path)
         self.written = True
 
-    def replace(self, df: DataFrame, gone: list | None = None) -> None:
+    def replace(self, df: DataFrame, gone: list | None = None) -> Written:
         """Replace the partitions that ``df`` has rows of (staged, swapped when the
         job commits); those of ``gone`` that it has none of are emptied."""
         (column,) = self.partition_by
-        (df.select(*self.schema.fieldNames()).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path))
-        if gone:
-            kept = {r[0] for r in df.where(F.col(column).isin(gone)).select(column).distinct().collect()}
-            for value in set(gone) - kept:
-                df.drop(column).limit(0).write.mode("overwrite").parquet(f"{self.path}/{column}={value}")
         self.written = True
+        return replace_partitions(df.select(*self.schema.fieldNames()), self.path, column, gone or [])
 
     def drop(self) -> None:
         """Delete the table's files; for intermediate results that nothing reads again."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.path)
         self.written = False
 
     def read(self) -> DataFrame:
@@ -108,29 +179,3 @@ class ScratchTable:
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.fieldNames())
 
 
-class BucketedTable(ScratchTable):
-    """An append-only table bucketed (and sorted) by its hash key.
-
-    A vault table that grows for ever (hub, link, satellite) is joined by its
-    key on every load.  Stored bucketed, a sort-merge join against it shuffles
-    only the other side: the history itself never moves.  The table is
-    external, at a path under the checkpoint folder, and registered in the
-    session catalog (bucketing needs table metadata).
-    """
-
-    def __init__(self, spark: SparkSession, name: str, schema: T.StructType, key: str,
-                 buckets: int, path: str | None = None):
-        super().__init__(spark, name, schema, None, path)
-        self.key, self.buckets = key, buckets
-        self.table_name = f"vaultmart_{name}_{uuid.uuid4().hex[:12]}"
-
-    def append(self, df: DataFrame) -> None:
-        (df.select(*self.schema.fieldNames()).write.mode("append").format("parquet")
-           .bucketBy(self.buckets, self.key).sortBy(self.key)
-           .option("path", self.path).saveAsTable(self.table_name))
-        self.written = True
-
-    def read(self) -> DataFrame:
-        if not self.written:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.table(self.table_name)

@@ -3,6 +3,8 @@
 Report plan, Spark-first:
 * the billing-period hub, filtered to the year, is tiny (12 keys a year):
   broadcast after a size check, so the link is only scanned, not shuffled;
+* where link and satellite are stored by billing year, a yearly report reads that
+  year's partitions of both, whatever run loaded them (late versions too);
 * link x satellite on the link key is the one big-big join;
 * revenue is pre-aggregated per (user, billing year) right after it, before
   the user hub and master data are joined.  SUM distributes over the
@@ -41,6 +43,14 @@ def _billing_years(hub_bp: DataFrame, year: int | None) -> DataFrame:
     return bp.where(F.col("billing_year") == F.lit(year))
 
 
+def _of_year(rows: DataFrame, year: int | None) -> DataFrame:
+    """Rows of the year's partition, where a table is stored by billing year: a payment's
+    key holds its billing period, so all its versions lie in the same year."""
+    if year is None or "billing_year" not in rows.columns:
+        return rows
+    return rows.where(F.col("billing_year") == F.lit(year))
+
+
 def _rollup(per_user: DataFrame, hub_user: DataFrame, attrs: DataFrame, how: str) -> DataFrame:
     users = per_user.join(hub_user.select("user_pk", "user_key"), "user_pk")
     rows = users.join(attrs, users["user_key"] == attrs["_uid"], how)
@@ -57,11 +67,13 @@ def payment_report(link: DataFrame, hub_bp: DataFrame, sat_pay: DataFrame,
     client attributes from master data by ``user_key = id::text`` (left join).
     ``year=None`` gives every billing year (the union of the yearly reports).
     ``latest_only``: only each payment's newest versions count.
+    A link and satellite with a ``billing_year`` column (their partition) are pruned by it.
     """
+    bp = checked_broadcast(_billing_years(hub_bp, year), hub_bp_rows)
+    link, sat_pay = _of_year(link, year), _of_year(sat_pay, year)
     if latest_only:
         hd = "pay_doc_hashdiff"
         sat_pay = sat_pay.join(newest_per_key(sat_pay, LINK_PK, hd), [LINK_PK, hd, "load_date"], "left_semi")
-    bp = checked_broadcast(_billing_years(hub_bp, year), hub_bp_rows)
     lk = link.select(LINK_PK, "user_pk", "billing_period_pk").join(bp, "billing_period_pk")
     pays = lk.join(sat_pay.select(LINK_PK, "sum"), LINK_PK)
     per_user = pays.groupBy("user_pk", "billing_year").agg(F.sum("sum").alias("_s"))
@@ -72,10 +84,16 @@ def payment_report(link: DataFrame, hub_bp: DataFrame, sat_pay: DataFrame,
 
 def payment_report_client(tlink: DataFrame, hub_bp: DataFrame, hub_user: DataFrame,
                           sat_client: DataFrame, year: int | None = None,
-                          hub_bp_rows: int | None = None) -> DataFrame:
+                          hub_bp_rows: int | None = None, latest_only: bool = False) -> DataFrame:
     """Q22: the same measures from the second vault (transactional link, client
-    satellite joined without a latest filter, as the reference does)."""
+    satellite joined without a latest filter, as the reference does; ``latest_only``:
+    only each client's newest versions).  A link with a ``billing_year`` column (its
+    partition) is pruned by it."""
     bp = checked_broadcast(_billing_years(hub_bp, year), hub_bp_rows)
+    tlink = _of_year(tlink, year)
+    if latest_only:
+        newest = sat_client.groupBy("user_pk").agg(F.max("load_date").alias("load_date"))
+        sat_client = sat_client.join(newest, ["user_pk", "load_date"], "left_semi")
     pays = tlink.select("user_pk", "billing_period_pk", "sum").join(bp, "billing_period_pk")
     per_user = pays.groupBy("user_pk", "billing_year").agg(F.sum("sum").alias("_s"))
     users = per_user.join(hub_user.select("user_pk"), "user_pk")

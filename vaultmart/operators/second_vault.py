@@ -48,14 +48,16 @@ def payment_stage_v2(ods: DataFrame, load_date: _dt.datetime | str) -> DataFrame
             .withColumn("pay_doc_type_id", hash_key("pay_doc_type")))
 
 
-def hub_payment(stage: DataFrame, hub: DataFrame, **bounds) -> DataFrame:
+def hub_payment(stage: DataFrame, hub: DataFrame, hub_rows: int | None = None,
+                batch_rows: int | None = None) -> DataFrame:
     """Q14."""
-    return V.hub_load(stage, hub, "pay_pk", ["pay_doc_type_id", "pay_doc_num"], **bounds)
+    return V.hub_load(stage, hub, "pay_pk", ["pay_doc_type_id", "pay_doc_num"], hub_rows, batch_rows)
 
 
-def t_link_payment(stage: DataFrame, tlink: DataFrame, **bounds) -> DataFrame:
+def t_link_payment(stage: DataFrame, tlink: DataFrame, link_rows: int | None = None,
+                   batch_rows: int | None = None) -> DataFrame:
     """Q16."""
-    return V.link_load(stage, tlink, "pay_pk", T_LINK_COLS, **bounds)
+    return V.link_load(stage, tlink, "pay_pk", T_LINK_COLS, link_rows, batch_rows)
 
 
 def sat_payment_doc_type(stage: DataFrame, sat: DataFrame, sat_rows: int | None = None,

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultmart.functions import dates as D
-from vaultmart.functions.joins import anti_join_existing, broadcast_limit, fits_broadcast
+from vaultmart.functions.joins import anti_join_existing, broadcast_limit, is_small, some_keys
 from vaultmart.functions.keys import RECORD_SOURCE, hash_key, hashdiff, norm
 
 STAGE_SOURCE = ["user_id", "pay_doc_type", "pay_doc_num", "account", "phone",
@@ -151,22 +151,6 @@ HUBS = {
 }
 
 
-def hub_user(stage: DataFrame, hub: DataFrame) -> DataFrame:
-    return hub_load(stage, hub, *HUBS["hub_user"])
-
-
-def hub_account(stage: DataFrame, hub: DataFrame) -> DataFrame:
-    return hub_load(stage, hub, *HUBS["hub_account"])
-
-
-def hub_billing_period(stage: DataFrame, hub: DataFrame) -> DataFrame:
-    return hub_load(stage, hub, *HUBS["hub_billing_period"])
-
-
-def hub_pay_doc(stage: DataFrame, hub: DataFrame) -> DataFrame:
-    return hub_load(stage, hub, *HUBS["hub_pay_doc"])
-
-
 # ---------------------------------------------------------------- links (Q15, Q16)
 
 LINK_PK = "user_account_billing_pay_pk"
@@ -196,10 +180,6 @@ def link_backfill(stage_all: DataFrame, link: DataFrame, pk: str, cols: list[str
     return anti_join_existing(rows, link, [pk], link_rows).select(*cols)
 
 
-def link_user_account_billing_pay(stage: DataFrame, link: DataFrame) -> DataFrame:
-    return link_load(stage, link, LINK_PK, LINK_COLS)
-
-
 # ---------------------------------------------------------------- satellites (Q17, Q18, Q20)
 
 def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
@@ -212,21 +192,17 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
     as "the latest b").  Latest = qualifying versions at the key's maximum
     qualifying load date, ties all kept.
 
-    ``sat_rows`` / ``batch_rows`` are proven upper bounds on the two inputs'
-    sizes when the caller knows them (a fold does); otherwise they are
-    measured.  They pick the join: broadcast the satellite while it is young,
+    ``sat_rows`` / ``batch_rows`` are the two inputs' sizes, or upper bounds on them,
+    where the caller knows them.  They pick the join: broadcast the satellite while it is young,
     else broadcast the batch's cut-offs and only scan the history, else
     shuffle both on the key.
     """
-    limit = broadcast_limit(sat)
     versions = sat.select(pk, hd, "load_date")
     shuffled = False
-    sat_small = sat_rows <= limit if sat_rows is not None else fits_broadcast(versions)
-    if sat_small:
+    if is_small(sat, sat_rows):
         qual = cut_off.join(F.broadcast(versions), pk)
     else:
-        cut_small = batch_rows <= limit if batch_rows is not None else fits_broadcast(cut_off)
-        shuffled = not cut_small
+        shuffled = not is_small(sat, batch_rows)
         if shuffled:
             # joined on the key and its hash, which the grouping of the cut-offs is not
             # partitioned by: both sides get exchanges of their own, and only then
@@ -243,6 +219,21 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
     return newest_per_key(qual, pk, hd).select(pk, hd)
 
 
+def latest_current(current: DataFrame, stage: DataFrame, pk: str, hd: str, current_rows: int | None = None,
+                   batch_rows: int | None = None) -> DataFrame:
+    """(pk, hashdiff) of the newest versions of the batch's keys, from a satellite's
+    current versions instead of its history.  Right when no row of the batch has a load
+    date before the newest in the satellite: the guard then excludes no version.
+
+    ``current`` may still hold a key's older versions, from before it changed; of each
+    key the newest load date counts."""
+    if not is_small(current, current_rows):       # only the batch's keys go on
+        keys = some_keys(stage, [pk])
+        current = current.join(F.broadcast(keys) if is_small(current, batch_rows) else keys, pk, "left_semi")
+    latest = newest_per_key(current, pk, hd).select(pk, hd)
+    return F.broadcast(latest) if is_small(latest, current_rows) else latest
+
+
 def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:
     """(pk, hashdiff, load_date) of each key's versions at its newest load date.
 
@@ -258,9 +249,13 @@ def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:
 
 def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str],
              sat_rows: int | None = None, batch_rows: int | None = None,
-             skip_null_keys: bool = False, unique: bool = False) -> DataFrame:
+             skip_null_keys: bool = False, unique: bool = False,
+             current: DataFrame | None = None, current_rows: int | None = None) -> DataFrame:
     """Rows to insert into a satellite from one batch.
 
+    ``current``: the satellite's current versions (pk, hashdiff, load_date), see
+    ``latest_current``; the history in ``sat`` is then not read.
+
     ``cols`` is the insert column list (pk, hashdiff, payload, audit columns);
     ``sat_rows`` / ``batch_rows``: optional size bounds, see ``latest_versions``;
     ``unique``: the batch has no row twice, so none is looked for.
@@ -269,9 +264,12 @@ def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str]
     rows = source if unique else source.distinct()
     if sat_rows == 0:             # proven empty satellite: every distinct row is new
         return rows
-    cut_off = (source.where(F.col(pk).isNotNull())
-               .groupBy(pk).agg(F.max("load_date").alias("_cut")))
-    latest = latest_versions(sat, cut_off, pk, hd, sat_rows, batch_rows)
+    if current is not None:
+        latest = latest_current(current, source, pk, hd, current_rows, batch_rows)
+    else:
+        cut_off = (source.where(F.col(pk).isNotNull())
+                   .groupBy(pk).agg(F.max("load_date").alias("_cut")))
+        latest = latest_versions(sat, cut_off, pk, hd, sat_rows, batch_rows)
     return rows.join(latest, [pk, hd], "left_anti").select(*cols)
 
 
@@ -282,11 +280,3 @@ SATS = {
     "sat_user_details": ("user_pk", "user_hashdiff", SAT_USER_COLS),
     "sat_pay_details": (LINK_PK, "pay_doc_hashdiff", SAT_PAY_COLS),
 }
-
-
-def sat_user_details(stage: DataFrame, sat: DataFrame) -> DataFrame:
-    return sat_load(stage, sat, *SATS["sat_user_details"])
-
-
-def sat_pay_details(stage: DataFrame, sat: DataFrame) -> DataFrame:
-    return sat_load(stage, sat, *SATS["sat_pay_details"])

@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultmart.functions.joins import broadcast_limit
-from vaultmart.functions.lineage import ScratchTable, cut
+from vaultmart.functions.joins import checked_broadcast
+from vaultmart.functions.lineage import ScratchTable, cut_measured
 from vaultmart.operators import vault as V
 
+MOST_DELTAS = 8          # years of inserts read beside the current versions, at most
+
 State = TypeVar("State")
 
 
@@ -92,28 +94,28 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
       the existing satellite alone.  All such keys load in one set-based pass.
     * keys seen in several batches are folded year by year.
 
-    The fold carries a compact state - each key's versions at its newest load
-    date - instead of rescanning the whole history every year, when that is
-    exact: every batch has one load date, later than every earlier batch's and
+    The fold compares a year with the *current versions* - each key's versions at its
+    newest load date - and not with the history, when that is exact: every batch has one load date, later than every earlier batch's and
     than anything already in the satellite, so the load-date guard never
-    excludes a version and "latest" is simply the newest versions.  Otherwise
-    it runs the general ``sat_load`` per year.  Size bounds (a load inserts at
-    most its batch's rows) pick the joins without counting inside the loop.
+    excludes a version and "latest" is simply the newest versions.  A year's inserts,
+    which are written anyway, are what changes them; only when they have outgrown the
+    current versions are these written anew.  Otherwise
+    it runs the general ``sat_load`` per year.  Sizes come from the writes (a load inserts at
+    most its batch's rows), so no join is chosen by counting.
     """
     spark = staged.table.spark
     if sat is None:    # a new satellite: nothing to write or count
         schema = staged.all().select(*cols).schema
         table, start_rows, sat_max = ScratchTable(spark, name, schema), 0, None
     else:
-        table = ScratchTable.of(sat.select(*cols), name)
-        agg = table.read().agg(F.count(F.lit(1)).alias("n"), F.max("load_date").alias("m")).first()
-        start_rows, sat_max = agg["n"], agg["m"]
+        table = ScratchTable.of(sat.select(*cols), name, sized=True)
+        start_rows, sat_max = table.size.rows, table.size.newest
     stage = staged.all()
     spans = (stage.where(F.col(pk).isNotNull()).groupBy(pk)
              .agg(F.min("load_date").alias("_first"), F.max("load_date").alias("_last")))
-    multi = cut(spans.where(F.col("_first") < F.col("_last")).select(pk), f"{name}-multi")
-    n_multi = multi.count()
-    multi_side = F.broadcast(multi) if n_multi <= broadcast_limit(multi) else multi
+    multi, size = cut_measured(spans.where(F.col("_first") < F.col("_last")).select(pk), f"{name}-multi")
+    n_multi = size.rows
+    multi_side = checked_broadcast(multi, n_multi)
 
     # distinct before the join and NULL keys past it: neither a hot user nor the
     # NULL keys then meet in one task of the join
@@ -132,41 +134,41 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
 
     first_ld = staged.load_dates[staged.years[0]][0]
     if staged.increasing_load_dates() and (sat_max is None or sat_max < first_ld):
-        state = ScratchTable(spark, f"{name}-latest",
-                             T.StructType([table.schema[pk], table.schema[hd],
-                                           table.schema["load_date"]]))
+        versions = [pk, hd, "load_date"]
+        base = ScratchTable(spark, f"{name}-current", T.StructType([table.schema[c] for c in versions]))
+        base_rows = 0
         if sat is not None:
-            state.append(V.newest_per_key(
-                table.read().where(F.col(pk).isNotNull()).join(multi_side, pk, "left_semi"),
-                pk, hd))
-
+            base = ScratchTable.of(V.newest_per_key(
+                table.read().where(F.col(pk).isNotNull()).join(multi_side, pk, "left_semi"), pk, hd),
+                f"{name}-current", sized=True)
+            base_rows = base.size.rows
         pieces = [table.read()]
-        limit = broadcast_limit(multi)
-
-        def step(carry: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
-            st, state_rows = carry            # state_rows: bound on the state's rows
-            batch_rows = staged.sizes[year]   # bound on this year's inserts
-            latest = st.read().select(pk, hd)
-            if state_rows <= limit:
-                latest = F.broadcast(latest)
-            ins = cut(batch_of(year).join(latest, [pk, hd], "left_anti"),
-                      f"{name}-ins")
+
+        def union(parts: list[DataFrame]) -> DataFrame:
+            out = parts[0]
+            for part in parts[1:]:
+                out = out.unionByName(part)
+            return out
+
+        def step(state, year: int):
+            base, base_rows, deltas, delta_rows = state
+            rows, total = batch_of(year), base_rows + delta_rows
+            if total:
+                current = union([base.read(), *[d.select(*versions) for d in deltas]])
+                latest = V.latest_current(current, rows, pk, hd, total, staged.sizes[year])
+                rows = rows.join(latest, [pk, hd], "left_anti")
+            ins, size = cut_measured(rows.select(*cols), f"{name}-ins")
             pieces.append(ins)     # each year's inserts are already written once
-            # keys with new versions take them as their newest; others keep theirs
-            new_keys = ins.select(pk).distinct()
-            if batch_rows <= limit:
-                new_keys = F.broadcast(new_keys)
-            kept = st.read().join(new_keys, pk, "left_anti")
-            nxt = ScratchTable.of(kept.unionByName(ins.select(pk, hd, "load_date").distinct()),
-                                  f"{name}-latest")
-            st.drop()              # the years before are in the new state
-            return nxt, state_rows + batch_rows
-
-        backfill(staged.years, step, (state, start_rows))[0].drop()
-        out = pieces[0]
-        for piece in pieces[1:]:
-            out = out.unionByName(piece)
-        return out
+            deltas, delta_rows = [*deltas, ins], delta_rows + size.rows
+            if base_rows and delta_rows > 2 * base_rows or len(deltas) > MOST_DELTAS:
+                newer = ScratchTable.of(V.newest_per_key(
+                    union([base.read(), *[d.select(*versions) for d in deltas]]), pk, hd), f"{name}-current", sized=True)
+                base.drop()
+                return newer, newer.size.rows, [], 0
+            return base, base_rows, deltas, delta_rows
+
+        backfill(staged.years, step, (base, base_rows, [], 0))[0].drop()
+        return union(pieces)
 
     def general_step(state: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
         tbl, bound = state

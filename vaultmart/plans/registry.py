@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.functions.lineage import cut, scratch_path
+from vaultmart.functions.lineage import ScratchTable, cut, cut_measured, scratch_path
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -147,8 +147,9 @@ def _sat(name):
 
 # ---------------------------------------------------------------- report star (variant A)
 
-def _vault_all(spark, sf_dir) -> dict[str, DataFrame]:
-    """The first vault after loading every year, built set-based where exact."""
+def _vault_all(spark, sf_dir) -> tuple[dict[str, DataFrame], int]:
+    """The first vault after loading every year, built set-based where exact, and the
+    rows of its billing-period hub."""
     pk, hd, sat_cols = V.SATS["sat_pay_details"]
     needed = [*V.LINK_COLS, *sat_cols, "user_key", "billing_period_key"]
     staged = B.StagedBatches(_stage_all(spark, sf_dir), cols=needed)
@@ -158,20 +159,21 @@ def _vault_all(spark, sf_dir) -> dict[str, DataFrame]:
     out["link"] = V.link_backfill(stage, _empty(spark, "link_user_account_billing_pay"),
                                   V.LINK_PK, V.LINK_COLS, link_rows=0)
     out["sat_pay_details"] = B.sat_backfill(staged, None, pk, hd, sat_cols, "sat_pay_details")
-    return out
+    out["hub_billing_period"], size = cut_measured(out["hub_billing_period"], "hub_billing_period")
+    return out, size.rows
 
 
 def q21(spark, sf_dir):
-    v = _vault_all(spark, sf_dir)
+    v, periods = _vault_all(spark, sf_dir)
     return M.payment_report(v["link"], v["hub_billing_period"], v["sat_pay_details"],
-                            v["hub_user"], _raw(spark, sf_dir, "mdm_user"))
+                            v["hub_user"], _raw(spark, sf_dir, "mdm_user"), hub_bp_rows=periods)
 
 
 def _report_all(spark, sf_dir) -> tuple[DataFrame, int]:
     """The report over every billing year, materialised, with its row count
     (a bound on every dimension built from it)."""
-    report = cut(q21(spark, sf_dir), "report")
-    return report, report.count()
+    report, size = cut_measured(q21(spark, sf_dir), "report")
+    return report, size.rows
 
 
 def _dim(name):
@@ -215,9 +217,9 @@ def q29(spark, sf_dir):
     report variant B, star; the fact table."""
     configure(spark)
     stg = cut(_raw(spark, sf_dir, "stg_payment_typed"), "stg_payment")   # read by every reload
-    mdm = cut(_raw(spark, sf_dir, "mdm_user"), "mdm_user")
+    mdm, size = cut_measured(_raw(spark, sf_dir, "mdm_user"), "mdm_user")
     years = B.batch_years(V.payment_stage(O.ods_payment_copy(stg)))
-    v2 = B.backfill(years, lambda st, y: Y.run_second_vault_year(stg, mdm, st, y),
+    v2 = B.backfill(years, lambda st, y: Y.run_second_vault_year(stg, mdm, st, y, size.rows),
                     Y.SecondVault.empty(spark))
     v2.drop_stage()
     return v2.report.fact.read()
@@ -260,10 +262,11 @@ def q20(spark, sf_dir):
 def q22(spark, sf_dir):
     stage = cut(_stage_v2(spark, sf_dir))
     hu, hbp = _v2_hubs(spark, stage)
+    hbp, periods = cut_measured(hbp, "hub_billing_period")
     tlink = V2.t_link_payment(stage, _empty(spark, "t_link_payment"), link_rows=0)
     client = V2.sat_user_as_client(_raw(spark, sf_dir, "mdm_user"), hu,
                                    _empty(spark, "sat_user_as_client"), V2_LOAD_DATE, sat_rows=0)
-    return M.payment_report_client(tlink, hbp, hu, client)
+    return M.payment_report_client(tlink, hbp, hu, client, hub_bp_rows=periods.rows)
 
 
 # ---------------------------------------------------------------- two batches into one target
@@ -273,11 +276,13 @@ def _after(target: DataFrame, inserted: DataFrame) -> DataFrame:
 
 
 def _two(stage_of, load, name):
-    """A target after a batch of all years to OVERLAP and one of all from it."""
+    """A target after a batch of all years to OVERLAP and one of all from it.  ``load``
+    takes the sizes of the target and of the batch."""
     def run(spark, sf_dir):
         early, late = stage_of(spark, sf_dir)
-        target = cut(load(early, _empty(spark, name)), name)
-        return _after(target, load(late, target))
+        target, loaded = cut_measured(load(early, _empty(spark, name), 0, None), name)
+        staged = ScratchTable.of(late, "stage", sized=True)
+        return _after(target, load(staged.read(), target, loaded.rows, staged.size.rows))
     return run
 
 
@@ -295,11 +300,11 @@ _second = _two_stages(_typed_ods, V2.payment_stage_v2)
 
 
 def _two_hub(name):
-    return _two(_first, lambda stage, hub: V.hub_load(stage, hub, *V.HUBS[name]), name)
+    return _two(_first, lambda stage, hub, *rows: V.hub_load(stage, hub, *V.HUBS[name], *rows), name)
 
 
 def _two_sat(name):
-    return _two(_first, lambda stage, sat: V.sat_load(stage, sat, *V.SATS[name]), name)
+    return _two(_first, lambda stage, sat, *rows: V.sat_load(stage, sat, *V.SATS[name], *rows), name)
 
 
 def q20_two(spark, sf_dir):
@@ -364,7 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "Q12_hub_billing_period_two_batches": _two_hub("hub_billing_period"),
     "Q13_hub_pay_doc_two_batches": _two_hub("hub_pay_doc"),
     "Q14_hub_payment_two_batches": _two(_second, V2.hub_payment, "hub_payment"),
-    "Q15_link_two_batches": _two(_first, lambda stage, link: V.link_load(stage, link, V.LINK_PK, V.LINK_COLS),
+    "Q15_link_two_batches": _two(_first, lambda stage, link, *rows: V.link_load(stage, link, V.LINK_PK, V.LINK_COLS, *rows),
                                  "link_user_account_billing_pay"),
     "Q16_t_link_payment_two_batches": _two(_second, V2.t_link_payment, "t_link_payment"),
     "Q17_sat_user_details_two_batches": _two_sat("sat_user_details"),

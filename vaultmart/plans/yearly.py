@@ -7,13 +7,14 @@ E3 ``run_report_year``    vault -> report (materialised once) -> 4 dimensions ->
 E4 ``run_second_vault_year``  ODS slice reload -> second vault (4 hubs, transactional
                               link, 3 satellites) -> report variant B -> dimensions -> fact
 
-Vault and report tables are append-only ``ScratchTable``s (or any object with
-``read()`` / ``append(df)``), so each step reads what the previous years
-wrote, exactly like the reference's INSERT INTO ... SELECT loads.
+Vault and report tables are stored by run (``functions.runs``), so each step reads
+what the finished runs wrote, like the reference's INSERT INTO ... SELECT loads, and a
+run that failed half-way is replaced when its year is run again.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -21,7 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultmart.functions import dates as D
-from vaultmart.functions.lineage import BucketedTable, ScratchTable, scratch_path, together
+from vaultmart.functions.keys import norm
+from vaultmart.functions.lineage import ScratchTable, Written, children, scratch_path, together
+from vaultmart.functions.runs import BucketedTable, Runs, RunTable
 from vaultmart.operators import marts as M
 from vaultmart.operators import ods as O
 from vaultmart.operators import second_vault as V2
@@ -62,75 +65,116 @@ def run_lake_backfill(stg: dict[str, DataFrame], lake_root: str) -> None:
 
 # ---------------------------------------------------------------- E2
 #
-# Size bounds: every loader inserts at most as many rows as its batch has, so
-# a fold knows an upper bound on each table without counting it.  ``bounds``
-# carries them; each year counts only its materialised batch (a metadata read).
+# Sizes: every write observes its own rows, so the loads know the sizes of the
+# tables and of the batch without counting them.
+
+BILLING_YEAR = "billing_year"       # the partition, below the run, of link and payment satellite
+
+
+def _at(root: str | None, prefix: str, name: str) -> str | None:
+    return f"{root.rstrip('/')}/{prefix}{name}" if root else None
+
+
+def _current_schema(spec: tuple) -> S.T.StructType:
+    pk, hd, _ = spec
+    return S.T.StructType([S.T.StructField(pk, S.STRING), S.T.StructField(hd, S.STRING),
+                           S.T.StructField("load_date", S.TIMESTAMP)])
+
+
+def _newest(spec: tuple):
+    """What a merge may leave out of a satellite's current versions: the older ones."""
+    pk, hd, _ = spec
+    return lambda rows: V.newest_per_key(rows, pk, hd)
+
 
 @dataclass
 class Vault:
-    hub_user: ScratchTable
-    hub_account: ScratchTable
-    hub_billing_period: ScratchTable
-    hub_pay_doc: ScratchTable
-    link_user_account_billing_pay: ScratchTable
-    sat_user_details: ScratchTable
-    sat_pay_details: ScratchTable
-    bounds: dict = field(default_factory=dict)
+    hub_user: RunTable
+    hub_account: RunTable
+    hub_billing_period: RunTable
+    hub_pay_doc: RunTable
+    link_user_account_billing_pay: RunTable
+    sat_user_details: RunTable
+    sat_pay_details: RunTable
+    current: dict[str, RunTable]        # per satellite: key, hashdiff and date of the newest versions
+    runs: Runs
 
     @classmethod
     def empty(cls, spark: SparkSession, buckets: int | None = None) -> "Vault":
         """``buckets``: store every table bucketed by its hash key (for loads
         where both the batch and the history are too big to broadcast)."""
-        names = [n for n in cls.__dataclass_fields__ if n != "bounds"]
+        return cls.open(spark, None, buckets=buckets)
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str | None, prefix: str = "", buckets: int | None = None) -> "Vault":
+        """The vault stored under ``root`` (tables ``prefix`` + name), new or with what
+        earlier processes loaded; ``root=None``: a new one that ends with the process."""
         def table(name):
+            path = _at(root, prefix, name)
             if buckets:
-                return BucketedTable(spark, name, S.REGISTRY[name], VAULT_KEYS[name], buckets)
-            return ScratchTable(spark, name, S.REGISTRY[name])
+                return BucketedTable(spark, name, S.REGISTRY[name], VAULT_KEYS[name], buckets, path)
+            return RunTable(spark, name, S.REGISTRY[name], path, BY.get(name))
 
-        return cls(**{name: table(name) for name in names}, bounds={name: 0 for name in names})
+        tables = {name: table(name) for name in VAULT_KEYS}
+        current = {name: RunTable(spark, f"current_{name}", _current_schema(spec), _at(root, prefix, f"current_{name}"))
+                   for name, spec in V.SATS.items()}
+        runs = Runs(spark, {**tables, **{t.name: t for t in current.values()}}, _at(root, prefix, "vault_runs"),
+                    shrink={f"current_{name}": _newest(spec) for name, spec in V.SATS.items()})
+        return cls(**tables, current=current, runs=runs)
 
-
-    @classmethod
-    def open(cls, spark: SparkSession, root: str, prefix: str = "") -> "Vault":
-        """The vault stored under ``root`` (tables ``prefix`` + name), new or with
-        what earlier processes loaded; the size bounds are read from storage."""
-        names = [n for n in cls.__dataclass_fields__ if n != "bounds"]
-        tables = {n: ScratchTable(spark, n, S.REGISTRY[n], path=f"{root.rstrip('/')}/{prefix}{n}") for n in names}
-        return cls(**tables, bounds={n: t.read().count() for n, t in tables.items()})
+    @property
+    def bounds(self) -> dict[str, int]:
+        """The rows of every table."""
+        return {name: getattr(self, name).rows for name in VAULT_KEYS}
 
 
 VAULT_KEYS = {**{name: pk for name, (pk, _) in V.HUBS.items()},
               "link_user_account_billing_pay": V.LINK_PK,
               **{name: pk for name, (pk, _, _) in V.SATS.items()}}
+BY = {"link_user_account_billing_pay": BILLING_YEAR, "sat_pay_details": BILLING_YEAR, "t_link_payment": BILLING_YEAR}
+
+
+def _with_billing_year(stage: DataFrame) -> DataFrame:
+    # of the normalised key, so that equal hash keys have equal years
+    return stage.withColumn(BILLING_YEAR, D.period_key_year(norm("billing_period_key")))
+
+
+def load_satellite(stage: DataFrame, batch: Written, sat: RunTable, current: RunTable, spec: tuple) -> None:
+    """One satellite load, and the current versions after it.
+
+    A batch that is not older than anything stored is compared with the current versions,
+    and the history is not read; a late one is compared with the history (t8).  Only the
+    keys that got versions are written to ``current``."""
+    pk, hd, cols = spec
+    cols = [*cols, sat.by] if sat.by else cols
+    on_time = sat.rows > 0 and batch.oldest is not None and sat.newest is not None and batch.oldest >= sat.newest
+    sat.append(V.sat_load(stage, sat.read(), pk, hd, cols, sat.rows, batch.rows,
+                          current=current.read() if on_time else None, current_rows=current.rows))
+    current.append(sat.read_run().where(F.col(pk).isNotNull()).select(pk, hd, "load_date").distinct())
 
 
 def run_vault_year(ods, vault: Vault, year: int) -> Vault:
     """``ods``: the ODS DataFrame, or a function year -> DataFrame that reads only
     that year's partition of a year-partitioned ODS (partition pruning)."""
     ods_year = ods(year) if callable(ods) else ods
-    staged = ScratchTable.of(V.payment_stage(ods_year, year), "stage")   # read by 7 loaders
-    stage = staged.read()
-    n = stage.count()
-    b = vault.bounds
+    vault.runs.begin(str(year))
+    staged = ScratchTable.of(_with_billing_year(V.payment_stage(ods_year, year)), "stage", sized=True)   # read by 7 loaders
+    stage, batch = staged.read(), staged.size
 
     def hub(name, pk, keys):
         table = getattr(vault, name)
-        table.append(V.hub_load(stage, table.read(), pk, keys, b[name], n))
+        table.append(V.hub_load(stage, table.read(), pk, keys, table.rows, batch.rows))
 
     def link(name):
         table = getattr(vault, name)
-        table.append(V.link_load(stage, table.read(), V.LINK_PK, V.LINK_COLS, b[name], n))
-
-    def sat(name, pk, hd, cols):
-        table = getattr(vault, name)
-        table.append(V.sat_load(stage, table.read(), pk, hd, cols, b[name], n))
+        cols = [*V.LINK_COLS, table.by] if table.by else V.LINK_COLS
+        table.append(V.link_load(stage, table.read(), V.LINK_PK, cols, table.rows, batch.rows))
 
     together(*[partial(hub, name, *spec) for name, spec in V.HUBS.items()],
              partial(link, "link_user_account_billing_pay"),
-             *[partial(sat, name, *spec) for name, spec in V.SATS.items()])
-    for name in b:
-        b[name] += n
+             *[partial(load_satellite, stage, batch, getattr(vault, name), vault.current[name], spec)
+               for name, spec in V.SATS.items()])
+    vault.runs.finish()
     staged.drop()
     return vault
 
@@ -139,10 +183,10 @@ def run_vault_year(ods, vault: Vault, year: int) -> Vault:
 
 @dataclass
 class Report:
-    dims: dict[str, ScratchTable] = field(default_factory=dict)
-    fact: ScratchTable | None = None
+    dims: dict[str, RunTable]
+    fact: RunTable | ScratchTable
+    runs: Runs
     spec: dict = field(default_factory=lambda: M.DIMS)
-    bounds: dict = field(default_factory=dict)
     replace_years: bool = False
 
     @classmethod
@@ -154,52 +198,52 @@ class Report:
              replace_years: bool = False) -> "Report":
         """The star stored under ``root``, as ``Vault.open``; ``root=None``: a new one.
 
-        Facts are appended, as in the reference, so a rerun of a year doubles it
+        Facts are appended, as in the reference, so a rerun of a finished year doubles it
         (t10).  ``replace_years``: the fact is partitioned by billing year, and a
         run replaces its year."""
         spec = spec or M.DIMS
-
-        def path(name):
-            return f"{root.rstrip('/')}/{prefix}{name}" if root else None
-
-        dims = {name: ScratchTable(spark, name, S.dim_schema(key, _spark_type(ktype)), path=path(name))
+        dims = {name: RunTable(spark, name, S.dim_schema(key, _spark_type(ktype)), _at(root, prefix, name))
                 for name, (_, key, ktype) in spec.items()}
-        fact = ScratchTable(spark, "report_fact", S.REPORT_FACT, ["billing_year_id"] if replace_years else None,
-                            path=path("report_fact"))
-        return cls(dims=dims, fact=fact, spec=spec, replace_years=replace_years, bounds={name: t.read().count() if root else 0 for name, t in dims.items()})
+        path = _at(root, prefix, "report_fact")
+        fact = (ScratchTable(spark, "report_fact", S.REPORT_FACT, ["billing_year_id"], path) if replace_years
+                else RunTable(spark, "report_fact", S.REPORT_FACT, path))
+        stored = dims if replace_years else {**dims, "report_fact": fact}
+        return cls(dims=dims, fact=fact, runs=Runs(spark, stored, _at(root, prefix, "report_runs")), spec=spec,
+                   replace_years=replace_years)
 
 
 def _spark_type(name: str):
     return {"int": S.INT, "string": S.STRING}[name]
 
 
-def load_star(rep: DataFrame, report: Report, year: int) -> Report:
-    """Dimensions, then the fact, from one year's (materialised) report."""
-    n = rep.count()
+def load_star(rep: DataFrame, report: Report, year: int, rows: int | None = None) -> Report:
+    """Dimensions, then the fact, from one year's (materialised) report of ``rows`` rows."""
+    report.runs.begin(str(year))
 
     def dim(name, column, key, ktype):
         table = report.dims[name]
-        existing = table.read() if report.bounds[name] > 0 else None   # proven empty: skip it
-        table.append(M.dim_load(rep, existing, column, key, ktype, report_rows=n))
-        report.bounds[name] += n
+        existing = table.read() if table.rows else None          # empty: skip it
+        table.append(M.dim_load(rep, existing, column, key, ktype, report_rows=rows))
 
     together(*[partial(dim, name, *spec) for name, spec in report.spec.items()])
-    fact = M.report_fact(rep, {k: t.read() for k, t in report.dims.items()}, report.spec, dim_rows=report.bounds)
+    fact = M.report_fact(rep, {k: t.read() for k, t in report.dims.items()}, report.spec,
+                         dim_rows={k: t.rows for k, t in report.dims.items()})
     if report.replace_years:
         _, key, _ = report.spec["dim_billing_year"]
         ids = report.dims["dim_billing_year"].read().where(F.col(key) == year).select("id").collect()  # one row
         report.fact.replace(fact, [r["id"] for r in ids])
     else:
         report.fact.append(fact)
+    report.runs.finish()
     return report
 
 
 def run_report_year(vault: Vault, mdm: DataFrame, report: Report, year: int) -> Report:
-    rep = ScratchTable.of(M.payment_report(vault.link_user_account_billing_pay.read(),
-                                           vault.hub_billing_period.read(), vault.sat_pay_details.read(),
+    rep = ScratchTable.of(M.payment_report(vault.link_user_account_billing_pay.read(with_by=True),
+                                           vault.hub_billing_period.read(), vault.sat_pay_details.read(with_by=True),
                                            vault.hub_user.read(), mdm, year,
-                                           hub_bp_rows=vault.bounds["hub_billing_period"]), "report")
-    load_star(rep.read(), report, year)
+                                           hub_bp_rows=vault.hub_billing_period.rows), "report", sized=True)
+    load_star(rep.read(), report, year, rep.size.rows)
     rep.drop()
     return report
 
@@ -217,89 +261,157 @@ def run_combined_year(ods, mdm: DataFrame, state: tuple[Vault, Report],
 
 UNDATED = "undated"     # the stage's partition of rows without pay_date
 
+
+SECOND_VAULT = ["hub_user", "hub_account", "hub_payment", "hub_billing_period", "t_link_payment", "sat_user_details",
+                "sat_payment_doc_type", "sat_user_as_client"]
+
+
 @dataclass
 class SecondVault:
     ods_root: str
-    hub_user: ScratchTable
-    hub_account: ScratchTable
-    hub_payment: ScratchTable
-    hub_billing_period: ScratchTable
-    t_link_payment: ScratchTable
-    sat_user_details: ScratchTable
-    sat_payment_doc_type: ScratchTable
-    sat_user_as_client: ScratchTable
+    hub_user: RunTable
+    hub_account: RunTable
+    hub_payment: RunTable
+    hub_billing_period: RunTable
+    t_link_payment: RunTable
+    sat_user_details: RunTable
+    sat_payment_doc_type: RunTable
+    sat_user_as_client: RunTable
+    current_user_details: RunTable
     report: Report
-    bounds: dict = field(default_factory=dict)
-    stage: ScratchTable | None = None      # hash keys of the ODS, partitioned as it is
+    runs: Runs
+    stage: ScratchTable                    # hash keys of the ODS, partitioned as it is
+    staged_from: dict[str, str] = field(default_factory=dict)   # per partition: the ODS files staged
+    staged_rows: dict[str, int] = field(default_factory=dict)
 
     @classmethod
     def empty(cls, spark: SparkSession) -> "SecondVault":
-        names = [n for n in cls.__dataclass_fields__ if n not in ("ods_root", "report", "bounds", "stage")]
-        tables = {name: ScratchTable(spark, name, S.REGISTRY[name]) for name in names}
-        return cls(ods_root=scratch_path(spark, "ods_payment"), **tables,
-                   report=Report.empty(spark, M.DIMS_B), bounds={name: 0 for name in names})
+        return cls.open(spark, None)
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str | None, prefix: str = "") -> "SecondVault":
+        """The second vault, its ODS, stage and report stored under ``root``, as ``Vault.open``."""
+        tables = {name: RunTable(spark, name, S.REGISTRY[name], _at(root, prefix, name), BY.get(name))
+                  for name in SECOND_VAULT}
+        spec = V.SATS["sat_user_details"]
+        current = RunTable(spark, "current_user_details", _current_schema(spec), _at(root, prefix, "current_user_details"))
+        ods_root = _at(root, prefix, "ods_payment") or scratch_path(spark, "ods_payment")
+        stage = ScratchTable(spark, "stage_v2", _stage_schema(spark), ["ods_year"], _at(root, prefix, "stage_v2"))
+        v = cls(ods_root=ods_root, **tables, current_user_details=current,
+                report=Report.open(spark, root, f"{prefix}report_", M.DIMS_B),
+                runs=Runs(spark, {**tables, current.name: current}, _at(root, prefix, "vault_runs"),
+                          shrink={current.name: _newest(spec)}), stage=stage)
+        if stage.written:
+            # a stored partition without a note is not trusted: it is staged again, or emptied
+            v.staged_from = {name.removeprefix("ods_year="): "unknown" for name in children(spark, stage.path)
+                             if name.startswith("ods_year=")}
+            for r in _read_notes(stage):
+                v.staged_from[r["ods_year"]], v.staged_rows[r["ods_year"]] = r["files"], r["rows"]
+        return v
 
     def drop_stage(self) -> None:
         """Delete the staged hash keys; the next run stages the whole ODS again."""
-        if self.stage is not None:
-            self.stage.drop()
-            self.stage = None
+        self.stage.drop()
+        self.staged_from, self.staged_rows = {}, {}
 
 
 def _staged_v2(ods: DataFrame, load_date: str) -> DataFrame:
     """The stage of some ODS partitions, by their year."""
-    stage = V2.payment_stage_v2(ods, load_date)
+    stage = _with_billing_year(V2.payment_stage_v2(ods, load_date))
     return stage.withColumn("ods_year", F.coalesce(F.year("pay_date").cast("string"), F.lit(UNDATED)))
 
 
-def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year: int) -> SecondVault:
+def _stage_schema(spark: SparkSession) -> S.T.StructType:
+    return _staged_v2(spark.createDataFrame([], S.ODS_PAYMENT), "1970-01-01 00:00:00").schema
+
+
+NOTES = S.T.StructType([S.T.StructField("ods_year", S.STRING), S.T.StructField("files", S.STRING),
+                        S.T.StructField("rows", S.BIGINT)])
+
+
+def _read_notes(stage: ScratchTable) -> list:
+    """What the stage's partitions were made from (a row a year); none: nothing is known."""
+    notes = ScratchTable(stage.spark, "notes", NOTES, path=f"{stage.path}_notes")
+    return notes.read().collect()
+
+
+def _ods_files(spark: SparkSession, root: str) -> dict[str, str]:
+    """Per ODS partition the names and sizes of its files.  Every write makes new names, so
+    equal names mean the same rows."""
+    out = {}
+    for folder in children(spark, root):
+        if folder.startswith("year="):
+            files = {k: v for k, v in children(spark, f"{root}/{folder}").items() if k.startswith("part-") and v}
+            year = folder.removeprefix("year=")
+            out[UNDATED if year == "__HIVE_DEFAULT_PARTITION__" else year] = json.dumps(files, sort_keys=True)
+    return out
+
+
+def _restage(v: SecondVault, load_date: str) -> None:
+    """Stage the ODS partitions whose files are not those the stage was made from: in a
+    running process those the run has reloaded, after ``open`` also those that another
+    process has changed or staged without noting it."""
+    spark = v.stage.spark
+    files = _ods_files(spark, v.ods_root)
+    changed = [year for year in {**files, **v.staged_from} if files.get(year) != v.staged_from.get(year)]
+    if not changed:
+        return
+    # an unnoted partition is staged again: the note comes after the rows
+    ods = scan(spark, "ods_payment", v.ods_root).where(F.coalesce("year", F.lit(UNDATED)).isin(changed))
+    rows = _staged_v2(ods, load_date)
+    size = v.stage.replace(rows, changed)
+    for year in changed:
+        v.staged_from.pop(year, None)
+        v.staged_rows.pop(year, None)
+        if year in files:
+            # a bound: the rows staged with this year
+            v.staged_from[year], v.staged_rows[year] = files[year], size.rows
+    notes = [(year, v.staged_from[year], v.staged_rows[year]) for year in v.staged_from]
+    spark.createDataFrame(notes, NOTES).coalesce(1).write.mode("overwrite").parquet(f"{v.stage.path}_notes")
+
+
+def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year: int,
+                          mdm_rows: int | None = None) -> SecondVault:
     """One run of the combined DAG.  Its load views take no year: every run
-    loads the whole (reloaded) ODS with the run's LOAD_DATE."""
+    loads the whole (reloaded) ODS with the run's LOAD_DATE.  ``mdm_rows``: the rows of
+    the master data, where known."""
     load_date = f"{year:04d}-01-01 00:00:00"
+    v.runs.begin(str(year))
     # slice reload (DELETE the year, INSERT the year) as one partition overwrite:
     # O(one year) written, other years and NULL-dated rows untouched
     sinks.overwrite_partition(O.ods_payment(stg, year), v.ods_root, year, "ods_payment")
     # hashed once per reload: the rows of other years keep their keys, so a run
     # stages only what it reloaded and gives all rows its own LOAD_DATE
-    if v.stage is None:
-        ods = scan(stg.sparkSession, "ods_payment", v.ods_root)
-        v.stage = ScratchTable.of(_staged_v2(ods, load_date), "stage_v2", partition_by=["ods_year"])
-    else:
-        v.stage.replace(_staged_v2(scan_year(stg.sparkSession, "ods_payment", v.ods_root, year), load_date),
-                        [str(year)])
+    _restage(v, load_date)
     stage = v.stage.read().withColumn("load_date", D.ts_literal(load_date))
-    n = stage.count()
-    b = v.bounds
-    if "_mdm" not in b:
-        b["_mdm"] = mdm.count()
+    n = sum(v.staged_rows.values())                  # a bound
+    batch = Written(n, 0, D.year_start_datetime(year), D.year_start_datetime(year))
 
     def hub(name, pk, keys):
         table = getattr(v, name)
-        table.append(V.hub_load(stage, table.read(), pk, keys, b[name], n))
+        table.append(V.hub_load(stage, table.read(), pk, keys, table.rows, n))
 
     def clients():
         hub("hub_user", *V.HUBS["hub_user"])       # a client is stored once the hub knows the user
-        v.sat_user_as_client.append(V2.sat_user_as_client(
-            mdm, v.hub_user.read(), v.sat_user_as_client.read(), load_date,
-            sat_rows=b["sat_user_as_client"], batch_rows=b["_mdm"]))
+        sat = v.sat_user_as_client
+        sat.append(V2.sat_user_as_client(mdm, v.hub_user.read(), sat.read(), load_date,
+                                         sat_rows=sat.rows, batch_rows=mdm_rows))
+
+    def link():
+        table = v.t_link_payment
+        table.append(V.link_load(stage, table.read(), "pay_pk", [*V2.T_LINK_COLS, table.by], table.rows, n))
 
-    together(clients,
+    together(clients, link,
              partial(hub, "hub_account", *V.HUBS["hub_account"]),
              partial(hub, "hub_payment", "pay_pk", ["pay_doc_type_id", "pay_doc_num"]),
              partial(hub, "hub_billing_period", *V.HUBS["hub_billing_period"]),
-             lambda: v.t_link_payment.append(V2.t_link_payment(
-                 stage, v.t_link_payment.read(), link_rows=b["t_link_payment"], batch_rows=n)),
-             lambda: v.sat_user_details.append(V.sat_load(
-                 stage, v.sat_user_details.read(), *V.SATS["sat_user_details"], b["sat_user_details"], n)),
+             partial(load_satellite, stage, batch, v.sat_user_details, v.current_user_details, V.SATS["sat_user_details"]),
              lambda: v.sat_payment_doc_type.append(V2.sat_payment_doc_type(
-                 stage, v.sat_payment_doc_type.read(), b["sat_payment_doc_type"], n)))
-    for name in b:
-        if name not in ("_mdm", "sat_user_as_client"):
-            b[name] += n
-    b["sat_user_as_client"] += b["_mdm"]
-    rep = ScratchTable.of(M.payment_report_client(v.t_link_payment.read(), v.hub_billing_period.read(),
+                 stage, v.sat_payment_doc_type.read(), v.sat_payment_doc_type.rows, n)))
+    v.runs.finish()
+    rep = ScratchTable.of(M.payment_report_client(v.t_link_payment.read(with_by=True), v.hub_billing_period.read(),
                                                   v.hub_user.read(), v.sat_user_as_client.read(), year,
-                                                  hub_bp_rows=b["hub_billing_period"]), "report_v2")
-    load_star(rep.read(), v.report, year)
+                                                  hub_bp_rows=v.hub_billing_period.rows), "report_v2", sized=True)
+    load_star(rep.read(), v.report, year, rep.size.rows)
     rep.drop()
     return v

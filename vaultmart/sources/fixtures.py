@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultmart.functions.joins import checked_broadcast
+from vaultmart.functions.lineage import cut_measured
 from vaultmart.sources import schemas as S
 from vaultmart.sources.lake import spread
 
@@ -105,8 +106,9 @@ def stg_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mdm_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
-    # 25 nations: broadcast after a count, so customers are not shuffled on 25 values
-    df = (customer.join(checked_broadcast(nation), customer.c_nationkey == nation.n_nationkey)
+    # 25 nations: broadcast once measured, so customers are not shuffled on 25 values
+    nation, size = cut_measured(nation.select("n_nationkey", "n_name"), "nation")
+    df = (customer.join(checked_broadcast(nation, size.rows), customer.c_nationkey == nation.n_nationkey)
           .selectExpr(
               # 1 customer in 37 is known under an id that no payment has
               "CAST(CASE WHEN c_custkey % 37 = 0 THEN -1 - c_custkey ELSE c_custkey END AS INT) AS id",
