@@ -602,6 +602,7 @@ def all_sql() -> dict[str, str]:
         "Q05_dm_bytes_received": q05(),
         "Q06_ods_payment_copy": q06(),
         "Q07_ods_payment_reload": q07(),
+        "S02_multi_directory_scan": q06(),
         "Q08_payment_stage": q08(),
         "Q09_payment_stage_all": q09(),
         "Q10_hub_user": hub_query("hub_user"),

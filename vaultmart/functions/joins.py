@@ -27,12 +27,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultmart.functions.lineage import cut
+
 MAX_ROWS_CONF = "vaultmart.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 1_000_000
 MAX_BYTES_CONF = "vaultmart.broadcast.maxBytes"
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 TEXT_BYTES = 48          # a hash key is 32 characters
 ROW_BYTES = 32           # a row's own overhead in the broadcast relation
+FIRST_DAY = "0001-01-01 00:00:00"
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -49,14 +52,25 @@ def is_small(df: DataFrame, known_rows: int | None) -> bool:
 
 
 def some_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The distinct keys of a batch that can match at all.  "Not NULL" is written as a
-    comparison, as Spark builds a runtime Bloom filter only from a side that it sees
-    filtered."""
+    """The distinct keys of a batch that can match at all."""
     for k in keys:
-        batch = batch.where(F.col(k).cast("string") >= F.lit(""))
+        batch = batch.where(F.col(k).isNotNull())
     return batch.select(*keys).distinct()
 
 
+def _filter_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of a stored batch, in the form from which Spark builds a runtime Bloom
+    filter: a scan (no aggregate) that it sees filtered.  The condition is on the load
+    date, which all rows meet; one on the key would be inferred for the other side too,
+    and the filter could then be made of that."""
+    for k in keys:
+        batch = batch.where(F.col(k).isNotNull())
+    if "load_date" in batch.columns:
+        day = F.lit(FIRST_DAY).cast("timestamp_ntz")
+        batch = batch.where(F.coalesce("load_date", day) >= day)
+    return batch.select(*keys)
+
+
 def checked_broadcast(df: DataFrame, known_rows: int | None) -> DataFrame:
     """``F.broadcast(df)`` if it passes the size check, else ``df`` unchanged."""
     return F.broadcast(df) if is_small(df, known_rows) else df
@@ -75,10 +89,11 @@ def anti_join_existing(batch: DataFrame, target: DataFrame, keys: list[str],
     target_keys = target.select(*keys)
     if is_small(target_keys, target_rows):
         return batch.join(F.broadcast(target_keys), keys, "left_anti")
-    batch_keys = some_keys(batch, keys)
     if is_small(batch.select(*keys), batch_rows):
         # the matches are a subset of the (checked) batch keys: bounded too
-        hits = target_keys.join(F.broadcast(batch_keys), keys, "left_semi").distinct()
+        hits = target_keys.join(F.broadcast(some_keys(batch, keys)), keys, "left_semi").distinct()
         return batch.join(F.broadcast(hits), keys, "left_anti")
-    hits = target_keys.join(batch_keys, keys, "left_semi")
+    # both joins read the batch: written, it is computed once, and Spark can filter by it
+    batch = cut(batch, "batch")
+    hits = target_keys.join(_filter_keys(batch, keys), keys, "left_semi")
     return batch.join(hits, keys, "left_anti")

@@ -227,11 +227,13 @@ def latest_current(current: DataFrame, stage: DataFrame, pk: str, hd: str, curre
 
     ``current`` may still hold a key's older versions, from before it changed; of each
     key the newest load date counts."""
-    if not is_small(current, current_rows):       # only the batch's keys go on
-        keys = some_keys(stage, [pk])
-        current = current.join(F.broadcast(keys) if is_small(current, batch_rows) else keys, pk, "left_semi")
-    latest = newest_per_key(current, pk, hd).select(pk, hd)
-    return F.broadcast(latest) if is_small(latest, current_rows) else latest
+    if is_small(current, current_rows):           # one exchange of a proven small table
+        newest = F.max("load_date").over(Window.partitionBy(pk))
+        latest = current.select(pk, hd, "load_date", newest.alias("_newest")).where("load_date = _newest")
+        return F.broadcast(latest.select(pk, hd))
+    keys = some_keys(stage, [pk])                 # only the batch's keys go on
+    current = current.join(F.broadcast(keys) if is_small(current, batch_rows) else keys, pk, "left_semi")
+    return newest_per_key(current, pk, hd).select(pk, hd)
 
 
 def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:

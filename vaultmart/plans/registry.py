@@ -93,6 +93,14 @@ def q06(spark, sf_dir):
     return _typed_ods(spark, sf_dir)
 
 
+def s02(spark, sf_dir):
+    """S2: the typed payments as files in one folder per document type, read by a glob."""
+    root = scratch_path(spark, "payment")
+    (_raw(spark, sf_dir, "stg_payment_typed").withColumn("kind", F.coalesce("pay_doc_type", F.lit("none")))
+     .hint("rebalance", "kind").write.partitionBy("kind").parquet(root))
+    return O.ods_payment_copy(scan(spark, "stg_payment_typed", f"{root}/*/"))
+
+
 def q07(spark, sf_dir):
     """Reload of a year whose rows in ODS are stale: half are missing, and the
     sums of the others are out of date."""
@@ -337,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "Q05_dm_bytes_received": q05,
     "Q06_ods_payment_copy": q06,
     "Q07_ods_payment_reload": q07,
+    "S02_multi_directory_scan": s02,
     "Q08_payment_stage": q08,
     "Q09_payment_stage_all": q09,
     "Q10_hub_user": _hub("hub_user"),
