@@ -15,22 +15,26 @@ n-grams counted once.  As an automaton: every
 history seen in training is a state; a seen continuation hw is an arc with the
 weight log10 p(w | h); any other token takes the failure arc to h' with the
 weight log10(mass / (c(h) + mass)) and is tried again there.  A text starts in
-the state of the history <start>, and one left-to-right walk adds up weights.
-No state is carried in the code: the state of each token is given by the tokens
-before it, so all weights of a block are computed level by level over arrays, which
-is the same walk (the weights of the arcs and failures passed are p(w | h)).
+the state of the history <start>, and one left-to-right walk adds up weights: all
+texts of a block are walked at once, one token of each a step, with an array of current
+states.  Long texts are walked in stretches of ``STRETCH`` tokens, each from the state
+that the order-1 tokens before it lead to, which is the state the walk would have there.
 
 Plan.  Texts are cut into blocks of about ``BLOCK_BYTES``.
 
-1. Each block lists its distinct n-grams (as 64-bit hashes) with their counts in
-   its training texts, dealt into shards by hash.  Equal n-grams of a block are
-   one entry, so a word that makes up a third of the corpus is one entry a block,
+1. Each block lists its distinct n-grams (as 64-bit hashes, sorted) with their counts in
+   its training texts.  A shard is a range of hashes, so that a block's part of a shard is
+   a slice; it is one row, with the differences of its hashes.  Equal n-grams of a block
+   are one entry, so a word that makes up a third of the corpus is one entry a block,
    and shards are even.
 2. A shard adds up the counts of its n-grams over all blocks, and answers each
    block with the totals of the n-grams it listed, in the order listed.  It also
    reports how many tokens and distinct tokens it counted (N and V).
 3. Each block gets its answers, which are the counts of all states and arcs its own
-   texts can touch, and scores its texts by them.
+   texts can touch, builds that part of the automaton, and walks its texts.
+
+There is a row per block and shard, as a shuffle of Spark's has a segment per map task and
+reducer; both sizes are parameters, bounded by the memory of a task.
 
 Blocks are made twice from the table rather than stored, and are named by their
 content: a table that changed in between raises an error.
@@ -62,13 +66,28 @@ from vaultmart.functions.lineage import cut
 from vaultmart.llm.common import WHITE_SPACE, id_and_text
 
 BLOCK_BYTES = 4 << 20     # text in a block
-SHARD_BYTES = 8 << 20     # corpus text for which one shard is planned
+SHARD_BYTES = 32 << 20    # corpus text for which one shard is planned
+STRETCH = 256             # tokens of a text that are walked in one go
 MASSES = [float(2.0 ** (n / 8)) for n in range(-16, 129)]     # tried when masses are fitted
 ENDS = 1 << 31            # beside a block's count of an n-gram, which is far below
 START, END = b"\x01 ", b"\x02 "      # no word holds white space
-ROWS = pa.schema([("kind", pa.string()), ("shard", pa.int64()), ("block", pa.string()),
-                  ("level", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-ROWS_DDL = "kind string, shard long, block string, level int, keys binary, counts binary"
+# of each level, in order: the number of n-grams, their hashes, their counts
+ROWS = pa.schema([("kind", pa.string()), ("shard", pa.int64()), ("block", pa.string()), ("sizes", pa.list_(pa.int64())),
+                  ("keys", pa.list_(pa.binary())), ("counts", pa.list_(pa.binary()))])
+ROWS_DDL = "kind string, shard long, block string, sizes array<long>, keys array<binary>, counts array<binary>"
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers of eight bytes, compressed byte by byte: high bytes are mostly nought."""
+    planes = values.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return pa.compress(planes, codec="zstd", asbytes=True) if planes else b""
+
+
+def _unpacked(data: bytes, n: int, kind) -> np.ndarray:
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data, n * 8, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(kind).ravel()
 
 
 def hold_out(doc_id, modulus: int, remainder: int) -> bool:
@@ -161,33 +180,102 @@ class Walk:
         self.start = (lead == 0) & (np.repeat(skip, length) == 1) & (hashes[ids] == _START_HASH)
         self.end = hashes[ids] == _END_HASH
         self.grams = _grams(ids, lead, order, hashes)
+        self.lists: dict[int, tuple] = {}
 
     def listed(self, level: int):
         """(sorted distinct n-grams of a level, place of each token's n-gram in
         it, how often each is counted in training, with the bit ENDS if it ends
         a text and so is no history)."""
+        if level in self.lists:
+            return self.lists[level]
         grams, exists = self.grams[level - 1]
         distinct, place = np.unique(np.where(exists, grams, np.uint64(0)), return_inverse=True)
         counted = self.training & exists & (self.scored | self.start)
         ends = np.bincount(place[self.end & exists], minlength=len(distinct)) > 0
-        return distinct, place, np.bincount(place[counted], minlength=len(distinct)) | np.where(ends, ENDS, 0)
-
-    def score(self, totals: list[np.ndarray], tokens: int, distinct: int, masses: list[float]):
-        """Walk the block: (log10 weight, base weight, known) of each token.
-
-        ``totals[n]``: the corpus count of each token's (n+1)-gram.  Taken
-        upwards, p holds the weight of reading the token from the state of n
-        older tokens: by its arc where there is one, else by failing."""
+        self.lists[level] = distinct, place, np.bincount(place[counted], minlength=len(distinct)) | np.where(ends, ENDS, 0)
+        return self.lists[level]
+
+    def automaton(self, totals: list[np.ndarray], tokens: int, distinct: int, masses: list[float]) -> "Automaton":
+        """The states and arcs that this block's texts can touch.  ``totals[n]``: the
+        corpus count of each of the block's distinct (n+1)-grams."""
+        return Automaton([self.listed(level)[:2] for level in range(1, len(totals) + 1)], totals, tokens, distinct, masses)
+
+    def walked(self, model: "Automaton") -> np.ndarray:
+        """log10 weight of each token, read from left to right."""
+        length = self.meta[:, 3]
+        first = np.cumsum(length) - length
+        # stretches of each text; their walk begins order-1 tokens earlier, in the text
+        parts = -(-length // STRETCH)
+        text = np.repeat(np.arange(len(length)), parts)
+        begin = first[text] + STRETCH * (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts))
+        stop = np.minimum(begin + STRETCH, (first + length)[text])
+        at = np.maximum(begin - (len(model.arc) - 1), first[text])
+        longest = np.argsort(at - stop, kind="stable")           # so that those still walking stand in front
+        at, begin, stop = at[longest], begin[longest], stop[longest]
+        weight = np.zeros(int(length.sum()))
+        level, state = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        while len(at):
+            read, level, state = model.step(at, level, state)
+            own = at >= begin
+            weight[at[own]] = read[own]
+            at = at + 1
+            going = int(np.searchsorted(-(stop - at), 0)) if len(at) else 0          # stop - at falls along the array
+            at, begin, stop, level, state = at[:going], begin[:going], stop[:going], level[:going], state[:going]
+        return weight
+
+
+class Automaton:
+    """States are seen histories of 0 to order-1 tokens, named by (length, number); the
+    root is (0, 0).  For n-grams of each length, by number: ``arc`` holds the weight of the
+    arc that reads the last token from the state of the others (NaN: never seen, no
+    arc), ``fail`` the weight of the failure arc of the state the n-gram is, ``shorter`` the
+    number of the n-gram without its first token, which is where that arc leads.  ``at``
+    names the n-gram that ends at each token."""
+
+    def __init__(self, listed, totals: list[np.ndarray], tokens: int, distinct: int, masses: list[float]):
+        self.at = [place for _, place in listed]
+        self.unknown = np.log10(1.0 / (tokens + distinct + 1.0))
         p = (totals[0] + 1.0) / (tokens + distinct + 1.0)
-        base = np.log10(p)
-        for level in range(2, len(totals) + 1):
-            history = np.concatenate([[0], totals[level - 2][:-1]])  # count of the n-gram before
-            exists = self.grams[level - 1][1]
-            state = exists & (history > 0)        # no state: the walk is already below
-            mass = masses[level - 2]
-            arc = (totals[level - 1] + mass * p) / (history + mass)
-            p = np.where(state, arc, p)
-        return np.log10(p), base, totals[0] > 0
+        self.arc = [np.where(totals[0] > 0, np.log10(p), np.nan)]
+        self.shorter, self.fail = [np.zeros(len(p), np.int64)], []
+        for n, mass in enumerate(masses, 1):                     # n-grams of n+1 tokens
+            self.fail.append(np.log10(mass / (totals[n - 1] + mass)))
+            place = self.at[n]
+            one = np.zeros(len(totals[n]), np.int64)             # a token where each n-gram ends
+            one[place] = np.arange(len(place))
+            shorter = self.at[n - 1][one]
+            history = np.where(one > 0, totals[n - 1][self.at[n - 1][one - 1]], 0)
+            p = (totals[n] + mass * p[shorter]) / (history + mass)
+            self.arc.append(np.where(totals[n] > 0, np.log10(p), np.nan))
+            self.shorter.append(shorter)
+
+    def step(self, tokens: np.ndarray, level: np.ndarray, state: np.ndarray):
+        """Read one token of each text from its current state: (weights, next states)."""
+        weight, todo = np.zeros(len(tokens)), np.arange(len(tokens))
+        level, state = level.copy(), state.copy()
+        while len(todo):
+            known = np.empty(len(todo))
+            for n in np.unique(level[todo]):
+                mine = level[todo] == n
+                known[mine] = self.arc[n][self.at[n][tokens[todo[mine]]]]
+            taken = ~np.isnan(known)
+            done = todo[taken]
+            weight[done] += known[taken]
+            # the n-gram just read, or the longest part of it that is a state
+            level[done] = np.minimum(level[done] + 1, len(self.arc) - 1)
+            lost = todo[~taken]
+            for n in np.unique(level[done]):
+                mine = done[level[done] == n]
+                state[mine] = self.at[n - 1][tokens[mine]] if n else 0
+            root = lost[level[lost] == 0]                        # a token never seen: back at the root
+            weight[root] += self.unknown
+            todo = lost[level[lost] > 0]
+            for n in np.unique(level[todo]):                     # failure arcs
+                mine = todo[level[todo] == n]
+                weight[mine] += self.fail[n - 1][state[mine]]
+                state[mine] = self.shorter[n - 1][state[mine]]
+            level[todo] -= 1
+        return weight, level, state
 
 
 _START_HASH = np.uint64(xxhash.xxh3_64_intdigest(START))
@@ -199,14 +287,17 @@ def _blocks(order: int, modulus: int, remainder: int, shards: int, lists: bool):
 
     def emit(block: Block):
         name, packed, size = block.packed()
-        rows = [("block", None, name, size, packed, None)]
+        rows = [("block", None, name, [size], [packed], None)]
         if lists:
             walk, rows = Walk(packed, size, order), []
+            parts = [[] for _ in range(shards)]
             for level in range(1, order + 1):
                 keys, _, counts = walk.listed(level)
-                for shard, part in _dealt(keys, shards):
-                    rows.append(("list", shard, name, level, keys[part].tobytes(),
-                                 pa.compress(counts[part].astype(np.uint32).tobytes(), codec="zstd", asbytes=True)))
+                for held, (a, b) in zip(parts, _dealt(keys, shards)):
+                    some = keys[a:b]
+                    held.append((b - a, _packed(np.diff(some, prepend=np.uint64(0))), _packed(counts[a:b].astype(np.int64))))
+            rows = [("list", shard, name, *map(list, zip(*held))) for shard, held in enumerate(parts)
+                    if any(n for n, _, _ in held)]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ROWS)], schema=ROWS)
 
     def run(batches):
@@ -233,35 +324,39 @@ def _blocks(order: int, modulus: int, remainder: int, shards: int, lists: bool):
 
 
 def _dealt(keys: np.ndarray, shards: int):
-    """(shard, places of its keys) for every shard that any key falls to."""
-    shard = (keys % np.uint64(shards)).astype(np.int64)
-    by = np.argsort(shard, kind="stable")
-    for part in np.split(by, np.flatnonzero(np.diff(shard[by])) + 1):
-        if len(part):
-            yield int(shard[part[0]]), part
+    """(begin, end) of every shard's slice of sorted keys."""
+    edges = np.array([(n << 64) // shards for n in range(1, shards)], np.uint64)
+    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+    return list(zip(cuts[:-1], cuts[1:]))
 
 
 def _count(lists: pd.DataFrame) -> pd.DataFrame:
-    """One shard and level: totals for every block that listed its n-grams."""
-    keys = [np.frombuffer(k, np.uint64) for k in lists["keys"]]
-    sizes = np.array([len(k) for k in keys])
-    counts = np.concatenate([np.frombuffer(pa.decompress(c, int(n) * 4, codec="zstd", asbytes=True), np.uint32)
-                             for c, n in zip(lists["counts"], sizes)]).astype(np.int64)
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.zeros(len(distinct), np.int64)
-    np.add.at(totals, place, counts & ~ENDS)
-    history = np.ones(len(distinct), bool)
-    history[place[counts >= ENDS]] = False
-    real = totals[(distinct != _START_HASH)]
-    answers = np.split(totals[place], np.cumsum(sizes)[:-1])
-    head = lists.iloc[0]
+    """One shard: totals for every block that listed its n-grams, level by level."""
+    answers, fits, tokens, distinct_tokens = [[] for _ in range(len(lists))], [], 0, 0
+    for level in range(len(lists["sizes"].iloc[0])):
+        sizes = np.array([s[level] for s in lists["sizes"]], np.int64)
+        keys = np.concatenate([np.cumsum(_unpacked(k[level], n, np.uint64)) for k, n in zip(lists["keys"], sizes)])
+        counts = np.concatenate([_unpacked(c[level], n, np.int64) for c, n in zip(lists["counts"], sizes)])
+        distinct, place = np.unique(keys, return_inverse=True)
+        del keys
+        totals = np.zeros(len(distinct), np.int64)
+        np.add.at(totals, place, counts & ~ENDS)
+        history = np.ones(len(distinct), bool)
+        history[place[counts >= ENDS]] = False
+        del counts
+        at = 0
+        for held, n in zip(answers, sizes):
+            held.append(_packed(totals[place[at:at + n]]))
+            at += n
+        fits.append([float((totals == 1).sum()), *_failing(totals[history])])
+        if level == 0:
+            real = totals[distinct != _START_HASH]
+            tokens, distinct_tokens = int(real.sum()), int((real > 0).sum())
     out = pd.DataFrame({
-        "kind": "answer", "shard": head["shard"], "block": lists["block"], "level": head["level"],
-        "keys": None, "counts": [pa.compress(a.tobytes(), codec="zstd", asbytes=True) for a in answers],
-        "tokens": 0, "distinct": 0, "fit": None})
-    out.at[out.index[0], "fit"] = [float((totals == 1).sum()), *_failing(totals[history])]
-    if head["level"] == 1:
-        out.loc[out.index[0], ["tokens", "distinct"]] = [real.sum(), (real > 0).sum()]
+        "kind": "answer", "shard": lists["shard"].iloc[0], "block": lists["block"], "sizes": lists["sizes"],
+        "keys": None, "counts": answers, "tokens": 0, "distinct": 0, "fit": None})
+    out.at[out.index[0], "fit"] = [x for fit in fits for x in fit]
+    out.loc[out.index[0], ["tokens", "distinct"]] = [tokens, distinct_tokens]
     return out
 
 
@@ -275,9 +370,10 @@ def _failing(history: np.ndarray) -> np.ndarray:
 def fitted_masses(answers: DataFrame, order: int) -> list[float]:
     """The mass of each level from 2: the largest of MASSES at which no more tokens
     are expected to fail than do, which are the n-grams counted once."""
-    found = (answers.where("fit is not null").select("level", F.posexplode("fit"))
-             .groupBy("level", "pos").agg(F.sum("col").alias("sum")).collect())
-    sums = {(r["level"], r["pos"]): r["sum"] for r in found}
+    found = (answers.where("fit is not null").select(F.posexplode("fit"))
+             .groupBy("pos").agg(F.sum("col").alias("sum")).collect())       # a row per level and mass
+    each = len(MASSES) + 1
+    sums = {(r["pos"] // each + 1, r["pos"] % each): r["sum"] for r in found}
     masses = []
     for level in range(2, order + 1):
         fits = [m for n, m in enumerate(MASSES, 1) if sums.get((level - 1, n), 0) <= sums.get((level, 0), 0)]
@@ -291,19 +387,18 @@ def _walks(order: int, shards: int, tokens: int, distinct: int, masses: list[flo
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         blocks = rows[rows["kind"] == "block"]
-        answers = rows[rows["kind"] == "answer"].drop_duplicates(["level", "shard"]).set_index(["level", "shard"])
-        walks = [Walk(packed, int(size), order) for packed, size in zip(blocks["keys"], blocks["level"])]
+        answers = rows[rows["kind"] == "answer"].drop_duplicates("shard").sort_values("shard")
+        walks = [Walk(packed[0], int(size[0]), order) for packed, size in zip(blocks["keys"], blocks["sizes"])]
         if not walks:
             raise ValueError("the documents changed between the two passes over them")
-        totals = []
-        for level in range(1, order + 1):
-            keys, place, _ = walks[0].listed(level)
-            total = np.zeros(len(keys), np.int64)
-            for shard, part in _dealt(keys, shards):
-                got = answers.loc[(level, shard), "counts"]
-                total[part] = np.frombuffer(pa.decompress(got, len(part) * 8, codec="zstd", asbytes=True), np.int64)
-            totals.append(total[place])
-        score, base, known = walks[0].score(totals, tokens, distinct, masses)
+        totals = [np.concatenate([_unpacked(c[level], int(n[level]), np.int64)
+                                  for c, n in zip(answers["counts"], answers["sizes"])]) for level in range(order)]
+        if [len(t) for t in totals] != [len(walks[0].listed(level)[0]) for level in range(1, order + 1)]:
+            raise ValueError("the documents changed between the two passes over them")
+        model = walks[0].automaton(totals, tokens, distinct, masses)
+        score = walks[0].walked(model)
+        count = totals[0][model.at[0]]
+        base, known = np.log10((count + 1.0) / (tokens + distinct + 1.0)), count > 0
         n = len(walks[0].meta)
 
         def summed(x):
@@ -328,7 +423,7 @@ def score(docs: DataFrame, order: int = 3, mass: float | None = None, modulus: i
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     lists = base.mapInArrow(_blocks(order, modulus, remainder, shards, True), ROWS_DDL)
-    answers = cut(lists.groupBy("shard", "level").applyInPandas(
+    answers = cut(lists.groupBy("shard").applyInPandas(
         _count, ROWS_DDL + ", tokens long, distinct long, fit array<double>"), "lm-answers")
     tokens, distinct = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)),
                                    F.coalesce(F.sum("distinct"), F.lit(0))).first()
