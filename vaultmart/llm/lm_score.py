@@ -66,7 +66,7 @@ from vaultmart.functions.lineage import cut
 from vaultmart.llm.common import WHITE_SPACE, id_and_text
 
 BLOCK_BYTES = 4 << 20     # text in a block
-SHARD_BYTES = 32 << 20    # corpus text for which one shard is planned
+SHARD_BYTES = 12 << 20    # corpus text for which one shard is planned
 STRETCH = 256             # tokens of a text that are walked in one go
 MASSES = [float(2.0 ** (n / 8)) for n in range(-16, 129)]     # tried when masses are fitted
 ENDS = 1 << 31            # beside a block's count of an n-gram, which is far below
