@@ -148,3 +148,69 @@ def test_registered_scores_use_trigrams_and_fitted_masses(spark, real_docs, monk
     held = [d for d, r in got.items() if r["held_out"]]
     mean = [sum(x[d]["score"] for d in held) / sum(x[d]["n_tokens"] for d in held) for x in (got, old)]
     assert mean[0] > mean[1] + 0.05, mean
+
+
+def test_one_toxic_text_is_told_from_clean_ones():
+    """Far below the usual number of labelled texts, and with copies of the one."""
+    clean = [f"the report of week {n} says that sales of item {n % 7} went well and the team met" for n in range(40)]
+    bad = "you are a worthless zorgling and everybody hates you you zorgling"
+    for toxic in ([bad], [bad] * 6, [bad, "shut up you stupid zorgling nobody likes you"]):
+        texts = clean + toxic
+        model = toxicity.fit(texts, np.array([0] * len(clean) + [1] * len(toxic)))
+        score = toxicity.predict(model, texts)
+        assert score[len(clean):].min() > 0.5 > score[:len(clean)].max()
+    assert toxicity.fit(clean, np.zeros(len(clean), int)) == {"constant": 0.0}
+    assert toxicity.fit(["", " "], np.array([0, 1])) == {"constant": 0.0}
+
+
+def slow_tree_sums(x, y, trees=2, depth=2):
+    """Newton trees by trying every split between the bins of fit_trees, one row at a time."""
+    edges = [sorted({float(e) for e in np.quantile(c, np.linspace(0, 1, toxicity.BINS + 1)[1:-1])}
+                    | ({float(e) * (1 - 1e-9) for e in np.quantile(c[c > 0], np.linspace(0, 1, 9)[:-1])} if (c > 0).any() else set()))
+             for c in x.T]
+    rate = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    total = [math.log(rate / (1 - rate))] * len(y)
+    for _ in range(trees):
+        g = [yy - 1 / (1 + math.exp(-t)) for yy, t in zip(y, total)]
+        h = [1 / (1 + math.exp(-t)) * (1 - 1 / (1 + math.exp(-t))) for t in total]
+        leaves = [list(range(len(y)))]
+        for _ in range(depth):
+            split = []
+            for rows in leaves:
+                best = (1e-9, None, None)
+                for f, es in enumerate(edges):
+                    for e in es:
+                        left = [r for r in rows if x[r, f] <= e]
+                        right = [r for r in rows if x[r, f] > e]
+                        hl, hr = sum(h[r] for r in left), sum(h[r] for r in right)
+                        if hl < 0.5 or hr < 0.5:
+                            continue
+                        gl, gr = sum(g[r] for r in left), sum(g[r] for r in right)
+                        gain = gl ** 2 / (hl + 1) + gr ** 2 / (hr + 1) - (gl + gr) ** 2 / (hl + hr + 1)
+                        if gain > best[0] + 1e-12:
+                            best = (gain, f, e)
+                _, f, e = best
+                split += [[r for r in rows if f is None or x[r, f] <= e], [r for r in rows if f is not None and x[r, f] > e]]
+            leaves = split
+        for rows in leaves:
+            value = toxicity.RATE * sum(g[r] for r in rows) / (sum(h[r] for r in rows) + 1)
+            for r in rows:
+                total[r] += value
+    return np.array(total)
+
+
+def test_trees_match_exhaustive_splits(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((50, 4)), 2)
+    x[:, 3] *= rng.random(50) < 0.3
+    y = (x[:, 0] + x[:, 3] + 0.2 * rng.random(50) > 0.8) * 1.0
+    monkeypatch.setattr(toxicity, "TREES", 2)
+    monkeypatch.setattr(toxicity, "DEPTH", 2)
+    assert np.allclose(toxicity.tree_sum(toxicity.fit_trees(x, y), x), slow_tree_sums(x, y))
+
+
+def test_labels_without_documents_take_no_places(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(1, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 4000)], "doc_id long, toxic int")
+    want = sum(crc(i) % 5 != 0 for i in range(1, 40))
+    assert toxicity.labelled_sample(docs, labels, "toxic", 35).count() == min(35, want) > 20

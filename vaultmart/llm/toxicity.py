@@ -19,9 +19,10 @@ sent to all tasks.  Scoring is one pass over all rows without a shuffle.
 
 Defined results.  NULL text is empty and is scored by its (zero) features.
 doc_ids labelled more than once count with their highest label; NULL labels and
-labels without a document are ignored.  With fewer than ``LEAST`` labelled
-training texts of either class nothing is learnt and every score is 0.  A NULL doc_id is scored and never trains.  Extra columns are ignored; an empty
-table gives an empty result.
+labels without a document are ignored.  With fewer than ``LEAST`` different labelled
+training texts of a class the model is fitted without folds (``_fit_few``); only where
+one class has none, every score is 0.  A NULL doc_id is scored and never trains.  Extra
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,8 +39,7 @@ from vaultmart.llm.common import held_out, id_and_text, named
 from vaultmart.llm.textbytes import SpanHash, chunks, hash_of, member, runs
 
 SAMPLE = 6_000           # most labelled documents that are learnt from
-LEAST = 5                # fewest labelled documents of a class to learn from
-LEXICON = 2_000          # most lexicon entries
+LEAST = 5                # fewer labelled documents of a class are learnt from without folds
 STEMS = (4, 5, 6)        # bytes of the word beginnings tried for the lexicon
 WINDOW = 6               # words within which a second-person word counts as near
 NEAR = 0.8               # Jaccard similarity of the word sets of near copies
@@ -54,7 +54,7 @@ SUBSTITUTES = (b"013457@$", b"oieastas")
 
 FEATURES = ["word_density", "stem_density", "undone_density", "word_hits", "stem_hits", "second_person",
             "near_hits", "closeness", "capitals", "capital_words", "exclaims", "punctuation",
-            "symbol_runs", "obfuscated", "repeated", "digits", "words", "word_length"]
+            "symbol_runs", "obfuscated", "repeated", "digits"]
 
 _kind = np.zeros(256, np.uint8)                     # 1 letter, 2 digit, 4 white space, 8 punctuation
 _kind[[c for c in range(256) if chr(c).isalpha() and c < 128 or c >= 128]] = 1
@@ -132,17 +132,17 @@ def features(texts, lexicon: dict) -> np.ndarray:
                    per_text(capital_start[shouted]), per_text(np.flatnonzero((data == 33) | (data == 63))),
                    per_text(np.flatnonzero(punct)), per_text(run_start[long_runs]), per_text(obfuscated),
                    per_text(repeated), per_text(np.flatnonzero(kind == 2)),
-                   per_text(np.flatnonzero(kind != 4)), per_text(words.start, words.end - words.start)]
+                   per_text(np.flatnonzero(kind != 4))]
         for c, values in enumerate(columns):
             np.add.at(totals[:, c], number, values)
     (n, word, stem, hidden, you, near, close, upper, letters, shouted, exclaims, punct, long_runs,
-     obfuscated, repeated, digits, visible, length) = totals[:, :18].T
+     obfuscated, repeated, digits, visible) = totals[:, :17].T
     per_word, per_byte = 1 / np.maximum(n, 1), 1 / np.maximum(visible, 1)
     return np.column_stack([
         word * per_word, stem * per_word, hidden * per_word, np.log1p(word), np.log1p(stem), you * per_word,
         near * per_word, close * per_word, upper / np.maximum(letters, 1), shouted * per_word,
         exclaims * per_byte, punct * per_byte, long_runs * per_word, obfuscated * per_word,
-        repeated * per_byte, digits * per_byte, np.log1p(n), length * per_word])
+        repeated * per_byte, digits * per_byte])
 
 
 def _once_a_text(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +150,7 @@ def _once_a_text(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes[first], text[first]
 
 
-def learn_lexicon(texts, toxic: np.ndarray) -> dict:
+def learn_lexicon(texts, toxic: np.ndarray, least: int = 3) -> dict:
     """Words and beginnings found in at least 3 (and 0.5 %) of the toxic texts
     and at least 20 times as often as in the others."""
     counts: dict[str, list] = {"words": [], "stems": []}
@@ -171,9 +171,7 @@ def learn_lexicon(texts, toxic: np.ndarray) -> dict:
             bad = np.bincount(place, toxic[text], len(entries))
             good = np.bincount(place, minlength=len(entries)) - bad
             lift = (bad + 0.1) / (n_toxic + 1) * (n_clean + 1) / (good + 0.1)
-            chosen = np.flatnonzero((bad >= max(3, 0.005 * n_toxic)) & (lift >= 20))
-            chosen = chosen[np.argsort(-bad[chosen], kind="stable")][:LEXICON]
-            lexicon[name] = np.sort(entries[chosen])
+            lexicon[name] = np.sort(entries[(bad >= max(least, 0.005 * n_toxic)) & (lift >= 20)])
     return lexicon
 
 
@@ -290,11 +288,13 @@ def _least(hashes, text, n):
 
 
 def fit(texts: list[str], labels: np.ndarray) -> dict:
+    if len(set((np.asarray(labels) == 1).tolist())) < 2:
+        return {"constant": 0.0}                            # one class alone tells nothing
     keep = varied(texts, labels)
     texts, labels = [texts[i] for i in keep], labels[keep]
     toxic = labels == 1
     if min(toxic.sum(), (~toxic).sum()) < LEAST:
-        return {"constant": 0.0}
+        return _fit_few(texts, toxic)
     x = np.zeros((len(texts), len(FEATURES)))
     for part in (np.arange(len(texts)) % FOLDS == n for n in range(FOLDS)):
         lexicon = learn_lexicon([texts[i] for i in np.flatnonzero(~part)], toxic[~part])
@@ -309,6 +309,21 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
             "steps": isotonic(tree_sum(trees, x[fresh]), toxic[fresh] * 1.0)}
 
 
+def _fit_few(texts: list[str], toxic: np.ndarray) -> dict:
+    """A model from very few texts of a class: too few for folds or a calibration part
+    of their own, so all texts serve for lexicon, trees and calibration; the rarer
+    class is weighted up by repetition."""
+    lexicon = learn_lexicon(texts, toxic, 1)
+    x = features(texts, lexicon)
+    sizes = np.where(toxic, toxic.sum(), (~toxic).sum())
+    again = np.repeat(np.arange(len(texts)), -(-max(8, int(sizes.max())) // sizes))
+    trees = fit_trees(x[again], toxic[again] * 1.0)
+    total = tree_sum(trees, x)
+    if np.ptp(total) == 0:                                  # no feature tells the classes apart
+        return {"constant": 0.0}
+    return {"lexicon": lexicon, "trees": trees, "steps": isotonic(total, toxic * 1.0)}
+
+
 def predict(model: dict, texts: list[str]) -> np.ndarray:
     if "constant" in model:
         return np.full(len(texts), model["constant"])
@@ -324,6 +339,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int, i
     marked = (labels.select(named("doc_id").cast("long").alias("doc_id"), named(label).cast("int").alias("label"))
                     .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull()
                            & ~held_out(F.col("doc_id"), 5, 0))
+                    # only labels of documents that are there take places in the sample
+                    .join(docs.select(named(id_col).cast("long").alias("doc_id")), "doc_id", "left_semi")
                     .groupBy("doc_id").agg(F.max("label").alias("label"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
     # at most ``size`` rows of two numbers
