@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from tests.helpers import rows
 from tests.llm.conftest import EDGE
 from vaultmart.llm import chat, licenses, mixing, nearest, packing, sql
 
@@ -217,3 +218,14 @@ def test_queries_match_their_sql(spark, name):
     assert order == sorted(found.columns)
     want = found.select(", ".join(order)).fetchall()
     assert sorted(map(repr, map(tuple, df.select(*order).collect()))) == sorted(map(repr, want))
+
+
+def test_distances_beyond_a_double_are_candidates(spark):
+    """One finite vector whose squared distances overflow takes part like any other."""
+    vectors = [(i, [float(i), 1.0]) for i in range(8)] + [(100, [1e200, 0.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = rows(nearest.nearest(df, df, k=10).select("query_id", "rank", "vec_id", "score"))
+    assert len(got) == 9 * 8
+    own = [r for r in got if r[0] == 100]
+    assert [r[2] for r in own] == list(range(8)) and {r[3] for r in own} == {float("inf")}
+    assert {r[3] for r in got if r[2] == 100} == {float("inf")} and {r[1] for r in got if r[2] == 100} == {8}

@@ -43,8 +43,9 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All distances between columns of a and of b; the squares are added one
     component after the other, so the last bits do not depend on the shapes."""
     total = np.zeros((a.shape[1], b.shape[1]))
-    for x, y in zip(a, b):
-        total += (x[:, None] - y[None, :]) ** 2
+    with np.errstate(over="ignore"):
+        for x, y in zip(a, b):
+            total += (x[:, None] - y[None, :]) ** 2
     return np.sqrt(total)
 
 
@@ -67,18 +68,19 @@ class Tree:
         return vantage, middle, self._node(rest[near]), self._node(rest[~near])
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float):
-        """(distances, ids), each queries x k, nearest first; inf where fewer."""
-        best = np.full((len(queries), k), np.inf)
+        """(distances, ids), each queries x k, nearest first; NaN where fewer.  A distance
+        may be infinite: its square may exceed a double."""
+        best = np.full((len(queries), k), np.nan)
         found = np.full((len(queries), k), np.iinfo(np.int64).max)
 
         asked = np.ascontiguousarray(queries.T)
 
         def offer(q, rows):
             d = distances(asked[:, q], self.columns[:, rows])
-            d[own[q][:, None] == self.ids[rows][None, :]] = np.inf
+            d[own[q][:, None] == self.ids[rows][None, :]] = np.nan
             ids = np.broadcast_to(self.ids[rows], d.shape)
             all_d, all_i = np.hstack([best[q], d]), np.hstack([found[q], ids])
-            all_i = np.where(np.isinf(all_d), np.iinfo(np.int64).max, all_i)
+            all_i = np.where(np.isnan(all_d), np.iinfo(np.int64).max, all_i)
             order = np.lexsort([all_i, all_d])[:, :k]
             best[q], found[q] = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_i, order, 1)
 
@@ -96,8 +98,10 @@ class Tree:
             inner = d <= middle
             walk(near, q[inner])
             walk(far, q[~inner])
-            # the least distance the other side can offer, against the k-th so far
-            other = np.abs(d - middle) * (1 - 1e-12) * factor <= best[q, -1]
+            # the least distance the other side can offer, less its rounding error, against
+            # the k-th so far (NaN: fewer than k, or nothing known: nothing is pruned)
+            with np.errstate(invalid="ignore"):
+                other = ~((np.abs(d - middle) - 1e-12 * (d + middle)) * factor > best[q, -1])
             walk(far, q[inner & other])
             walk(near, q[~inner & other])
 
@@ -188,7 +192,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
                     held = []
                 own = np.frombuffer(block, np.int64)
                 best, found = tree.search(np.frombuffer(block_vectors, np.float64).reshape(len(own), d), own, k, factor)
-                ok = ~np.isinf(best)
+                ok = ~np.isnan(best)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.broadcast_to(own[:, None], best.shape)[ok]), pa.array(found[ok]), pa.array(best[ok])],
                     names=["query_id", "vec_id", "score"])
