@@ -1,5 +1,6 @@
 import hashlib
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -49,6 +50,22 @@ def test_exact_groups_with_a_hot_text_over_many_tasks(spark):
     assert exact_dedup.unique_rows(df).count() == 51
 
 
+def test_content_decides_where_digests_collide(spark, monkeypatch):
+    # two bits of a digest and no tag; nested functions and a plain namespace reach the workers by value
+    def short(data):
+        return SimpleNamespace(digest=lambda: bytes([len(data) % 4]))
+
+    monkeypatch.setattr(exact_dedup, "hashlib", SimpleNamespace(sha256=short))
+    monkeypatch.setattr(exact_dedup, "xxhash", SimpleNamespace(xxh64_intdigest=lambda data: 0))
+    docs = [(i, f"text {i % 37}" * (1 + i % 3)) for i in range(300)] + [(999, "alone in its class of lengths")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    found = rows(exact_dedup.groups(df), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert {r[4] for r in found} <= {"00", "01", "02", "03"}
+    got = [r[:4] for r in found]
+    monkeypatch.undo()
+    assert got == [r[:4] for r in expected_groups(docs)]
+
+
 def slow_fingerprint(text, width=3):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i:i + width]) for i in range(len(words) - width + 1)] or ([b" ".join(words)] if words else [])

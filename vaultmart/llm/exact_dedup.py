@@ -13,6 +13,11 @@ merge different texts:
 So no reducer sees more than (tasks / SALTS) rows of a text in step 2 and
 ``SALTS`` rows in step 3, however many copies there are.
 
+Rows find their class again by digest and tag.  Step 3 also notes where different
+texts share both; the rows of such a key are joined by their whole text.  Classes
+that hold a ``HOT``-th of all rows or more (at most ``HOT`` classes) are joined by
+broadcast, so no reducer gets all rows of a very large one.
+
 Defined results.  NULL text counts as empty; all empty (or white-space-only)
 texts are one group.  The row with the most code points in its original text
 stays, then the smallest doc_id (a NULL id loses to any other).  ``groups``
@@ -30,9 +35,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultmart.functions.lineage import cut
 from vaultmart.llm.common import WHITE_SPACE, id_and_text, named, unpacked, whole_row
 
 SALTS = 16
+HOT = 1_000
 
 
 def normalised(text: str) -> bytes:
@@ -68,7 +75,8 @@ def _combined(keyed: DataFrame, best: Column) -> DataFrame:
     total = F.sum("group_size").alias("group_size")
     salted = (keyed.withColumn("salt", F.pmod(F.hash(F.spark_partition_id()), F.lit(SALTS)))
                    .groupBy("digest", "tag", "norm", "salt").agg(best, total))
-    return salted.groupBy("digest", "tag", "norm").agg(best, total)
+    # partitioned by the hashes alone, which serves the grouping by key and the join as well
+    return salted.repartition("digest", "tag").groupBy("digest", "tag", "norm").agg(best, total)
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,14 +85,36 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     keyed = base.mapInArrow(_keys(True), f"doc_id long, {KEYS}, norm binary").select(
         "digest", "tag", "norm", F.lit(1).cast("long").alias("group_size"),
         F.struct("points", F.bitwise_not("doc_id").alias("not_id")).alias("best"))
-    classes = _combined(keyed, F.max("best").alias("best")).select(
-        "digest", "tag", F.bitwise_not(F.col("best.not_id")).alias("keep_id"), "group_size")
-    # every row finds its class again by both hashes
+    one = F.struct(F.bitwise_not(F.col("best.not_id")).alias("keep_id"), "group_size")
+    # one row per (digest, tag); texts only where several share it
+    keys = cut(_combined(keyed, F.max("best").alias("best"))
+               .groupBy("digest", "tag").agg(F.collect_list(F.struct("norm", one.alias("class"))).alias("all"))
+               .select("digest", "tag", F.col("all")[0]["class"].alias("class"),
+                       F.when(F.size("all") > 1, F.col("all")).alias("several")), "exact-classes")
     each = base.mapInArrow(_keys(False), f"doc_id long, {KEYS}")
-    return (each.join(classes, ["digest", "tag"])
-                .select("doc_id", "keep_id", "group_size",
-                        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                        F.lower(F.hex("digest")).alias("text_sha256")))
+    found = _found(each, keys.where("several IS NULL").select("digest", "tag", "class"))
+    several = keys.where("several IS NOT NULL")
+    if not several.isEmpty():
+        content = several.select("digest", "tag", F.inline("several"))
+        found = found.where("class IS NOT NULL").unionByName(
+            base.mapInArrow(_keys(True), f"doc_id long, {KEYS}, norm binary")
+            .join(content, ["digest", "tag", "norm"]).select("doc_id", "digest", "class"))
+    return found.select("doc_id", "class.keep_id", "class.group_size",
+                        F.col("doc_id").eqNullSafe(F.col("class.keep_id")).alias("kept"),
+                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def _found(each: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc_id, digest, class) of every row; class is NULL where ``classes`` lacks the key."""
+    size = F.col("class.group_size")
+    total = classes.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    is_hot = (size > 1) & (size * HOT >= total)
+    hot = F.broadcast(classes.where(is_hot).withColumnRenamed("class", "hot"))
+    # rows of hot classes are done: they go on under tags that no class has, evenly spread
+    tag = F.when(F.col("hot").isNull(), F.col("tag")).otherwise(-1 - F.monotonically_increasing_id())
+    return (each.join(hot, ["digest", "tag"], "left").withColumn("tag", tag)
+                .join(classes.where(~is_hot), ["digest", "tag"], "left")
+                .select("doc_id", "digest", F.coalesce("hot", "class").alias("class")))
 
 
 def unique_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
