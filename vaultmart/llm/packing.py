@@ -9,9 +9,12 @@ on its own in one group of (id, length) rows:
 
 * segments by falling length; each goes to the open bin that it leaves with the
   least room (best fit; of equal bins the one opened last);
-* where none fits, a bin is opened whose cost per expected token is least: the
-  cost of capacity c is ``c + overhead``, and the tokens it can expect are its
-  capacity or, near the end, all that is left to place;
+* where none fits, a bin is opened whose cost per expected token is least.  A
+  sequence of capacity c costs ``overhead + c + c * c / attention``: attention makes
+  long sequences dear, the overhead and the room that nothing fills make short ones
+  dear.  The tokens a bin can expect are the segment that opens it and what the
+  lengths still to place would put into the rest, longest first; that rest is
+  taken in the share in which tokens are left for all open room;
 * at last every bin shrinks to the least permitted capacity that holds it.
 
 Open bins are stacks by room left, and a bit set of the rooms in use finds the
@@ -43,6 +46,7 @@ from vaultmart.llm.common import id_and_text
 
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 32            # cost of a sequence besides its length, in tokens
+ATTENTION = 12_288       # length at which attention costs as much as all the rest
 SHARD_ROWS = 20_000
 COLUMNS = ["shard", "bin", "capacity", "place_in_bin", "doc_id", "segment", "start", "length"]
 
@@ -68,35 +72,64 @@ def _segments(largest: int):
     return run
 
 
-def best_fit(lengths: np.ndarray, capacities=CAPACITIES, overhead: int = OVERHEAD):
+def cost(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    return overhead + capacity + capacity * capacity / attention
+
+
+def _fill(room: int, lengths: int, counts: list[int]) -> int:
+    """Tokens that the lengths still to place put into ``room``, longest first;
+    bit n of ``lengths`` is set if ``counts[n]`` segments of length n are left."""
+    free = room
+    while free and (fitting := lengths & ((2 << free) - 1)):
+        length = fitting.bit_length() - 1
+        free -= min(counts[length], free // length) * length
+        lengths = fitting ^ (1 << length)
+    return room - free
+
+
+def best_fit(lengths: np.ndarray, capacities=CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION):
     """(bin, offset) of each length (all at most the largest capacity; sorted
-    falling), and each bin's final capacity."""
-    largest, left = max(capacities), int(lengths.sum())
+    falling), each bin's final capacity, and the capacity it was opened with."""
+    largest, left, open_room = max(capacities), int(lengths.sum()), 0
+    costs = {c: cost(c, overhead, attention) for c in sorted(capacities)}
+    counts = np.bincount(lengths, minlength=largest + 1).tolist()
+    to_place = sum(1 << n for n, count in enumerate(counts) if count)
     stacks: list[list[int]] = [[] for _ in range(largest + 1)]
     rooms, used, opened = 0, [], []            # rooms: bit r is set if a bin has r left
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     for n, length in enumerate(lengths.tolist()):
+        counts[length] -= 1
+        if not counts[length]:
+            to_place ^= 1 << length
+        left -= length
         fitting = rooms >> length
         if fitting:
             room = length + (fitting & -fitting).bit_length() - 1
             b = stacks[room].pop()
             if not stacks[room]:
                 rooms ^= 1 << room
+            open_room -= room
         else:
-            b, room = len(used), min((c for c in capacities if c >= length),
-                                     key=lambda c: ((c + overhead) / min(c, left), c))
+            b, best = len(used), None
+            for c, price in costs.items():
+                if c >= length:
+                    rest = c - length
+                    share = min(1.0, left / (open_room + rest)) if rest else 0.0
+                    each = price / (length + share * _fill(rest, to_place, counts))
+                    if best is None or each < best:
+                        best, room = each, c
             used.append(0)
             opened.append(room)
         bins[n], offsets[n] = b, used[b]
         used[b] += length
-        left -= length
         room -= length
+        open_room += room
         if room:
             if not stacks[room]:
                 rooms |= 1 << room
             stacks[room].append(b)
     final = [min(c for c in capacities if c >= u) for u in used]
-    return bins, offsets, np.array(final, np.int64)
+    return bins, offsets, np.array(final, np.int64), np.array(opened, np.int64)
 
 
 def _in_order(docs: DataFrame, largest: int, id_col: str, text_col: str) -> DataFrame:
@@ -119,7 +152,8 @@ def _in_order(docs: DataFrame, largest: int, id_col: str, text_col: str) -> Data
 
 
 def pack(docs: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, shard_rows: int = SHARD_ROWS,
-         id_col: str = "doc_id", text_col: str = "text", in_order: bool = False) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", in_order: bool = False,
+         attention: int = ATTENTION) -> DataFrame:
     """One row per segment: shard, bin, capacity, place_in_bin (its first token's
     place), doc_id, segment, start (its first token in the document), length."""
     largest = max(capacities)
@@ -138,7 +172,7 @@ def pack(docs: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, shard
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", *ties], ascending=[False, *[True] * len(ties)], kind="stable")
-        bins, offsets, final = best_fit(rows["length"].to_numpy(), capacities, overhead)
+        bins, offsets, final, _ = best_fit(rows["length"].to_numpy(), capacities, overhead, attention)
         capacity = final[bins]
         if in_order:
             first = np.full(len(final), np.iinfo(np.int64).max)
