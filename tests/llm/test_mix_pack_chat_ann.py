@@ -4,6 +4,7 @@ import textwrap
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.helpers import rows
@@ -204,7 +205,8 @@ def test_licenses_by_whole_text_and_by_line(spark, edge_docs, no_docs):
         1: "MIT", 2: "MIT", 3: None, 4: None, 5: None, 6: None, 7: None, 8: "ISC", 9: None, None: "MIT"}
     assert got[5]["notices"] == "MIT" and got[4]["notices"] == "" and got[None]["notices"] == "MIT"
     assert got[6]["canonical_sha256"] == hashlib.sha256(b"").hexdigest()
-    assert licenses.scan(edge_docs).count() == 8 and licenses.scan(no_docs).count() == 0
+    assert licenses.scan(edge_docs).count() == len(EDGE) and licenses.scan(no_docs).count() == 0
+    assert licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).count() == len(docs)
     own = spark.createDataFrame([("X", "The Known text.")], "name string, text string")
     assert licenses.scan(spark.createDataFrame([(1, "the known -- TEXT")], "doc_id long, text string"), own).first()["license"] == "X"
 
@@ -226,6 +228,33 @@ def test_licenses_in_every_wrapping(spark):
     assert {r["doc_id"]: r["license"] for r in found} == {d: "MIT" if d >= 0 else None for d, _ in docs}
 
 
+def test_licenses_equal_their_sql_on_odd_texts(spark, edge_docs):
+    """Copyright lines, paragraphs and spellings of several words over line ends; rows that repeat."""
+    docs = [(d, t) for d, t, *_ in EDGE] * 2 + [(50 + n, t) for n, (_, t) in enumerate(licenses.KNOWN)]
+    docs += [(200 + n, t) for n, t in enumerate([
+        "Copyright The Authors\n\n" + licenses._MIT, "\nCopyright The Authors\n\n" + licenses._MIT,
+        "x\n \t\ncopyright of all\n\t", "copyright holders may\nnot go", "a copyright\nholder copyright holder\nowner s",
+        "Copyright " + "x" * 200 + "\n\ny", "one\r\n\r\nCopyright A\r\n\r\ntwo", "(C) 1999 x\nALL  rights -- reserved.\nz",
+        "centre centre licence\nlicences", "* Released under the MIT licence\n// SPDX-License-Identifier: MIT\n" * 3])]
+    frame = pd.DataFrame(docs, columns=["doc_id", "text"]).astype({"doc_id": "Int64"})
+    view = duckdb.connect()
+    view.register("documents", frame)
+    want = view.sql(f"SELECT canonical_sha256, doc_id, license, notices FROM ({sql.ORACLE_SQL['op7_licenses']})").fetchall()
+    got = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = got.select("canonical_sha256", "doc_id", "license", "notices").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and len(got) == len(docs)
+    assert all(r["license"] == licenses.KNOWN[r["doc_id"] - 50][0] for r in got if r["doc_id"] and 50 <= r["doc_id"] < 200)
+
+
+def test_licenses_from_a_folder(spark, tmp_path):
+    for name, text in (("MIT.txt", licenses._MIT), ("House rules.md", "Be kind.\n\nCopyright (c) 2001 A"), ("None", "--")):
+        (tmp_path / name).write_text(text)
+    known = licenses.licenses_in(spark, str(tmp_path))
+    assert {r["name"] for r in known.collect()} == {"MIT", "House rules", "None"}
+    docs = spark.createDataFrame([(1, "be KIND"), (2, licenses._MIT), (3, licenses._ISC)], "doc_id long, text string")
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(docs, known).collect()} == {1: "House rules", 2: "MIT", 3: None}
+
+
 @pytest.mark.parametrize("name", sorted(sql.ORACLE_SQL))
 def test_queries_match_their_sql(spark, name):
     from vaultmart.llm.queries import QUERIES

@@ -9,7 +9,7 @@ against brute-force versions in tests/llm.
 
 from __future__ import annotations
 
-from vaultmart.llm.licenses import KNOWN, SPELLINGS
+from vaultmart.llm.licenses import BLANK, KNOWN, SHORT, SPELLINGS, STATES
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -132,7 +132,11 @@ FROM p
 
 
 def _canonical(text: str) -> str:
-    out = f"regexp_replace(lower({text}), '(?m)^[^\\p{{L}}\\p{{N}}\\n]*(copyright|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')"
+    # line by line: a line goes if it states a copyright, or if it is a paragraph of one short line
+    out = (f"list_transform([string_split(lower({text}), chr(10))], lambda ls: array_to_string(list_transform(ls, "
+           f"lambda x, i: CASE WHEN regexp_full_match(x, '{STATES}') OR (regexp_full_match(x, '{SHORT}')"
+           f" AND (i = 1 OR regexp_full_match(ls[i - 1], '{BLANK}'))"
+           f" AND (i = len(ls) OR regexp_full_match(ls[i + 1], '{BLANK}'))) THEN '' ELSE x END), chr(10)))[1]")
     out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', '  ', 'g')"
     out = f"('  ' || replace({out}, chr(10), '  ' || chr(10) || '  ') || '  ')"
     for written, one in SPELLINGS:
@@ -140,25 +144,33 @@ def _canonical(text: str) -> str:
     return out
 
 
+def _joined(lines: str) -> str:
+    out = f"regexp_replace({lines}, '[ \\n]+', '  ', 'g')"
+    for written, one in SPELLINGS:
+        if " " in written:
+            out = f"replace({out}, ' {written.replace(' ', '  ')} ', ' {one.replace(' ', '  ')} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
 LICENSES = f"""
 WITH known AS (
   SELECT canonical, min(name) AS license, list(DISTINCT name) AS names
-  FROM (SELECT name, trim(regexp_replace({_canonical('text')}, '[ \\n]+', ' ', 'g')) AS canonical
+  FROM (SELECT name, {_joined(_canonical('text'))} AS canonical
         FROM (VALUES {', '.join(f'({_text(n)}, {_text(t)})' for n, t in KNOWN)}) AS l(name, text))
   WHERE canonical <> '' GROUP BY canonical),
-d AS (SELECT doc_id, {_canonical("coalesce(text, '')")} AS lines FROM documents),
-c AS (SELECT doc_id, lines, trim(regexp_replace(lines, '[ \\n]+', ' ', 'g')) AS canonical FROM d),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_canonical("coalesce(text, '')")} AS lines FROM documents),
+c AS (SELECT r, doc_id, lines, {_joined('lines')} AS canonical FROM d),
 l AS (
-  SELECT DISTINCT doc_id, canonical, trim(regexp_replace(line, ' +', ' ', 'g')) AS line
-  FROM (SELECT doc_id, canonical, unnest(string_split(lines, chr(10))) AS line FROM c)),
+  SELECT DISTINCT r, trim(regexp_replace(line, ' +', ' ', 'g')) AS line
+  FROM (SELECT r, unnest(string_split(lines, chr(10))) AS line FROM c)),
 n AS (
-  SELECT doc_id, canonical, string_agg(DISTINCT name, ',' ORDER BY name) AS notices
-  FROM (SELECT l.doc_id, l.canonical, unnest(known.names) AS name FROM l JOIN known ON l.line = known.canonical)
-  GROUP BY doc_id, canonical)
+  SELECT r, string_agg(DISTINCT name, ',' ORDER BY name) AS notices
+  FROM (SELECT l.r, unnest(known.names) AS name FROM l JOIN known ON l.line = known.canonical)
+  GROUP BY r)
 SELECT c.doc_id, sha256(c.canonical) AS canonical_sha256, known.license, coalesce(n.notices, '') AS notices
-FROM (SELECT DISTINCT doc_id, canonical FROM c) c
+FROM c
 LEFT JOIN known ON c.canonical = known.canonical
-LEFT JOIN n ON c.doc_id IS NOT DISTINCT FROM n.doc_id AND c.canonical = n.canonical
+LEFT JOIN n ON c.r = n.r
 """
 
 # crc32 bit by bit over the hex digits of the UTF-8 bytes, once per distinct word
