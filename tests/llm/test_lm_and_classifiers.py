@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -214,3 +215,26 @@ def test_labels_without_documents_take_no_places(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(1, 4000)], "doc_id long, toxic int")
     want = sum(crc(i) % 5 != 0 for i in range(1, 40))
     assert toxicity.labelled_sample(docs, labels, "toxic", 35).count() == min(35, want) > 20
+
+
+def test_long_texts_without_white_space_are_read_whole_in_bounded_memory():
+    """64 MB in one word: every byte comes by, whole characters at a time, and memory stays under 1 GB."""
+    from vaultmart.llm import textbytes
+    text = "aé" * 1000
+    old, textbytes.CHUNK = textbytes.CHUNK, 7
+    try:
+        parts = [bytes(data[:-1]).decode() for data, _, number in textbytes.chunks([text])]
+    finally:
+        textbytes.CHUNK = old
+    assert "".join(parts) == text and max(map(len, parts)) <= 14
+    long = "abcdefgh" * (8 << 20)
+    slopes = np.zeros(quality.BUCKETS, np.float32)
+    lexicon = {"words": toxicity.hash_of([b"idiot"]), "stems": np.zeros(0, np.uint64)}
+    tracemalloc.start()
+    try:
+        quality.predict(slopes, [long])
+        got = toxicity.features([long], lexicon)
+        assert tracemalloc.get_traced_memory()[1] < 1 << 30
+    finally:
+        tracemalloc.stop()
+    assert got.shape[0] == 1

@@ -14,7 +14,8 @@ fixed size (BUCKETS x WIDTH floats, 4 MB).  Scoring is one pass over all rows
 without a shuffle; as the layer is linear, a feature's part in the score is one
 number, looked up per feature.
 
-Defined results.  NULL text is empty; an empty text has only the constant
+Defined results.  A word of more than 2 MB counts as several (``textbytes.chunks``).
+NULL text is empty; an empty text has only the constant
 feature, so its score is what that feature alone predicts.  Labels: repeated
 doc_ids count with their highest label, NULL labels and labels without a document
 are ignored.  Without any labelled training text the score is 0.5.  A NULL doc_id

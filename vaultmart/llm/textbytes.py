@@ -14,10 +14,12 @@ _powers: dict[str, np.ndarray] = {}
 
 def chunks(texts):
     """(bytes of several texts, each followed by a newline; offsets; text numbers):
-    texts longer than CHUNK come in pieces cut at white space."""
+    texts longer than CHUNK come in pieces cut at white space.  Where CHUNK bytes and
+    more hold none, the piece is cut into windows of CHUNK bytes, whole characters
+    each: a word of such a size counts as several, and memory stays bounded."""
     held, number, size = [], [], 0
     for n, text in enumerate(texts):
-        for piece in pieces(text.encode("utf-8"), CHUNK):
+        for piece in (w for p in pieces(text.encode("utf-8"), CHUNK) for w in _windows(p)):
             if size and size + len(piece) > CHUNK:
                 yield _joined(held, number)
                 held, number, size = [], [], 0
@@ -28,6 +30,17 @@ def chunks(texts):
         yield _joined(held, number)
 
 
+def _windows(piece: bytes):
+    start = 0
+    while len(piece) - start > 2 * CHUNK:
+        end = start + CHUNK
+        while piece[end] & 0xC0 == 0x80:       # inside a character
+            end -= 1
+        yield piece[start:end]
+        start = end
+    yield piece[start:]
+
+
 def _joined(held, number):
     sizes = np.array([len(h) + 1 for h in held])
     data = np.frombuffer(b"\n".join(held) + b"\n", np.uint8)

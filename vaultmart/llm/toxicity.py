@@ -17,7 +17,8 @@ Labels come from at most ``SAMPLE`` labelled documents (those with the smallest
 hash of doc_id), fitted in one task; the fitted model is a few hundred kB and is
 sent to all tasks.  Scoring is one pass over all rows without a shuffle.
 
-Defined results.  NULL text is empty and is scored by its (zero) features.
+Defined results.  A word of more than 2 MB counts as several (``textbytes.chunks``).
+NULL text is empty and is scored by its (zero) features.
 doc_ids labelled more than once count with their highest label; NULL labels and
 labels without a document are ignored.  With fewer than ``LEAST`` different labelled
 training texts of a class the model is fitted without folds (``_fit_few``); only where
