@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 kept; all but the last return the columns of ``documents``.  ``run`` writes every
 stage as Parquet in the folder of spark.checkpoint.dir and reads it again, so no
-stage's plan holds an earlier one and a lost executor costs a read.
+stage's plan holds an earlier one and a lost executor costs a read.  A stage's files
+are deleted once the next stage is written.
 
 NULLs, empty texts, ties, repeated rows, extra columns and empty tables are
 handled as each operator's module defines.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultmart.functions.lineage import cut
+from vaultmart.functions.lineage import ScratchTable
 from vaultmart.llm import exact_dedup, mixing, packing, simhash, toxicity
 from vaultmart.llm.common import table
 
@@ -56,6 +57,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), "pipeline")
+        written = ScratchTable.of(stage(spark, docs, sf_dir), "pipeline")
+        docs = written.read()
+        if before:
+            before.drop()
+        before = written
     return STAGES[-1][1](spark, docs, sf_dir)
