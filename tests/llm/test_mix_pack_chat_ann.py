@@ -186,6 +186,44 @@ def test_nearest_is_exact_at_factor_one(spark, monkeypatch, shard):
     assert nearest.nearest(df.where("false"), asked).count() == 0 == nearest.nearest(df, asked.where("false")).count()
 
 
+def test_regions_hold_all_that_a_radius_reaches():
+    rng = np.random.default_rng(5)
+    vectors = np.vstack([rng.normal(size=(600, 4)) + 6 * rng.integers(0, 3, (600, 1)), np.ones((300, 4))])
+    top = nearest.Regions(vectors[::2], len(vectors), 40, first=3)
+    region = top.route(vectors)
+    assert region.min() >= 3 and region.max() < top.end and top.end > 10
+    asked, radius = vectors[::7], np.abs(rng.normal(size=len(vectors[::7])))
+    row, reached = top.reached(asked, radius, 1.0)
+    seen = set(zip(row.tolist(), reached.tolist()))
+    assert len(seen) == len(row) < len(asked) * (top.end - 3) / 2
+    own = top.route(asked)
+    for n, (q, r) in enumerate(zip(asked, radius)):
+        near = np.sqrt(((vectors - q) ** 2).sum(1)) <= r
+        assert {(n, x) for x in region[near].tolist() if x != own[n]} <= seen and (n, own[n]) not in seen
+
+
+def test_nearest_with_a_hot_vector_and_repeated_rows(spark):
+    """A third of the rows are one vector and a sixth one whole row: its region has many shards."""
+    rng = np.random.default_rng(8)
+    vectors = [(i, rng.normal(size=3).round(2).tolist()) for i in range(600)]
+    vectors += [(1000 + i, [0.25, 0.5, 0.5]) for i in range(400)] + [(777, [0.25, 0.5, 0.25])] * 200
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(5)
+    exact = [tuple(r) for r in df.distinct().collect()]
+    got = sorted(map(tuple, nearest.nearest(df, df.where("vec_id % 50 = 0"), k=10, shard_vectors=60).collect()))
+    want = slow_nearest(exact, dict((i, tuple(v)) for i, v in exact if i % 50 == 0).items(), 10)
+    assert got == want
+
+
+def test_recall_of_relaxed_pruning_over_regions(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    asked = df.where("vec_id % 20 = 0")
+    exact = {tuple(r)[:3:2] for r in nearest.nearest(df, asked, factor=1.0).collect()}
+    assert exact == {tuple(r)[:3:2] for r in nearest.nearest(df, asked, factor=1.0, shard_vectors=200).collect()}
+    relaxed = {tuple(r)[:3:2] for r in nearest.nearest(df, asked, factor=1.5, shard_vectors=200).collect()}
+    print("recall at factor 1.5 over regions:", len(exact & relaxed) / len(exact))
+    assert len(exact & relaxed) / len(exact) >= 0.9
+
+
 def test_recall_of_relaxed_pruning(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     asked = df.where("vec_id % 100 = 0")
