@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from tests.llm.conftest import EDGE
@@ -160,6 +161,19 @@ def test_chat_round_trip_and_faults(spark):
     assert chat.read_back(chat.segments(df.where("false"))).count() == 0
 
 
+def test_stored_segments_are_read_back_in_order_or_not_at_all(spark, tmp_path):
+    df = spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], f"{c} says {t}") for c in range(40) for t in range(6)],
+                               "conv_id long, turn long, role string, text string")
+    found = chat.segments(df)
+    want = sorted(map(tuple, chat.read_back(found).collect()))
+    found.orderBy(F.xxhash64("text", "segment")).write.parquet(f"{tmp_path}/segments")
+    stored = spark.read.parquet(f"{tmp_path}/segments")
+    assert sorted(map(tuple, chat.read_back(chat.in_order(stored)).collect())) == want
+    for broken in (stored, found.where("kind <> 'end'"), found.where("segment <> 4")):
+        with pytest.raises(Exception, match="use in_order"):
+            chat.read_back(broken).collect()
+
+
 def slow_nearest(vectors, asked, k):
     out = []
     for q, x in asked:

@@ -123,10 +123,18 @@ def segments(turns: DataFrame, template: Template = CHATML) -> DataFrame:
         run, "conv_id long, segment long, kind string, text string, loss boolean, fault string")
 
 
+def in_order(found: DataFrame) -> DataFrame:
+    """Segments that were stored and read again, each conversation together and in order."""
+    return found.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+
+
 def read_back(found: DataFrame, template: Template = CHATML) -> DataFrame:
     """One row per conversation, from ``segments``' output alone (streamed; the
     turns are recovered from heads and texts): conv_id, n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars, formatted_sha256, fault."""
+    loss_chars, loss_sha256, formatted_chars, formatted_sha256, fault.
+
+    Segments must come as ``segments`` gives them or ``in_order`` puts them: a segment
+    out of its place, or a conversation without its end, raises an error."""
     before, after = template.head.split("{role}")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
              "formatted_sha256", "fault"]
@@ -134,10 +142,14 @@ def read_back(found: DataFrame, template: Template = CHATML) -> DataFrame:
     def run(batches):
         fresh = lambda: (0, hashlib.sha256(), 0, hashlib.sha256(), 0, hashlib.sha256(), "")
         turns, all_turns, loss, all_loss, chars, whole, role = fresh()
+        due = (None, 0)                      # conversation (any at its start) and segment that come next
         for batch in batches:
             rows = []
-            for conv, kind, text, is_loss, fault in zip(*(
-                    batch.column(n).to_pylist() for n in ("conv_id", "kind", "text", "loss", "fault"))):
+            for conv, segment, kind, text, is_loss, fault in zip(*(
+                    batch.column(n).to_pylist() for n in ("conv_id", "segment", "kind", "text", "loss", "fault"))):
+                if segment != due[1] or segment and conv != due[0]:
+                    raise ValueError(f"segment {segment} of conversation {conv} is out of its place: use in_order")
+                due = (None, 0) if kind == "end" else (conv, segment + 1)
                 chars += len(text)
                 whole.update(text.encode())
                 if kind == "head":
