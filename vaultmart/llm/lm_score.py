@@ -33,8 +33,10 @@ Plan.  Texts are cut into blocks of about ``BLOCK_BYTES``.
 3. Each block gets its answers, which are the counts of all states and arcs its own
    texts can touch, builds that part of the automaton, and walks its texts.
 
-There is a row per block and shard, as a shuffle of Spark's has a segment per map task and
-reducer; both sizes are parameters, bounded by the memory of a task.
+There is a row per block and shard that the block has an n-gram of, so a block makes as
+many rows as there are shards, and never more than it has distinct n-grams: past that
+rows grow with the input only.  A block's work does not depend on the number of shards.
+Both sizes are parameters, bounded by the memory of a task.
 
 Blocks are made twice from the table rather than stored, and are named by their
 content: a table that changed in between raises an error.
@@ -289,15 +291,14 @@ def _blocks(order: int, modulus: int, remainder: int, shards: int, lists: bool):
         name, packed, size = block.packed()
         rows = [("block", None, name, [size], [packed], None)]
         if lists:
-            walk, rows = Walk(packed, size, order), []
-            parts = [[] for _ in range(shards)]
+            walk, parts = Walk(packed, size, order), {}
             for level in range(1, order + 1):
                 keys, _, counts = walk.listed(level)
-                for held, (a, b) in zip(parts, _dealt(keys, shards)):
+                for shard, (a, b) in _dealt(keys, shards).items():
                     some = keys[a:b]
-                    held.append((b - a, _packed(np.diff(some, prepend=np.uint64(0))), _packed(counts[a:b].astype(np.int64))))
-            rows = [("list", shard, name, *map(list, zip(*held))) for shard, held in enumerate(parts)
-                    if any(n for n, _, _ in held)]
+                    parts.setdefault(shard, [_NOTHING] * order)[level - 1] = (
+                        b - a, _packed(np.diff(some, prepend=np.uint64(0))), _packed(counts[a:b].astype(np.int64)))
+            rows = [("list", shard, name, *map(list, zip(*held))) for shard, held in parts.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ROWS)], schema=ROWS)
 
     def run(batches):
@@ -323,11 +324,16 @@ def _blocks(order: int, modulus: int, remainder: int, shards: int, lists: bool):
     return run
 
 
-def _dealt(keys: np.ndarray, shards: int):
-    """(begin, end) of every shard's slice of sorted keys."""
-    edges = np.array([(n << 64) // shards for n in range(1, shards)], np.uint64)
-    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-    return list(zip(cuts[:-1], cuts[1:]))
+_NOTHING = (0, b"", b"")             # of a level that has no n-gram in a shard
+
+
+def _dealt(keys: np.ndarray, shards: int) -> dict[int, tuple[int, int]]:
+    """shard -> (begin, end) of its slice of sorted keys, of the shards that have one.
+    Shards cut the 64 bits evenly: floor(key * shards / 2**64), by halves of 32 bits."""
+    n, half = np.uint64(shards), np.uint64(32)
+    shard = ((keys >> half) * n + ((keys & np.uint64(0xFFFFFFFF)) * n >> half)) >> half
+    begin = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[:len(keys)])
+    return dict(zip(shard[begin].tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(keys)])))
 
 
 def _count(lists: pd.DataFrame) -> pd.DataFrame:
