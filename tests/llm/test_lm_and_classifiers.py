@@ -1,4 +1,5 @@
 import math
+import re
 import tracemalloc
 from collections import Counter
 
@@ -57,6 +58,34 @@ def test_long_texts_are_walked_over_block_borders(spark, monkeypatch):
     compare(spark.createDataFrame(docs, "doc_id long, text string"), docs, 3)
 
 
+def test_rows_of_many_shards_grow_with_the_ngrams_only(spark, monkeypatch):
+    """A shard a byte: a block's rows are bounded by its distinct n-grams, at two sizes,
+    and the scores are those of the plain model."""
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 60)
+    monkeypatch.setattr(lm_score, "SHARD_BYTES", 4)
+    for size in (12, 24):
+        docs = [(i, " ".join(f"w{(i * j) % 11}" for j in range(14))) for i in range(size)]
+        df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+        compare(df, docs, 3)
+        shards = sum(len(t) for _, t in docs) // 4
+        found = df.mapInArrow(lm_score._blocks(3, 7, 2, 1000 * shards, True), lm_score.ROWS_DDL).collect()
+        assert len({(r["block"], r["shard"]) for r in found}) == len(found)
+        grams = sum(sum(r["sizes"]) for r in found)
+        assert all(sum(r["sizes"]) for r in found) and len(found) <= grams <= 3 * 17 * size + 3 * size
+
+
+def test_shards_are_slices_of_sorted_hashes():
+    rng = np.random.default_rng(1)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 64, 500, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)]))
+    for shards in (1, 2, 3, 7, 1000, (1 << 32) - 1):
+        dealt = lm_score._dealt(keys, shards)
+        want: dict = {}
+        for n, k in enumerate(keys.tolist()):
+            want.setdefault(k * shards >> 64, []).append(n)
+        assert {s: list(range(a, b)) for s, (a, b) in dealt.items()} == want
+    assert lm_score._dealt(keys[:0], 5) == {}
+
+
 def test_scores_of_no_documents(no_docs):
     assert lm_score.score(no_docs).count() == 0
 
@@ -238,3 +267,157 @@ def test_long_texts_without_white_space_are_read_whole_in_bounded_memory():
     finally:
         tracemalloc.stop()
     assert got.shape[0] == 1
+
+
+def plain_quality_features(text):
+    """Buckets of a text's features, one string at a time."""
+    words = text.encode().split()
+    hashes = [int(toxicity.hash_of([w])[0]) for w in words]
+    found = [quality.FIRST + h % (quality.BUCKETS - quality.FIRST) for h in hashes]
+    for back, bucket in zip((1, 2), quality.AGAIN):
+        found += [bucket for a, b in zip(words, words[back:]) if a == b]
+    for word in words:
+        marked = b" " + word + b" "
+        for n in (3, 4):
+            for k in range(len(marked) - n + 1):
+                code = (0x811C9DC5 + n) & 0xFFFFFFFF
+                for c in marked[k:k + n]:
+                    code = (code ^ c) * 0x01000193 & 0xFFFFFFFF
+                    code ^= code >> 15
+                found.append(quality.FIRST + code % (quality.BUCKETS - quality.FIRST))
+    return Counter([quality.CONSTANT, *found])
+
+
+QUALITY_TEXTS = ["the cat sat on on the mat", "", "a", "\n\tab  cd ", "on on", "Ünïcödé é\u2003x wörter", "x" * 30, " ",
+                 "buy now buy now now now", "fin"]
+
+
+def test_quality_features_equal_plain_ones(monkeypatch):
+    """Whatever texts stand beside a text, and wherever long ones are cut."""
+    want = [plain_quality_features(t) for t in QUALITY_TEXTS]
+    from vaultmart.llm import textbytes
+    for chunk in (1 << 20, 40):
+        monkeypatch.setattr(textbytes, "CHUNK", chunk)
+        for texts, expected in ((QUALITY_TEXTS, want), (QUALITY_TEXTS[::-1], want[::-1])):
+            got = [Counter(dict(zip(b.tolist(), c.tolist()))) for b, c in quality.counted(texts)]
+            assert got == expected
+            alone = [Counter(dict(zip(b.tolist(), c.tolist()))) for t in texts for b, c in quality.counted([t])]
+            assert alone == expected
+
+
+def plain_quality_model(texts, labels, epochs, rate):
+    """The same steps of gradient descent, number by number; the loss is checked to be
+    the softmax's cross entropy by its own differences."""
+    rng = np.random.default_rng(7)
+    vectors = rng.uniform(-1 / quality.WIDTH, 1 / quality.WIDTH, (quality.BUCKETS, quality.WIDTH)).astype(np.float32)
+    vectors, layer = vectors.astype(float), [[0.0, 0.0] for _ in range(quality.WIDTH)]
+    bags = [plain_quality_features(t) for t in texts]
+    steps, step = epochs * len(bags), 0
+
+    def loss(hidden, layer, label):
+        z = [sum(h * row[c] for h, row in zip(hidden, layer)) for c in (0, 1)]
+        return math.log(sum(math.exp(v) for v in z)) - z[label]
+
+    for _ in range(epochs):
+        for i in rng.permutation(len(bags)):
+            now, step = rate * (1 - step / steps), step + 1
+            bag, size, label = bags[i], sum(bags[i].values()), int(labels[i])
+            hidden = [sum(n * vectors[b][k] for b, n in bag.items()) / size for k in range(quality.WIDTH)]
+            eps = 1e-6
+            by_layer = [[0.0, 0.0] for _ in range(quality.WIDTH)]
+            by_hidden = [0.0] * quality.WIDTH
+            for k in range(quality.WIDTH):
+                for c in (0, 1):
+                    up, down = ([r[:] for r in layer] for _ in range(2))
+                    up[k][c] += eps
+                    down[k][c] -= eps
+                    by_layer[k][c] = (loss(hidden, up, label) - loss(hidden, down, label)) / (2 * eps)
+                up, down = hidden[:], hidden[:]
+                up[k] += eps
+                down[k] -= eps
+                by_hidden[k] = (loss(up, layer, label) - loss(down, layer, label)) / (2 * eps)
+            layer = [[w - now * g for w, g in zip(row, slope)] for row, slope in zip(layer, by_layer)]
+            for b, n in bag.items():
+                for k in range(quality.WIDTH):
+                    vectors[b][k] -= now * math.sqrt(len(bag)) * n / size * by_hidden[k]
+    out = []
+    for bag in bags:
+        hidden = [sum(n * vectors[b][k] for b, n in bag.items()) / sum(bag.values()) for k in range(quality.WIDTH)]
+        z = [sum(h * row[c] for h, row in zip(hidden, layer)) for c in (0, 1)]
+        out.append(1 / (1 + math.exp(z[0] - z[1])))
+    return out
+
+
+def test_quality_training_and_scores_equal_plain_ones(monkeypatch):
+    monkeypatch.setattr(quality, "EPOCHS", 40)
+    labels = np.array([1, 0, 1, 1, 0, 1, 1, 0, 0, 1])
+    model = quality.fit(QUALITY_TEXTS, labels)
+    want = plain_quality_model(QUALITY_TEXTS, labels, quality.EPOCHS, quality.RATE)
+    got = quality.predict(quality.slopes(model), QUALITY_TEXTS)
+    assert np.allclose(got, want, atol=1e-4) and np.ptp(want) > 0.1, (got, want)
+    # a score does not depend on the texts that are scored with it
+    alone = [quality.predict(quality.slopes(model), [t])[0] for t in QUALITY_TEXTS]
+    assert np.allclose(got, alone, atol=1e-9) and got[1] == got[7]
+
+
+def plain_toxicity_features(text, words, stems):
+    """The row of FEATURES of one text, by patterns over its bytes."""
+    data = text.encode()
+    lower = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
+    undone = lower.translate(bytes.maketrans(*toxicity.SUBSTITUTES))
+
+    def found(of):
+        out = []
+        for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", of):
+            w = m[0]
+            out.append((m.start(), w in words, any(len(w) > n and w[:n] in stems for n in toxicity.STEMS), w))
+        return out
+
+    plain, other = found(lower), found(undone)
+    n = max(len(plain), 1)
+    hits = [k for k, (_, a, b, _) in enumerate(plain) if a or b]
+    hidden = {s for s, a, b, _ in other if a or b} - {plain[k][0] for k in hits}
+    you = [k for k, (*_, w) in enumerate(plain) if w.decode(errors="replace") in toxicity.SECOND_PERSON]
+    near = [min((abs(k - y) for y in you), default=None) for k in hits]
+    near = [d for d in near if d is not None]
+    word, stem = sum(a for _, a, _, _ in plain), sum(b for _, _, b, _ in plain)
+    count = lambda pattern: len(re.findall(pattern, data))
+    punct, letter = rb"[!-/:-@\[-`{-~]", rb"[A-Za-z\x80-\xff]"
+    visible = max(sum(b not in b" \t\n\x0b\x0c\r" for b in data), 1)
+    inner = rb"(?:[0-9]|(?!['-])" + punct + rb")"
+    return [word / n, stem / n, len(hidden) / n, math.log1p(word), math.log1p(stem), len(you) / n,
+            sum(d <= toxicity.WINDOW for d in near) / n, sum(1 / (1 + d) for d in near) / n,
+            count(rb"[A-Z]") / max(count(letter), 1), count(rb"[A-Z]{3,}") / n, count(rb"[!?]") / visible,
+            count(punct) / visible, count(punct + rb"{2,}") / n, count(rb"(?<=" + letter + rb")" + inner + rb"(?=" + letter + rb")") / n,
+            count(rb"(?=(" + letter + rb")\1\1)") / visible, count(rb"[0-9]") / visible]
+
+
+def test_toxicity_features_equal_plain_ones():
+    texts = ["You IDIOT you!!", "", "such 1d10t!! st@pid $tupid people -- sooo bad", "plain words, don't worry", " \n",
+             "idiot one two three four five six seven eight your stupidity", "é du Stupide?! b.a.d AAA b-d 'x'y", "you you",
+             "idiotic idiots\nare\tyou? 3 4 5"]
+    words, stems = [b"idiot", b"bad"], [b"stup", b"idioti"]
+    lexicon = {"words": np.sort(toxicity.hash_of(words)),
+               "stems": np.sort(np.array([int(toxicity.hash_of([s])[0]) ^ len(s) for s in stems], np.uint64))}
+    got = toxicity.features(texts, lexicon)
+    want = [plain_toxicity_features(t, words, stems) for t in texts]
+    for name, g, w in zip(toxicity.FEATURES, got.T, np.array(want).T):
+        assert np.allclose(g, w), (name, g.tolist(), w.tolist())
+
+
+def test_lexicon_equals_a_plain_count():
+    rng = np.random.default_rng(5)
+    names = [f"w{n}x{n % 17}" for n in range(300)]
+    texts = [" ".join(rng.choice(names, 30)) + (f" slur{rng.integers(4)}ling vermin" if n % 5 == 0 else "") for n in range(200)]
+    toxic = np.arange(200) % 5 == 0
+    got = toxicity.learn_lexicon(texts, toxic)
+    bad, good = Counter(), Counter()
+    for text, is_bad in zip(texts, toxic):
+        of = {w.encode() for w in text.split()}
+        entries = of | {(w[:n], n) for w in of for n in toxicity.STEMS if len(w) > n}
+        (bad if is_bad else good).update(entries)
+    want = {e for e, n in bad.items() if n >= max(3, 0.005 * toxic.sum())
+            and (n + 0.1) / (toxic.sum() + 1) * ((~toxic).sum() + 1) / (good[e] + 0.1) >= 20}
+    assert len(want) > 3
+    assert sorted(got["words"].tolist()) == sorted(int(toxicity.hash_of([e])[0]) for e in want if isinstance(e, bytes))
+    assert sorted(got["stems"].tolist()) == sorted(int(toxicity.hash_of([e[0]])[0]) ^ e[1] for e in want if not isinstance(e, bytes))

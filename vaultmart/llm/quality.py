@@ -58,17 +58,21 @@ def buckets(data: np.ndarray, offsets: np.ndarray):
     for back, bucket in enumerate(AGAIN, 1):
         same = (hashes[back:] == hashes[:-back]) & (text[back:] == text[:-back])
         yield start[back:][same], np.full(same.sum(), bucket)
-    wide = np.where(gap, 32, data).astype(np.uint32)
+    # a border before the first text; every text ends with one
+    wide = np.concatenate([[32], np.where(gap, 32, data)]).astype(np.uint32)
+    shut = np.concatenate([[True], gap])
     for n in GRAMS:
-        if len(data) < n:
+        if len(wide) < n:
             continue
-        code = np.full(len(data) - n + 1, 0x811C9DC5 + n, np.uint32)
+        code = np.full(len(wide) - n + 1, 0x811C9DC5 + n, np.uint32)
         for k in range(n):
-            code = (code ^ wide[k:len(data) - n + 1 + k]) * np.uint32(0x01000193)
+            code = (code ^ wide[k:len(wide) - n + 1 + k]) * np.uint32(0x01000193)
             code ^= code >> np.uint32(15)
         inside = np.ones(len(code), bool)
         for k in range(1, n - 1):            # a gap may only stand at either end
-            inside &= ~gap[k:len(code) + k]
+            inside &= ~shut[k:len(code) + k]
+        # the place in ``data`` of the second character: the first may be the border that
+        # ends the text before
         place = np.flatnonzero(inside)
         yield place, FIRST + (code[place] % np.uint32(BUCKETS - FIRST)).astype(np.int64)
 
