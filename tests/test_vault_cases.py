@@ -131,3 +131,28 @@ def test_sat_backfill_general_and_compact_folds_agree(spark):
                 V.sat_load(_batch(spark, ts(y), *pairs), expected, "pk", "hd", SAT_COLS))
         got = B.sat_backfill(staged, sat if existing else None, "pk", "hd", SAT_COLS, "t")
         assert rows(got) == rows(expected), existing
+
+
+def test_batches_in_order_are_folded_without_a_load_per_year(spark, monkeypatch):
+    from vaultmart.plans import backfill as B
+
+    def batch(y, pairs):
+        nulled = F.when(F.col("hd") != "none", F.col("hd"))
+        return _batch(spark, ts(y), *pairs).withColumn("hd", nulled)
+
+    batches = {1995: [("P", "A"), ("Q", "A"), (None, "A"), ("R", "none")], 1996: [("P", "B"), ("Q", "A"), ("R", "none")],
+               1997: [("P", "A"), ("P", "A"), ("P", "C"), (None, "A")], 1998: [("P", "B"), ("P", "C"), ("Q", "B")]}
+    stage_all = None
+    for y, pairs in batches.items():
+        b = batch(y, pairs)
+        stage_all = b if stage_all is None else stage_all.unionByName(b)
+    staged = B.StagedBatches(stage_all, "t-stage")
+    for existing in ([], [("P", "A", "a", None, ts(1990), "src"), ("P", "B", "b", None, ts(1989), "src")]):
+        sat = spark.createDataFrame(existing, SAT_SCHEMA)
+        expected = sat
+        for y, pairs in batches.items():
+            expected = expected.unionByName(V.sat_load(batch(y, pairs), expected, "pk", "hd", SAT_COLS))
+        expected = rows(expected)
+        with monkeypatch.context() as m:
+            m.setattr(V, "sat_load", None)
+            assert rows(B.sat_backfill(staged, sat if existing else None, "pk", "hd", SAT_COLS, "t")) == expected

@@ -17,15 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vaultmart.functions.joins import checked_broadcast
 from vaultmart.functions.lineage import ScratchTable, cut_measured
 from vaultmart.operators import vault as V
 
-MOST_DELTAS = 8          # years of inserts read beside the current versions, at most
+MOST_BITS = 63           # batches that one number can tell apart, and one bit
 
 State = TypeVar("State")
 
@@ -62,6 +61,7 @@ class StagedBatches:
         stats = (self.table.read().groupBy("_batch")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("load_date").alias("lo"),
                       F.max("load_date").alias("hi")).collect())
+        self.undated = any(r["_batch"] is None for r in stats)
         stats = [r for r in stats if r["_batch"] is not None]
         self.sizes = {r["_batch"]: r["n"] for r in stats}
         self.load_dates = {r["_batch"]: (r["lo"], r["hi"]) for r in stats}
@@ -83,25 +83,60 @@ class StagedBatches:
         return self.table.read().where(F.col("_batch") == F.lit(year)).drop("_batch")
 
 
+def _fold(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str, cols: list[str]) -> DataFrame:
+    """What loading the batches in order inserts, where no load date is out of order.
+
+    Of each key and hashdiff one number holds the batches that have it (a bit each; bit 0:
+    a newest version in ``sat``).  The years are then walked over these numbers: a year
+    inserts the hashdiffs it has that are not current, and if a key got any, they are
+    its current ones.  A step is a window over the key, and all steps share one shuffle
+    and one sort, whatever the number of years.  A key's rows are bounded by its
+    distinct hashdiffs, and a window spills what memory does not hold.
+    """
+    bits = {year: 1 << n for n, year in enumerate(staged.years, 1)}
+    dated = staged.table.read().where(F.col("_batch").isin(staged.years)).drop("_batch").select(*cols)
+    # NULL keys never match: all their distinct rows of each batch are new
+    rows = dated.distinct()
+    keyed, unkeyed = rows.where(F.col(pk).isNotNull()), rows.where(F.col(pk).isNull())
+    bit = F.lit(0).cast("long")
+    for year, value in bits.items():
+        bit = F.when(F.year("load_date") == year, F.lit(value).cast("long")).otherwise(bit)
+    bit = bit.alias("_bit")
+    seen = dated.where(F.col(pk).isNotNull()).select(pk, hd, bit)
+    if sat is not None:
+        newest = V.newest_per_key(sat.where(F.col(pk).isNotNull()), pk, hd)
+        seen = seen.unionByName(newest.select(pk, hd, F.lit(1).cast("long").alias("_bit")))
+    seen = seen.groupBy(pk, hd).agg(F.bit_or("_bit").alias("_has"))
+    key = Window.partitionBy(pk)
+    walk = seen.select(pk, hd, "_has", (F.col("_has").bitwiseAND(F.lit(1)) != 0).alias("_current"),
+                       F.lit(0).cast("long").alias("_new"))
+    for value in bits.values():
+        has = F.col("_has").bitwiseAND(F.lit(value).cast("long")) != 0
+        walk = (walk.withColumn("_ins", has & (~F.col("_current") | F.col(hd).isNull()))      # NULL never matches
+                .withColumn("_any", F.max("_ins").over(key))
+                .withColumn("_current", F.when(F.col("_any"), F.col("_ins")).otherwise(F.col("_current")))
+                .withColumn("_new", F.when(F.col("_ins"), F.col("_new") + F.lit(value)).otherwise(F.col("_new"))))
+    inserted = walk.where("_new != 0").select(F.col(pk).alias("_pk"), F.col(hd).alias("_hd"), "_new")
+    new = (keyed.join(inserted, (F.col(pk) == F.col("_pk")) & F.col(hd).eqNullSafe(F.col("_hd")))
+           .where(F.col("_new").bitwiseAND(bit) != 0).select(*cols))
+    return new.unionByName(unkeyed)
+
+
 def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
                  cols: list[str], name: str = "sat") -> DataFrame:
     """The satellite after loading every year of ``staged`` in order
     (``sat=None``: starting from an empty satellite).
 
-    Exact split by key:
+    When every batch has one load date, later than every earlier batch's and than
+    anything already in the satellite, the load-date guard never excludes a version and
+    the fold is set-based (``_fold``).  Otherwise, an exact split by key:
     * a key seen in only one batch (and every NULL key, which never matches)
       cannot depend on the other years' loads: its latest versions come from
       the existing satellite alone.  All such keys load in one set-based pass.
-    * keys seen in several batches are folded year by year.
-
-    The fold compares a year with the *current versions* - each key's versions at its
-    newest load date - and not with the history, when that is exact: every batch has one load date, later than every earlier batch's and
-    than anything already in the satellite, so the load-date guard never
-    excludes a version and "latest" is simply the newest versions.  A year's inserts,
-    which are written anyway, are what changes them; only when they have outgrown the
-    current versions are these written anew.  Otherwise
-    it runs the general ``sat_load`` per year.  Sizes come from the writes (a load inserts at
-    most its batch's rows), so no join is chosen by counting.
+    * keys seen in several batches are folded year by year with ``sat_load``.
+
+    Sizes come from the writes (a load inserts at most its batch's rows), so no
+    join is chosen by counting.
     """
     spark = staged.table.spark
     if sat is None:    # a new satellite: nothing to write or count
@@ -110,6 +145,11 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
     else:
         table = ScratchTable.of(sat.select(*cols), name, sized=True)
         start_rows, sat_max = table.size.rows, table.size.newest
+    first_ld = staged.load_dates[staged.years[0]][0] if staged.years else None
+    if (staged.years and not staged.undated and len(staged.years) < MOST_BITS and staged.increasing_load_dates()
+            and (sat_max is None or sat_max < first_ld)):
+        table.append(_fold(staged, table.read() if sat is not None else None, pk, hd, cols))
+        return table.read()
     stage = staged.all()
     spans = (stage.where(F.col(pk).isNotNull()).groupBy(pk)
              .agg(F.min("load_date").alias("_first"), F.max("load_date").alias("_last")))
@@ -132,44 +172,6 @@ def sat_backfill(staged: StagedBatches, sat: DataFrame | None, pk: str, hd: str,
         rows = staged.batch(year).select(*cols).where(F.col(pk).isNotNull()).distinct()
         return rows.join(multi_side, pk, "left_semi").select(*cols)
 
-    first_ld = staged.load_dates[staged.years[0]][0]
-    if staged.increasing_load_dates() and (sat_max is None or sat_max < first_ld):
-        versions = [pk, hd, "load_date"]
-        base = ScratchTable(spark, f"{name}-current", T.StructType([table.schema[c] for c in versions]))
-        base_rows = 0
-        if sat is not None:
-            base = ScratchTable.of(V.newest_per_key(
-                table.read().where(F.col(pk).isNotNull()).join(multi_side, pk, "left_semi"), pk, hd),
-                f"{name}-current", sized=True)
-            base_rows = base.size.rows
-        pieces = [table.read()]
-
-        def union(parts: list[DataFrame]) -> DataFrame:
-            out = parts[0]
-            for part in parts[1:]:
-                out = out.unionByName(part)
-            return out
-
-        def step(state, year: int):
-            base, base_rows, deltas, delta_rows = state
-            rows, total = batch_of(year), base_rows + delta_rows
-            if total:
-                current = union([base.read(), *[d.select(*versions) for d in deltas]])
-                latest = V.latest_current(current, rows, pk, hd, total, staged.sizes[year])
-                rows = rows.join(latest, [pk, hd], "left_anti")
-            ins, size = cut_measured(rows.select(*cols), f"{name}-ins")
-            pieces.append(ins)     # each year's inserts are already written once
-            deltas, delta_rows = [*deltas, ins], delta_rows + size.rows
-            if base_rows and delta_rows > 2 * base_rows or len(deltas) > MOST_DELTAS:
-                newer = ScratchTable.of(V.newest_per_key(
-                    union([base.read(), *[d.select(*versions) for d in deltas]]), pk, hd), f"{name}-current", sized=True)
-                base.drop()
-                return newer, newer.size.rows, [], 0
-            return base, base_rows, deltas, delta_rows
-
-        backfill(staged.years, step, (base, base_rows, [], 0))[0].drop()
-        return union(pieces)
-
     def general_step(state: tuple[ScratchTable, int], year: int) -> tuple[ScratchTable, int]:
         tbl, bound = state
         batch_rows = staged.sizes[year]
