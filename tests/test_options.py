@@ -87,3 +87,20 @@ def test_latest_versions_group_behind_an_exchange_of_their_own(spark, limit_of_o
     out = V.latest_versions(sat, cut_off, "pk", "hd", sat_rows=99, batch_rows=99)
     assert "REPARTITION_BY_COL" in out._jdf.queryExecution().executedPlan().toString()
     assert rows(out) == [("P", "A"), ("P", "B")]
+
+
+def test_lists_of_the_language_model_are_freed_when_they_are_counted(spark, monkeypatch):
+    from vaultmart.functions.lineage import FREE_CONF
+    from vaultmart.llm import lm_score
+
+    seen, cut = [], lm_score.cut
+
+    def noted(df, name):
+        seen.append((name, spark.conf.get(FREE_CONF)))
+        return cut(df, name)
+
+    before = spark.conf.get(FREE_CONF, None)
+    monkeypatch.setattr(lm_score, "cut", noted)
+    docs = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
+    assert lm_score.score(docs).count() == 2
+    assert seen == [("lm-answers", "true")] and spark.conf.get(FREE_CONF, None) == before

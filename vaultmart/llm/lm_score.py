@@ -64,7 +64,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultmart.functions.lineage import cut
+from vaultmart.functions.lineage import cut, shuffles_freed
 from vaultmart.llm.common import WHITE_SPACE, id_and_text
 
 BLOCK_BYTES = 4 << 20     # text in a block
@@ -429,8 +429,9 @@ def score(docs: DataFrame, order: int = 3, mass: float | None = None, modulus: i
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     lists = base.mapInArrow(_blocks(order, modulus, remainder, shards, True), ROWS_DDL)
-    answers = cut(lists.groupBy("shard").applyInPandas(
-        _count, ROWS_DDL + ", tokens long, distinct long, fit array<double>"), "lm-answers")
+    with shuffles_freed(base.sparkSession):        # the lists are 3 x the text
+        answers = cut(lists.groupBy("shard").applyInPandas(
+            _count, ROWS_DDL + ", tokens long, distinct long, fit array<double>"), "lm-answers")
     tokens, distinct = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)),
                                    F.coalesce(F.sum("distinct"), F.lit(0))).first()
     masses = fitted_masses(answers, order) if mass is None else [float(mass)] * (order - 1)
