@@ -323,3 +323,34 @@ def test_files_of_run_tables_are_where_they_are_said_to_be(clean):
     vault, _, _ = clean
     path = vault.sat_pay_details.path.removeprefix("file:")
     assert any(f.startswith("billing_year=") for f in os.listdir(f"{path}/run=1996"))
+
+
+def test_many_rows_out_of_a_shuffle_are_written_as_they_are(spark, tmp_dir, big_target, monkeypatch):
+    written = []
+    monkeypatch.setattr(R, "measured", lambda df, write: written.append(str(df._jdf.queryExecution().logical())) or [None])
+    t = R.RunTable(spark, "t", spark.createDataFrame([], SIMPLE).schema, f"{tmp_dir}/t")
+    t.append_shuffled(simple(spark, 0, 9), 9)
+    t.append(simple(spark, 0, 9))
+    assert ["rebalance" in plan.lower() for plan in written] == [False, True]
+
+
+def test_known_keys_are_those_of_the_target_that_the_batch_has(spark, tmp_dir, big_target):
+    simple(spark, 5, 9).unionByName(spark.createDataFrame([(None, "x")], SIMPLE)).write.parquet(f"{tmp_dir}/b")
+    known, n = J.known_keys(spark.read.parquet(f"{tmp_dir}/b"), simple(spark, 0, 7), ["k"], 7, 5)
+    assert (rows(known, "k"), n) == ([(5,), (6,)], 2)
+
+
+def test_loaded_partitions_give_only_null_keys_again(spark, monkeypatch):
+    stg = fixtures.raw(spark, SF_SMALL, "stg_payment").cache()
+    mdm = fixtures.raw(spark, SF_SMALL, "mdm_user").cache()
+    v, seen, load = Y.SecondVault.empty(spark), {}, V.link_load
+
+    def noted(stage, *args):
+        years = stage.where(F.col("pay_pk").isNotNull()).select("ods_year").distinct().collect()
+        seen[v.runs.run] = sorted(r["ods_year"] for r in years)
+        return load(stage, *args)
+
+    monkeypatch.setattr(V, "link_load", noted)
+    for year in (1995, 1996):
+        Y.run_second_vault_year(stg, mdm, v, year)
+    assert seen == {"1995": ["1995"], "1996": ["1996"]}

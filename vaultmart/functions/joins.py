@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultmart.functions.lineage import cut
+from vaultmart.functions.lineage import cut, cut_measured
 
 MAX_ROWS_CONF = "vaultmart.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 1_000_000
@@ -71,6 +71,18 @@ def _filter_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.select(*keys)
 
 
+def known_keys(stage: DataFrame, target: DataFrame, keys: list[str], target_rows: int,
+               batch_rows: int) -> tuple[DataFrame, int]:
+    """(what of the target's keys a *stored* batch holds, its rows): all that a load of the
+    batch has to be compared with.  Where both are big, the history is scanned once,
+    Bloom-filtered, and no row of the batch but its keys is shuffled for it."""
+    target_keys = target.select(*keys)
+    if is_small(target_keys, target_rows) or is_small(stage.select(*keys), batch_rows):
+        return target, target_rows
+    hits, size = cut_measured(target_keys.join(_filter_keys(stage, keys), keys, "left_semi"), "known")
+    return hits, size.rows
+
+
 def checked_broadcast(df: DataFrame, known_rows: int | None) -> DataFrame:
     """``F.broadcast(df)`` if it passes the size check, else ``df`` unchanged."""
     return F.broadcast(df) if is_small(df, known_rows) else df

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultmart.functions.joins import is_small
 from vaultmart.functions.lineage import (ScratchTable, Written, _exists, children, delete, file_system, measured,
                                          together)
 
@@ -55,13 +56,21 @@ class RunTable(ScratchTable):
         self.name, self.by = name, by
         self.run = "all"                        # the run that appends now
         self.sizes: dict[str, Written] = {}
+        self.most: int | None = None            # see append_shuffled
+
+    def append_shuffled(self, df: DataFrame, most: int | None) -> None:
+        """``append`` of at most ``most`` rows that come out of a shuffle: many are written
+        as they are, since AQE has sized its partitions, and are not shuffled again."""
+        self.most = most
+        self.append(df)
 
     def append(self, df: DataFrame) -> None:
         """The rows of the current run: they replace what it may have written before."""
-        self.sizes[self.run] = self._write(df, f"{self.path}/{RUN}={self.run}")
+        most, self.most = self.most, None
+        self.sizes[self.run] = self._write(df, f"{self.path}/{RUN}={self.run}", most)
         self.written = True
 
-    def _write(self, df: DataFrame, path: str) -> Written:
+    def _write(self, df: DataFrame, path: str, most: int | None = None) -> Written:
         parts = [self.by] if self.by else []
         rows = df.select(*self.schema.fieldNames(), *parts)
 
@@ -70,7 +79,8 @@ class RunTable(ScratchTable):
             (seen.write.mode("overwrite").option("partitionOverwriteMode", "static")
                  .partitionBy(*parts).parquet(path))
 
-        return measured(rows.hint("rebalance", *parts), write)[0]
+        as_it_is = most is not None and not is_small(rows, most)
+        return measured(rows if as_it_is else rows.hint("rebalance", *parts), write)[0]
 
     def read(self, with_by: bool = False, runs: list[str] | None = None) -> DataFrame:
         names = self.schema.fieldNames()

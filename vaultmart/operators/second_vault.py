@@ -70,13 +70,16 @@ def sat_payment_doc_type(stage: DataFrame, sat: DataFrame, sat_rows: int | None
 
 def sat_user_as_client(mdm: DataFrame, hub_user: DataFrame, sat: DataFrame,
                        load_date: _dt.datetime | str,
-                       record_source: str = MDM_RECORD_SOURCE, **bounds) -> DataFrame:
-    """Q20: new client-attribute versions for users present in hub_user."""
+                       record_source: str = MDM_RECORD_SOURCE, on_time: bool = False, **bounds) -> DataFrame:
+    """Q20: new client-attribute versions for users present in hub_user.  ``on_time``:
+    nothing in ``sat`` is newer than ``load_date``."""
     src = (mdm.select(hash_key("id").alias("user_pk"), *CLIENT_ATTRS)
            .join(hub_user.select("user_pk"), "user_pk", "left_semi")
            .withColumn("load_date", D.ts_literal(load_date))
            .withColumn("record_source", F.lit(record_source))
            .withColumn("_hd", hashdiff(*CLIENT_ATTRS)))
     existing = sat.withColumn("_hd", hashdiff(*CLIENT_ATTRS))
+    if on_time:
+        bounds.update(current=existing.where(F.col("user_pk").isNotNull()), current_rows=bounds.get("sat_rows"), whole=True)
     return V.sat_load(src, existing, "user_pk", "_hd", SAT_CLIENT_COLS + ["_hd"],
                       **bounds).select(*SAT_CLIENT_COLS)

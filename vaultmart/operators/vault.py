@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultmart.functions import dates as D
-from vaultmart.functions.joins import anti_join_existing, broadcast_limit, is_small, some_keys
+from vaultmart.functions.joins import _filter_keys, anti_join_existing, checked_broadcast, is_small, some_keys
+from vaultmart.functions.lineage import cut_measured
 from vaultmart.functions.keys import RECORD_SOURCE, hash_key, hashdiff, norm
 
 STAGE_SOURCE = ["user_id", "pay_doc_type", "pay_doc_num", "account", "phone",
@@ -220,20 +221,28 @@ def latest_versions(sat: DataFrame, cut_off: DataFrame, pk: str, hd: str,
 
 
 def latest_current(current: DataFrame, stage: DataFrame, pk: str, hd: str, current_rows: int | None = None,
-                   batch_rows: int | None = None) -> DataFrame:
+                   batch_rows: int | None = None, whole: bool = False) -> DataFrame:
     """(pk, hashdiff) of the newest versions of the batch's keys, from a satellite's
     current versions instead of its history.  Right when no row of the batch has a load
     date before the newest in the satellite: the guard then excludes no version.
 
+    ``whole``: the batch has nearly all keys, so that reducing ``current`` to them is no gain.
     ``current`` may still hold a key's older versions, from before it changed; of each
     key the newest load date counts."""
     if is_small(current, current_rows):           # one exchange of a proven small table
         newest = F.max("load_date").over(Window.partitionBy(pk))
         latest = current.select(pk, hd, "load_date", newest.alias("_newest")).where("load_date = _newest")
         return F.broadcast(latest.select(pk, hd))
-    keys = some_keys(stage, [pk])                 # only the batch's keys go on
-    current = current.join(F.broadcast(keys) if is_small(current, batch_rows) else keys, pk, "left_semi")
-    return newest_per_key(current, pk, hd).select(pk, hd)
+    if whole:                                     # a key's newest versions as they are: no use in grouping them
+        newest = current.groupBy(pk).agg(F.max("load_date").alias("_newest"))
+        return current.join(newest, pk).where("load_date = _newest").select(pk, hd)
+    # only the batch's keys go on; a big batch's are in the form of a Bloom filter
+    if is_small(current, batch_rows):
+        current = current.join(F.broadcast(some_keys(stage, [pk])), pk, "left_semi")
+        return newest_per_key(current, pk, hd).select(pk, hd)
+    current = current.join(_filter_keys(stage, [pk]), pk, "left_semi")
+    latest, size = cut_measured(newest_per_key(current, pk, hd).select(pk, hd), "latest")
+    return checked_broadcast(latest, size.rows)
 
 
 def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:
@@ -252,11 +261,11 @@ def newest_per_key(versions: DataFrame, pk: str, hd: str) -> DataFrame:
 def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str],
              sat_rows: int | None = None, batch_rows: int | None = None,
              skip_null_keys: bool = False, unique: bool = False,
-             current: DataFrame | None = None, current_rows: int | None = None) -> DataFrame:
+             current: DataFrame | None = None, current_rows: int | None = None, whole: bool = False) -> DataFrame:
     """Rows to insert into a satellite from one batch.
 
     ``current``: the satellite's current versions (pk, hashdiff, load_date), see
-    ``latest_current``; the history in ``sat`` is then not read.
+    ``latest_current`` (there ``whole`` too); the history in ``sat`` is then not read.
 
     ``cols`` is the insert column list (pk, hashdiff, payload, audit columns);
     ``sat_rows`` / ``batch_rows``: optional size bounds, see ``latest_versions``;
@@ -267,7 +276,7 @@ def sat_load(stage: DataFrame, sat: DataFrame, pk: str, hd: str, cols: list[str]
     if sat_rows == 0:             # proven empty satellite: every distinct row is new
         return rows
     if current is not None:
-        latest = latest_current(current, source, pk, hd, current_rows, batch_rows)
+        latest = latest_current(current, source, pk, hd, current_rows, batch_rows, whole)
     else:
         cut_off = (source.where(F.col(pk).isNotNull())
                    .groupBy(pk).agg(F.max("load_date").alias("_cut")))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultmart.functions import dates as D
+from vaultmart.functions.joins import known_keys
 from vaultmart.functions.keys import norm
 from vaultmart.functions.lineage import ScratchTable, Written, children, scratch_path, together
 from vaultmart.functions.runs import BucketedTable, Runs, RunTable
@@ -139,7 +140,8 @@ def _with_billing_year(stage: DataFrame) -> DataFrame:
     return stage.withColumn(BILLING_YEAR, D.period_key_year(norm("billing_period_key")))
 
 
-def load_satellite(stage: DataFrame, batch: Written, sat: RunTable, current: RunTable, spec: tuple) -> None:
+def load_satellite(stage: DataFrame, batch: Written, sat: RunTable, current: RunTable, spec: tuple,
+                   whole: bool = False) -> None:
     """One satellite load, and the current versions after it.
 
     A batch that is not older than anything stored is compared with the current versions,
@@ -148,9 +150,34 @@ def load_satellite(stage: DataFrame, batch: Written, sat: RunTable, current: Run
     pk, hd, cols = spec
     cols = [*cols, sat.by] if sat.by else cols
     on_time = sat.rows > 0 and batch.oldest is not None and sat.newest is not None and batch.oldest >= sat.newest
-    sat.append(V.sat_load(stage, sat.read(), pk, hd, cols, sat.rows, batch.rows,
-                          current=current.read() if on_time else None, current_rows=current.rows))
-    current.append(sat.read_run().where(F.col(pk).isNotNull()).select(pk, hd, "load_date").distinct())
+    sat.append_shuffled(V.sat_load(stage, sat.read(), pk, hd, cols, sat.rows, batch.rows,
+                          current=current.read() if on_time else None, current_rows=current.rows,
+                          whole=whole), batch.rows)
+    current.append_shuffled(sat.read_run().where(F.col(pk).isNotNull()).select(pk, hd, "load_date").distinct(),
+                   sat.sizes[sat.run].rows)
+
+
+def _known(stage: DataFrame, table: RunTable, pk: str, rows: int) -> tuple[DataFrame, int]:
+    """What of a table's keys the stage holds; a bucketed table is joined where it lies."""
+    if isinstance(table, BucketedTable):
+        return table.read(), table.rows
+    return known_keys(stage, table.read(), [pk], table.rows, rows)
+
+
+def load_hub(stage: DataFrame, table: RunTable, pk: str, keys: list[str], rows: int,
+             matching: DataFrame | None = None) -> None:
+    """One hub load from a stored stage of at most ``rows`` rows.  ``matching``: the
+    part of it that has keys, if that is known."""
+    known, n = _known(stage if matching is None else matching, table, pk, rows)
+    table.append_shuffled(V.hub_load(stage, known, pk, keys, n, rows), rows)
+
+
+def load_link(stage: DataFrame, table: RunTable, pk: str, cols: list[str], rows: int,
+              matching: DataFrame | None = None) -> None:
+    """One link load, as ``load_hub``."""
+    cols = [*cols, table.by] if table.by else cols
+    known, n = _known(stage if matching is None else matching, table, pk, rows)
+    table.append_shuffled(V.link_load(stage, known, pk, cols, n, rows), rows)
 
 
 def run_vault_year(ods, vault: Vault, year: int) -> Vault:
@@ -161,17 +188,8 @@ def run_vault_year(ods, vault: Vault, year: int) -> Vault:
     staged = ScratchTable.of(_with_billing_year(V.payment_stage(ods_year, year)), "stage", sized=True)   # read by 7 loaders
     stage, batch = staged.read(), staged.size
 
-    def hub(name, pk, keys):
-        table = getattr(vault, name)
-        table.append(V.hub_load(stage, table.read(), pk, keys, table.rows, batch.rows))
-
-    def link(name):
-        table = getattr(vault, name)
-        cols = [*V.LINK_COLS, table.by] if table.by else V.LINK_COLS
-        table.append(V.link_load(stage, table.read(), V.LINK_PK, cols, table.rows, batch.rows))
-
-    together(*[partial(hub, name, *spec) for name, spec in V.HUBS.items()],
-             partial(link, "link_user_account_billing_pay"),
+    together(*[partial(load_hub, stage, getattr(vault, name), *spec, batch.rows) for name, spec in V.HUBS.items()],
+             partial(load_link, stage, vault.link_user_account_billing_pay, V.LINK_PK, V.LINK_COLS, batch.rows),
              *[partial(load_satellite, stage, batch, getattr(vault, name), vault.current[name], spec)
                for name, spec in V.SATS.items()])
     vault.runs.finish()
@@ -283,6 +301,7 @@ class SecondVault:
     stage: ScratchTable                    # hash keys of the ODS, partitioned as it is
     staged_from: dict[str, str] = field(default_factory=dict)   # per partition: the ODS files staged
     staged_rows: dict[str, int] = field(default_factory=dict)
+    loaded_from: dict[str, str] = field(default_factory=dict)   # per partition: the files this process has loaded
 
     @classmethod
     def empty(cls, spark: SparkSession) -> "SecondVault":
@@ -387,28 +406,37 @@ def run_second_vault_year(stg: DataFrame, mdm: DataFrame, v: SecondVault, year:
     n = sum(v.staged_rows.values())                  # a bound
     batch = Written(n, 0, D.year_start_datetime(year), D.year_start_datetime(year))
 
+    # hubs and link hold every key of a partition that a finished run has loaded, so of
+    # such partitions only NULL keys, which every run loads (t5), can have rows to insert
+    loaded = [y for y, files in v.staged_from.items() if v.loaded_from.get(y) == files]
+    known_years = F.col("ods_year").isin(loaded)
+
+    def unseen(pk):
+        if not loaded:
+            return stage
+        return stage.where(~known_years).unionByName(stage.where(known_years & F.col(pk).isNull()))
+
     def hub(name, pk, keys):
-        table = getattr(v, name)
-        table.append(V.hub_load(stage, table.read(), pk, keys, table.rows, n))
+        load_hub(unseen(pk), getattr(v, name), pk, keys, n, stage.where(~known_years))
 
     def clients():
         hub("hub_user", *V.HUBS["hub_user"])       # a client is stored once the hub knows the user
         sat = v.sat_user_as_client
-        sat.append(V2.sat_user_as_client(mdm, v.hub_user.read(), sat.read(), load_date,
-                                         sat_rows=sat.rows, batch_rows=mdm_rows))
-
-    def link():
-        table = v.t_link_payment
-        table.append(V.link_load(stage, table.read(), "pay_pk", [*V2.T_LINK_COLS, table.by], table.rows, n))
+        sat.append_shuffled(V2.sat_user_as_client(mdm, v.hub_user.read(), sat.read(), load_date,
+                                         on_time=sat.newest is not None and sat.newest <= batch.newest,
+                                         sat_rows=sat.rows, batch_rows=mdm_rows), mdm_rows)
 
-    together(clients, link,
+    together(clients, partial(load_link, unseen("pay_pk"), v.t_link_payment, "pay_pk", V2.T_LINK_COLS, n,
+                              stage.where(~known_years)),
              partial(hub, "hub_account", *V.HUBS["hub_account"]),
              partial(hub, "hub_payment", "pay_pk", ["pay_doc_type_id", "pay_doc_num"]),
              partial(hub, "hub_billing_period", *V.HUBS["hub_billing_period"]),
-             partial(load_satellite, stage, batch, v.sat_user_details, v.current_user_details, V.SATS["sat_user_details"]),
+             partial(load_satellite, stage, batch, v.sat_user_details, v.current_user_details, V.SATS["sat_user_details"],
+                     whole=True),
              lambda: v.sat_payment_doc_type.append(V2.sat_payment_doc_type(
                  stage, v.sat_payment_doc_type.read(), v.sat_payment_doc_type.rows, n)))
     v.runs.finish()
+    v.loaded_from = dict(v.staged_from)
     rep = ScratchTable.of(M.payment_report_client(v.t_link_payment.read(with_by=True), v.hub_billing_period.read(),
                                                   v.hub_user.read(), v.sat_user_as_client.read(), year,
                                                   hub_bp_rows=v.hub_billing_period.rows), "report_v2", sized=True)
